@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetstream.config import FleetConfig
@@ -83,14 +85,10 @@ def latest_traffic(
     Both go into one decimal: a struct ordering cannot live in a hash
     aggregate's buffer and would sort every input row. 20 digits hold any long.
     """
-    order = (
-        F.unix_micros(F.col("arrival").cast("timestamp")).cast("decimal(18,0)")
-        * F.lit(10**20).cast("decimal(21,0)")
-    ).cast("decimal(38,0)") + F.col(tie_breaker).cast("decimal(19,0)")
+    micros = F.unix_micros(F.col("arrival").cast("timestamp")).cast("decimal(18,0)")
+    order = micros * F.lit(Decimal(10**20)) + F.col(tie_breaker).cast("decimal(19,0)")
     return traffic.groupBy("route_id").agg(
-        F.max_by("congestion_level", order.cast("decimal(38,0)")).alias(
-            "congestion_level"
-        ),
+        F.max_by("congestion_level", order).alias("congestion_level"),
         F.max("arrival").alias("arrival"),
     )
 
