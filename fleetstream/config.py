@@ -72,6 +72,8 @@ class FleetConfig:
     quarantine_path: str | None = None
     pretrained_path: str | None = None
     checkpoint_path: str | None = None
+    # Tasks, and so files per day, that write one trigger's rows; None keeps all.
+    sink_files: int | None = None
 
     features: tuple[str, ...] = FEATURES
     step_size: float = 0.1

@@ -17,10 +17,17 @@ def _own_slot(slots: int, seed: int) -> Column:
     return F.floor(F.rand(seed) * slots).cast("int") if slots > 1 else F.lit(0)
 
 
-def _every_slot(slots: int) -> Column:
+def every_slot(slots: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
 
 
+def default_salts(cfg: FleetConfig, *inputs: DataFrame) -> tuple[int, int]:
+    """The config's grid for streams; none for batches, where AQE splits hot groups."""
+    if any(df.isStreaming for df in inputs):
+        return cfg.truck_salts, cfg.traffic_salts
+    return 1, 1
+
+
 def enrich_join(
     truck: DataFrame,
     traffic: DataFrame,
@@ -40,21 +47,15 @@ def enrich_join(
     one cell. ``salts`` overrides the grid, for a batch session without AQE.
     The inputs must be scans or narrow transformations of scans.
     """
-    if salts is None:
-        salts = (
-            (cfg.truck_salts, cfg.traffic_salts)
-            if truck.isStreaming or traffic.isStreaming
-            else (1, 1)
-        )
-    truck_slots, traffic_slots = salts
+    truck_slots, traffic_slots = salts or default_salts(cfg, truck, traffic)
     left = truck.select("arrival", *names(ENRICHED_TRUCK_FIELDS), *extra)
     right = traffic.select("arrival", "route_id", "congestion_level")
     keys = ["route_id", "bw"]
     if truck_slots * traffic_slots > 1:
         left = left.withColumn("truck_slot", _own_slot(truck_slots, 11))
-        left = left.withColumn("traffic_slot", _every_slot(traffic_slots))
+        left = left.withColumn("traffic_slot", every_slot(traffic_slots))
         right = right.withColumn("traffic_slot", _own_slot(traffic_slots, 13))
-        right = right.withColumn("truck_slot", _every_slot(truck_slots))
+        right = right.withColumn("truck_slot", every_slot(truck_slots))
         keys += ["truck_slot", "traffic_slot"]
     return (
         with_batch(left, cfg)

@@ -45,11 +45,13 @@ def start_all(
         score_sinks.append(q.kafka_sink(cfg, cfg.prediction_topic, prediction_lines))
         stats_sinks.append(q.kafka_sink(cfg, cfg.stats_topic, stats_lines))
     if cfg.enriched_path:
-        enriched_sinks.append(q.history_sink(cfg.enriched_path))
+        enriched_sinks.append(q.history_sink(cfg.enriched_path, files=cfg.sink_files))
     if cfg.predictions_path:
-        score_sinks.append(q.history_sink(cfg.predictions_path))
+        score_sinks.append(q.history_sink(cfg.predictions_path, files=cfg.sink_files))
     if cfg.stats_path:
-        stats_sinks.append(q.history_sink(cfg.stats_path, "window_start"))
+        stats_sinks.append(
+            q.history_sink(cfg.stats_path, "window_start", files=cfg.sink_files)
+        )
     if score_sinks:
         enriched_sinks.append(q.score_sink(table, cfg, score_sinks))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +17,8 @@ from fleetstream.operators.training import batch_moments
 from fleetstream.sinks.outputs import append_history, print_rows, write_kafka
 from fleetstream.sources.weights import WeightsTable, initial_weights
 
-Sink = Callable[[DataFrame, int], None]
+# A sink gets one trigger's rows and the trigger's name.
+Sink = Callable[[DataFrame, str], None]
 
 
 def stream_session(spark: SparkSession, cfg: FleetConfig) -> SparkSession:
@@ -41,7 +43,10 @@ def _start(
     mode: str = "append",
     reuse: bool = False,
 ) -> StreamingQuery:
-    def each(batch: DataFrame, epoch: int) -> None:
+    started: Future = Future()
+
+    def each(batch: DataFrame, number: int) -> None:
+        epoch = f"{started.result().id}-{number}"
         if len(sinks) == 1 and not reuse:
             sinks[0](batch, epoch)
             return
@@ -56,7 +61,10 @@ def _start(
     writer = df.writeStream.queryName(name).outputMode(mode).foreachBatch(each)
     if cfg.checkpoint_path:
         writer = writer.option("checkpointLocation", f"{cfg.checkpoint_path}/{name}")
-    return writer.trigger(**(trigger or {"processingTime": cfg.batch_interval})).start()
+    trigger = trigger or {"processingTime": cfg.batch_interval}
+    query = writer.trigger(**trigger).start()
+    started.set_result(query)
+    return query
 
 
 def enriched_stream(truck: DataFrame, traffic: DataFrame, cfg: FleetConfig) -> DataFrame:
@@ -71,7 +79,7 @@ def history_sink(path: str, time: str = "bw", **options) -> Sink:
 def line_history_sink(path: str, to_lines, time: str = "bw", **options) -> Sink:
     """The history as text lines instead of typed columns."""
 
-    def sink(batch: DataFrame, epoch: int) -> None:
+    def sink(batch: DataFrame, epoch: str) -> None:
         lines = to_lines(batch, carry=(time,))
         append_history(lines, path, epoch, time, format="text", **options)
 
@@ -102,7 +110,7 @@ def score_batch(
 
 
 def score_sink(table: WeightsTable, cfg: FleetConfig, sinks: Sequence[Sink]) -> Sink:
-    def sink(batch: DataFrame, epoch: int) -> None:
+    def sink(batch: DataFrame, epoch: str) -> None:
         scored = score_batch(batch, table, cfg)
         if scored is None:
             return
