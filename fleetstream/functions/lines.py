@@ -16,7 +16,7 @@ SEPARATOR = "|"
 
 
 def _at_most(limit: int) -> str:
-    """Pattern of the unsigned decimal numbers from 0 to ``limit``."""
+    """Pattern of the unsigned decimal numbers from 0 to ``limit``, at least 10."""
     digits = str(limit)
     shorter = f"[0-9]{{1,{len(digits) - 1}}}"
     longest = []

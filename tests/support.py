@@ -1,0 +1,100 @@
+"""Small inputs and plain-Python versions of the operators to compare with."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta, timezone
+
+from fleetstream.schemas import ENRICHED_TRUCK, TRAFFIC
+
+EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
+TYPES = ["Normal", "Speeding", "Lane Departure", "Violation", "normal"]
+
+
+def at(seconds: float) -> datetime:
+    # Naive: PySpark reads naive datetimes in the process time zone.
+    return (EPOCH + timedelta(seconds=seconds)).astimezone().replace(tzinfo=None)
+
+
+def truck_rows(n: int, seed: int, seconds: int = 40, routes: int = 3, drivers: int = 5):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        driver = rng.randrange(drivers)
+        route = rng.randrange(routes)
+        s = rng.randrange(seconds * 1000) / 1000
+        rows.append(
+            (
+                at(s), int(s * 1000), rng.randrange(9), driver, f"d{driver}", route,
+                f"r{route}", rng.uniform(0, 1), rng.uniform(0, 1), rng.randrange(100),
+                rng.choice(TYPES), rng.randrange(2), rng.randrange(2), rng.randrange(4),
+            )
+        )
+    return rows
+
+
+def traffic_rows(n: int, seed: int, seconds: int = 40, routes: int = 3):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        s = rng.randrange(seconds * 1000) / 1000
+        rows.append((at(s), int(s * 1000), rng.randrange(routes), rng.randrange(10)))
+    return rows
+
+
+def _schema(record):
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField("arrival", T.TimestampType()), *record.fields])
+
+
+def truck_df(spark, rows):
+    return spark.createDataFrame(rows, _schema(ENRICHED_TRUCK))
+
+
+def traffic_df(spark, rows):
+    return spark.createDataFrame(rows, _schema(TRAFFIC))
+
+
+def bucket(moment: datetime, seconds: int) -> int:
+    return int((moment - at(0)).total_seconds() // seconds) * seconds
+
+
+def join(truck, traffic, seconds: int = 2):
+    """(batch start, truck row, congestion) for every pair that meets."""
+    readings = defaultdict(list)
+    for r in traffic:
+        readings[r[2], bucket(r[0], seconds)].append(r[3])
+    return [
+        (bucket(t[0], seconds), t, c)
+        for t in truck
+        for c in readings[t[5], bucket(t[0], seconds)]
+    ]
+
+
+def windows(joined, length: int = 6, slide: int = 2):
+    """(window start, driver) -> (speed, fog, rain, wind, min flag, events, count)."""
+    groups = defaultdict(list)
+    for b, t, _ in joined:
+        start = b // slide * slide
+        while start + length > b:
+            groups[start, t[3]].append(t)
+            start -= slide
+    out = {}
+    for key, rows in groups.items():
+        flags = [0 if t[10] == "Normal" else 1 for t in rows]
+        n = len(rows)
+        means = [sum(t[i] for t in rows) / n for i in (9, 11, 12, 13)]
+        out[key] = (*means, min(flags), n, sum(flags))
+    return out
+
+
+def stats_dict(rows):
+    return {
+        (int((r["window_start"] - at(0)).total_seconds()), r["driver_id"]): (
+            r["average_speed"], r["fog"], r["rain"], r["wind"],
+            r["total_violations"], r["total_events"], r["violation_count"],
+        )
+        for r in rows
+    }

@@ -1,0 +1,264 @@
+import dataclasses
+import logging
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from fleetstream import FleetConfig
+from fleetstream.config import FeatureScaling
+from fleetstream.operators import enrich, scoring, training
+from fleetstream.operators.training import Moments, sgd_step
+from fleetstream.schemas import ENRICHED_TRUCK_FIELDS, names
+from fleetstream.sources.weights import (
+    WeightsTable,
+    initial_weights,
+    pretrained_weights,
+    publish_weights,
+    train_history,
+)
+from support import at, join, traffic_df, traffic_rows, truck_df, truck_rows
+
+CFG = FleetConfig(scaling=FeatureScaling((0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 100, 1, 1, 4)))
+COLUMNS = names(ENRICHED_TRUCK_FIELDS)
+POSITIONS = [1 + COLUMNS.index(f) for f in CFG.features]
+
+
+def features(t):
+    return [
+        (float(t[i]) - o) / s
+        for i, o, s in zip(POSITIONS, CFG.scaling.offsets, CFG.scaling.scales)
+    ]
+
+
+def label(t):
+    return 0.0 if t[10] == "Normal" else 1.0
+
+
+def brute_batches(joined):
+    """batch start -> (features, labels), fan-out included, in time order."""
+    out = {}
+    for b, t, _ in sorted(joined, key=lambda r: r[0]):
+        xs, ys = out.setdefault(b, ([], []))
+        xs.append(features(t))
+        ys.append(label(t))
+    return {b: (np.array(x), np.array(y)) for b, (x, y) in out.items()}
+
+
+def brute_train(w, x, y, step=0.1, iterations=3, tol=0.001):
+    """Row by row, one full-batch gradient per step."""
+    w = np.array(w, dtype=float)
+    for t in range(1, iterations + 1):
+        gradient = sum((xi @ w - yi) * xi for xi, yi in zip(x, y)) / len(x)
+        new = w - step / math.sqrt(t) * gradient
+        done = t > 1 and np.linalg.norm(new - w) < tol * max(np.linalg.norm(new), 1.0)
+        w = new
+        if done:
+            break
+    return w
+
+
+def moments_of(x, y):
+    return Moments(float(len(x)), x.T @ x, x.T @ y)
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    truck, traffic = truck_rows(300, 21), traffic_rows(120, 22)
+    return truck, traffic, truck_df(spark, truck), traffic_df(spark, traffic)
+
+
+def test_step_matches_rows():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        x, y = rng.random((20, 7)), rng.integers(0, 2, 20).astype(float)
+        w = rng.normal(size=7)
+        assert sgd_step(w, moments_of(x, y), CFG) == pytest.approx(brute_train(w, x, y), abs=1e-12)
+
+
+def test_step_matches_mllib(spark):
+    from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
+
+    rng = np.random.default_rng(2)
+    x, y = rng.random((40, 7)), rng.integers(0, 2, 40).astype(float)
+    points = spark.sparkContext.parallelize([LabeledPoint(b, a) for a, b in zip(x, y)])
+    solved = np.linalg.lstsq(x, y, rcond=None)[0]
+    # The second start is near the optimum, where training stops early.
+    for start in (np.zeros(7), solved + 1e-4):
+        model = LinearRegressionWithSGD.train(
+            points, iterations=3, step=0.1, initialWeights=start, intercept=False
+        )
+        assert sgd_step(start, moments_of(x, y), CFG) == pytest.approx(
+            list(model.weights), abs=1e-9
+        )
+
+
+def test_early_stop_fires():
+    x, y = np.eye(7), np.ones(7)
+    near = np.full(7, 0.9999)
+    two = dataclasses.replace(CFG, iterations=2)
+    assert sgd_step(near, moments_of(x, y), CFG) == sgd_step(near, moments_of(x, y), two)
+
+
+def test_empty_batch_changes_nothing():
+    w = [1.0, 2, 3, 4, 5, 6, 7]
+    assert sgd_step(w, None, CFG) == w
+    assert sgd_step(w, Moments(0.0, np.zeros((7, 7)), np.zeros(7)), CFG) == w
+
+
+def test_moments(spark, data):
+    truck, traffic, t, f = data
+    want = brute_batches(join(truck, traffic))
+    got = {
+        int((r["bw"] - at(0)).total_seconds()): Moments.from_row(r, 7)
+        for r in training.batch_moments(t, f, CFG).collect()
+    }
+    assert got.keys() == want.keys()
+    for b, (x, y) in want.items():
+        assert got[b].n == len(x)
+        assert got[b].xx == pytest.approx(x.T @ x, abs=1e-9)
+        assert got[b].xy == pytest.approx(x.T @ y, abs=1e-9)
+    total = Moments.from_row(training.total_moments(t, f, CFG).first(), 7)
+    assert total.n == sum(len(x) for x, _ in want.values())
+
+
+def test_prequential(spark, data, tmp_path):
+    """Each batch is scored with the weights its predecessors left."""
+    truck, traffic, t, f = data
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    train_history(t, f, CFG, table, str(tmp_path / "m"))
+    w, want = np.zeros(7), []
+    joined = join(truck, traffic)
+    batches = brute_batches(joined)
+    before = {}
+    for b, (x, y) in batches.items():
+        before[b] = w
+        w = brute_train(w, x, y)
+    want = sorted((b, tr[1], c, float(np.dot(features(tr), before[b]))) for b, tr, c in joined)
+    rows = enrich.enrich_join(t, f, CFG)
+    scored = scoring.predict_versioned(rows, table.read(), CFG).collect()
+    got = sorted(
+        (int((r["bw"] - at(0)).total_seconds()), r["event_time"], r["congestion_level"], r["prediction"])
+        for r in scored
+    )
+    assert [g[:3] for g in got] == [x[:3] for x in want]
+    assert [g[3] for g in got] == pytest.approx([x[3] for x in want], abs=1e-9)
+    order = list(batches)
+    version = {order[i]: order[i - 1] if i else None for i in range(len(order))}
+    for r in scored:
+        used = r["weights_bw"] and int((r["weights_bw"] - at(0)).total_seconds())
+        assert used == version[int((r["bw"] - at(0)).total_seconds())]
+    assert table.latest()[0] == pytest.approx(list(w), abs=1e-9)
+
+
+def test_training_resumes_and_replays(spark, data, tmp_path):
+    _, _, t, f = data
+    moments = training.batch_moments(t, f, CFG).cache()
+    whole = WeightsTable(spark, str(tmp_path / "whole"))
+    whole.train(moments, CFG)
+    parts = WeightsTable(spark, str(tmp_path / "parts"))
+    half = F.lit(at(20))
+    parts.train(moments.where(F.col("bw") < half), CFG)
+    parts.train(moments.where(F.col("bw") < half), CFG)
+    parts.train(moments, CFG)
+    assert parts.read().orderBy("bw").collect() == whole.read().orderBy("bw").collect()
+
+
+def test_weights_span_months(spark, tmp_path):
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    w = [0.5] * 7
+    days = [at(0), at(86400 * 40), at(86400 * 80)]
+    table.append([(d, None, w, w, 1.0, True) for d in days])
+    assert table.read().count() == 3 and table.latest()[1] == days[-1]
+    assert table.versions_from(days[1]).count() == 2
+
+
+def test_initial_weights(spark, tmp_path, caplog):
+    from pyspark.mllib.classification import LogisticRegressionWithLBFGS
+    from pyspark.mllib.regression import LabeledPoint
+
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    assert initial_weights(spark, CFG, table) == ([0.0] * 7, None)
+
+    missing = dataclasses.replace(CFG, pretrained_path=str(tmp_path / "none"))
+    with caplog.at_level(logging.WARNING):
+        assert initial_weights(spark, missing)[0] == [0.0] * 7
+    assert "no pre-trained model" in caplog.text
+
+    rng = random.Random(3)
+    points = [LabeledPoint(i % 2, [rng.random() + i % 2 for _ in range(7)]) for i in range(60)]
+    model = LogisticRegressionWithLBFGS.train(
+        spark.sparkContext.parallelize(points), iterations=5, intercept=True
+    )
+    path = str(tmp_path / "mllib")
+    model.save(spark.sparkContext, path)
+    assert pretrained_weights(spark, path) == list(model.weights)
+    cfg = dataclasses.replace(CFG, pretrained_path=path)
+    assert initial_weights(spark, cfg, table) == (list(model.weights), None)
+
+    publish_weights(table, [1.0] * 7, at(0), 10, cfg)
+    assert initial_weights(spark, cfg, table) == ([1.0] * 7, at(0))
+
+
+def test_unreadable_model_raises(spark, tmp_path):
+    bad = tmp_path / "bad" / "data"
+    bad.mkdir(parents=True)
+    (bad / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception) as e:
+        pretrained_weights(spark, str(tmp_path / "bad"))
+    assert not (isinstance(e.value, AnalysisException) and e.value.getCondition() == "PATH_NOT_FOUND")
+
+
+def test_divergence_is_reported(caplog):
+    """Unscaled features with the default step run away; the log says so."""
+    x = np.array([[5.0, 90, 50, 70, 1, 1, 3]] * 10)
+    m = moments_of(x, np.ones(10))
+    row = {"bw": None, "n": m.n}
+    row |= {f"xx_{i}_{j}": m.xx[i, j] for i in range(7) for j in range(i, 7)}
+    row |= {f"xy_{i}": m.xy[i] for i in range(7)}
+    with caplog.at_level(logging.ERROR):
+        rows = list(training.train_rows([row] * 60, [0.0] * 7, None, FleetConfig()))
+    assert rows[0][-1] and not rows[-1][-1]
+    assert caplog.text.count("diverged") == 1
+
+
+def test_feature_count_is_checked(spark, data):
+    with pytest.raises(ValueError):
+        scoring.predict(data[2], [1.0] * 6, CFG)
+
+
+def test_link_and_intercept(spark, data):
+    w = [0.1] * 7
+    raw = [r["prediction"] for r in scoring.predict(data[2], w, CFG).collect()]
+    linked = scoring.predict(data[2], w, CFG, intercept=0.5, link="logistic").collect()
+    assert [r["prediction"] for r in linked] == pytest.approx(
+        [1 / (1 + math.exp(-(p + 0.5))) for p in raw]
+    )
+
+
+def test_scaling_fit(spark, data):
+    scaling = training.fit_scaling(data[2], FleetConfig())
+    cols = np.array([[float(r[i]) for i in POSITIONS] for r in data[0]])
+    assert scaling.offsets == pytest.approx(tuple(cols.mean(0)))
+    assert scaling.scales == pytest.approx(tuple(cols.std(0)))
+
+
+def test_logistic(spark, data):
+    """The row-weighted fit equals the maximum-likelihood fit of the fanned-out rows."""
+    truck, traffic, t, f = data
+    joined = join(truck, traffic)
+    x = np.array([[*features(tr), 1.0] for _, tr, _ in joined])
+    y = np.array([label(tr) for _, tr, _ in joined])
+    w = np.zeros(8)
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-x @ w))
+        w += np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]), x.T @ (y - p))
+    weighted = training.train_logistic(t, f, CFG, maxIter=200, tol=1e-12)
+    assert list(weighted.coefficients) == pytest.approx(list(w[:7]), abs=1e-4)
+    plain = training.train_logistic_history(
+        enrich.enrich_join(t, f, CFG), CFG, maxIter=200, tol=1e-12
+    )
+    assert list(plain.coefficients) == pytest.approx(list(w[:7]), abs=1e-4)

@@ -1,0 +1,271 @@
+import dataclasses
+import os
+import time
+from datetime import datetime
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from fleetstream import FleetConfig
+from fleetstream.config import FeatureScaling
+from fleetstream.operators import enrich, parse, scoring, stats
+from fleetstream.operators.render import enriched_lines, raw_truck_lines, traffic_lines
+from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
+from fleetstream.sinks.outputs import append_history, write_latest
+from fleetstream.sources.history import read_enriched_text, read_history
+from fleetstream.sources.lines import file_lines
+from fleetstream.sources.weights import WeightsTable, train_history
+from fleetstream.streaming import app, queries as q
+from support import at, traffic_df, traffic_rows, truck_df, truck_rows
+
+SCALING = FeatureScaling((0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 100, 1, 1, 4))
+END = datetime(2100, 1, 1)
+ONCE = {"availableNow": True}
+
+
+class Feed:
+    """Lines of both inputs in time slices, one file per slice and trigger."""
+
+    def __init__(self, spark, tmp_path, slices=4, seed=31):
+        self.truck = truck_df(spark, truck_rows(240, seed)).cache()
+        self.traffic = traffic_df(spark, traffic_rows(100, seed + 1)).cache()
+        self.paths = {n: str(tmp_path / n) for n in ("truck", "traffic")}
+        self.spark = spark
+        self.cfg = FleetConfig(
+            scaling=SCALING,
+            checkpoint_path=str(tmp_path / "checkpoint"),
+            watermark_delay="1 second",
+            stream_partitions=2,
+            truck_salts=3,
+            traffic_salts=2,
+        )
+        self.session = q.stream_session(spark, self.cfg)
+        self.step = 40 / slices
+        self.slices = slices
+
+    def add(self, i):
+        """Write slice ``i`` of both inputs."""
+        low, high = F.lit(at(i * self.step)), F.lit(at((i + 1) * self.step))
+        inside = (F.col("arrival") >= low) & (F.col("arrival") < high)
+        self._write("truck", raw_truck_lines(self.truck.where(inside), carry=("arrival",)))
+        self._write("traffic", traffic_lines(self.traffic.where(inside), carry=("arrival",)))
+
+    def finish(self):
+        """Lines that meet nothing and close every window before them."""
+        self._write("truck", self._line("0|0|0|end|-1|end|0|0|0|Normal|0|0|0|0"))
+        self._write("traffic", self._line("0|-2|0"))
+
+    def add_all(self):
+        for i in range(self.slices):
+            self.add(i)
+        self.finish()
+
+    def _line(self, text):
+        return self.spark.createDataFrame([(text, END)], LINES)
+
+    def _write(self, name, df):
+        df.select("value", "arrival").coalesce(1).write.mode("append").parquet(self.paths[name])
+        time.sleep(0.02)  # file times order the triggers
+
+    def lines(self, name):
+        return file_lines(self.session, self.paths[name], streaming=True, maxFilesPerTrigger=1)
+
+    def inputs(self):
+        return parse.parse_truck(self.lines("truck")), parse.parse_traffic(self.lines("traffic"))
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def run(query):
+    query.awaitTermination()
+    return query
+
+
+def rows(df, columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+STATS = ["window_start", "driver_id", "average_speed", "total_violations", "total_events",
+         "violation_count"]
+
+
+def want_stats(feed):
+    return rows(stats.driver_window_stats(feed.truck, feed.traffic, feed.cfg), STATS)
+
+
+def want_enriched(feed):
+    return rows(enrich.enrich_join(feed.truck, feed.traffic, feed.cfg), ["bw", *names(ENRICHED_FIELDS)])
+
+
+def test_stats_over_several_triggers(feed, tmp_path):
+    feed.add_all()
+    out = str(tmp_path / "out")
+    query = run(q.start_stats(*feed.inputs(), feed.cfg, [q.history_sink(out, "window_start")], ONCE))
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(progress) == feed.slices + 1
+    assert sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"]) == 0
+    assert rows(read_history(feed.spark, out), STATS) == want_stats(feed)
+
+
+def test_stats_resume_from_checkpoint(feed, tmp_path):
+    out = str(tmp_path / "out")
+    sink = q.history_sink(out, "window_start")
+    for i in range(feed.slices):
+        feed.add(i)
+        run(q.start_stats(*feed.inputs(), feed.cfg, [sink], ONCE))
+    feed.finish()
+    run(q.start_stats(*feed.inputs(), feed.cfg, [sink], ONCE))
+    assert rows(read_history(feed.spark, out), STATS) == want_stats(feed)
+
+
+def test_replayed_trigger_adds_nothing_twice(feed, tmp_path):
+    """A sink fails after writing; the restart writes the same trigger again."""
+    feed.add_all()
+    out = str(tmp_path / "out")
+    write = q.history_sink(out)
+
+    def failing(batch, epoch):
+        write(batch, epoch)
+        if epoch.endswith("-1"):
+            raise RuntimeError("lost after the write")
+
+    with pytest.raises(StreamingQueryException):
+        run(q.start_enriched(*feed.inputs(), feed.cfg, [failing], ONCE))
+    run(q.start_enriched(*feed.inputs(), feed.cfg, [write], ONCE))
+    got = rows(read_history(feed.spark, out), ["bw", *names(ENRICHED_FIELDS)])
+    assert got == want_enriched(feed)
+
+
+def test_new_checkpoint_keeps_old_history(feed, tmp_path):
+    """Trigger numbers start again with a new checkpoint; old rows must stay."""
+    feed.add_all()
+    out = str(tmp_path / "out")
+    for name in ("a", "b"):
+        cfg = dataclasses.replace(feed.cfg, checkpoint_path=str(tmp_path / name))
+        run(q.start_enriched(*feed.inputs(), cfg, [q.history_sink(out)], ONCE))
+    assert read_history(feed.spark, out).count() == 2 * len(want_enriched(feed))
+
+
+def test_training_and_scores(feed, tmp_path):
+    feed.add_all()
+    table = WeightsTable(feed.session, str(tmp_path / "weights"))
+    run(q.start_training(*feed.inputs(), feed.cfg, table, ONCE))
+    batch = WeightsTable(feed.spark, str(tmp_path / "batch"))
+    train_history(feed.truck, feed.traffic, feed.cfg, batch, str(tmp_path / "moments"))
+    a, b = (t.read().orderBy("bw").collect() for t in (table, batch))
+    assert [(r["bw"], r["weights_bw"], r["rows"]) for r in a] == [
+        (r["bw"], r["weights_bw"], r["rows"]) for r in b
+    ]
+    for x, y in zip(a, b):
+        assert x["weights"] == pytest.approx(y["weights"], abs=1e-9)
+
+    out = str(tmp_path / "scores")
+    sink = q.score_sink(table, feed.cfg, [q.history_sink(out)])
+    run(q.start_enriched(*feed.inputs(), feed.cfg, [sink], ONCE))
+    want = scoring.predict_versioned(
+        enrich.enrich_join(feed.truck, feed.traffic, feed.cfg), batch.read(), feed.cfg
+    ).withColumn("p", F.round("prediction", 8))
+    got = read_history(feed.spark, out).withColumn("p", F.round("prediction", 8))
+    columns = ["bw", "event_time", "driver_id", "congestion_level", "weights_bw", "p"]
+    assert rows(got, columns) == rows(want, columns)
+
+
+def test_scores_before_training_catches_up(feed, tmp_path):
+    """Scoring does not wait: it uses the newest weights and says which."""
+    feed.add(0)
+    feed.finish()
+    table = WeightsTable(feed.session, str(tmp_path / "weights"))
+    run(q.start_training(*feed.inputs(), feed.cfg, table, ONCE))
+    newest, newest_bw = table.latest()
+    later = feed.truck.where(F.col("arrival") >= F.lit(at(20)))
+    batch = enrich.enrich_join(later, feed.traffic, feed.cfg)
+    scored = q.score_batch(batch, WeightsTable(feed.spark, table.path), feed.cfg)
+    assert {r["weights_bw"] for r in scored.collect()} == {newest_bw}
+    plain = scoring.predict(batch, newest, feed.cfg)
+    assert rows(scored, ["event_time", "congestion_level", F.round("prediction", 9)]) == rows(
+        plain, ["event_time", "congestion_level", F.round("prediction", 9)]
+    )
+    assert q.score_batch(batch.limit(0), table, feed.cfg) is None
+
+
+def test_latest_traffic_updates(feed, tmp_path):
+    feed.add_all()
+    out = str(tmp_path / "out")
+    run(q.start_latest_traffic(feed.inputs()[1], feed.cfg, [q.history_sink(out, "arrival")], ONCE))
+    got = read_history(feed.spark, out).groupBy("route_id").agg(
+        F.max_by("congestion_level", "arrival").alias("congestion_level")
+    ).where("route_id >= 0")
+    columns = ["route_id", "congestion_level"]
+    assert rows(got, columns) == rows(enrich.latest_traffic(feed.traffic), columns)
+
+
+def test_whole_job(feed, tmp_path):
+    feed.add_all()
+    cfg = dataclasses.replace(
+        feed.cfg,
+        enriched_path=str(tmp_path / "e"),
+        stats_path=str(tmp_path / "s"),
+        predictions_path=str(tmp_path / "p"),
+        weights_path=str(tmp_path / "w"),
+        quarantine_path=str(tmp_path / "q"),
+        parse_mode="permissive",
+        sink_files=1,
+    )
+    bad = feed.spark.createDataFrame([("1|x|2", at(3))], LINES)
+    feed._write("traffic", bad)
+    started = app.start_all(
+        feed.session, cfg, feed.lines("truck"), feed.lines("traffic"),
+        kafka=False, preview=False, trigger=ONCE,
+    )
+    for query in started:
+        run(query)
+    assert rows(read_history(feed.spark, cfg.enriched_path), ["bw", *names(ENRICHED_FIELDS)]) == want_enriched(feed)
+    assert rows(read_history(feed.spark, cfg.stats_path), STATS) == want_stats(feed)
+    assert read_history(feed.spark, cfg.predictions_path).count() == len(want_enriched(feed))
+    rejects = read_history(feed.spark, f"{cfg.quarantine_path}/traffic").collect()
+    assert [(r["value"], r["reason"]) for r in rejects] == [("1|x|2", "bad route_id")]
+
+
+def test_strict_stream_fails_on_a_bad_line(feed):
+    feed.add(0)
+    feed._write("traffic", feed.spark.createDataFrame([("1|x|2", at(3))], LINES))
+    with pytest.raises(StreamingQueryException, match="malformed line"):
+        run(q.start_latest_traffic(feed.inputs()[1], feed.cfg, [lambda b, e: b.collect()], ONCE))
+
+
+def test_text_history_round_trip(feed, tmp_path):
+    joined = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg)
+    out = str(tmp_path / "text")
+    append_history(enriched_lines(joined, carry=("bw",)), out, "0", format="text")
+    got = read_enriched_text(feed.spark, out)
+    assert rows(got, names(ENRICHED_FIELDS)) == rows(joined, names(ENRICHED_FIELDS))
+
+
+def test_latest_snapshot_keeps_last(feed, tmp_path):
+    out = str(tmp_path / "latest")
+    for value in (1, 2):
+        write_latest(feed.spark.range(value), out)
+    assert feed.spark.read.parquet(out).count() == 2
+
+
+def test_text_files_arrive_when_written(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    path = tmp_path / "f" / "a.txt"
+    path.write_text("1|5|3\n2|6|4\n")
+    os.utime(path, (1_700_000_000, 1_700_000_000))
+    got = parse.parse_traffic(file_lines(spark, str(tmp_path / "f"), format="text"))
+    assert {(r["route_id"], r["arrival"]) for r in got.collect()} == {
+        (n, datetime.fromtimestamp(1_700_000_000)) for n in (5, 6)
+    }
+
+
+def test_history_prunes_days(feed, tmp_path):
+    out = str(tmp_path / "h")
+    append_history(enrich.enrich_join(feed.truck, feed.traffic, feed.cfg), out)
+    df = read_history(feed.spark, out).where(F.col("day") == F.to_date(F.lit("2024-01-01")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
