@@ -50,6 +50,9 @@ class FleetConfig:
     # before a row counts as late. Zero would drop rows of a lagging partition.
     watermark_delay: str = "1 minute"
 
+    # Training writes one small file per trigger, so it need not run every batch.
+    training_trigger: str = "1 minute"
+
     # Grid of the stream join: a hot (route, batch) group is cut into
     # truck_salts x traffic_salts tasks. Batch joins are split by AQE instead.
     truck_salts: int = 8

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import Future
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetstream.config import FleetConfig
+from fleetstream.config import FleetConfig, duration_micros
 from fleetstream.operators.batches import batch_start
 from fleetstream.operators.enrich import enrich_join, latest_traffic
 from fleetstream.operators.scoring import predict_versioned
@@ -16,6 +17,7 @@ from fleetstream.operators.stats import driver_window_stats
 from fleetstream.operators.training import batch_moments
 from fleetstream.sinks.outputs import append_history, print_rows, write_kafka
 from fleetstream.sources.weights import WeightsTable, initial_weights
+from fleetstream.sources.workdir import shared_dir
 
 # A sink gets one trigger's rows and the trigger's name.
 Sink = Callable[[DataFrame, str], None]
@@ -27,6 +29,10 @@ def stream_session(spark: SparkSession, cfg: FleetConfig) -> SparkSession:
     session.conf.set("spark.sql.session.timeZone", "UTC")
     if cfg.stream_partitions:
         session.conf.set("spark.sql.shuffle.partitions", str(cfg.stream_partitions))
+    # State beyond memory lives on local disk; commits upload only the changes.
+    session.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+    )
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -58,9 +64,15 @@ def _start(
         finally:
             batch.unpersist()
 
-    writer = df.writeStream.queryName(name).outputMode(mode).foreachBatch(each)
-    if cfg.checkpoint_path:
-        writer = writer.option("checkpointLocation", f"{cfg.checkpoint_path}/{name}")
+    # Without a configured path nothing finds the checkpoint again, but it is at
+    # least where every executor can reach it.
+    checkpoint = cfg.checkpoint_path or shared_dir(df.sparkSession, "checkpoint")
+    writer = (
+        df.writeStream.queryName(name)
+        .outputMode(mode)
+        .option("checkpointLocation", f"{checkpoint}/{name}")
+        .foreachBatch(each)
+    )
     trigger = trigger or {"processingTime": cfg.batch_interval}
     query = writer.trigger(**trigger).start()
     started.set_result(query)
@@ -94,6 +106,11 @@ def preview_sink(rows: int) -> Sink:
     return lambda batch, epoch: print_rows(batch, rows)
 
 
+# Weight versions broadcast at once. A version is some 200 bytes, so this is a few
+# megabytes; a time range of as many batch intervals cannot hold more.
+_VERSIONS = 20_000
+
+
 def score_batch(
     batch: DataFrame, table: WeightsTable, cfg: FleetConfig
 ) -> DataFrame | None:
@@ -101,12 +118,28 @@ def score_batch(
 
     A batch that training has already passed is scored with the weights from just
     before it, later ones with the newest weights; ``weights_bw`` tells which.
+    A trigger's rows share a few logical batches, so a shuffle by batch would end
+    in a few tasks; the versions are broadcast instead, one bounded time range
+    after the other where a catch-up trigger spans many.
     """
-    first = batch.agg(F.min("bw").alias("bw")).first()["bw"]
-    if first is None:
+    ends = batch.agg(F.min("bw").alias("first"), F.max("bw").alias("last")).first()
+    if ends["first"] is None:
         return None
     newest = initial_weights(table.spark, cfg, table)
-    return predict_versioned(batch, table.versions_from(first), cfg, latest=newest)
+    step = timedelta(microseconds=_VERSIONS * duration_micros(cfg.batch_interval))
+    scored, begin = None, ends["first"]
+    while begin <= ends["last"]:
+        end = begin + step
+        inside = (F.col("bw") >= F.lit(begin)) & (F.col("bw") < F.lit(end))
+        part = predict_versioned(
+            batch.where(inside),
+            F.broadcast(table.between(begin, end)),
+            cfg,
+            latest=newest,
+        )
+        scored = part if scored is None else scored.unionByName(part)
+        begin = end
+    return scored
 
 
 def score_sink(table: WeightsTable, cfg: FleetConfig, sinks: Sequence[Sink]) -> Sink:
@@ -146,6 +179,7 @@ def start_training(
     """Trains on each logical batch once, after the watermark has closed it."""
     moments = batch_moments(truck, traffic, cfg)
     step = lambda batch, _: table.train(batch, cfg)
+    trigger = trigger or {"processingTime": cfg.training_trigger}
     return _start(moments, "training", cfg, [step], trigger, reuse=True)
 
 

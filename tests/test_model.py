@@ -173,7 +173,10 @@ def test_weights_span_months(spark, tmp_path):
     days = [at(0), at(86400 * 40), at(86400 * 80)]
     table.append([(d, None, w, w, 1.0, True) for d in days])
     assert table.read().count() == 3 and table.latest()[1] == days[-1]
-    assert table.versions_from(days[1]).count() == 2
+    assert table.between(days[1], at(86400 * 90)).count() == 2
+    assert table.between(days[0], days[1]).count() == 1
+    assert table.between(at(86400 * 400), at(86400 * 500)).count() == 0
+    assert WeightsTable(spark, table.path).latest() == table.latest()
 
 
 def test_initial_weights(spark, tmp_path, caplog):

@@ -174,6 +174,18 @@ def test_training_and_scores(feed, tmp_path):
     assert rows(got, columns) == rows(want, columns)
 
 
+def test_scores_over_many_version_ranges(feed, tmp_path, monkeypatch):
+    """A trigger longer than one broadcast of versions gives the same scores."""
+    table = WeightsTable(feed.spark, str(tmp_path / "w"))
+    train_history(feed.truck, feed.traffic, feed.cfg, table, str(tmp_path / "m"))
+    batch = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg)
+    columns = ["bw", "event_time", "congestion_level", "weights_bw", "prediction"]
+    whole = rows(q.score_batch(batch, table, feed.cfg), columns)
+    monkeypatch.setattr(q, "_VERSIONS", 3)
+    split = q.score_batch(batch, table, feed.cfg)
+    assert rows(split, columns) == whole and len(whole) == batch.count()
+
+
 def test_scores_before_training_catches_up(feed, tmp_path):
     """Scoring does not wait: it uses the newest weights and says which."""
     feed.add(0)
