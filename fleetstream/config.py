@@ -53,10 +53,13 @@ class FleetConfig:
     # Training writes one small file per trigger, so it need not run every batch.
     training_trigger: str = "1 minute"
 
-    # Grid of the stream join: a hot (route, batch) group is cut into
-    # truck_salts x traffic_salts tasks. Batch joins are split by AQE instead.
+    # Grid of the stream joins: a hot (route, batch) group is cut into
+    # truck_salts x traffic_salts tasks, at the price of traffic_salts copies of a
+    # truck row and truck_salts copies of a reading. Batch joins leave it to AQE.
     truck_salts: int = 8
-    traffic_salts: int = 1
+    traffic_salts: int = 4
+    # Salt only these routes, where it is known which can be hot; None salts all.
+    salted_routes: tuple[int, ...] | None = None
     # Fixed for the life of a checkpoint; None keeps the session's value.
     stream_partitions: int | None = None
 

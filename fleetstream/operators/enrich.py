@@ -11,21 +11,42 @@ from fleetstream.operators.batches import with_batch
 from fleetstream.schemas import ENRICHED_FIELDS, ENRICHED_TRUCK_FIELDS, names
 
 
-def _own_slot(slots: int, seed: int) -> Column:
+def _if_hot(cfg: FleetConfig, value: Column) -> Column:
+    """``value`` for the routes that are salted, zero for the others."""
+    if cfg.salted_routes is None:
+        return value
+    return F.when(F.col("route_id").isin(*cfg.salted_routes), value).otherwise(F.lit(0))
+
+
+def own_slot(cfg: FleetConfig, slots: int, seed: int) -> Column:
     """A row's own slot. Seeded, hence repeatable for a replayed scan; not taken
     from the content, since equal copies of one row must spread as well."""
-    return F.floor(F.rand(seed) * slots).cast("int") if slots > 1 else F.lit(0)
+    return _if_hot(cfg, F.floor(F.rand(seed) * slots).cast("int"))
+
+
+def every_slot(cfg: FleetConfig, slots: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), _if_hot(cfg, F.lit(slots - 1))))
 
 
-def every_slot(slots: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
+def key_slot(cfg: FleetConfig, column: str, slots: int) -> Column:
+    """The slot of a row that is unique in ``column`` within its group."""
+    return _if_hot(cfg, F.pmod(F.xxhash64(column), F.lit(slots)).cast("int"))
+
+
+def _splits_hot_groups(df: DataFrame) -> bool:
+    """Whether the session splits skewed join partitions at run time."""
+    conf = df.sparkSession.conf
+    return not df.isStreaming and all(
+        conf.get(key).lower() == "true"
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
 
 
 def default_salts(cfg: FleetConfig, *inputs: DataFrame) -> tuple[int, int]:
-    """The config's grid for streams; none for batches, where AQE splits hot groups."""
-    if any(df.isStreaming for df in inputs):
-        return cfg.truck_salts, cfg.traffic_salts
-    return 1, 1
+    """The config's grid, unless AQE takes care of hot groups."""
+    if all(_splits_hot_groups(df) for df in inputs):
+        return 1, 1
+    return cfg.truck_salts, cfg.traffic_salts
 
 
 def enrich_join(
@@ -42,20 +63,20 @@ def enrich_join(
 
     In batch mode Catalyst picks the strategy from the sides' sizes, and AQE
     splits a hot (route, batch) group on either side. A stream has no AQE, so
-    there the group is spread over a grid of tasks: a row has one slot of its own
-    side and a copy for every slot of the other, so each pair meets in exactly
-    one cell. ``salts`` overrides the grid, for a batch session without AQE.
-    The inputs must be scans or narrow transformations of scans.
+    there, or where AQE is off, the group is spread over a grid of tasks: a row
+    has one slot of its own side and a copy for every slot of the other, so each
+    pair meets in exactly one cell. ``salts`` overrides the grid. Salted inputs
+    must be scans or narrow transformations of scans.
     """
     truck_slots, traffic_slots = salts or default_salts(cfg, truck, traffic)
     left = truck.select("arrival", *names(ENRICHED_TRUCK_FIELDS), *extra)
     right = traffic.select("arrival", "route_id", "congestion_level")
     keys = ["route_id", "bw"]
     if truck_slots * traffic_slots > 1:
-        left = left.withColumn("truck_slot", _own_slot(truck_slots, 11))
-        left = left.withColumn("traffic_slot", every_slot(traffic_slots))
-        right = right.withColumn("traffic_slot", _own_slot(traffic_slots, 13))
-        right = right.withColumn("truck_slot", every_slot(truck_slots))
+        left = left.withColumn("truck_slot", own_slot(cfg, truck_slots, 11))
+        left = left.withColumn("traffic_slot", every_slot(cfg, traffic_slots))
+        right = right.withColumn("traffic_slot", own_slot(cfg, traffic_slots, 13))
+        right = right.withColumn("truck_slot", every_slot(cfg, truck_slots))
         keys += ["truck_slot", "traffic_slot"]
     return (
         with_batch(left, cfg)

@@ -122,7 +122,7 @@ def enriched_lines(spark, sf):
 
 def enriched_history(spark, sf):
     path = shared_dir(spark, "enriched")
-    append_history(_enriched(spark, sf), path)
+    append_history(_enriched(spark, sf), path, rebalance=True)
     return read_history(spark, path).select(_clock("bw"), *names(ENRICHED_FIELDS))
 
 
@@ -158,7 +158,7 @@ def window_stats_lines(spark, sf):
 
 def window_stats_history(spark, sf):
     path = shared_dir(spark, "stats")
-    append_history(_stats(spark, sf), path, time="window_start")
+    append_history(_stats(spark, sf), path, time="window_start", rebalance=True)
     return read_history(spark, path).select(_clock("window_start"), *_STATS)
 
 

@@ -50,10 +50,33 @@ def test_join_hot_group(spark, salts):
 
 def test_salts_spread_equal_rows(spark):
     """Copies of one row must not all land in the same slot."""
-    slots = spark.range(1000).select(enrich._own_slot(8, 11).alias("s")).distinct().count()
+    slots = spark.range(1000).select(enrich.own_slot(CFG, 8, 11).alias("s")).distinct().count()
     assert slots == 8
 
 
+def test_only_hot_routes_are_salted(spark):
+    cfg = FleetConfig(salted_routes=(1,))
+    truck, traffic = truck_rows(300, 1), traffic_rows(120, 2)
+    t, f = truck_df(spark, truck), traffic_df(spark, traffic)
+    assert joined_rows(enrich.enrich_join(t, f, cfg, (4, 3))) == expected_join(truck, traffic)
+    copies = f.withColumn("slot", enrich.every_slot(cfg, 4)).groupBy("route_id").count()
+    raw = dict(f.groupBy("route_id").count().collect())
+    assert {r[0]: r[1] / raw[r[0]] for r in copies.collect()} == {0: 1, 1: 4, 2: 1}
+    check_stats(stats.driver_window_stats(t, f, cfg, (4, 3)), truck, traffic)
+
+
+def test_salts_replace_aqe(spark):
+    """Without run-time splitting a batch join is salted like a stream's."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    truck, traffic = truck_rows(100, 1), traffic_rows(50, 2)
+    t, f = truck_df(session, truck), traffic_df(session, traffic)
+    assert enrich.default_salts(CFG, t, f) == (1, 1)
+    session.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    assert enrich.default_salts(CFG, t, f) == (8, 4)
+    assert joined_rows(enrich.enrich_join(t, f, CFG)) == expected_join(truck, traffic)
+
+
 def test_aqe_splits_a_hot_group(spark):
     """Without a broadcast, the hot group's partition is read in several pieces."""
     session = spark.newSession()

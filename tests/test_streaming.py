@@ -4,7 +4,7 @@ import time
 from datetime import datetime
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from fleetstream import FleetConfig
@@ -14,7 +14,7 @@ from fleetstream.operators.render import enriched_lines, raw_truck_lines, traffi
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
 from fleetstream.sinks.outputs import append_history, write_latest
 from fleetstream.sources.history import read_enriched_text, read_history
-from fleetstream.sources.lines import file_lines
+from fleetstream.sources.lines import file_lines, traffic_topic, truck_topic
 from fleetstream.sources.weights import WeightsTable, train_history
 from fleetstream.streaming import app, queries as q
 from support import at, traffic_df, traffic_rows, truck_df, truck_rows
@@ -281,3 +281,23 @@ def test_history_prunes_days(feed, tmp_path):
     df = read_history(feed.spark, out).where(F.col("day") == F.to_date(F.lit("2024-01-01")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_command_line(feed, tmp_path):
+    feed.add_all()
+    out = str(tmp_path / "out")
+    app.main(
+        ["--truck-files", feed.paths["truck"], "--traffic-files", feed.paths["traffic"],
+         "--once", "--no-kafka-out", "--quiet", "--stats-path", out, "--stream-partitions", "2",
+         "--checkpoint-path", str(tmp_path / "c"), "--weights-path", str(tmp_path / "w")]
+    )
+    got = read_history(feed.spark, out).select(*STATS)
+    assert rows(got, STATS) == want_stats(feed)
+
+
+def test_kafka_needs_its_connector(spark):
+    """The connector is not part of the test environment."""
+    cfg = FleetConfig()
+    for read in (truck_topic, traffic_topic):
+        with pytest.raises(AnalysisException, match="(?i)kafka"):
+            read(spark, cfg)
