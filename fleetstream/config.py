@@ -57,7 +57,7 @@ class FleetConfig:
     # truck_salts x traffic_salts tasks, at the price of traffic_salts copies of a
     # truck row and truck_salts copies of a reading. Batch joins leave it to AQE.
     truck_salts: int = 8
-    traffic_salts: int = 4
+    traffic_salts: int = 2
     # Salt only these routes, where it is known which can be hot; None salts all.
     salted_routes: tuple[int, ...] | None = None
     # Fixed for the life of a checkpoint; None keeps the session's value.

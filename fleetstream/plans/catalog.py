@@ -267,10 +267,12 @@ def model_weights_init(spark, sf):
 
 
 def prequential_scores(spark, sf):
-    versions = _trained(spark, sf).read()
-    rows = _enriched(spark, sf, extra=("event_id",))
-    scored = scoring.predict_versioned(
-        rows, versions, tel.SCALED, carry=("bw", "event_id", "congestion_level")
+    scored = scoring.prequential_scores(
+        tel.truck(spark, sf),
+        tel.traffic(spark, sf),
+        _trained(spark, sf).read(),
+        tel.SCALED,
+        extra=("event_id",),
     )
     return scored.select(
         _clock("bw"),

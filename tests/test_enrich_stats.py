@@ -73,7 +73,7 @@ def test_salts_replace_aqe(spark):
     t, f = truck_df(session, truck), traffic_df(session, traffic)
     assert enrich.default_salts(CFG, t, f) == (1, 1)
     session.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-    assert enrich.default_salts(CFG, t, f) == (8, 4)
+    assert enrich.default_salts(CFG, t, f) == (8, 2)
     assert joined_rows(enrich.enrich_join(t, f, CFG)) == expected_join(truck, traffic)
 
 

@@ -139,7 +139,10 @@ def test_prequential(spark, data, tmp_path):
         w = brute_train(w, x, y)
     want = sorted((b, tr[1], c, float(np.dot(features(tr), before[b]))) for b, tr, c in joined)
     rows = enrich.enrich_join(t, f, CFG)
-    scored = scoring.predict_versioned(rows, table.read(), CFG).collect()
+    columns = ["bw", "event_time", "driver_id", "congestion_level", "weights_bw", "prediction"]
+    scored = scoring.predict_versioned(rows, table.read(), CFG).select(columns).collect()
+    early = scoring.prequential_scores(t, f, table.read(), CFG).select(columns).collect()
+    assert sorted(early, key=repr) == sorted(scored, key=repr)
     got = sorted(
         (int((r["bw"] - at(0)).total_seconds()), r["event_time"], r["congestion_level"], r["prediction"])
         for r in scored
