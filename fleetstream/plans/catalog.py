@@ -14,7 +14,11 @@ from fleetstream.plans.replay import Replay
 from fleetstream.schemas import ENRICHED_FIELDS, ENRICHED_TRUCK_FIELDS, FEATURES, names
 from fleetstream.sinks.outputs import append_history
 from fleetstream.sources.history import read_history
-from fleetstream.sources.weights import WeightsTable, train_history
+from fleetstream.sources.weights import (
+    WeightsTable,
+    publish_weights,
+    train_history,
+)
 from fleetstream.sources.workdir import shared_dir
 
 # The weights the scoring queries use, in feature order.
@@ -333,6 +337,18 @@ def stream_latest_traffic(spark, sf):
     return newest.where(F.col("route_id") >= 0).withColumn("arrival", _clock("arrival"))
 
 
+def train_logistic_history(spark, sf):
+    """Store the enriched rows, fit on them, publish the weights, read them back."""
+    path = shared_dir(spark, "enriched")
+    append_history(_enriched(spark, sf), path, rebalance=True)
+    history = read_history(spark, path)
+    model = training.train_logistic_history(history, tel.SCALED)
+    newest = history.agg(F.max("bw").alias("bw"), F.count("bw").alias("n")).first()
+    table = WeightsTable(spark, shared_dir(spark, "weights"))
+    publish_weights(table, model.coefficients, newest["bw"], newest["n"], tel.SCALED)
+    return _position_rows(table.read())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_truck_lines": source_truck_lines,
     "source_traffic_lines": source_traffic_lines,
@@ -367,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_weights_init": model_weights_init,
     "prequential_scores": prequential_scores,
     "train_logistic_batch": train_logistic_batch,
+    "train_logistic_history": train_logistic_history,
     "stream_enriched_history": stream_enriched_history,
     "stream_window_stats": stream_window_stats,
     "stream_weights": stream_weights,

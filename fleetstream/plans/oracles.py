@@ -122,7 +122,7 @@ def _steps(source: str, carried: str) -> str:
 
 _ZEROS = "[" + ", ".join(["CAST(0 AS DOUBLE)"] * _SIZE) + "]"
 
-_TRAINED = f"""{_POINTS}, moments AS (
+_TRAINED = f"""{_POINTS}, moments AS MATERIALIZED (
   SELECT *, row_number() OVER (ORDER BY bw) AS k FROM ({_sums('bw')})),
 trained AS (
   SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS TIMESTAMP) AS bw,

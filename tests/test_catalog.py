@@ -34,7 +34,10 @@ def same(a, b):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"train_logistic_batch"}
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+        "train_logistic_batch",
+        "train_logistic_history",
+    }
 
 
 def test_entry(spark):
@@ -54,3 +57,12 @@ def test_query(spark, sql, name):
     assert len(got) == len(want)
     for a, b in zip(got, want):
         assert all(same(x, y) for x, y in zip(a, b)), (a, b)
+
+
+def test_logistic_queries_agree(spark):
+    """Row weights and stored fanned-out rows lead to the same model."""
+    by_weight, by_rows = (
+        {r["position"]: r["weight"] for r in entry.queries()[name](spark, SF).collect()}
+        for name in ("train_logistic_batch", "train_logistic_history")
+    )
+    assert by_weight == pytest.approx(by_rows, rel=1e-2, abs=1e-2)

@@ -151,3 +151,12 @@ def test_parsing_is_one_scan_stage(spark):
     plan = parse.parse_truck(lines(spark, [TRUCK_LINE]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" not in plan
     assert plan.count("split(") == 1
+
+
+def test_line_without_arrival(spark):
+    """It belongs to no batch, so it must not vanish silently."""
+    df = spark.createDataFrame([("1|5|3", None)], "value string, arrival timestamp")
+    assert parse.parse_traffic(df, "permissive").count() == 0
+    assert [r["reason"] for r in parse.quarantine_traffic(df).collect()] == ["no arrival"]
+    with pytest.raises(PySparkException, match="malformed line"):
+        parse.parse_traffic(df).collect()

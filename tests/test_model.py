@@ -207,6 +207,8 @@ def test_initial_weights(spark, tmp_path, caplog):
 
     publish_weights(table, [1.0] * 7, at(0), 10, cfg)
     assert initial_weights(spark, cfg, table) == ([1.0] * 7, at(0))
+    with pytest.raises(ValueError, match="newer"):
+        publish_weights(table, [2.0] * 7, at(0), 10, cfg)
 
 
 def test_unreadable_model_raises(spark, tmp_path):

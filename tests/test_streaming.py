@@ -174,6 +174,32 @@ def test_training_and_scores(feed, tmp_path):
     assert rows(got, columns) == rows(want, columns)
 
 
+def test_training_restarts(feed, tmp_path):
+    """Stopped after every slice, once after the write but before the commit."""
+    path = str(tmp_path / "weights")
+    for i in range(feed.slices + 1):
+        feed.add(i) if i < feed.slices else feed.finish()
+        table = WeightsTable(feed.session, path)
+        if i == 2:
+            train = table.train
+
+            def failing(moments, cfg):
+                train(moments, cfg)
+                if moments.count():
+                    raise RuntimeError("lost after the write")
+
+            table.train = failing
+            with pytest.raises(StreamingQueryException):
+                run(q.start_training(*feed.inputs(), feed.cfg, table, ONCE))
+            table = WeightsTable(feed.session, path)
+        run(q.start_training(*feed.inputs(), feed.cfg, table, ONCE))
+    batch = WeightsTable(feed.spark, str(tmp_path / "batch"))
+    train_history(feed.truck, feed.traffic, feed.cfg, batch, str(tmp_path / "moments"))
+    columns = ["bw", "weights_bw", "rows"]
+    assert rows(table.read(), columns) == rows(batch.read(), columns)
+    assert table.latest()[0] == pytest.approx(batch.latest()[0], abs=1e-9)
+
+
 def test_scores_over_many_version_ranges(feed, tmp_path, monkeypatch):
     """A trigger longer than one broadcast of versions gives the same scores."""
     table = WeightsTable(feed.spark, str(tmp_path / "w"))
