@@ -118,7 +118,8 @@ def sgd_step(weights: Sequence[float], m: Moments | None, cfg: FleetConfig) -> l
 def train_rows(
     moments: Iterable, weights: Sequence[float], weights_bw, cfg: FleetConfig
 ) -> Iterator[tuple]:
-    """Step through moment rows in time order; yields rows of the weights table."""
+    """Step through moment rows in time order; yields rows of the weights table.
+    Batches are told by their time in microseconds."""
     weights = cfg.check_weights(weights)
     reported = False
     for row in moments:

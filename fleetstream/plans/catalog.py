@@ -343,7 +343,9 @@ def train_logistic_history(spark, sf):
     append_history(_enriched(spark, sf), path, rebalance=True)
     history = read_history(spark, path)
     model = training.train_logistic_history(history, tel.SCALED)
-    newest = history.agg(F.max("bw").alias("bw"), F.count("bw").alias("n")).first()
+    newest = history.agg(
+        F.unix_micros(F.max("bw")).alias("bw"), F.count("bw").alias("n")
+    ).first()
     table = WeightsTable(spark, shared_dir(spark, "weights"))
     publish_weights(table, model.coefficients, newest["bw"], newest["n"], tel.SCALED)
     return _position_rows(table.read())

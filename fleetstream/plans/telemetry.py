@@ -28,15 +28,10 @@ SCALED = FleetConfig(
 )
 
 
-def _events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Arrival is a UTC clock reading; the table stores it without a zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    if streaming:
-        reader = spark.readStream.schema(spark.read.parquet(path).schema)
-        events = reader.parquet(path)
-    else:
-        events = spark.read.parquet(path)
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     return events.withColumn("arrival", F.col("ts").cast("timestamp"))
 
 
@@ -76,12 +71,12 @@ def traffic_of(events: DataFrame) -> DataFrame:
     )
 
 
-def truck(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    return truck_of(_events(spark, sf_dir, streaming))
+def truck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truck_of(_events(spark, sf_dir))
 
 
-def traffic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    return traffic_of(_events(spark, sf_dir, streaming))
+def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return traffic_of(_events(spark, sf_dir))
 
 
 def truck_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import Future
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -122,17 +121,20 @@ def score_batch(
     in a few tasks; the versions are broadcast instead, one bounded time range
     after the other where a catch-up trigger spans many.
     """
-    ends = batch.agg(F.min("bw").alias("first"), F.max("bw").alias("last")).first()
+    ends = batch.agg(
+        F.unix_micros(F.min("bw")).alias("first"),
+        F.unix_micros(F.max("bw")).alias("last"),
+    ).first()
     if ends["first"] is None:
         return None
     newest = initial_weights(table.spark, cfg, table)
-    step = timedelta(microseconds=_VERSIONS * duration_micros(cfg.batch_interval))
+    step = _VERSIONS * duration_micros(cfg.batch_interval)
+    at = F.unix_micros("bw")
     scored, begin = None, ends["first"]
     while begin <= ends["last"]:
         end = begin + step
-        inside = (F.col("bw") >= F.lit(begin)) & (F.col("bw") < F.lit(end))
         part = predict_versioned(
-            batch.where(inside),
+            batch.where((at >= begin) & (at < end)),
             F.broadcast(table.between(begin, end)),
             cfg,
             latest=newest,

@@ -17,6 +17,10 @@ def at(seconds: float) -> datetime:
     return (EPOCH + timedelta(seconds=seconds)).astimezone().replace(tzinfo=None)
 
 
+def micros(seconds: float) -> int:
+    return int((EPOCH.timestamp() + seconds) * 1_000_000)
+
+
 def truck_rows(n: int, seed: int, seconds: int = 40, routes: int = 3, drivers: int = 5):
     rng = random.Random(seed)
     rows = []

@@ -20,7 +20,7 @@ from fleetstream.sources.weights import (
     publish_weights,
     train_history,
 )
-from support import at, join, traffic_df, traffic_rows, truck_df, truck_rows
+from support import at, join, micros, traffic_df, traffic_rows, truck_df, truck_rows
 
 CFG = FleetConfig(scaling=FeatureScaling((0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 100, 1, 1, 4)))
 COLUMNS = names(ENRICHED_TRUCK_FIELDS)
@@ -173,12 +173,12 @@ def test_training_resumes_and_replays(spark, data, tmp_path):
 def test_weights_span_months(spark, tmp_path):
     table = WeightsTable(spark, str(tmp_path / "w"))
     w = [0.5] * 7
-    days = [at(0), at(86400 * 40), at(86400 * 80)]
+    days = [micros(0), micros(86400 * 40), micros(86400 * 80)]
     table.append([(d, None, w, w, 1.0, True) for d in days])
     assert table.read().count() == 3 and table.latest()[1] == days[-1]
-    assert table.between(days[1], at(86400 * 90)).count() == 2
+    assert table.between(days[1], micros(86400 * 90)).count() == 2
     assert table.between(days[0], days[1]).count() == 1
-    assert table.between(at(86400 * 400), at(86400 * 500)).count() == 0
+    assert table.between(micros(86400 * 400), micros(86400 * 500)).count() == 0
     assert WeightsTable(spark, table.path).latest() == table.latest()
 
 
@@ -205,10 +205,10 @@ def test_initial_weights(spark, tmp_path, caplog):
     cfg = dataclasses.replace(CFG, pretrained_path=path)
     assert initial_weights(spark, cfg, table) == (list(model.weights), None)
 
-    publish_weights(table, [1.0] * 7, at(0), 10, cfg)
-    assert initial_weights(spark, cfg, table) == ([1.0] * 7, at(0))
+    publish_weights(table, [1.0] * 7, micros(0), 10, cfg)
+    assert initial_weights(spark, cfg, table) == ([1.0] * 7, micros(0))
     with pytest.raises(ValueError, match="newer"):
-        publish_weights(table, [2.0] * 7, at(0), 10, cfg)
+        publish_weights(table, [2.0] * 7, micros(0), 10, cfg)
 
 
 def test_unreadable_model_raises(spark, tmp_path):
