@@ -71,6 +71,10 @@ class FleetConfig:
     prediction_topic: str = "trucking_predictions"
     starting_offsets: str = "latest"
 
+    # Histories: typed "parquet" or rendered "text"; "append" keeps every trigger,
+    # "latest" only the newest one.
+    history_format: str = "parquet"
+    history_mode: str = "append"
     enriched_path: str | None = None
     stats_path: str | None = None
     predictions_path: str | None = None
@@ -106,6 +110,10 @@ class FleetConfig:
             raise ValueError("salts must be at least 1")
         if self.parse_mode not in ("strict", "permissive"):
             raise ValueError(f"unknown parse mode {self.parse_mode!r}")
+        if self.history_format not in ("parquet", "text"):
+            raise ValueError(f"unknown history format {self.history_format!r}")
+        if self.history_mode not in ("append", "latest"):
+            raise ValueError(f"unknown history mode {self.history_mode!r}")
         if self.scaling and len(self.scaling.scales) != len(self.features):
             raise ValueError("scaling does not match the feature list")
 

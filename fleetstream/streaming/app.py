@@ -44,14 +44,13 @@ def start_all(
         enriched_sinks.append(q.kafka_sink(cfg, cfg.enriched_topic, enriched_lines))
         score_sinks.append(q.kafka_sink(cfg, cfg.prediction_topic, prediction_lines))
         stats_sinks.append(q.kafka_sink(cfg, cfg.stats_topic, stats_lines))
-    if cfg.enriched_path:
-        enriched_sinks.append(q.history_sink(cfg.enriched_path, files=cfg.sink_files))
-    if cfg.predictions_path:
-        score_sinks.append(q.history_sink(cfg.predictions_path, files=cfg.sink_files))
-    if cfg.stats_path:
-        stats_sinks.append(
-            q.history_sink(cfg.stats_path, "window_start", files=cfg.sink_files)
-        )
+    for path, sinks, to_lines, time in (
+        (cfg.enriched_path, enriched_sinks, enriched_lines, "bw"),
+        (cfg.predictions_path, score_sinks, prediction_lines, "bw"),
+        (cfg.stats_path, stats_sinks, stats_lines, "window_start"),
+    ):
+        if path:
+            sinks.append(q.configured_history(cfg, path, to_lines, time))
     if score_sinks:
         enriched_sinks.append(q.score_sink(table, cfg, score_sinks))
 

@@ -14,7 +14,12 @@ from fleetstream.operators.enrich import enrich_join, latest_traffic
 from fleetstream.operators.scoring import predict_versioned
 from fleetstream.operators.stats import driver_window_stats
 from fleetstream.operators.training import batch_moments
-from fleetstream.sinks.outputs import append_history, print_rows, write_kafka
+from fleetstream.sinks.outputs import (
+    append_history,
+    print_rows,
+    write_kafka,
+    write_latest,
+)
 from fleetstream.sources.weights import WeightsTable, initial_weights
 from fleetstream.sources.workdir import shared_dir
 
@@ -87,12 +92,16 @@ def history_sink(path: str, time: str = "bw", **options) -> Sink:
     return lambda batch, epoch: append_history(batch, path, epoch, time, **options)
 
 
-def line_history_sink(path: str, to_lines, time: str = "bw", **options) -> Sink:
-    """The history as text lines instead of typed columns."""
+def configured_history(cfg: FleetConfig, path: str, to_lines, time: str = "bw") -> Sink:
+    """The history in the format and mode the config asks for."""
+    text = cfg.history_format == "text"
 
     def sink(batch: DataFrame, epoch: str) -> None:
-        lines = to_lines(batch, carry=(time,))
-        append_history(lines, path, epoch, time, format="text", **options)
+        if cfg.history_mode == "latest":
+            write_latest(to_lines(batch) if text else batch, path, cfg.history_format)
+            return
+        rows = to_lines(batch, carry=(time,)) if text else batch
+        append_history(rows, path, epoch, time, cfg.history_format, cfg.sink_files)
 
     return sink
 

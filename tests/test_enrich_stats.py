@@ -7,6 +7,7 @@ from fleetstream import FleetConfig
 from fleetstream.functions.violations import is_known_violation, violation_flag
 from fleetstream.operators import enrich, stats
 from fleetstream.operators.render import stats_lines
+from fleetstream.schemas import DRIVER_STATS
 from support import at, join, stats_dict, traffic_df, traffic_rows, truck_df, truck_rows, windows
 
 CFG = FleetConfig()
@@ -207,6 +208,14 @@ def test_stats_line(spark):
     assert stats_lines(df).first()["value"] == "7|68.25|1.0|0.33333334|3.0|0|4"
 
 
+def test_stats_schema(spark):
+    out = stats.driver_window_stats(
+        truck_df(spark, truck_rows(5, 1)), traffic_df(spark, traffic_rows(5, 2)), CFG
+    )
+    types = {f.name: f.dataType for f in out.schema}
+    assert all(types[f.name] == f.dataType for f in DRIVER_STATS)
+
+
 def test_latest_traffic(spark):
     rows = [
         (at(1), 5, 1, 3), (at(2), 1, 1, 4), (at(2), 9, 1, 6), (at(2), -8, 1, 5),

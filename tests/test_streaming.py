@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from fleetstream import FleetConfig
 from fleetstream.config import FeatureScaling
 from fleetstream.operators import enrich, parse, scoring, stats
-from fleetstream.operators.render import enriched_lines, raw_truck_lines, traffic_lines
+from fleetstream.operators.render import (
+    enriched_lines,
+    raw_truck_lines,
+    stats_lines,
+    traffic_lines,
+)
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
 from fleetstream.sinks.outputs import append_history, write_latest
 from fleetstream.sources.history import read_enriched_text, read_history
@@ -256,17 +261,50 @@ def test_whole_job(feed, tmp_path):
     )
     bad = feed.spark.createDataFrame([("1|x|2", at(3))], LINES)
     feed._write("traffic", bad)
+    run_all(feed, cfg)
+    assert rows(read_history(feed.spark, cfg.enriched_path), ["bw", *names(ENRICHED_FIELDS)]) == want_enriched(feed)
+    assert rows(read_history(feed.spark, cfg.stats_path), STATS) == want_stats(feed)
+    assert read_history(feed.spark, cfg.predictions_path).count() == len(want_enriched(feed))
+    rejects = read_history(feed.spark, f"{cfg.quarantine_path}/traffic").collect()
+    assert [(r["value"], r["reason"]) for r in rejects] == [("1|x|2", "bad route_id")]
+
+
+def run_all(feed, cfg):
     started = app.start_all(
         feed.session, cfg, feed.lines("truck"), feed.lines("traffic"),
         kafka=False, preview=False, trigger=ONCE,
     )
     for query in started:
         run(query)
-    assert rows(read_history(feed.spark, cfg.enriched_path), ["bw", *names(ENRICHED_FIELDS)]) == want_enriched(feed)
-    assert rows(read_history(feed.spark, cfg.stats_path), STATS) == want_stats(feed)
-    assert read_history(feed.spark, cfg.predictions_path).count() == len(want_enriched(feed))
-    rejects = read_history(feed.spark, f"{cfg.quarantine_path}/traffic").collect()
-    assert [(r["value"], r["reason"]) for r in rejects] == [("1|x|2", "bad route_id")]
+
+
+def test_text_histories(feed, tmp_path):
+    feed.add_all()
+    cfg = dataclasses.replace(
+        feed.cfg, history_format="text",
+        enriched_path=str(tmp_path / "e"), stats_path=str(tmp_path / "s"),
+    )
+    run_all(feed, cfg)
+    joined = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg)
+    got = read_enriched_text(feed.spark, cfg.enriched_path)
+    assert rows(got, names(ENRICHED_FIELDS)) == rows(joined, names(ENRICHED_FIELDS))
+    want = stats_lines(stats.driver_window_stats(feed.truck, feed.traffic, feed.cfg))
+    got = feed.spark.read.text(cfg.stats_path)
+    assert rows(got, ["value"]) == rows(want, ["value"])
+
+
+@pytest.mark.parametrize("kind", ["parquet", "text"])
+def test_latest_mode_keeps_one_trigger(feed, tmp_path, kind):
+    path = str(tmp_path / "e")
+    cfg = dataclasses.replace(feed.cfg, history_mode="latest", history_format=kind)
+    sink = q.configured_history(cfg, path, enriched_lines)
+    joined = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg).cache()
+    early, late = (joined.where(c) for c in ("hour(bw) = 0 and second(bw) < 20", "second(bw) >= 20"))
+    for epoch, batch in enumerate((early, late)):
+        sink(batch, str(epoch))
+    got = feed.spark.read.parquet(path) if kind == "parquet" else read_enriched_text(feed.spark, path)
+    columns = names(ENRICHED_FIELDS)
+    assert rows(got, columns) == rows(late, columns) != []
 
 
 def test_strict_stream_fails_on_a_bad_line(feed):
