@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +21,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
-        base = tempfile.mkdtemp(prefix="fleetstream-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    # The setting can't be changed in a running session; one folder per process does.
+    folder = tempfile.mkdtemp(prefix="fleetstream-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
