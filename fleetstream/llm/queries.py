@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetstream.llm import languages, packing, token_files, urls
+from fleetstream.llm import (
+    fingerprints,
+    languages,
+    packing,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+    urls,
+)
 from fleetstream.llm.storage import ship_package
 
 # The URL rules of the contract.
@@ -29,6 +37,16 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs).drop("kept_text")
+
+
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return fingerprints.edited_and_next(docs)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return packing.pack_documents(
@@ -53,6 +71,11 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return suffix_dedup.without_repeats(docs).drop("kept")
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return urls.judged_urls(pages, ALLOW_RULES, BLOCK_RULES).select(
@@ -63,9 +86,12 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
+        op1_substring_dedup,
+        op2_fingerprints,
         op3_best_fit_packing,
         op4_language_id,
         op7_token_files,
+        op8_suffix_dedup,
         op10_url_filter,
     )
 }
