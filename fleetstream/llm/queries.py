@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetstream.llm import (
+    embeddings,
     fingerprints,
+    jaccard,
     languages,
+    mixing,
     packing,
     substring_dedup,
     suffix_dedup,
@@ -21,6 +24,13 @@ from fleetstream.llm.storage import ship_package
 ALLOW_RULES = ("com/", "www.example.com/en/")
 BLOCK_RULES = ("example.com/en/", "net/es/", "net/fr/")
 
+#: Weights of the domains in the mix.
+TARGETS = {
+    "quality1_toxic0": 0.80,
+    "quality0_toxic0": 0.15,
+    "quality1_toxic1": 0.04,
+    "quality0_toxic1": 0.01,
+}
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 
@@ -39,7 +49,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    return substring_dedup.without_repeats(docs).drop("kept_text")
+    return substring_dedup.without_repeats(docs).drop("text", "kept_text")
 
 
 def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,6 +74,16 @@ def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    labels = _table(spark, sf, "labels")
+    return mixing.mixed_documents(docs, labels, TARGETS).drop("text")
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf, "embeddings"))
+
+
 def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return token_files.digests(
@@ -73,7 +93,11 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    return suffix_dedup.without_repeats(docs).drop("kept")
+    return suffix_dedup.without_repeats(docs).drop("text", "kept")
+
+
+def op9_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf, "documents"))
 
 
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,8 +114,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_fingerprints,
         op3_best_fit_packing,
         op4_language_id,
+        op5_mixing,
+        op6_embedding_near_dedup,
         op7_token_files,
         op8_suffix_dedup,
+        op9_ngram_jaccard_join,
         op10_url_filter,
     )
 }

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from fleetstream.llm.storage import shuffle_partitions
 from fleetstream.llm.windows import (
@@ -136,9 +136,9 @@ class _Bucket:
         self.what = what
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         self.bucket = table.column("bucket")[0].as_py()
-        self.doc_ids = table.column("doc_id")
+        self.table = table.drop_columns(["bucket"])
         # Without a doc_id a text comes after all others.
-        self.docs = self.doc_ids.fill_null(_NO_ID).to_numpy().astype(np.int64)
+        self.docs = table.column("doc_id").fill_null(_NO_ID).to_numpy().astype(np.int64)
         texts = Texts.of(table.column("text"))
         self.slices = [self._runs(k, t) for k, t in texts.slices()]
         joined = lambda name, kind: np.concatenate(
@@ -271,18 +271,25 @@ def _answers(table: pa.Table, number: int, earlier: bool) -> pa.Table:
 def repeated_units(
     docs: DataFrame,
     what: Windows,
-    rows: Callable[[pa.Array, _Slice, np.ndarray], pa.RecordBatch],
+    rows: Callable[[_Slice, np.ndarray], pa.Table],
     schema: str,
 ) -> DataFrame:
-    """rows(doc_ids, slice, repeated units) of every slice of texts, as one table.
+    """All columns of ``docs`` and those of rows(slice, repeated units).
 
-    ``docs`` has doc_id and text. Every row is a text of its own, repeated rows too.
+    ``docs`` has doc_id and text. Every row is a text of its own, repeated rows too. The
+    result of ``rows`` has a row per text; ``schema`` describes it.
     """
     parts = 2 * shuffle_partitions(docs)
+    # Renamed, as a table may have columns with any names.
+    carried = {c: f"_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     texts = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("bucket"),
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
+        *[F.col(f"`{c}`").alias(new) for c, new in carried.items()],
+    )
+    result_type = T.StructType(
+        texts.schema.fields[1:] + T.StructType.fromDDL(schema).fields
     )
 
     def send_runs(table: pa.Table) -> pa.Table:
@@ -304,11 +311,11 @@ def repeated_units(
 
     def result(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        found = [
-            rows(b.doc_ids.slice(s.begin, len(s.texts)), s, mask)
-            for s, mask in b.repeated(_flags(answers, 1), _flags(answers, 2))
-        ]
-        return pa.Table.from_batches(found)
+        made = [rows(s, mask) for s, mask in b.repeated(_flags(answers, 1), _flags(answers, 2))]
+        out = b.table
+        for field in pa.concat_tables(made).schema if made else []:
+            out = out.append_column(field, pa.chunked_array([m.column(field.name).combine_chunks() for m in made]))
+        return out
 
     by_bucket = texts.groupBy("bucket")
     first = by_bucket.applyInArrow(send_runs, _SENT).groupBy("part").applyInArrow(
@@ -320,6 +327,8 @@ def repeated_units(
         .groupBy("part")
         .applyInArrow(answer_windows, _ANSWER)
     )
-    return by_bucket.cogroup(first.unionByName(second).groupBy("bucket")).applyInArrow(
-        result, schema
+    done = by_bucket.cogroup(first.unionByName(second).groupBy("bucket")).applyInArrow(
+        result, result_type
     )
+    own = {new: c for c, new in carried.items()}
+    return done.select(*[F.col(c).alias(own.get(c, c)) for c in done.columns])

@@ -18,9 +18,7 @@ from fleetstream.llm.repeats import Windows, repeated_units
 from fleetstream.llm.windows import words
 
 WINDOW_WORDS = 13
-_SCHEMA = (
-    "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
-)
+_SCHEMA = "n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
 
 
 def _kept_bytes(slice_, kept: np.ndarray) -> list[bytes]:
@@ -43,23 +41,22 @@ def _kept_bytes(slice_, kept: np.ndarray) -> list[bytes]:
     return found
 
 
-def _rows(doc_ids: pa.Array, slice_, repeated: np.ndarray) -> pa.RecordBatch:
+def _rows(slice_, repeated: np.ndarray) -> pa.Table:
     size = len(slice_.texts)
     kept = _kept_bytes(slice_, ~repeated)
-    return pa.RecordBatch.from_arrays(
+    return pa.Table.from_arrays(
         [
-            doc_ids.combine_chunks() if isinstance(doc_ids, pa.ChunkedArray) else doc_ids,
             pa.array(np.bincount(slice_.units.text, minlength=size)),
             pa.array(np.bincount(slice_.units.text[repeated], minlength=size)),
             pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
             pa.array([x.decode("utf-8", "replace") for x in kept]),
         ],
-        names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+        names=["n_words", "n_removed", "kept_sha256", "kept_text"],
     )
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, kept_text of every text.
+    """docs with n_words, n_removed, kept_sha256 and kept_text.
 
     Removes each word in a window of ``window`` words that also begins in a text with a
     smaller doc_id; windows are judged on the input. Words are ``[^\\x20\\x09-\\x0D]+``.

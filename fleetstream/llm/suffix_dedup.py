@@ -22,12 +22,12 @@ from fleetstream.llm.windows import single_bytes
 MATCH_BYTES = 200
 QGRAM_BYTES = 25
 _SCHEMA = (
-    "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
+    "n_bytes bigint, n_removed bigint, n_spans bigint, "
     "kept_sha256 string, kept binary"
 )
 
 
-def _rows(doc_ids: pa.Array, slice_, repeated: np.ndarray) -> pa.RecordBatch:
+def _rows(slice_, repeated: np.ndarray) -> pa.Table:
     offsets, data = slice_.texts.offsets, slice_.texts.data
     removed = np.zeros(len(data), dtype=bool)
     removed[: len(repeated)] = repeated
@@ -37,23 +37,22 @@ def _rows(doc_ids: pa.Array, slice_, repeated: np.ndarray) -> pa.RecordBatch:
     begins[firsts] = removed[firsts]
     total = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[offsets])
     kept = [data[a:b][~removed[a:b]].tobytes() for a, b in zip(offsets, offsets[1:])]
-    return pa.RecordBatch.from_arrays(
+    return pa.Table.from_arrays(
         [
-            doc_ids.combine_chunks() if isinstance(doc_ids, pa.ChunkedArray) else doc_ids,
             pa.array(np.diff(offsets)),
             pa.array(total(removed)),
             pa.array(total(begins)),
             pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
             pa.array(kept, pa.binary()),
         ],
-        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+        names=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
     )
 
 
 def without_repeats(
     docs: DataFrame, length: int = MATCH_BYTES, q: int = QGRAM_BYTES
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of every text.
+    """docs with n_bytes, n_removed, n_spans, kept_sha256 and kept.
 
     Removes each byte (UTF-8) in a string of ``length`` bytes that also begins anywhere
     else, in the same text too; strings are judged on the input and don't cross texts.

@@ -1,0 +1,97 @@
+import random
+
+import pytest
+
+from fleetstream.llm import fingerprints
+from tests.llm import brute
+
+
+def _edited(rows):
+    """(doc_id, n_chars, sha of the edited text), next in descending doc_id."""
+    ordered = sorted(rows, key=lambda r: (r[0], r[1] or ""), reverse=True)
+    out = {}
+    for k, (d, t) in enumerate(ordered):
+        t, after = t or "", ordered[(k + 1) % len(ordered)][1] or ""
+        half = len(t) // 2
+        out[d] = (len(t), brute.sha((t[: len(t) - half] + after[:half]).encode()))
+    return out
+
+
+def _bits(a, b):
+    return bin(int(a, 16) ^ int(b, 16)).count("1")
+
+
+def test_edited_texts_and_likeness(documents, real):
+    odd = [(90_000, None), (90_001, ""), (90_002, "é😀x"), (90_003, "w " * 70_000), (-5, "one")]
+    rows = real + odd
+    got = {r.doc_id: r for r in fingerprints.edited_and_next(documents(rows)).collect()}
+    want = _edited(rows)
+    assert {d: (r.n_chars, r.edited_sha256) for d, r in got.items()} == want
+    ids = sorted(got, reverse=True)
+    for d, after in zip(ids, [*ids[1:], ids[0]]):
+        r = got[d]
+        assert len(r.fingerprint) == len(r.edited_fingerprint) == 32
+        assert r.near_next == 1 - _bits(r.fingerprint, got[after].fingerprint) / 128
+        assert r.near_edited == 1 - _bits(r.fingerprint, r.edited_fingerprint) / 128
+    nearer = [r.near_edited > r.near_next for d, r in got.items() if len(dict(rows)[d] or "") > 300]
+    assert sum(nearer) > 0.95 * len(nearer)
+
+
+def test_fingerprint_by_hand(spark, documents):
+    from pyspark.sql import functions as F
+
+    words = [f"w{k % 9}" for k in range(30)]
+    df = documents([(1, " ".join(words)), (2, "\t".join(words) + "\n"), (3, "a b"), (4, " ")])
+    got = {r.doc_id: (r.fp_hi, r.fp_lo) for r in fingerprints.fingerprinted(df, ["doc_id"], "text").collect()}
+    assert got[1] == got[2] and got[4] == (0, 0)
+
+    hashes = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()
+    terms = [tuple(h[0] for h in hashes[i : i + 5]) for i in range(26)]
+    frame = spark.createDataFrame(terms, "a long, b long, c long, d long, e long")
+    first = frame.select(F.xxhash64("a", "b", "c", "d", "e").alias("h"))
+    pairs = first.select("h", F.xxhash64("h", F.lit(1)).alias("g")).collect()
+    for k, value in enumerate(got[1]):
+        ones = [sum(p[k] >> i & 1 for p in pairs) for i in range(64)]
+        expected = sum(1 << i for i in range(64) if 2 * ones[i] > len(pairs))
+        assert value % 2**64 == expected
+
+
+def test_one_row_none_null_ids_and_ties(documents):
+    (only,) = fingerprints.edited_and_next(documents([(3, "abcd efgh")])).collect()
+    assert only.near_next == 1.0
+    assert fingerprints.edited_and_next(documents([])).count() == 0
+    rows = [(None, "x y"), (9, ""), (9, "zz"), (9, "zz"), (7, None)]
+    assert fingerprints.edited_and_next(documents(rows)).count() == 5
+
+
+@pytest.mark.parametrize("radius", [0, 3, 7])
+def test_near_pairs_like_brute_force(spark, radius):
+    rng = random.Random(radius)
+    prints = {rng.getrandbits(128) for _ in range(40)}
+    for p in list(prints):
+        for _ in range(4):
+            q = p
+            for bit in rng.sample(range(128), rng.randrange(1, 10)):
+                q ^= 1 << bit
+            prints.add(q)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = [(signed(p >> 64), signed(p & (2**64 - 1))) for p in prints]
+    df = spark.createDataFrame(rows + rows[:5] + [(None, 1)], "fp_hi long, fp_lo long")
+    found = fingerprints.near_pairs(df, radius).collect()
+    whole = lambda hi, lo: (hi % 2**64) << 64 | lo % 2**64
+    got = {frozenset((whole(r[0], r[1]), whole(r[2], r[3]))) for r in found}
+    ordered = sorted(prints)
+    want = {
+        frozenset((a, b))
+        for k, a in enumerate(ordered)
+        for b in ordered[:k]
+        if bin(a ^ b).count("1") <= radius
+    }
+    assert got == want and len(found) == len(want)
+
+
+def test_no_python_and_one_exchange(documents, real):
+    df = fingerprints.edited_and_next(documents(real))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
