@@ -119,11 +119,12 @@ class _Entries:
 
 @dataclass
 class _Slice:
-    """Consecutive texts of a bucket and the runs of windows [first, last] in them."""
+    """Consecutive texts of a bucket and the runs of windows [first, last] in them.
+
+    Their units take many times the room of the texts, so they are made when needed.
+    """
 
-    begin: int
     texts: Texts
-    units: Units
     first: np.ndarray
     last: np.ndarray
     key: np.ndarray
@@ -174,7 +175,7 @@ class _Bucket:
             found.append((first + a, last + a, key, run, self.docs[begin + text[first]]))
         empty = np.zeros(0, dtype=np.int64)
         columns = [np.concatenate(c) for c in zip(*found)] if found else [empty] * 5
-        return _Slice(begin, texts, units, *columns)
+        return _Slice(texts, *columns)
 
     def asked(self, flags: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], _Entries]:
         """Windows whose hashes are asked for: per slice their starts and entries."""
@@ -188,13 +189,15 @@ class _Bucket:
             total = int(count.sum())
             shift = np.repeat(np.cumsum(count) - count, count)
             starts = np.repeat(first, count) + np.arange(total) - shift
-            short, sums = what.first, Sums(s.units.hashes)
             if total:
-                every = np.arange(len(s.units.hashes) - short + 1)
+                units = what.units(s.texts).hashes
+                short, sums = what.first, Sums(units)
+                every = np.arange(len(units) - short + 1)
                 ids = sums.of(every, every + short)
                 for longer in level_lengths(short, what.length)[1:]:
                     ids, short = doubled(ids, short, longer), longer
-                hashes.append((ids[starts], sums.of(starts, starts + short), np.repeat(s.doc[mine], count)))
+                docs = np.repeat(s.doc[mine], count)
+                hashes.append((ids[starts], sums.of(starts, starts + short), docs))
             per_slice.append(starts)
         kinds = (np.uint64, np.uint64, np.int64)
         columns = (
@@ -210,7 +213,7 @@ class _Bucket:
         ], entries
 
     def repeated(self, flags: np.ndarray, window_flags: np.ndarray):
-        """Per slice, which units lie in a repeated window."""
+        """Per slice its units, and which of them lie in a repeated window."""
         asked, windows = self.asked(flags)
         at = 0
         for s, (starts, of_window, docs) in zip(self.slices, asked):
@@ -222,12 +225,13 @@ class _Bucket:
             hit = (window_flags[of_window] & _COVERED) > 0
             if self.what.earlier:
                 hit |= docs > windows.doc[of_window]
-            n = len(s.units.hashes)
+            units = self.what.units(s.texts)
+            n = len(units.hashes)
             edge = np.bincount(s.first[known], minlength=n + 1)
             edge -= np.bincount(s.last[known] + self.what.length, minlength=n + 1)
             edge += np.bincount(starts[hit], minlength=n + 1)
             edge -= np.bincount(starts[hit] + self.what.length, minlength=n + 1)
-            yield s, np.cumsum(edge[:n]) > 0
+            yield s.texts, units, np.cumsum(edge[:n]) > 0
 
 
 def _flags(answers: pa.Table, number: int) -> np.ndarray:
@@ -271,19 +275,21 @@ def _answers(table: pa.Table, number: int, earlier: bool) -> pa.Table:
 def repeated_units(
     docs: DataFrame,
     what: Windows,
-    rows: Callable[[_Slice, np.ndarray], pa.Table],
+    rows: Callable[[Texts, Units, np.ndarray], pa.Table],
     schema: str,
 ) -> DataFrame:
-    """All columns of ``docs`` and those of rows(slice, repeated units).
+    """All columns of ``docs`` and those of rows(texts, units, which are repeated).
 
     ``docs`` has doc_id and text. Every row is a text of its own, repeated rows too. The
     result of ``rows`` has a row per text; ``schema`` describes it.
     """
-    parts = 2 * shuffle_partitions(docs)
+    # Small buckets bound a task's memory; a bucket sends one row to each part.
+    parts = shuffle_partitions(docs)
+    buckets = 4 * parts
     # Renamed, as a table may have columns with any names.
     carried = {c: f"_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     texts = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket"),
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         *[F.col(f"`{c}`").alias(new) for c, new in carried.items()],
@@ -311,10 +317,12 @@ def repeated_units(
 
     def result(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        made = [rows(s, mask) for s, mask in b.repeated(_flags(answers, 1), _flags(answers, 2))]
+        flags = _flags(answers, 1), _flags(answers, 2)
+        made = [rows(*found) for found in b.repeated(*flags)]
         out = b.table
         for field in pa.concat_tables(made).schema if made else []:
-            out = out.append_column(field, pa.chunked_array([m.column(field.name).combine_chunks() for m in made]))
+            chunks = [c for m in made for c in m.column(field.name).chunks]
+            out = out.append_column(field, pa.chunked_array(chunks, field.type))
         return out
 
     by_bucket = texts.groupBy("bucket")

@@ -15,15 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fleetstream.llm.repeats import Windows, repeated_units
-from fleetstream.llm.windows import words
+from fleetstream.llm.windows import Texts, Units, words
 
 WINDOW_WORDS = 13
 _SCHEMA = "n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
 
 
-def _kept_bytes(slice_, kept: np.ndarray) -> list[bytes]:
+def _kept_bytes(texts: Texts, units: Units, kept: np.ndarray) -> list[bytes]:
     """Per text its kept words with one blank between them."""
-    texts, units = slice_.texts, slice_.units
     n = len(texts.data)
     # A word is taken with the byte behind it, which is white space inside a text.
     behind = np.minimum(units.end + 1, texts.offsets[units.text + 1])
@@ -41,13 +40,13 @@ def _kept_bytes(slice_, kept: np.ndarray) -> list[bytes]:
     return found
 
 
-def _rows(slice_, repeated: np.ndarray) -> pa.Table:
-    size = len(slice_.texts)
-    kept = _kept_bytes(slice_, ~repeated)
+def _rows(texts: Texts, units: Units, repeated: np.ndarray) -> pa.Table:
+    size = len(texts)
+    kept = _kept_bytes(texts, units, ~repeated)
     return pa.Table.from_arrays(
         [
-            pa.array(np.bincount(slice_.units.text, minlength=size)),
-            pa.array(np.bincount(slice_.units.text[repeated], minlength=size)),
+            pa.array(np.bincount(units.text, minlength=size)),
+            pa.array(np.bincount(units.text[repeated], minlength=size)),
             pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
             pa.array([x.decode("utf-8", "replace") for x in kept]),
         ],

@@ -17,18 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fleetstream.llm.repeats import Windows, repeated_units
-from fleetstream.llm.windows import single_bytes
+from fleetstream.llm.windows import Texts, Units, single_bytes
 
 MATCH_BYTES = 200
-QGRAM_BYTES = 25
+QGRAM_BYTES = 64
 _SCHEMA = (
     "n_bytes bigint, n_removed bigint, n_spans bigint, "
     "kept_sha256 string, kept binary"
 )
 
 
-def _rows(slice_, repeated: np.ndarray) -> pa.Table:
-    offsets, data = slice_.texts.offsets, slice_.texts.data
+def _rows(texts: Texts, units: Units, repeated: np.ndarray) -> pa.Table:
+    offsets, data = texts.offsets, texts.data
     removed = np.zeros(len(data), dtype=bool)
     removed[: len(repeated)] = repeated
     begins = removed.copy()

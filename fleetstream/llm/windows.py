@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Units that are worked on together; longer documents are cut into overlapping pieces.
+#: Bytes of texts, or units of a longer text, that are worked on together.
 PIECE_UNITS = 1 << 18
 
 _BASE = 0x9E37_79B9_7F4A_7C15 | 5
@@ -82,7 +82,7 @@ class Texts:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
-    def slices(self, most: int = PIECE_UNITS * 4):
+    def slices(self, most: int = PIECE_UNITS):
         """(first text, Texts) of about ``most`` bytes; a longer text is one of its own."""
         first = 0
         while first < len(self):
@@ -95,12 +95,12 @@ class Texts:
 
 @dataclass
 class Units:
-    """Hash and text of every unit, and the bytes [start, end) that it has."""
+    """Hash and text of every unit, and the bytes [start, end) that it has if it's a word."""
 
     hashes: np.ndarray
     text: np.ndarray
-    start: np.ndarray
-    end: np.ndarray
+    start: np.ndarray | None = None
+    end: np.ndarray | None = None
 
 
 def words(texts: Texts) -> Units:
@@ -125,9 +125,8 @@ def lower_ascii(texts: Texts) -> Texts:
 
 
 def single_bytes(texts: Texts) -> Units:
-    at = np.arange(len(texts.data))
     sizes = np.diff(texts.offsets)
-    return Units(_BYTE_HASH[texts.data], np.repeat(np.arange(len(texts)), sizes), at, at + 1)
+    return Units(_BYTE_HASH[texts.data], np.repeat(np.arange(len(texts)), sizes))
 
 
 def doubled(short: np.ndarray, length: int, wanted: int) -> np.ndarray:
