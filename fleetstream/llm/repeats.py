@@ -18,7 +18,7 @@ which makes every pass find them alike, also when a lost executor's tasks run ag
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +38,9 @@ from fleetstream.llm.windows import (
 
 _COVERED, _ASKED = 1, 2
 _NO_ID = 2**63 - 1
-_SENT = "bucket int, part int, entries binary"
-_ANSWER = "bucket int, part int, pass int, flags binary"
+#: The slice is that of windows, or -1 for the runs of a whole bucket.
+_SENT = "bucket int, slice int, part int, entries binary"
+_ANSWER = "bucket int, slice int, part int, flags binary"
 #: Bits of a key; the others of a 64-bit number have its place in a piece of text.
 _KEY_BITS = 44
 
@@ -100,7 +101,7 @@ class _Entries:
         of[order] = np.cumsum(new) - 1
         return cls(a[at], b[at], doc[at], np.diff(np.append(at, len(a))), of)
 
-    def sent(self, bucket: int, parts: int, bits: int) -> pa.Table:
+    def sent(self, bucket: int, slice_: int, parts: int, bits: int) -> pa.Table:
         high = (self.a >> np.uint64(bits - 32)).astype(np.uint64)
         part = ((high * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
         cuts = np.append(np.flatnonzero(_changes(part)), len(part))
@@ -111,6 +112,7 @@ class _Entries:
         return pa.table(
             {
                 "bucket": pa.array([bucket] * len(blobs), pa.int32()),
+                "slice": pa.array([slice_] * len(blobs), pa.int32()),
                 "part": pa.array(part[cuts[:-1]], pa.int32()),
                 "entries": pa.array(blobs, pa.binary()),
             }
@@ -132,6 +134,15 @@ class _Slice:
     doc: np.ndarray
 
 
+@dataclass
+class _Asked:
+    """Windows of a slice by where they start, with their texts' ids."""
+
+    starts: np.ndarray
+    docs: np.ndarray
+    entries: _Entries
+
+
 class _Bucket:
     def __init__(self, table: pa.Table, what: Windows):
         self.what = what
@@ -177,70 +188,61 @@ class _Bucket:
         columns = [np.concatenate(c) for c in zip(*found)] if found else [empty] * 5
         return _Slice(texts, *columns)
 
-    def asked(self, flags: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], _Entries]:
-        """Windows whose hashes are asked for: per slice their starts and entries."""
-        what, at, per_slice, hashes = self.what, 0, [], []
+    def asked(self, flags: np.ndarray) -> Iterator[_Asked]:
+        """Slice by slice, the windows whose hashes are asked for."""
+        what, at = self.what, 0
         for s in self.slices:
             of = self.entries.of[at : at + len(s.first)]
             at += len(s.first)
             # The first place of a run speaks for it.
             mine = ((flags[of] & _ASKED) > 0) & (s.doc == self.entries.doc[of])
             first, count = s.first[mine], s.last[mine] - s.first[mine] + 1
-            total = int(count.sum())
             shift = np.repeat(np.cumsum(count) - count, count)
-            starts = np.repeat(first, count) + np.arange(total) - shift
-            if total:
-                units = what.units(s.texts).hashes
-                short, sums = what.first, Sums(units)
+            starts = np.repeat(first, count) + np.arange(len(shift)) - shift
+            ids = pairs = np.zeros(0, dtype=np.uint64)
+            if len(starts):
+                units, short = what.units(s.texts).hashes, what.first
+                sums = Sums(units)
                 every = np.arange(len(units) - short + 1)
                 ids = sums.of(every, every + short)
                 for longer in level_lengths(short, what.length)[1:]:
                     ids, short = doubled(ids, short, longer), longer
-                docs = np.repeat(s.doc[mine], count)
-                hashes.append((ids[starts], sums.of(starts, starts + short), docs))
-            per_slice.append(starts)
-        kinds = (np.uint64, np.uint64, np.int64)
-        columns = (
-            [np.concatenate(c) for c in zip(*hashes)]
-            if hashes
-            else [np.zeros(0, dtype=k) for k in kinds]
-        )
-        entries = _Entries.group(*columns)
-        cuts = np.cumsum([0, *map(len, per_slice)])
-        return [
-            (starts, entries.of[i:j], columns[2][i:j])
-            for starts, i, j in zip(per_slice, cuts, cuts[1:])
-        ], entries
-
-    def repeated(self, flags: np.ndarray, window_flags: np.ndarray):
+                ids, pairs = ids[starts], sums.of(starts, starts + short)
+            docs = np.repeat(s.doc[mine], count)
+            yield _Asked(starts, docs, _Entries.group(ids, pairs, docs))
+
+    def repeated(self, flags: np.ndarray, window_flags: list[np.ndarray]):
         """Per slice its units, and which of them lie in a repeated window."""
-        asked, windows = self.asked(flags)
         at = 0
-        for s, (starts, of_window, docs) in zip(self.slices, asked):
+        for s, asked, answered in zip(self.slices, self.asked(flags), window_flags):
             of = self.entries.of[at : at + len(s.first)]
             at += len(s.first)
             known = (flags[of] & _COVERED) > 0
+            hit = (answered[asked.entries.of] & _COVERED) > 0
             if self.what.earlier:
                 known |= s.doc > self.entries.doc[of]
-            hit = (window_flags[of_window] & _COVERED) > 0
-            if self.what.earlier:
-                hit |= docs > windows.doc[of_window]
+                hit |= asked.docs > asked.entries.doc[asked.entries.of]
             units = self.what.units(s.texts)
             n = len(units.hashes)
             edge = np.bincount(s.first[known], minlength=n + 1)
             edge -= np.bincount(s.last[known] + self.what.length, minlength=n + 1)
-            edge += np.bincount(starts[hit], minlength=n + 1)
-            edge -= np.bincount(starts[hit] + self.what.length, minlength=n + 1)
+            edge += np.bincount(asked.starts[hit], minlength=n + 1)
+            edge -= np.bincount(asked.starts[hit] + self.what.length, minlength=n + 1)
             yield s.texts, units, np.cumsum(edge[:n]) > 0
 
 
-def _flags(answers: pa.Table, number: int) -> np.ndarray:
-    rows = [r for r in answers.to_pylist() if r["pass"] == number]
-    rows.sort(key=lambda r: r["part"])
-    return np.frombuffer(b"".join(r["flags"] for r in rows), dtype=np.uint8)
+def _flags(answers: pa.Table, windows: bool, slices: int) -> list[np.ndarray]:
+    """The answers to a bucket's runs, or to the windows of each of its slices."""
+    found = [[] for _ in range(slices)]
+    for r in answers.to_pylist():
+        if (r["slice"] >= 0) == windows:
+            found[max(r["slice"], 0)].append((r["part"], r["flags"]))
+    return [
+        np.frombuffer(b"".join(x for _, x in sorted(rows)), dtype=np.uint8) for rows in found
+    ]
 
 
-def _answers(table: pa.Table, number: int, earlier: bool) -> pa.Table:
+def _answers(table: pa.Table, earlier: bool) -> pa.Table:
     """One byte per entry of a part."""
     blobs = table.column("entries").to_pylist()
     columns = [_columns(x, 4) for x in blobs]
@@ -265,8 +267,8 @@ def _answers(table: pa.Table, number: int, earlier: bool) -> pa.Table:
     return pa.table(
         {
             "bucket": table.column("bucket"),
+            "slice": table.column("slice"),
             "part": table.column("part"),
-            "pass": pa.array([number] * len(blobs), pa.int32()),
             "flags": pa.array([flags[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
         }
     )
@@ -300,40 +302,37 @@ def repeated_units(
 
     def send_runs(table: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        return b.entries.sent(b.bucket, parts, _KEY_BITS)
+        return b.entries.sent(b.bucket, -1, parts, _KEY_BITS)
 
-    def answer_runs(table: pa.Table) -> pa.Table:
-        return _answers(table, 1, what.earlier)
+    def answer(table: pa.Table) -> pa.Table:
+        return _answers(table, what.earlier)
 
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({"bucket": pa.array([], pa.int32()), "part": pa.array([], pa.int32()),
-                             "entries": pa.array([], pa.binary())})
         b = _Bucket(table, what)
-        return b.asked(_flags(answers, 1))[1].sent(b.bucket, parts, 64)
-
-    def answer_windows(table: pa.Table) -> pa.Table:
-        return _answers(table, 2, what.earlier)
+        (flags,) = _flags(answers, False, 1)
+        return pa.concat_tables(
+            a.entries.sent(b.bucket, k, parts, 64) for k, a in enumerate(b.asked(flags))
+        )
 
     def result(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        flags = _flags(answers, 1), _flags(answers, 2)
-        made = [rows(*found) for found in b.repeated(*flags)]
+        (flags,) = _flags(answers, False, 1)
+        made = [rows(*x) for x in b.repeated(flags, _flags(answers, True, len(b.slices)))]
         out = b.table
-        for field in pa.concat_tables(made).schema if made else []:
+        for field in made[0].schema:
             chunks = [c for m in made for c in m.column(field.name).chunks]
             out = out.append_column(field, pa.chunked_array(chunks, field.type))
         return out
 
     by_bucket = texts.groupBy("bucket")
     first = by_bucket.applyInArrow(send_runs, _SENT).groupBy("part").applyInArrow(
-        answer_runs, _ANSWER
+        answer, _ANSWER
     )
     second = (
         by_bucket.cogroup(first.groupBy("bucket"))
         .applyInArrow(send_windows, _SENT)
         .groupBy("part")
-        .applyInArrow(answer_windows, _ANSWER)
+        .applyInArrow(answer, _ANSWER)
     )
     done = by_bucket.cogroup(first.unionByName(second).groupBy("bucket")).applyInArrow(
         result, result_type
