@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetstream.llm import jaccard, languages, mixing, packing, substring_dedup
 from fleetstream.llm.queries import END_ID, SEQUENCE_TOKENS, TARGETS, vocabulary
-from fleetstream.llm.storage import ship_package, written
+from fleetstream.llm.storage import broadcast_if_small, ship_package, written
 
 #: Documents whose language is less probable than this are rejected.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -44,6 +44,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .select(F.col("doc_id").alias("_gone"))
         .distinct()
     )
+    gone = broadcast_if_small(written(gone, "gone"))
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 

@@ -5,11 +5,12 @@ hashes that fall into it, so the sketches of two sets differ in no more blocks t
 sets have elements that only one of them has. Sets with a Jaccard similarity of at least
 3/4 differ in D <= (|A| + |B|) / 7 elements. Sketches are made per band of set sizes, with
 more blocks than D, so at least blocks - D of them agree (pigeonhole); hence, in any order
-common to all sets, two such sets agree on one of their first D + 1 blocks each, and only
-those are joined. The order has blocks of frequent shingles last: a passage that many
+common to all sets, two such sets agree on at least e of their first D + e blocks each, and
+only those are joined. The order has blocks of frequent shingles last: a passage that many
 texts share brings nobody together who is not alike otherwise.
 
-Sets that agree on a block are grouped. A link is tested with the sketch of bits, whose
+Sets that agree on a block are grouped; a set that agrees with others on fewer than e
+blocks has no link and leaves its groups. A link is tested with the sketch of bits, whose
 Hamming distance is a lower bound for the difference, and then with the whole texts. First
 every set is tested with the one it shares most blocks with among the least ids of its
 groups; then, in groups that this has not joined to one component, every pair of
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetstream.llm.components import components
-from fleetstream.llm.storage import shuffle_partitions, written
+from fleetstream.llm.storage import broadcast_if_small, shuffle_partitions, written
 from fleetstream.llm.windows import Sums, Texts, lower_ascii, mixed, words
 
 SHINGLE_WORDS = 5
@@ -167,11 +168,17 @@ def _level(size: np.ndarray) -> np.ndarray:
     return np.searchsorted(edges, size, "right")
 
 
+def needed_agreements(size: np.ndarray) -> np.ndarray:
+    """e: blocks beyond D that a set joins on, and so shares with sets not smaller."""
+    return size // 12 + 1
+
+
 def sketch_blocks(
     text: np.ndarray, shingle: np.ndarray, frequent: np.ndarray, texts: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(text, key) of the first D + 1 blocks of every set in its bands' sketches."""
+    """(text, key) of the first D + e blocks of every set in its bands' sketches."""
     size = np.bincount(text, minlength=texts)
+    extra = needed_agreements(size)
     own = _level(size)
     found = []
     # A set also meets smaller sets of the band below if it is near the border.
@@ -186,7 +193,7 @@ def sketch_blocks(
         top = np.int64(_BAND) ** (level + 1) - 1
         # The partner is at most 4/3 of the set, and of the band below when that is met.
         partner = size * 4 // 3 if not down else np.minimum(size, top)
-        most = (size + partner) // 7
+        most = (size + partner) // 7 + extra - 1
         blocks = np.maximum(_LEAST_BLOCKS, 4 * (top // 3 + 1))
         place = mixed(s ^ np.uint64(0x9D2C)) % blocks[t].astype(np.uint64)
         order = np.lexsort((place, t))
@@ -199,10 +206,10 @@ def sketch_blocks(
         key = mixed(mixed(parity) ^ mixed(place ^ salt))
         few = use & (np.bincount(t, minlength=texts) <= most)
         if few.any():
-            extra = [_empty_blocks(k, t, place, int(most[k]), int(blocks[k]), level) for k in
+            empty = [_empty_blocks(k, t, place, int(most[k]), int(blocks[k]), level) for k in
                      np.flatnonzero(few)]
-            t = np.concatenate([t, *[x for x, _ in extra]])
-            key = np.concatenate([key, *[y for _, y in extra]])
+            t = np.concatenate([t, *[x for x, _ in empty]])
+            key = np.concatenate([key, *[y for _, y in empty]])
             # Empty blocks come last of all.
             common = np.concatenate([common, np.full(len(t) - len(common), 2, np.uint8)])
         order = np.lexsort((key, common, t))
@@ -217,7 +224,7 @@ def sketch_blocks(
 
 
 def _empty_blocks(one: int, t, place, most: int, blocks: int, level):
-    """A set with no more than D blocks that are not empty also joins on empty ones."""
+    """A set with too few blocks that are not empty also joins on empty ones."""
     full = place[t == one]
     empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), full)
     salt = np.uint64(int(level[one]) << 40 | 1 << 62)
@@ -226,7 +233,7 @@ def _empty_blocks(one: int, t, place, most: int, blocks: int, level):
 
 
 def block_groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """key, doc_id, hub: the sets that agree on a block, and the least id of them.
+    """key, doc_id, size of the sets that agree on a block.
 
     Equal sets that are read together are sent once, by the least of their ids.
     """
@@ -248,6 +255,7 @@ def block_groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(int)
                 order = np.argsort(part, kind="stable")
                 part, key, sent = part[order], key[order], doc[t[order]].astype(np.int64)
+                size = np.bincount(text, minlength=n)[t[order]]
                 cuts = np.append(
                     np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(part)], len(part)
                 )
@@ -258,35 +266,100 @@ def block_groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array(part[cuts[:-1]], pa.int32()),
                         pa.ListArray.from_arrays(offsets, pa.array(key.view(np.int64))),
                         pa.ListArray.from_arrays(offsets, pa.array(sent)),
+                        pa.ListArray.from_arrays(offsets, pa.array(size.astype(np.int32))),
                     ],
-                    names=["part", "keys", "docs"],
+                    names=["part", "keys", "docs", "sizes"],
                 )
 
     def groups(table: pa.Table) -> pa.Table:
         flat = lambda name: np.concatenate(
             [c.flatten().to_numpy() for c in table.column(name).chunks]
         )
-        key, doc = flat("keys"), flat("docs")
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        key, doc = key[new], doc[new]
-        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(at, len(key)))
-        keep = np.repeat(size > 1, size)
-        return pa.table(
-            {
-                "key": pa.array(key[keep]),
-                "doc_id": pa.array(doc[keep]),
-                "hub": pa.array(np.repeat(doc[at], size)[keep]),
-            }
-        )
+        return _agreeing(flat("keys"), flat("docs"), flat("sizes"))
 
     sent = docs.select("doc_id", "text").mapInArrow(
-        blocks, "part int, keys array<bigint>, docs array<bigint>"
+        blocks, "part int, keys array<bigint>, docs array<bigint>, sizes array<int>"
+    )
+    return sent.groupBy("part").applyInArrow(groups, _GROUPS)
+
+
+_GROUPS = "key bigint, doc_id bigint, size int, hub bigint"
+
+
+def _agreeing(key: np.ndarray, doc: np.ndarray, size: np.ndarray) -> pa.Table:
+    """The rows whose key more than one set has; hub is the least id with the key."""
+    order = np.lexsort((size, doc, key))
+    key, doc, size = key[order], doc[order], size[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    key, doc, size = key[new], doc[new], size[new]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    count = np.diff(np.append(at, len(key)))
+    keep = np.repeat(count > 1, count)
+    return pa.table(
+        {
+            "key": pa.array(key[keep]),
+            "doc_id": pa.array(doc[keep]),
+            "size": pa.array(size[keep].astype(np.int32)),
+            "hub": pa.array(np.repeat(doc[at], count)[keep]),
+        }
     )
-    return sent.groupBy("part").applyInArrow(groups, "key bigint, doc_id bigint, hub bigint")
+
+
+def _parted(groups: DataFrame):
+    """Rows with a key, by parts of many keys."""
+    parts = 2 * shuffle_partitions(groups)
+    return groups.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part")
+
+
+def _often_agreeing(groups: DataFrame) -> DataFrame:
+    """The groups of the sets that agree as often as a linked set has to."""
+
+    def regroup(table: pa.Table) -> pa.Table:
+        return _agreeing(*(table.column(c).to_numpy() for c in ("key", "doc_id", "size")))
+
+    # Sets linked with a set have 3/4 of its size at least.
+    need = F.expr("(min(size) * 3 div 4) div 12 + 1")
+    often = groups.groupBy("doc_id").agg(F.count("*").alias("agreements"), need.alias("need"))
+    enough = written(often.where("agreements >= need").select("doc_id"), "enough")
+    left = groups.drop("hub").join(enough, "doc_id", "left_semi")
+    return _parted(left).applyInArrow(regroup, _GROUPS)
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs a > b in one group, of different components c and sizes within 3/4.
+
+    Groups of one part name the same pairs again and again, so they are made different
+    there; what is held is bounded by the different pairs.
+    """
+
+    def pairs(table: pa.Table) -> pa.Table:
+        order = np.lexsort((table.column("a").to_numpy(), table.column("key").to_numpy()))
+        key, a, c, size = (
+            table.column(x).to_numpy()[order] for x in ("key", "a", "c", "size")
+        )
+        ends = np.flatnonzero(np.append(key[1:] != key[:-1], True)) + 1
+        ids, place = np.unique(a, return_inverse=True)
+        first = np.append(True, key[1:] != key[:-1])[: len(key)]
+        at = np.arange(len(key))
+        position = at - np.maximum.accumulate(np.where(first, at, 0))
+        found, held, pending, apart = np.zeros(0, np.int64), [], 0, 1
+        # Members that are so far apart in their group, of all groups at once.
+        while len(at := at[position[at] >= apart]):
+            other = at - apart
+            least, most = np.minimum(size[at], size[other]), np.maximum(size[at], size[other])
+            fits = (c[at] != c[other]) & (least * 4 >= most * 3)
+            held.append(place[at[fits]] * len(ids) + place[other[fits]])
+            pending += len(held[-1])
+            if pending > 1_000_000:
+                found, held, pending = np.unique(np.concatenate([found, *held])), [], 0
+            apart += 1
+        found = np.unique(np.concatenate([found, *held]))
+        return pa.table(
+            {"a": pa.array(ids[found // len(ids)]), "b": pa.array(ids[found % len(ids)])}
+        )
+
+    return _parted(members).applyInArrow(pairs, "a bigint, b bigint").distinct()
 
 
 def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -315,6 +388,8 @@ def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) of which the whole texts have a similarity of at least 3/4."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    docs = docs.join(broadcast_if_small(written(ids, "asked")), "doc_id", "left_semi")
     side = lambda k: docs.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +433,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "copies",
     )
     number = rows.count()
-    groups = written(block_groups(docs, frequent_shingles(docs, number)), "groups")
+    agreeing = written(block_groups(docs, frequent_shingles(docs, number)), "agreeing")
+    groups = written(_often_agreeing(agreeing), "groups")
     counted = (
         groups.where("doc_id != hub")
         .groupBy("doc_id", "hub")
@@ -388,17 +464,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             groups.join(open_hubs, ["doc_id", "hub"], "left_semi").select("key").distinct(),
             "keys",
         )
-        members = groups.join(open_keys, "key", "left_semi").select(
-            "key", F.col("doc_id").alias("a")
-        ).join(component("a"), "a", "left")
-        members = written(members.select("key", "a", of("a").alias("c")), "members")
-        x, y = members.alias("x"), members.alias("y")
-        rest = x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.a") > F.col("y.a"))
-            & (F.col("x.c") != F.col("y.c")),
-        ).select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct()
+        members = (
+            groups.join(open_keys, "key", "left_semi")
+            .select("key", F.col("doc_id").alias("a"), "size")
+            .join(component("a"), "a", "left")
+            .select("key", "a", "size", of("a").alias("c"))
+        )
+        rest = _across(members)
         more = _linked(written(_alike(rest, once), "alike"), whole)
         found = written(components(written(more, "linked").union(links).union(copies)), "components")
     return (

@@ -9,7 +9,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetstream.sources.workdir import shared_dir
 
@@ -25,6 +25,15 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a few numbers that may be broadcast, some ten megabytes.
+_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Mark a stored table of ids for a broadcast, if it has few enough."""
+    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, wherever the driver found it."""
     context = spark.sparkContext
