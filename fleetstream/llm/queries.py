@@ -12,6 +12,7 @@ from fleetstream.llm import (
     jaccard,
     languages,
     mixing,
+    oracles,
     packing,
     substring_dedup,
     suffix_dedup,
@@ -123,4 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op6_embedding_near_dedup": oracles.NEAR_VECTORS,
+    "op9_ngram_jaccard_join": oracles.NEAR_DUPLICATES,
+}

@@ -33,6 +33,7 @@ from fleetstream.llm.windows import (
     Units,
     doubled,
     level_lengths,
+    mixed,
     sliding_min,
 )
 
@@ -101,14 +102,21 @@ class _Entries:
         of[order] = np.cumsum(new) - 1
         return cls(a[at], b[at], doc[at], np.diff(np.append(at, len(a))), of)
 
-    def sent(self, bucket: int, slice_: int, parts: int, bits: int) -> pa.Table:
-        high = (self.a >> np.uint64(bits - 32)).astype(np.uint64)
-        part = ((high * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+    def dealt(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """The part of each entry, and the entries in the order of their parts.
+
+        Keys are least hashes and thus small numbers, so they are hashed again.
+        """
+        high = mixed(self.a ^ np.uint64(0x7A5C)) >> np.uint64(32)
+        part = (high * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        return part, np.argsort(part, kind="stable")
+
+    def sent(self, bucket: int, slice_: int, parts: int) -> pa.Table:
+        part, order = self.dealt(parts)
+        part, columns = part[order], (self.a, self.b, self.doc.view(np.uint64), self.count)
+        columns = [c[order] for c in columns]
         cuts = np.append(np.flatnonzero(_changes(part)), len(part))
-        blobs = [
-            _planes(self.a[i:j], self.b[i:j], self.doc[i:j].view(np.uint64), self.count[i:j])
-            for i, j in zip(cuts, cuts[1:])
-        ]
+        blobs = [_planes(*[c[i:j] for c in columns]) for i, j in zip(cuts, cuts[1:])]
         return pa.table(
             {
                 "bucket": pa.array([bucket] * len(blobs), pa.int32()),
@@ -118,6 +126,12 @@ class _Entries:
             }
         )
 
+    def answered(self, flags: np.ndarray, parts: int) -> np.ndarray:
+        """Flags in the order in which entries were sent, as flags of the entries."""
+        own = np.empty_like(flags)
+        own[self.dealt(parts)[1]] = flags
+        return own
+
 
 @dataclass
 class _Slice:
@@ -211,14 +225,15 @@ class _Bucket:
             docs = np.repeat(s.doc[mine], count)
             yield _Asked(starts, docs, _Entries.group(ids, pairs, docs))
 
-    def repeated(self, flags: np.ndarray, window_flags: list[np.ndarray]):
+    def repeated(self, flags: np.ndarray, window_flags: list[np.ndarray], parts: int):
         """Per slice its units, and which of them lie in a repeated window."""
         at = 0
         for s, asked, answered in zip(self.slices, self.asked(flags), window_flags):
             of = self.entries.of[at : at + len(s.first)]
             at += len(s.first)
             known = (flags[of] & _COVERED) > 0
-            hit = (answered[asked.entries.of] & _COVERED) > 0
+            own = asked.entries.answered(answered, parts)
+            hit = (own[asked.entries.of] & _COVERED) > 0
             if self.what.earlier:
                 known |= s.doc > self.entries.doc[of]
                 hit |= asked.docs > asked.entries.doc[asked.entries.of]
@@ -302,22 +317,23 @@ def repeated_units(
 
     def send_runs(table: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        return b.entries.sent(b.bucket, -1, parts, _KEY_BITS)
+        return b.entries.sent(b.bucket, -1, parts)
 
     def answer(table: pa.Table) -> pa.Table:
         return _answers(table, what.earlier)
 
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        (flags,) = _flags(answers, False, 1)
+        flags = b.entries.answered(*_flags(answers, False, 1), parts)
         return pa.concat_tables(
-            a.entries.sent(b.bucket, k, parts, 64) for k, a in enumerate(b.asked(flags))
+            a.entries.sent(b.bucket, k, parts) for k, a in enumerate(b.asked(flags))
         )
 
     def result(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
-        (flags,) = _flags(answers, False, 1)
-        made = [rows(*x) for x in b.repeated(flags, _flags(answers, True, len(b.slices)))]
+        flags = b.entries.answered(*_flags(answers, False, 1), parts)
+        windows = _flags(answers, True, len(b.slices))
+        made = [rows(*x) for x in b.repeated(flags, windows, parts)]
         out = b.table
         for field in made[0].schema:
             chunks = [c for m in made for c in m.column(field.name).chunks]
