@@ -300,9 +300,8 @@ def repeated_units(
     ``docs`` has doc_id and text. Every row is a text of its own, repeated rows too. The
     result of ``rows`` has a row per text; ``schema`` describes it.
     """
-    # Small buckets bound a task's memory; a bucket sends one row to each part.
-    parts = shuffle_partitions(docs)
-    buckets = 4 * parts
+    # A bucket sends a row to each part, so neither should be many more than tasks.
+    parts = buckets = shuffle_partitions(docs)
     # Renamed, as a table may have columns with any names.
     carried = {c: f"_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     texts = docs.select(
