@@ -64,7 +64,7 @@ def _log_frequencies(counts: dict[str, Counter], labels: list[str]) -> dict[str,
     total = np.array([sum(counts[x].values()) for x in labels], dtype=float)
     norm = np.log(total + _SMOOTHING * (len(names) + 1))
     return {
-        w: np.log(np.array([counts[x][w] for x in labels]) + _SMOOTHING) - norm for w in names
+        w: np.log(np.array([counts[x].get(w, 0) for x in labels]) + _SMOOTHING) - norm for w in names
     }
 
 

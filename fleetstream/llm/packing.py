@@ -169,6 +169,10 @@ def best_fit(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """
     spark = pieces.sparkSession
     chunks = 4 * shuffle_partitions(pieces)
+    # Renamed, as a table may have columns with any names.
+    names = pieces.columns
+    own = {c: "length" if c == "length" else f"c{k}" for k, c in enumerate(names)}
+    pieces = pieces.select(*[F.col(f"`{c}`").alias(own[c]) for c in names])
     keyed = pieces.withColumn("_chunk", F.pmod(F.xxhash64(*pieces.columns), F.lit(chunks)))
     counts = keyed.groupBy("_chunk", "length").count()
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(
@@ -198,7 +202,7 @@ def best_fit(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
         & (F.col("_at") < F.col("_rank") + F.col("_count")),
     )
     return placed.select(
-        *[F.col(c) for c in pieces.columns],
+        *[F.col(own[c]).alias(c) for c in names],
         (F.col("_bin") + F.col("_at") - F.col("_rank")).alias("sequence_id"),
         F.col("_offset").alias("offset"),
     )
