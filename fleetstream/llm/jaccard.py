@@ -12,8 +12,7 @@ texts share brings nobody together who is not alike otherwise.
 Sets that agree on a block are grouped; a set that agrees with others on fewer than e
 blocks has no link and leaves its groups. A link is tested with the sketch of bits, whose
 Hamming distance is a lower bound for the difference, and then with the whole texts. First
-every set is tested with the one it shares most blocks with among the least ids of its
-groups; then, in groups that this has not joined to one component, every pair of
+every set is tested with the least ids of its groups; then, in groups that this has not joined to one component, every pair of
 different components is tested.
 """
 
@@ -35,6 +34,8 @@ SKETCH_BITS = 1024
 #: Bands end at these powers; a band's sketches have at least so many blocks.
 _BAND = 8
 _LEAST_BLOCKS = 4096
+#: Texts of a cluster that are compared in one group, on either side.
+_CELL = 256
 #: Shingles in at least this share of the texts are put last, the most frequent of them.
 FREQUENT_SHARE = 0.001
 MOST_FREQUENT = 100_000
@@ -57,8 +58,14 @@ def shingle_sets(texts: Texts, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, n
     begin = np.searchsorted(units.text, short)
     text = np.concatenate([units.text[at], short])
     shingle = np.concatenate([sums.of(at, at + size), sums.of(begin, begin + counts[short])])
-    order = np.lexsort((shingle, text))
-    text, shingle = text[order], shingle[order]
+    if len(short):
+        order = np.argsort(text, kind="stable")
+        text, shingle = text[order], shingle[order]
+    ends = np.append(np.flatnonzero(text[1:] != text[:-1]) + 1, len(text))
+    begin = 0
+    for end in ends.tolist():
+        shingle[begin:end].sort()
+        begin = end
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (shingle[1:] != shingle[:-1])
     return text[new], shingle[new]
@@ -179,6 +186,7 @@ def sketch_blocks(
     """(text, key) of the first D + e blocks of every set in its bands' sketches."""
     size = np.bincount(text, minlength=texts)
     extra = needed_agreements(size)
+    often = _is_in(shingle, frequent)
     own = _level(size)
     found = []
     # A set also meets smaller sets of the band below if it is near the border.
@@ -188,47 +196,44 @@ def sketch_blocks(
         chosen = use[text]
         if not chosen.any():
             continue
-        t, s = text[chosen], shingle[chosen]
+        t, s, common = text[chosen], shingle[chosen], often[chosen]
         level = own - down
         top = np.int64(_BAND) ** (level + 1) - 1
         # The partner is at most 4/3 of the set, and of the band below when that is met.
         partner = size * 4 // 3 if not down else np.minimum(size, top)
         most = (size + partner) // 7 + extra - 1
-        blocks = np.maximum(_LEAST_BLOCKS, 4 * (top // 3 + 1))
-        place = mixed(s ^ np.uint64(0x9D2C)) % blocks[t].astype(np.uint64)
-        order = np.lexsort((place, t))
-        t, s, place = t[order], s[order], place[order]
+        blocks = np.maximum(_LEAST_BLOCKS, 4 * (top // 3 + 1)).astype(np.uint64)
+        # Shingles come in the order of their hashes, and so of their blocks.
+        place = (s >> np.uint64(32)) * blocks[t] >> np.uint64(32)
         at = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (place[1:] != place[:-1])))
-        common = np.minimum.reduceat(_is_in(s, frequent).astype(np.uint8), at)
+        common = np.logical_and.reduceat(common, at)
         parity = np.bitwise_xor.reduceat(s, at)
         t, place = t[at], place[at]
         salt = level[t].astype(np.uint64) << np.uint64(40)
         key = mixed(mixed(parity) ^ mixed(place ^ salt))
-        few = use & (np.bincount(t, minlength=texts) <= most)
-        if few.any():
-            empty = [_empty_blocks(k, t, place, int(most[k]), int(blocks[k]), level) for k in
-                     np.flatnonzero(few)]
-            t = np.concatenate([t, *[x for x, _ in empty]])
-            key = np.concatenate([key, *[y for _, y in empty]])
-            # Empty blocks come last of all.
-            common = np.concatenate([common, np.full(len(t) - len(common), 2, np.uint8)])
-        order = np.lexsort((key, common, t))
-        t, key = t[order], key[order]
+        # Rank in the common order: first what is not frequent, then by block.
         first = np.searchsorted(t, np.arange(texts))
-        rank = np.arange(len(t)) - first[t]
+        rare = np.cumsum(~common)
+        before = (rare - ~common)[np.minimum(first, len(t) - 1)]
+        rares = np.bincount(t[~common], minlength=texts)
+        order = np.arange(len(t)) - first[t]
+        rank = np.where(common, rares[t] + order - (rare - before[t]), rare - before[t] - 1)
         keep = rank <= most[t]
         found.append((t[keep], key[keep]))
+        for one in np.flatnonzero(use & (np.bincount(t, minlength=texts) <= most)):
+            found.append(
+                _empty_blocks(one, place[t == one], int(most[one]), int(blocks[one]), level[one])
+            )
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _empty_blocks(one: int, t, place, most: int, blocks: int, level):
-    """A set with too few blocks that are not empty also joins on empty ones."""
-    full = place[t == one]
+def _empty_blocks(one: int, full: np.ndarray, most: int, blocks: int, level: int):
+    """A set with too few blocks that are not empty also joins on empty ones, the last in
+    the common order."""
     empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), full)
-    salt = np.uint64(int(level[one]) << 40 | 1 << 62)
-    key = np.sort(mixed(empty ^ salt))[: most + 1 - len(full)]
+    key = mixed(empty ^ np.uint64(int(level) << 40 | 1 << 62))[: most + 1 - len(full)]
     return np.full(len(key), one, dtype=np.int64), key
 
 
@@ -306,9 +311,8 @@ def _agreeing(key: np.ndarray, doc: np.ndarray, size: np.ndarray) -> pa.Table:
     )
 
 
-def _parted(groups: DataFrame):
+def _parted(groups: DataFrame, parts: int):
     """Rows with a key, by parts of many keys."""
-    parts = 2 * shuffle_partitions(groups)
     return groups.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part")
 
 
@@ -323,43 +327,65 @@ def _often_agreeing(groups: DataFrame) -> DataFrame:
     often = groups.groupBy("doc_id").agg(F.count("*").alias("agreements"), need.alias("need"))
     enough = written(often.where("agreements >= need").select("doc_id"), "enough")
     left = groups.drop("hub").join(enough, "doc_id", "left_semi")
-    return _parted(left).applyInArrow(regroup, _GROUPS)
+    return _parted(left, 2 * shuffle_partitions(left)).applyInArrow(regroup, _GROUPS)
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Pairs a > b in one group, of different components c and sizes within 3/4.
+    """Pairs a, b of different components that agree as often as linked sets have to.
 
-    Groups of one part name the same pairs again and again, so they are made different
-    there; what is held is bounded by the different pairs.
+    Groups of one part name the same pairs again and again, so they are counted there;
+    what is held is bounded by the different pairs.
     """
 
     def pairs(table: pa.Table) -> pa.Table:
-        order = np.lexsort((table.column("a").to_numpy(), table.column("key").to_numpy()))
-        key, a, c, size = (
-            table.column(x).to_numpy()[order] for x in ("key", "a", "c", "size")
-        )
-        ends = np.flatnonzero(np.append(key[1:] != key[:-1], True)) + 1
+        column = lambda name: table.column(name).to_numpy()
+        order = np.lexsort((column("size"), column("key")))
+        key, a, c, size = (column(x)[order] for x in ("key", "a", "c", "size"))
         ids, place = np.unique(a, return_inverse=True)
         first = np.append(True, key[1:] != key[:-1])[: len(key)]
         at = np.arange(len(key))
         position = at - np.maximum.accumulate(np.where(first, at, 0))
-        found, held, pending, apart = np.zeros(0, np.int64), [], 0, 1
-        # Members that are so far apart in their group, of all groups at once.
+        found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held, pending, apart = [], 0, 1
+
+        def counted() -> tuple[np.ndarray, np.ndarray]:
+            every = np.concatenate([found, *held])
+            weight = np.ones(len(every), dtype=np.int64)
+            weight[: len(found)] = counts
+            different, at = np.unique(every, return_inverse=True)
+            return different, np.bincount(at, weights=weight).astype(np.int64)
+
+        # Members so far apart in their group, of all groups at once. Sizes rise in a
+        # group, so a member that has become too large for one is so for all before it.
         while len(at := at[position[at] >= apart]):
+            at = at[size[at - apart] * 4 >= size[at] * 3]
             other = at - apart
-            least, most = np.minimum(size[at], size[other]), np.maximum(size[at], size[other])
-            fits = (c[at] != c[other]) & (least * 4 >= most * 3)
-            held.append(place[at[fits]] * len(ids) + place[other[fits]])
+            differ = c[at] != c[other]
+            x, y = place[at[differ]], place[other[differ]]
+            held.append(np.maximum(x, y) * len(ids) + np.minimum(x, y))
             pending += len(held[-1])
-            if pending > 1_000_000:
-                found, held, pending = np.unique(np.concatenate([found, *held])), [], 0
+            if pending > 2_000_000:
+                found, counts = counted()
+                held, pending = [], 0
             apart += 1
-        found = np.unique(np.concatenate([found, *held]))
+        found, counts = counted()
+        sizes = np.zeros(len(ids), dtype=np.int64)
+        sizes[place] = size
+        high, low = found // max(len(ids), 1), found % max(len(ids), 1)
         return pa.table(
-            {"a": pa.array(ids[found // len(ids)]), "b": pa.array(ids[found % len(ids)])}
+            {
+                "a": pa.array(ids[high]),
+                "b": pa.array(ids[low]),
+                "n": pa.array(counts),
+                "least": pa.array(np.minimum(sizes[high], sizes[low])),
+            }
         )
 
-    return _parted(members).applyInArrow(pairs, "a bigint, b bigint").distinct()
+    kind = "a bigint, b bigint, n bigint, least bigint"
+    parts = max(1, shuffle_partitions(members) // 2)
+    named = _parted(members, parts).applyInArrow(pairs, kind)
+    enough = F.sum("n") >= F.expr("min(least) div 12 + 1")
+    return named.groupBy("a", "b").agg(enough.alias("enough")).where("enough").select("a", "b")
 
 
 def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -387,28 +413,66 @@ def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of which the whole texts have a similarity of at least 3/4."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    docs = docs.join(broadcast_if_small(written(ids, "asked")), "doc_id", "left_semi")
-    side = lambda k: docs.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
+    """Pairs (a, b) of which the whole texts have a similarity of at least 3/4.
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = []
-                for k in "ab":
-                    texts = Texts.of(part.column(f"text_{k}"))
-                    text, shingle = shingle_sets(texts)
-                    sets.append(np.split(shingle, np.searchsorted(text, np.arange(1, len(texts)))))
-                keep = []
-                for x, y in zip(*sets):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(both > 0 and 100 * both >= 75 * (len(x) + len(y) - both))
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(check, "a bigint, b bigint")
+    ``pairs`` is a stored table. Texts that pairs connect lie together, so that a text
+    moves once and not with every pair; large clusters are cut into blocks, and a text
+    moves to the cells of its block.
+    """
+    cluster = components(pairs)
+    sizes = written(
+        cluster.groupBy("component").agg(
+            F.ceil(F.count("*") / _CELL).cast("int").alias("blocks")
+        ),
+        "clusters",
+    )
+    place = written(
+        cluster.join(sizes, "component").select(
+            "id", "component", "blocks",
+            F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
+        ),
+        "places",
+    )
+    asked = (
+        pairs.join(place.select(F.col("id").alias("a"), "component", F.col("block").alias("i")), "a")
+        .join(place.select(F.col("id").alias("b"), F.col("block").alias("j")), "b")
+        .select("component", "i", "j", "a", "b")
+    )
+    ids = broadcast_if_small(place.select(F.col("id").alias("doc_id")))
+    every = lambda c: F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), c)
+    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    cells = F.array_distinct(
+        F.concat(
+            every(lambda k: cell(F.col("block"), k)), every(lambda k: cell(k, F.col("block")))
+        )
+    )
+    held = (
+        docs.join(ids, "doc_id", "left_semi")
+        .join(place.withColumnRenamed("id", "doc_id"), "doc_id")
+        .select("component", F.explode(cells).alias("_cell"), "doc_id", "text")
+        .select("component", "_cell.i", "_cell.j", "doc_id", "text")
+    )
+
+    def check(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        sets = {}
+        wanted = set(asked.column("a").to_pylist()) | set(asked.column("b").to_pylist())
+        texts = texts.filter(pa.array([x in wanted for x in texts.column("doc_id").to_pylist()]))
+        ids = texts.column("doc_id").to_pylist()
+        for first, part in Texts.of(texts.column("text")).slices() if ids else ():
+            text, shingle = shingle_sets(part)
+            some = np.split(shingle, np.searchsorted(text, np.arange(1, len(part))))
+            sets.update(zip(ids[first : first + len(part)], some))
+        keep = []
+        for a, b in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist()):
+            x, y = sets[a], sets[b]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both > 0 and 100 * both >= 75 * (len(x) + len(y) - both))
+        return asked.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    key = ["component", "i", "j"]
+    return held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
+        check, "a bigint, b bigint"
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -442,11 +506,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("a"), F.col("hub").alias("b"), F.col("count").alias("n"))
     )
     met = written(counted, "met")
-    # One hub each first; the least id among equals.
-    best = met.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
     once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
     whole = docs.where(F.col("doc_id").isNotNull())
-    links = written(_linked(written(_alike(best, once), "alike"), whole), "linked")
+    hubs = met.select("a", "b")
+    links = written(_linked(written(_alike(hubs, once), "alike"), whole), "linked")
     found = written(components(links.union(copies)), "components")
 
     def component(k: str) -> DataFrame:
