@@ -1,10 +1,10 @@
 """Token ids of whole texts, from a tokenizer file that is given as a path.
 
-The tokenizers split a text at white space before they merge anything, so a run of
-white space and what follows it up to the next one gets the same ids in every text.
-Such pieces repeat: their ids are kept in a bounded table per Python worker, and only
-pieces that are not in it go through the library. Texts for which the split could
-depend on a neighbouring piece are encoded whole.
+The tokenizers split a text at white space before they merge anything, so what lies
+between gets the same ids in every text (with a blank before it or without). Such pieces
+repeat: their ids are kept in a bounded table per Python worker, and only pieces that are
+not in it go through the library. Texts for which the split could depend on a
+neighbouring piece are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,11 +15,16 @@ import unicodedata
 from array import array
 
 # The characters that the tokenizers' patterns take as white space.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = (
+    "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-_WHITE = frozenset(WHITE)
-#: Before the key of a piece that has no blank in front.
+_UNUSUAL = re.compile(f"[{WHITE.replace(' ', '').replace(chr(10), '')}]")
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+#: Before the key of a piece that has no blank in front, twice if it is white space.
 _BARE = "\0"
+_LINE_END = _BARE + _BARE + "\n"
 #: A capital whose lower case is a letter and a mark, which can join the next piece.
 _SPLITTING_CAPITAL = "İ"
 #: Marks after a word, which no token joins to it.
@@ -53,27 +58,56 @@ class TextTokenizer:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    @staticmethod
-    def _keys(text: str) -> list[str]:
-        """Of single blanks between pieces: a piece stands for itself and its blank."""
-        keys = text.split(" ")
-        keys[0] = _BARE + keys[0]
+    def _keys(self, text: str) -> list[str]:
+        """Of single blanks and line ends between pieces.
+
+        A key with ``_BARE`` stands for itself, any other for itself with a blank before.
+        """
+        if self._normalizes:
+            # White space is dropped, and case does not matter where it is plain.
+            lower = text.lower()
+            if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", lower):
+                text = lower
+            return text.replace("\n", " ").split(" ")
+        keys = text.split(" ") if "\n" not in text else []
+        for line in text.split("\n") if not keys else ():
+            begin = len(keys)
+            keys += line.split(" ")
+            keys[begin] = _BARE + keys[begin]
+            keys.append(_LINE_END)
+        if keys[-1] == _LINE_END:
+            keys.pop()
+        else:
+            keys[0] = _BARE + keys[0]
         return keys
 
     @staticmethod
-    def _odd(key: str) -> bool:
-        """Whether a key from ``_keys`` isn't a piece, or could be taken for another."""
-        bare = key.removeprefix(_BARE)
-        return not bare or bare[0] in _WHITE or bare[-1] in _WHITE or _BARE in bare
-
-    @staticmethod
-    def _odd_keys(text: str) -> list[str]:
-        return [
-            piece[1:]
-            if piece[0] == " " and len(piece) > 1 and piece[1] not in _WHITE
-            else _BARE + piece
-            for piece in _PIECES.findall(text)
-        ]
+    def _plain(text: str) -> bool:
+        """Whether white space is one blank or line end between two pieces everywhere."""
+        return not (
+            text[0] in WHITE
+            or text[-1] in WHITE
+            or any(run in text for run in _RUNS)
+            or _UNUSUAL.search(text)
+        )
+
+    def _odd_keys(self, text: str) -> list[str]:
+        """Of any white space: its last character is split off before a piece."""
+        keys = []
+        for piece in _PIECES.findall(text):
+            word = piece.lstrip(WHITE)
+            space = piece[: len(piece) - len(word)]
+            if self._normalizes or not word:
+                keys.append(_BARE + word if word else _BARE + _BARE + space)
+                continue
+            last = space[-1:]
+            if len(space) > 1:
+                keys.append(_BARE + _BARE + space[:-1])
+            if last == " ":
+                keys.append(word)
+            else:
+                keys += [_BARE + _BARE + last, _BARE + word] if last else [_BARE + word]
+        return keys
 
     def _learn(self, keys: list[str]) -> None:
         """Make every key known, or its part before a closing mark."""
@@ -86,14 +120,14 @@ class TextTokenizer:
                     unseen[stem] = None
                 else:
                     new[stem] = known
-        texts = [k[1:] if k[0] == _BARE else " " + k for k in unseen]
+        texts = [k.lstrip(_BARE) if k[0] == _BARE else " " + k for k in unseen]
         new.update(zip(unseen, self._encoded(texts)))
 
-    def _looked_up(self, keys: list[str]) -> tuple[list[str], list, list]:
+    def _looked_up(self, keys: list[str]) -> tuple[list, list]:
         """The ids of the pieces close by, and (place, ids) of the others if known."""
         ids = list(map(self._near.get, keys))
         places = [k for k, x in enumerate(ids) if x is None]
-        return keys, ids, list(zip(places, map(self._new.get, [keys[k] for k in places])))
+        return ids, list(zip(places, map(self._new.get, [keys[k] for k in places])))
 
     def packed(self, texts: list[str | None]) -> list[bytes]:
         """Per text the ids as little-endian unsigned 32-bit integers; null is empty."""
@@ -112,9 +146,8 @@ class TextTokenizer:
             ):
                 out[i] = self._encoded([text])[0]
                 continue
-            keys, ids, rest = self._looked_up(self._keys(text))
-            if any(x is None and self._odd(keys[k]) for k, x in rest):
-                keys, ids, rest = self._looked_up(self._odd_keys(text))
+            keys = self._keys(text) if self._plain(text) else self._odd_keys(text)
+            ids, rest = self._looked_up(keys)
             for k, x in rest:
                 if x is None:
                     missing.append((ids, k, keys[k]))
@@ -125,7 +158,10 @@ class TextTokenizer:
             found[i] = ids
         self._learn([key for _, _, key in missing])
         for ids, k, key in missing:
-            ids[k] = known[key] if key in known else known[key[:-1]] + ends[key[-1]]
+            x = known.get(key)
+            if x is None:
+                x = known[key] = known[key[:-1]] + ends[key[-1]]
+            ids[k] = x
         for i, ids in found.items():
             out[i] = b"".join(ids)
         return out
