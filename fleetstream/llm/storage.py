@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetstream.sources.workdir import shared_dir
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write the rows below ``spark.checkpoint.dir`` and read them from there."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

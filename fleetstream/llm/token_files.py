@@ -66,8 +66,21 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     return value & _MASKS[sizes]
 
 
+def _narrow(packed: bytes) -> bytes:
+    """32-bit ids as their width, 2 or 4, and as many bytes per id."""
+    ids = np.frombuffer(packed, dtype="<u4")
+    if ids.size and ids.max() > 0xFFFF:
+        return b"\4" + packed
+    return b"\2" + ids.astype("<u2").tobytes()
+
+
+def unpacked(ids: bytes) -> np.ndarray:
+    """The ids of a row of ``token_ids``."""
+    return np.frombuffer(ids, dtype=f"<u{ids[0]}", offset=1)
+
+
 def token_ids(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
-    """doc_id, ids (little-endian unsigned 32-bit integers), with ``end_id`` after each.
+    """doc_id, ids (for ``unpacked``), with ``end_id`` after each.
 
     A null or empty text has the end id alone. Repeated rows stay repeated.
     """
@@ -78,7 +91,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, _GROUP):
                 part = batch.slice(at, _GROUP)
-                ids = [x + end for x in packed(part.column("text").to_pylist())]
+                ids = [_narrow(x + end) for x in packed(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "ids"],
@@ -94,7 +107,7 @@ def frequencies(ids: DataFrame) -> DataFrame:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for packed in batch.column("ids"):
-                n = np.bincount(np.frombuffer(packed.as_buffer(), dtype="<u4"))
+                n = np.bincount(unpacked(packed.as_py()))
                 if len(n) > len(total):
                     total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
                 total[: len(n)] += n
@@ -140,7 +153,7 @@ def write_token_files(ids: DataFrame, path: str) -> None:
         for batch in batches:
             for doc_id, packed in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 doc_ids.append(doc_id)
-                held.append(np.frombuffer(packed.as_py(), dtype="<u4"))
+                held.append(unpacked(packed.as_py()))
                 size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield closed()
@@ -152,7 +165,8 @@ def write_token_files(ids: DataFrame, path: str) -> None:
         ids.repartitionByRange(shuffle_partitions(ids), "doc_id")
         .sortWithinPartitions("doc_id", "ids")
         .mapInArrow(blocks, _BLOCKS)
-        .write.parquet(f"{path}/blocks")
+        .write.option("compression", "zstd")
+        .parquet(f"{path}/blocks")
     )
 
 
@@ -205,7 +219,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def stored_tokens(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
     """Tokenize, write a store in the shared folder and read it back."""
     to = shared_dir(docs.sparkSession, "tokens")
-    write_token_files(written(token_ids(docs, path, end_id), "ids"), to)
+    write_token_files(written(token_ids(docs, path, end_id), "ids", "zstd"), to)
     return read_token_files(docs.sparkSession, to)
 
 
