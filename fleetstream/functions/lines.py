@@ -16,41 +16,43 @@ SEPARATOR = "|"
 
 
 def _at_most(limit: int) -> str:
-    """Pattern of the unsigned decimal numbers from 0 to ``limit``, at least 10."""
+    """Pattern of the unsigned decimal numbers from 0 to ``limit``, at least 10.
+
+    A run of digits can be read in one way only, so a bad field costs one pass.
+    """
     digits = str(limit)
-    shorter = f"[0-9]{{1,{len(digits) - 1}}}"
-    longest = []
+    numbers = [f"[1-9][0-9]{{0,{len(digits) - 2}}}"]
     for i, d in enumerate(digits):
-        if d != "0":
+        low = 1 if i == 0 else 0
+        if int(d) - 1 >= low:
             rest = len(digits) - i - 1
-            low = 1 if i == 0 else 0
-            if int(d) - 1 >= low:
-                longest.append(f"{digits[:i]}[{low}-{int(d) - 1}][0-9]{{{rest}}}")
-    longest.append(digits)
-    return "0*(?:" + "|".join([shorter, *longest]) + ")"
+            numbers.append(f"{digits[:i]}[{low}-{int(d) - 1}][0-9]{{{rest}}}")
+    numbers.append(digits)
+    some = "(?:" + "|".join(numbers) + ")(?![0-9])"
+    return f"(?:0++(?:{some})?|{some})"
 
 
 def _signed(bits: int) -> str:
     top = 2 ** (bits - 1)
-    return f"(?:[+-]?{_at_most(top - 1)}|-0*{top})"
+    return f"(?:[+-]?{_at_most(top - 1)}|-0*+{top})"
 
 
-_BLANK = r"[\x00-\x20]*"
-_EXPONENT = r"(?:[eE][+-]?[0-9]+)?"
+# All runs are possessive: what a run has taken it does not give back.
+_BLANK = r"[\x00-\x20]*+"
+_DECIMAL = r"(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?"
+_HEXADECIMAL = (
+    r"0[xX](?:[0-9a-fA-F]++(?:\.[0-9a-fA-F]*+)?|\.[0-9a-fA-F]++)[pP][+-]?[0-9]++"
+)
 
 # What counts as a value of each kind: no blanks in integers, range included;
-# doubles as Java reads decimal literals.
+# doubles as Java reads decimal and hexadecimal literals.
 PATTERNS = {
     LONG: _signed(64),
     INT: _signed(32),
     DOUBLE: (
-        _BLANK
-        + r"[+-]?(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)"
-        + _EXPONENT
-        + r"[fFdD]?)"
-        + _BLANK
+        f"{_BLANK}[+-]?(?:NaN|Infinity|(?:{_HEXADECIMAL}|{_DECIMAL})[fFdD]?){_BLANK}"
     ),
-    STRING: r"[^|]*",
+    STRING: r"[^|]*+",
 }
 
 
@@ -62,9 +64,9 @@ def line_pattern(fields) -> str:
     """
     parts = [PATTERNS[kind] for _, kind in fields]
     if fields[-1][1] == STRING:
-        parts[-1] = r"[^|]+"
+        parts[-1] = r"[^|]++"
     # (?s) and \z: a line break inside a field is data, not an end of input.
-    return r"(?s)^" + r"\|".join(parts) + r"\|*\z"
+    return r"(?s)^" + r"\|".join(parts) + r"\|*+\z"
 
 
 def is_well_formed(value: Column, fields) -> Column:

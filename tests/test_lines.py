@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -160,3 +161,24 @@ def test_line_without_arrival(spark):
     assert [r["reason"] for r in parse.quarantine_traffic(df).collect()] == ["no arrival"]
     with pytest.raises(PySparkException, match="malformed line"):
         parse.parse_traffic(df).collect()
+
+
+@pytest.mark.parametrize("digits", ["1" * 200_000 + "x", "0" * 200_000 + "x", "1." + "5" * 200_000 + "e"])
+def test_long_malformed_fields_take_one_pass(spark, digits):
+    line = f"1486669632837|30|5|A Driver|5|A to B|{digits}|42|68|Violation|1|0|3|17"
+    df = lines(spark, [line]).cache()
+    df.count()
+    parse.quarantine_truck(lines(spark, [TRUCK_LINE])).collect()
+    begin = time.perf_counter()
+    (row,) = parse.quarantine_truck(df).collect()
+    assert row["reason"] == "bad latitude"
+    assert time.perf_counter() - begin < 1
+
+
+def test_hexadecimal_doubles(spark):
+    for text, value in (("0x1.8p3", 12.0), ("-0X.8P-1", -0.25), ("0x1p0", 1.0)):
+        (row,) = parse.parse_truck(lines(spark, [TRUCK_LINE.replace("|75|", f"|{text}|")])).collect()
+        assert row["latitude"] == value
+    for text in ("0x1.8", "0xp1", "x1p1", "0x1p"):
+        df = lines(spark, [TRUCK_LINE.replace("|75|", f"|{text}|")])
+        assert [r["reason"] for r in parse.quarantine_truck(df).collect()] == ["bad latitude"]
