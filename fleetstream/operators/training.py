@@ -153,6 +153,55 @@ def fit_scaling(truck: DataFrame, cfg: FleetConfig) -> FeatureScaling:
     )
 
 
+def grouped_points(points: DataFrame) -> DataFrame:
+    """Equal labeled points as one with a weight."""
+    return points.groupBy("label", "features").agg(
+        F.count(F.lit(1)).cast("double").alias("weight")
+    )
+
+
+def weighted_points(truck: DataFrame, traffic: DataFrame, cfg: FleetConfig) -> DataFrame:
+    """The labeled points of the enriched rows, weighted by their number of readings,
+    so that the join is never expanded."""
+    points = with_batch(
+        truck.select(
+            "arrival",
+            "route_id",
+            violation_flag().cast("double").alias("label"),
+            feature_array(cfg).alias("features"),
+        ),
+        cfg,
+    )
+    return (
+        points.join(reading_counts(traffic, cfg), ["bw", "route_id"])
+        .groupBy("label", "features")
+        .agg(F.sum("readings").cast("double").alias("weight"))
+    )
+
+
+def train_logistic_sgd(
+    points: DataFrame, cfg: FleetConfig, step_size: float = 1.0, iterations: int = 100
+) -> list[float]:
+    """Offline logistic model by full-batch gradient steps from zero, no intercept.
+
+    ``points`` is a stored table of label, features and weight. Step t moves against the
+    mean gradient by step_size / sqrt(t); each is one aggregate of as many numbers as
+    there are features. No points leave the weights at zero.
+    """
+    size = cfg.num_weights
+    weights = [0.0] * size
+    x = [F.get("features", F.lit(i)) for i in range(size)]
+    for t in range(1, iterations + 1):
+        margin = sum((x[i] * F.lit(weights[i]) for i in range(1, size)), x[0] * weights[0])
+        miss = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col("label"))
+        sums = points.agg(F.sum("weight"), *[F.sum(miss * x[i]) for i in range(size)]).first()
+        if not sums[0]:
+            break
+        rate = step_size / math.sqrt(t) / sums[0]
+        weights = [w - rate * g for w, g in zip(weights, sums[1:])]
+    return weights
+
+
 def train_logistic(truck: DataFrame, traffic: DataFrame, cfg: FleetConfig, **params):
     """Offline logistic model over the enriched history; returns the fitted model.
 

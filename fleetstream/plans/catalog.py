@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,6 +24,8 @@ from fleetstream.sources.workdir import shared_dir
 
 # The weights the scoring queries use, in feature order.
 DEMO_WEIGHTS = (0.01, -0.002, 0.003, 0.004, 0.05, -0.06, 0.07)
+LOGISTIC_STEP = 1.0
+LOGISTIC_ITERATIONS = 12
 
 _STATS = [
     "driver_id",
@@ -199,25 +202,28 @@ def labeled_points(spark, sf):
     )
 
 
+def _scored(spark: SparkSession, sf: str, extra=(), **model) -> DataFrame:
+    """Truck rows are scored before the join multiplies them."""
+    truck = scoring.predict(tel.truck(spark, sf), DEMO_WEIGHTS, tel.HOURLY, **model)
+    traffic = tel.traffic(spark, sf)
+    return enrich_join(truck, traffic, tel.HOURLY, extra=(*extra, "prediction"))
+
+
 def predict(spark, sf):
-    rows = _enriched(spark, sf, extra=("event_id",))
-    return scoring.predict(rows, DEMO_WEIGHTS, tel.HOURLY).select(
+    return _scored(spark, sf, extra=("event_id",)).select(
         "event_id", "congestion_level", _rounded("prediction", "prediction")
     )
 
 
 def predict_logistic(spark, sf):
-    rows = _enriched(spark, sf, extra=("event_id",))
-    scored = scoring.predict(
-        rows, DEMO_WEIGHTS, tel.HOURLY, intercept=0.25, link="logistic"
-    )
+    scored = _scored(spark, sf, extra=("event_id",), intercept=0.25, link="logistic")
     return scored.select(
         "event_id", "congestion_level", _rounded("prediction", "prediction")
     )
 
 
 def prediction_lines(spark, sf):
-    rows = scoring.predict(_enriched(spark, sf), DEMO_WEIGHTS, tel.HOURLY)
+    rows = _scored(spark, sf)
     text = rows.select(F.round("prediction", 6).cast("decimal(20,6)").alias("prediction"))
     return render.prediction_lines(text)
 
@@ -243,12 +249,12 @@ def sgd_train_step(spark, sf):
     )
 
 
-def _trained(spark, sf) -> WeightsTable:
+def _trained(spark, sf, cfg=tel.SCALED) -> WeightsTable:
     table = WeightsTable(spark, shared_dir(spark, "weights"))
     train_history(
         tel.truck(spark, sf),
         tel.traffic(spark, sf),
-        tel.SCALED,
+        cfg,
         table,
         shared_dir(spark, "moments"),
     )
@@ -288,11 +294,38 @@ def prequential_scores(spark, sf):
 
 
 def train_logistic_batch(spark, sf):
-    model = training.train_logistic(
+    points = training.weighted_points(
+        tel.truck(spark, sf), tel.traffic(spark, sf), tel.SCALED
+    )
+    return _position_rows(_logistic_weights(spark, points))
+
+
+def _logistic_weights(spark: SparkSession, points: DataFrame) -> DataFrame:
+    path = shared_dir(spark, "points")
+    points.write.parquet(path)
+    weights = training.train_logistic_sgd(
+        spark.read.parquet(path), tel.SCALED, LOGISTIC_STEP, LOGISTIC_ITERATIONS
+    )
+    return spark.createDataFrame([(weights,)], "weights array<double>")
+
+
+def weights_from_pretrained(spark, sf):
+    """Save a logistic model, load it as the job does, and train on from there."""
+    from pyspark.ml.functions import array_to_vector
+
+    points = training.weighted_points(
         tel.truck(spark, sf), tel.traffic(spark, sf), tel.SCALED
     )
-    weights = [float(w) for w in model.coefficients]
-    return _position_rows(spark.createDataFrame([(weights,)], "weights array<double>"))
+    saved = shared_dir(spark, "model")
+    _logistic_weights(spark, points).select(
+        array_to_vector("weights").alias("weights"), F.lit(0.0).alias("intercept")
+    ).write.parquet(f"{saved}/data")
+    table = _trained(spark, sf, dataclasses.replace(tel.SCALED, pretrained_path=saved))
+    return (
+        table.read()
+        .select("bw", "rows", F.posexplode("weights").alias("position", "w"))
+        .select(_clock("bw"), "rows", "position", _rounded("w", "weight"))
+    )
 
 
 def stream_enriched_history(spark, sf):
@@ -342,12 +375,15 @@ def train_logistic_history(spark, sf):
     path = shared_dir(spark, "enriched")
     append_history(_enriched(spark, sf), path, rebalance=True)
     history = read_history(spark, path)
-    model = training.train_logistic_history(history, tel.SCALED)
+    fitted = _logistic_weights(
+        spark, training.grouped_points(training.labeled_points(history, tel.SCALED))
+    )
     newest = history.agg(
         F.unix_micros(F.max("bw")).alias("bw"), F.count("bw").alias("n")
     ).first()
     table = WeightsTable(spark, shared_dir(spark, "weights"))
-    publish_weights(table, model.coefficients, newest["bw"], newest["n"], tel.SCALED)
+    weights = fitted.first()["weights"]
+    publish_weights(table, weights, newest["bw"], newest["n"], tel.SCALED)
     return _position_rows(table.read())
 
 
@@ -386,6 +422,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prequential_scores": prequential_scores,
     "train_logistic_batch": train_logistic_batch,
     "train_logistic_history": train_logistic_history,
+    "weights_from_pretrained": weights_from_pretrained,
     "stream_enriched_history": stream_enriched_history,
     "stream_window_stats": stream_window_stats,
     "stream_weights": stream_weights,

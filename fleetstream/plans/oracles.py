@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from fleetstream.operators.training import moment_names
-from fleetstream.plans.catalog import DEMO_WEIGHTS
+from fleetstream.plans.catalog import (
+    DEMO_WEIGHTS,
+    LOGISTIC_ITERATIONS,
+    LOGISTIC_STEP,
+)
 from fleetstream.plans.telemetry import SCALED
 from fleetstream.schemas import (
     ENRICHED_FIELDS,
@@ -306,3 +310,38 @@ ORACLES: dict[str, str] = {
 ORACLES["stream_enriched_history"] = ORACLES["enriched_history"]
 ORACLES["stream_window_stats"] = ORACLES["driver_window_stats"]
 ORACLES["stream_weights"] = ORACLES["weights_history"]
+
+_GROUPED = (
+    f"{_POINTS}, grouped AS (SELECT "
+    + ", ".join(f"x{i}" for i in range(_SIZE))
+    + ", y, count(*) AS c FROM points GROUP BY ALL)"
+)
+_MARGIN = " + ".join(f"x{i} * w[{i + 1}]" for i in range(_SIZE))
+_LOGISTIC = f"""{_GROUPED}, logistic AS (
+  SELECT 0 AS t, {_ZEROS} AS w
+  UNION ALL
+  SELECT t + 1, [{", ".join(
+      f"w[{i}] - {LOGISTIC_STEP} / sqrt(t + 1) * g[{i}]" for i in range(1, _SIZE + 1))}]
+  FROM (SELECT t, w, [{", ".join(
+      f"sum(c * (p - y) * x{i}) / sum(c)" for i in range(_SIZE))}] AS g
+    FROM (SELECT t, w, c, y, {", ".join(f"x{i}" for i in range(_SIZE))},
+        1 / (1 + exp(-({_MARGIN}))) AS p
+      FROM logistic, grouped WHERE t < {LOGISTIC_ITERATIONS})
+    GROUP BY t, w))"""
+_FITTED = f"(SELECT w FROM logistic WHERE t = {LOGISTIC_ITERATIONS})"
+
+ORACLES["train_logistic_batch"] = _with(
+    _LOGISTIC,
+    f"SELECT position, {_rounded('w[position + 1]')} AS weight "
+    f"FROM logistic, (VALUES {_POSITIONS}) p(position) WHERE t = {LOGISTIC_ITERATIONS}",
+    recursive=True,
+)
+ORACLES["train_logistic_history"] = ORACLES["train_logistic_batch"]
+ORACLES["weights_from_pretrained"] = _with(
+    _TRAINED.replace(_POINTS, _LOGISTIC).replace(
+        f"AS n, {_ZEROS} AS w", f"AS n, {_FITTED} AS w"
+    ),
+    f"SELECT bw, n AS rows, position, {_rounded('w[position + 1]')} AS weight "
+    f"FROM trained, (VALUES {_POSITIONS}) p(position) WHERE k > 0",
+    recursive=True,
+)
