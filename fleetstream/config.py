@@ -70,9 +70,15 @@ class FleetConfig:
     stats_topic: str = "windowed"
     prediction_topic: str = "trucking_predictions"
     starting_offsets: str = "latest"
+    # What one trigger may read; None reads all there is.
+    max_offsets_per_trigger: int | None = None
+    max_files_per_trigger: int | None = None
+    # Rows that arrive later than now by more than this are rejected, or fail the job
+    # where lines are parsed strictly; one would move the watermark past all others.
+    future_allowance: str | None = "1 hour"
 
     # Histories: typed "parquet" or rendered "text"; "append" keeps every trigger,
-    # "latest" only the newest one.
+    # "latest" only the newest one that had rows.
     history_format: str = "parquet"
     history_mode: str = "append"
     enriched_path: str | None = None
@@ -98,6 +104,8 @@ class FleetConfig:
         length = duration_micros(self.window_length)
         slide = duration_micros(self.window_slide)
         duration_micros(self.watermark_delay)
+        if self.future_allowance is not None:
+            duration_micros(self.future_allowance)
         if batch <= 0 or length <= 0 or slide <= 0:
             raise ValueError("durations must be positive")
         if length % batch or slide % batch:

@@ -15,6 +15,14 @@ def with_watermark(df: DataFrame, cfg: FleetConfig) -> DataFrame:
     return df.withWatermark("arrival", cfg.watermark_delay) if df.isStreaming else df
 
 
+def in_future(cfg: FleetConfig) -> Column:
+    """Whether a line's arrival lies beyond the allowance for clocks that run ahead."""
+    if cfg.future_allowance is None:
+        return F.lit(False)
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {cfg.future_allowance}")
+    return F.coalesce(F.col("arrival") > latest, F.lit(False))
+
+
 def with_batch(df: DataFrame, cfg: FleetConfig) -> DataFrame:
     """Adds ``bw`` and drops ``arrival``, so one event-time column remains.
 

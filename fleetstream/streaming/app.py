@@ -4,18 +4,27 @@ from __future__ import annotations
 
 import argparse
 import dataclasses
+import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from fleetstream.config import FleetConfig
+from fleetstream.config import FeatureScaling, FleetConfig
 from fleetstream.operators import parse
+from fleetstream.operators.batches import in_future
+from fleetstream.operators.enrich import enrich_join
 from fleetstream.operators.render import enriched_lines, prediction_lines, stats_lines
+from fleetstream.operators.scoring import prequential_scores
+from fleetstream.operators.stats import driver_window_stats
+from fleetstream.sinks.outputs import append_history
 from fleetstream.sources.lines import file_lines, traffic_topic, truck_topic
-from fleetstream.sources.weights import WeightsTable
+from fleetstream.sources.weights import WeightsTable, train_history
 from fleetstream.sources.workdir import shared_dir
 from fleetstream.streaming import queries as q
 
+log = logging.getLogger(__name__)
+
 
 def start_all(
     spark: SparkSession,
@@ -30,12 +39,116 @@ def start_all(
 
     They are separate queries because a stream keeps its state per query; each
     reads the sources on its own. ``spark`` should be a ``stream_session`` and the
-    lines must be read through it.
+    lines must be read through it. Without ``trigger`` the queries run on, for which a
+    checkpoint path is needed; permissive parsing needs a place for what it rejects.
+    """
+    if trigger is None and not cfg.checkpoint_path:
+        raise ValueError("a running job needs a checkpoint_path")
+    if cfg.parse_mode == "permissive" and not cfg.quarantine_path:
+        raise ValueError("permissive parsing needs a quarantine_path")
+    truck = parse.parse_truck(_timely(truck_lines, cfg), cfg.parse_mode)
+    traffic = parse.parse_traffic(_timely(traffic_lines, cfg), cfg.parse_mode)
+    spark.streams.addListener(LateRows())
+    table = WeightsTable(spark, cfg.weights_path or shared_dir(spark, "weights"))
+
+    enriched_sinks, score_sinks, stats_sinks = _sinks(cfg, kafka, preview)
+    if score_sinks:
+        enriched_sinks.append(q.score_sink(table, cfg, score_sinks))
+
+    started = [q.start_training(truck, traffic, cfg, table, trigger)]
+    if enriched_sinks:
+        started.append(q.start_enriched(truck, traffic, cfg, enriched_sinks, trigger))
+    if stats_sinks:
+        started.append(q.start_stats(truck, traffic, cfg, stats_sinks, trigger))
+    if cfg.parse_mode == "permissive":
+        for name, rejects in _rejects(cfg, truck_lines, traffic_lines).items():
+            path = f"{cfg.quarantine_path}/{name}"
+            started.append(q.start_quarantine(rejects, cfg, name, path, trigger))
+    return started
+
+
+def run_once(
+    spark: SparkSession,
+    cfg: FleetConfig,
+    truck_lines: DataFrame,
+    traffic_lines: DataFrame,
+    kafka: bool = True,
+    preview: bool = True,
+) -> None:
+    """Process a bounded input to its last window, through the batch operators.
+
+    A stream would hold back what its watermark has not closed. Histories are written as
+    trigger ``once``, which a second run over the same days replaces.
     """
-    truck = parse.parse_truck(truck_lines, cfg.parse_mode)
-    traffic = parse.parse_traffic(traffic_lines, cfg.parse_mode)
+    if cfg.parse_mode == "permissive" and not cfg.quarantine_path:
+        raise ValueError("permissive parsing needs a quarantine_path")
+    truck = parse.parse_truck(_timely(truck_lines, cfg), cfg.parse_mode)
+    traffic = parse.parse_traffic(_timely(traffic_lines, cfg), cfg.parse_mode)
     table = WeightsTable(spark, cfg.weights_path or shared_dir(spark, "weights"))
+    train_history(truck, traffic, cfg, table, shared_dir(spark, "moments"))
+    enriched_sinks, score_sinks, stats_sinks = _sinks(cfg, kafka, preview)
+    for df, sinks in (
+        (enrich_join(truck, traffic, cfg), enriched_sinks),
+        (prequential_scores(truck, traffic, table.read(), cfg), score_sinks),
+        (driver_window_stats(truck, traffic, cfg), stats_sinks),
+    ):
+        for sink in sinks:
+            sink(df, "once")
+    if cfg.parse_mode == "permissive":
+        for name, rejects in _rejects(cfg, truck_lines, traffic_lines).items():
+            append_history(rejects, f"{cfg.quarantine_path}/{name}", "once", "arrival")
+
 
+class LateRows(StreamingQueryListener):
+    """Logs how many rows a trigger has left out because they came too late."""
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        late = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        if late:
+            log.warning(
+                "%s, trigger %s: %s rows were behind the watermark and left out",
+                progress.name, progress.batchId, late,
+            )
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def _timely(lines: DataFrame, cfg: FleetConfig) -> DataFrame:
+    """Lines without those from the future; parsed strictly, such a line is an error."""
+    if cfg.future_allowance is None:
+        return lines
+    ahead = in_future(cfg)
+    if cfg.parse_mode == "permissive":
+        return lines.where(~ahead)
+    message = F.concat(F.lit("line from the future: "), F.col("value"))
+    value = F.when(ahead, F.raise_error(message)).otherwise(F.col("value"))
+    return lines.withColumn("value", value)
+
+
+def _rejects(cfg: FleetConfig, truck: DataFrame, traffic: DataFrame) -> dict[str, DataFrame]:
+    """What permissive parsing leaves out of each input, with the reason."""
+    found = {}
+    for name, lines, rejects in (
+        ("truck", truck, parse.quarantine_truck),
+        ("traffic", traffic, parse.quarantine_traffic),
+    ):
+        found[name] = rejects(lines.where(~in_future(cfg)))
+        if cfg.future_allowance is not None:
+            late = lines.where(in_future(cfg)).withColumn("reason", F.lit("from the future"))
+            found[name] = found[name].unionByName(late.select(*found[name].columns))
+    return found
+
+
+def _sinks(cfg: FleetConfig, kafka: bool, preview: bool) -> tuple[list, list, list]:
+    """Sinks of enriched rows, scores and statistics."""
     enriched_sinks, score_sinks, stats_sinks = [], [], []
     if preview:
         enriched_sinks.append(q.preview_sink(cfg.preview_rows))
@@ -51,24 +164,7 @@ def start_all(
     ):
         if path:
             sinks.append(q.configured_history(cfg, path, to_lines, time))
-    if score_sinks:
-        enriched_sinks.append(q.score_sink(table, cfg, score_sinks))
-
-    started = [q.start_training(truck, traffic, cfg, table, trigger)]
-    if enriched_sinks:
-        started.append(q.start_enriched(truck, traffic, cfg, enriched_sinks, trigger))
-    if stats_sinks:
-        started.append(q.start_stats(truck, traffic, cfg, stats_sinks, trigger))
-    if cfg.parse_mode == "permissive" and cfg.quarantine_path:
-        for name, lines, rejects in (
-            ("truck", truck_lines, parse.quarantine_truck),
-            ("traffic", traffic_lines, parse.quarantine_traffic),
-        ):
-            path = f"{cfg.quarantine_path}/{name}"
-            started.append(
-                q.start_quarantine(rejects(lines), cfg, name, path, trigger)
-            )
-    return started
+    return enriched_sinks, score_sinks, stats_sinks
 
 
 def _settings(argv) -> tuple[FleetConfig, argparse.Namespace]:
@@ -77,8 +173,21 @@ def _settings(argv) -> tuple[FleetConfig, argparse.Namespace]:
     parser.add_argument("--traffic-files", help="read traffic lines from files")
     parser.add_argument("--no-kafka-out", action="store_true")
     parser.add_argument("--quiet", action="store_true", help="no console preview")
-    parser.add_argument("--once", action="store_true", help="process what is there")
-    kinds = {"int": int, "int | None": int, "float": float, "str": str, "str | None": str}
+    parser.add_argument(
+        "--once", action="store_true", help="process all that is there, to the last window"
+    )
+    kinds = {
+        "int": int,
+        "int | None": int,
+        "float": float,
+        "str": str,
+        "str | None": str,
+        "tuple[str, ...]": lambda text: tuple(text.split(",")),
+        "tuple[int, ...] | None": lambda text: tuple(int(x) for x in text.split(",")),
+        "FeatureScaling | None": lambda text: FeatureScaling(
+            *(tuple(float(x) for x in part.split(",")) for part in text.split(";"))
+        ),
+    }
     fields = [f for f in dataclasses.fields(FleetConfig) if f.type in kinds]
     for f in fields:
         parser.add_argument("--" + f.name.replace("_", "-"), type=kinds[f.type])
@@ -92,29 +201,22 @@ def main(argv=None) -> None:
     # The master and all resources come from spark-submit.
     spark = SparkSession.builder.appName("fleetstream").getOrCreate()
     session = q.stream_session(spark, cfg)
-    truck = (
-        file_lines(session, args.truck_files, streaming=True)
-        if args.truck_files
-        else truck_topic(session, cfg)
-    )
-    traffic = (
-        file_lines(session, args.traffic_files, streaming=True)
-        if args.traffic_files
-        else traffic_topic(session, cfg)
-    )
-    started = start_all(
-        session,
-        cfg,
-        truck,
-        traffic,
-        kafka=not args.no_kafka_out,
-        preview=not args.quiet,
-        trigger={"availableNow": True} if args.once else None,
-    )
+    live = not args.once
+    limit = {"maxFilesPerTrigger": cfg.max_files_per_trigger} if live else {}
+    limit = {k: v for k, v in limit.items() if v}
+
+    def lines(path: str | None, topic) -> DataFrame:
+        if path:
+            return file_lines(session, path, streaming=live, **limit)
+        return topic(session, cfg, streaming=live)
+
+    truck = lines(args.truck_files, truck_topic)
+    traffic = lines(args.traffic_files, traffic_topic)
+    outputs = {"kafka": not args.no_kafka_out, "preview": not args.quiet}
     if args.once:
-        for query in started:
-            query.awaitTermination()
+        run_once(session, cfg, truck, traffic, **outputs)
     else:
+        start_all(session, cfg, truck, traffic, **outputs)
         session.streams.awaitAnyTermination()
 
 

@@ -57,7 +57,7 @@ def _start(
 
     def each(batch: DataFrame, number: int) -> None:
         epoch = f"{started.result().id}-{number}"
-        if len(sinks) == 1 and not reuse:
+        if len(sinks) == 1 and not (reuse or cfg.history_mode == "latest"):
             sinks[0](batch, epoch)
             return
         # Without this every action would run the stateful plan again.
@@ -98,6 +98,9 @@ def configured_history(cfg: FleetConfig, path: str, to_lines, time: str = "bw")
 
     def sink(batch: DataFrame, epoch: str) -> None:
         if cfg.history_mode == "latest":
+            # A trigger without rows leaves the last one that had some.
+            if batch.isEmpty():
+                return
             write_latest(to_lines(batch) if text else batch, path, cfg.history_format)
             return
         rows = to_lines(batch, carry=(time,)) if text else batch

@@ -44,6 +44,8 @@ class Feed:
             stream_partitions=2,
             truck_salts=3,
             traffic_salts=2,
+            # The lines that end an input are from 2100.
+            future_allowance=None,
         )
         self.session = q.stream_session(spark, self.cfg)
         self.step = 40 / slices
@@ -348,16 +350,73 @@ def test_history_prunes_days(feed, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
-def test_command_line(feed, tmp_path):
-    feed.add_all()
-    out = str(tmp_path / "out")
-    app.main(
-        ["--truck-files", feed.paths["truck"], "--traffic-files", feed.paths["traffic"],
-         "--once", "--no-kafka-out", "--quiet", "--stats-path", out, "--stream-partitions", "2",
-         "--checkpoint-path", str(tmp_path / "c"), "--weights-path", str(tmp_path / "w")]
+def test_once_delivers_everything(feed, tmp_path):
+    for i in range(feed.slices):
+        feed.add(i)
+    paths = {n: str(tmp_path / n) for n in ("enriched", "stats", "predictions", "weights")}
+    scaling = ";".join(",".join(map(str, x)) for x in (SCALING.offsets, SCALING.scales))
+    arguments = ["--truck-files", feed.paths["truck"], "--traffic-files", feed.paths["traffic"],
+                 "--once", "--no-kafka-out", "--quiet", "--stream-partitions", "2",
+                 "--scaling", scaling, "--salted-routes", "1,2", "--max-files-per-trigger", "1"]
+    for name, path in paths.items():
+        arguments += [f"--{name}-path", path]
+    for _ in range(2):
+        app.main(arguments)
+        read = lambda name: read_history(feed.spark, paths[name])
+        assert rows(read("stats"), STATS) == want_stats(feed)
+        assert rows(read("enriched"), ["bw", *names(ENRICHED_FIELDS)]) == want_enriched(feed)
+        assert read("predictions").where("prediction = prediction").count() == len(want_enriched(feed))
+        table = WeightsTable(feed.spark, paths["weights"]).read()
+        assert table.count() == len({r[0] for r in want_enriched(feed)})
+        assert table.where("not finite").isEmpty()
+
+
+def test_rows_from_the_future(feed, tmp_path):
+    for i in range(feed.slices):
+        feed.add(i)
+    feed._write("traffic", feed._line("0|-2|0"))
+    feed._write("truck", feed._line("0|0|0|end|-1|end|0|0|0|Normal|0|0|0|0"))
+    cfg = dataclasses.replace(
+        feed.cfg, parse_mode="permissive", future_allowance="1 hour",
+        quarantine_path=str(tmp_path / "q"), stats_path=str(tmp_path / "s"),
     )
-    got = read_history(feed.spark, out).select(*STATS)
-    assert rows(got, STATS) == want_stats(feed)
+    run_all(feed, cfg)
+    for name in ("truck", "traffic"):
+        (row,) = read_history(feed.spark, f"{cfg.quarantine_path}/{name}").collect()
+        assert row["reason"] == "from the future" and row["arrival"] == END
+    strict = dataclasses.replace(cfg, parse_mode="strict", checkpoint_path=str(tmp_path / "c2"))
+    with pytest.raises(StreamingQueryException, match="from the future"):
+        run_all(feed, strict)
+
+
+def test_nothing_is_left_out_silently(feed, caplog):
+    lines = feed.spark.createDataFrame([], LINES)
+    with pytest.raises(ValueError, match="quarantine_path"):
+        app.start_all(feed.session, dataclasses.replace(feed.cfg, parse_mode="permissive"), lines, lines)
+    with pytest.raises(ValueError, match="checkpoint_path"):
+        app.start_all(feed.session, dataclasses.replace(feed.cfg, checkpoint_path=None), lines, lines)
+
+    class State:
+        numRowsDroppedByWatermark = 3
+
+    class Progress:
+        name, batchId, stateOperators = "enriched", 7, [State, State]
+
+    class Event:
+        progress = Progress
+
+    with caplog.at_level("WARNING"):
+        app.LateRows().onQueryProgress(Event)
+    assert "enriched, trigger 7: 6 rows" in caplog.text
+
+
+def test_latest_snapshot_outlives_empty_triggers(feed, tmp_path):
+    feed.add_all()
+    path = str(tmp_path / "e")
+    cfg = dataclasses.replace(feed.cfg, history_mode="latest", enriched_path=path)
+    run_all(feed, cfg)
+    got = rows(feed.spark.read.parquet(path), ["bw", *names(ENRICHED_FIELDS)])
+    assert got and set(got) <= set(want_enriched(feed))
 
 
 def test_kafka_needs_its_connector(spark):
