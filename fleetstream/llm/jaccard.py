@@ -364,7 +364,7 @@ def _across(members: DataFrame) -> DataFrame:
             x, y = place[at[differ]], place[other[differ]]
             held.append(np.maximum(x, y) * len(ids) + np.minimum(x, y))
             pending += len(held[-1])
-            if pending > 2_000_000:
+            if pending > max(500_000, len(found)):
                 found, counts = counted()
                 held, pending = [], 0
             apart += 1
@@ -382,8 +382,7 @@ def _across(members: DataFrame) -> DataFrame:
         )
 
     kind = "a bigint, b bigint, n bigint, least bigint"
-    parts = max(1, shuffle_partitions(members) // 2)
-    named = _parted(members, parts).applyInArrow(pairs, kind)
+    named = _parted(members, shuffle_partitions(members)).applyInArrow(pairs, kind)
     enough = F.sum("n") >= F.expr("min(least) div 12 + 1")
     return named.groupBy("a", "b").agg(enough.alias("enough")).where("enough").select("a", "b")
 
@@ -417,7 +416,7 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``pairs`` is a stored table. Texts that pairs connect lie together, so that a text
     moves once and not with every pair; large clusters are cut into blocks, and a text
-    moves to the cells of its block.
+    moves to the pairs of blocks that ask for it.
     """
     cluster = components(pairs)
     sizes = written(
@@ -438,27 +437,19 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         .join(place.select(F.col("id").alias("b"), F.col("block").alias("j")), "b")
         .select("component", "i", "j", "a", "b")
     )
-    ids = broadcast_if_small(place.select(F.col("id").alias("doc_id")))
-    every = lambda c: F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), c)
-    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
-    cells = F.array_distinct(
-        F.concat(
-            every(lambda k: cell(F.col("block"), k)), every(lambda k: cell(k, F.col("block")))
-        )
-    )
-    held = (
-        docs.join(ids, "doc_id", "left_semi")
-        .join(place.withColumnRenamed("id", "doc_id"), "doc_id")
-        .select("component", F.explode(cells).alias("_cell"), "doc_id", "text")
-        .select("component", "_cell.i", "_cell.j", "doc_id", "text")
+    asked = written(asked, "asked")
+    cells = written(
+        asked.select("component", "i", "j", F.col("a").alias("doc_id"))
+        .union(asked.select("component", "i", "j", "b"))
+        .distinct(),
+        "cells",
     )
+    ids = broadcast_if_small(place.select(F.col("id").alias("doc_id")))
+    held = docs.join(ids, "doc_id", "left_semi").join(cells, "doc_id")
 
     def check(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        sets = {}
-        wanted = set(asked.column("a").to_pylist()) | set(asked.column("b").to_pylist())
-        texts = texts.filter(pa.array([x in wanted for x in texts.column("doc_id").to_pylist()]))
-        ids = texts.column("doc_id").to_pylist()
-        for first, part in Texts.of(texts.column("text")).slices() if ids else ():
+        sets, ids = {}, texts.column("doc_id").to_pylist()
+        for first, part in Texts.of(texts.column("text")).slices():
             text, shingle = shingle_sets(part)
             some = np.split(shingle, np.searchsorted(text, np.arange(1, len(part))))
             sets.update(zip(ids[first : first + len(part)], some))
