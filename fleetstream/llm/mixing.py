@@ -14,6 +14,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetstream.llm.languages import Scorer, WordModel, fit, posterior
@@ -24,7 +25,7 @@ SAMPLE_PER_DOMAIN = 1_000
 #: A posterior is as sharp as that of a text with so many words, however long it is.
 SHARPNESS_WORDS = 40
 MOST_STEPS = 60
-TOLERANCE = 1e-4
+TOLERANCE = 1e-3
 
 
 def domain_of(labels: DataFrame) -> DataFrame:
@@ -95,28 +96,33 @@ def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
     )
 
 
-def _rate(steps: list[tuple[np.ndarray, float]]) -> tuple[Column, Column]:
-    """A document's rate after the steps, and the point where the next is measured."""
-    if not steps:
-        return F.lit(1.0), F.lit(1.0)
-    history = F.array(
-        *[
-            F.struct(
-                F.array(*[F.lit(float(x)) for x in g]).alias("g"), F.lit(float(b)).alias("b")
-            )
-            for g, b in steps
-        ]
-    )
-    start = F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("y"))
+def rates(p: np.ndarray, steps: list[tuple[np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rates of documents with posteriors ``p`` after the steps, and the points where the
+    next step is measured."""
+    w = y = np.ones(len(p))
+    for gradient, momentum in steps:
+        before, w = w, np.maximum(0.0, y - p @ gradient)
+        y = w + momentum * (w - before)
+    return w, y
+
+
+def _totals(members: DataFrame, k: int, steps: list, at_next: bool) -> np.ndarray:
+    """Expected tokens of each domain at the rates that the steps lead to."""
 
-    def step(s: Column, h: Column) -> Column:
-        product = F.zip_with("_p", h["g"], lambda p, g: p * g)
-        down = F.aggregate(product, F.lit(0.0), lambda a, x: a + x)
-        w = F.greatest(s["y"] - down, F.lit(0.0))
-        return F.struct(w.alias("w"), (w + h["b"] * (w - s["w"])).alias("y"))
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(k)
+        for batch in batches:
+            p = batch.column("_p").flatten().to_numpy().reshape(batch.num_rows, k)
+            tokens = batch.column("_tokens").to_numpy()
+            sums += (tokens * rates(p, steps)[int(at_next)]) @ p
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x]) for x in sums], names=[f"s{i}" for i in range(k)]
+        )
 
-    end = F.aggregate(history, start, step)
-    return end["w"], end["y"]
+    parts = members.select("_tokens", "_p").mapInArrow(
+        total, ", ".join(f"s{i} double" for i in range(k))
+    )
+    return np.array(parts.agg(*[F.sum(f"s{i}") for i in range(k)]).first(), dtype=float)
 
 
 def fit_rates(
@@ -126,13 +132,14 @@ def fit_rates(
 
     ``members`` is a stored table with _tokens and _p; ``targets`` are shares of today's
     tokens per domain. Distances between rates count by tokens, which makes a rate depend
-    on the posterior alone. No tokens leave all rates at 1.
+    on the posterior alone. No tokens leave all rates at 1. At most MOST_STEPS steps are
+    taken, each one small aggregate; targets out of reach are approached.
     """
     k = len(targets)
     total = members.agg(F.sum("_tokens")).first()[0] or 0
     if not total:
         return F.lit(1.0), [0.0] * k
-    p = [F.get("_p", i) for i in range(k)]
+    p = [F.get("_p", F.lit(i)) for i in range(k)]
     share = F.col("_tokens") / F.lit(float(total))
     gram = members.agg(
         *[F.sum(share * p[i] * p[j]) for i in range(k) for j in range(k)]
@@ -140,19 +147,22 @@ def fit_rates(
     size = 1 / np.linalg.eigvalsh(np.array(gram, float).reshape(k, k)).max()
 
     steps: list[tuple[np.ndarray, float]] = []
-    goal, momentum, reached = np.array(targets), 1.0, None
+    goal, momentum = np.array(targets), 1.0
     for _ in range(MOST_STEPS):
-        at = _rate(steps)[1]
-        reached = np.array(members.agg(*[F.sum(share * at * x) for x in p]).first(), float)
+        reached = _totals(members, k, steps, True) / total
         if np.abs(reached - goal).max() <= tolerance:
             break
         after = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
         # Rounded, so that the order of additions doesn't show.
         steps.append((np.round(size * (reached - goal), 12), (momentum - 1) / after))
         momentum = after
-    rate = _rate(steps)[0]
-    final = members.agg(*[F.sum(share * rate * x) for x in p]).first()
-    return rate, [float(x) for x in final]
+
+    def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for p in batches:
+            found = rates(np.array(p.tolist(), dtype=float).reshape(len(p), k), steps)
+            yield pd.Series(found[0])
+
+    return F.pandas_udf(rate, "double")("_p"), list(_totals(members, k, steps, False) / total)
 
 
 def mixed_documents(
