@@ -15,6 +15,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -23,10 +24,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 UNDETERMINED = "und"
 #: Letters only; digits, marks and signs separate words.
 _WORDS = re.compile(r"[^\W\d_]+")
-_LONGEST_GRAM = 5
+_LONGEST_GRAM = 4
 _SMOOTHING = 0.5
 #: Words a Python worker remembers besides the model's own.
-_REMEMBERED = 200_000
+_REMEMBERED = 150_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -39,52 +40,60 @@ def held_out(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class WordModel:
-    """Log frequencies of words and n-grams, a row of one number per label."""
+    """Log frequencies of words and n-grams: a row of one number per label for each.
+
+    Row 0 of the words is zero, for words that say nothing.
+    """
 
     labels: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
-    unknown: np.ndarray
+    words: dict[str, int]
+    word_rows: np.ndarray
+    grams: dict[str, int]
+    gram_rows: np.ndarray
 
     def of_unseen(self, word: str) -> np.ndarray:
         marked = f"<{word}>"
         for n in range(min(_LONGEST_GRAM, len(marked)), 0, -1):
-            known = [
-                g
-                for k in range(len(marked) - n + 1)
-                if (g := self.grams.get(marked[k : k + n])) is not None
-            ]
+            grams = (marked[k : k + n] for k in range(len(marked) - n + 1))
+            known = [at for g in grams if (at := self.grams.get(g)) is not None]
             if known:
-                return np.mean(known, axis=0)
-        return self.unknown
+                return self.gram_rows[known].mean(axis=0)
+        return self.word_rows[0]
 
 
-def _log_frequencies(counts: dict[str, Counter], labels: list[str]) -> dict[str, np.ndarray]:
+def _log_frequencies(
+    counts: dict[str, Counter], labels: list[str]
+) -> tuple[list[str], np.ndarray]:
     names = sorted(set().union(*counts.values())) if counts else []
-    total = np.array([sum(counts[x].values()) for x in labels], dtype=float)
-    norm = np.log(total + _SMOOTHING * (len(names) + 1))
-    return {
-        w: np.log(np.array([counts[x].get(w, 0) for x in labels]) + _SMOOTHING) - norm for w in names
-    }
+    found = np.array([[counts[x].get(w, 0) for x in labels] for w in names], dtype=float)
+    found = found.reshape(len(names), len(labels))
+    smoothed = found.sum(axis=0) + _SMOOTHING * (len(names) + 1)
+    return names, np.log(found + _SMOOTHING) - np.log(smoothed)
 
 
-def build_model(counts: dict[str, Counter]) -> WordModel:
-    """From counts of words per label."""
+def build_model(counts: dict[str, Counter], backoff: bool = True) -> WordModel:
+    """From counts of words per label; without ``backoff`` unseen words say nothing."""
     labels = sorted(counts)
-    grams: dict[int, dict[str, Counter]] = {
-        n: {x: Counter() for x in labels} for n in range(1, _LONGEST_GRAM + 1)
-    }
-    for label, words in counts.items():
-        for word, count in words.items():
-            marked = f"<{word}>"
-            for n in range(1, _LONGEST_GRAM + 1):
+    words, rows = _log_frequencies(counts, labels)
+    rows = np.concatenate([np.zeros((1, len(labels))), rows])
+    grams: dict[str, int] = {}
+    gram_rows = [np.zeros((0, len(labels)))]
+    for n in range(1, _LONGEST_GRAM + 1) if backoff else ():
+        by_label = {x: Counter() for x in labels}
+        for label, found in counts.items():
+            for word, count in found.items():
+                marked = f"<{word}>"
                 for k in range(len(marked) - n + 1):
-                    grams[n][label][marked[k : k + n]] += count
-    merged: dict[str, np.ndarray] = {}
-    for by_label in grams.values():
-        merged |= _log_frequencies(by_label, labels)
+                    by_label[label][marked[k : k + n]] += count
+        names, found = _log_frequencies(by_label, labels)
+        grams |= {g: len(grams) + k for k, g in enumerate(names)}
+        gram_rows.append(found)
     return WordModel(
-        labels, _log_frequencies(counts, labels), merged, np.zeros(len(labels))
+        labels,
+        {w: k + 1 for k, w in enumerate(words)},
+        rows,
+        grams,
+        np.concatenate(gram_rows),
     )
 
 
@@ -92,8 +101,9 @@ def fit(
     docs: DataFrame,
     label: str = "lang",
     docs_per_label: int = 1_000,
-    words_per_label: int = 30_000,
+    words_per_label: int = 20_000,
     labels: int = 64,
+    backoff: bool = True,
 ) -> WordModel:
     """Train on about ``docs_per_label`` whole texts of each label.
 
@@ -109,7 +119,7 @@ def fit(
     if len(sizes) > labels:
         raise ValueError(f"more than {labels} labels in {label}")
     if not sizes:
-        return build_model({})
+        return build_model({}, backoff)
     share = F.create_map(
         *[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, docs_per_label / n))]
     )
@@ -136,38 +146,32 @@ def fit(
     counts = {name: Counter() for name in sizes}
     for r in top.collect():
         counts[r["_label"]][r["_word"]] = r["_n"]
-    return build_model(counts)
+    return build_model(counts, backoff)
 
 
 class _Rows(dict):
     """word -> row of a growing table; unseen words are scored once and remembered."""
 
     def __init__(self, model: WordModel):
+        super().__init__(model.words)
         self._model = model
-        k = len(model.labels)
-        self.table = np.zeros((len(model.words) + _REMEMBERED, k), dtype=np.float64)
-        self.size = 0
-        for word, row in model.words.items():
-            self._add(word, row)
-        self._own = self.size
-
-    def _add(self, word: str, row: np.ndarray) -> int:
-        self.table[self.size] = row
+        self._own = self.size = len(model.word_rows)
+        more = np.zeros((_REMEMBERED, model.word_rows.shape[1]))
+        self.table = np.concatenate([model.word_rows, more])
+
+    def __missing__(self, word: str) -> int:
+        self.table[self.size] = self._model.of_unseen(word)
         self[word] = self.size
         self.size += 1
         return self.size - 1
 
-    def __missing__(self, word: str) -> int:
-        return self._add(word, self._model.of_unseen(word))
-
     def make_room(self, words: int) -> None:
         """Before a text of so many words: forget, or grow for one very long text."""
         if self.size + words <= len(self.table):
             return
         if self.size > self._own:
-            own = list(self.items())[: self._own]
             self.clear()
-            self.update(own)
+            self.update(self._model.words)
             self.size = self._own
         if self.size + words > len(self.table):
             more = np.zeros((words, self.table.shape[1]))
@@ -175,19 +179,23 @@ class _Rows(dict):
 
 
 class Scorer:
-    """Log posterior of every label for whole texts, with equal priors."""
+    """Summed log frequencies of whole texts by label."""
 
     def __init__(self, model: WordModel):
         self.labels = model.labels
-        self._rows = _Rows(model)
+        self._model = model
+        # Without n-grams an unseen word has nothing to back off to.
+        self._rows = _Rows(model) if model.grams else None
 
     def scores(self, text: str) -> tuple[np.ndarray, int]:
-        """Summed log frequencies by label, and the number of words."""
+        """The sums, and the number of words."""
         words = _WORDS.findall(text.lower())
-        rows = self._rows
-        rows.make_room(len(words))
-        at = list(map(rows.__getitem__, words))
-        return rows.table[at].sum(axis=0), len(words)
+        if self._rows is None:
+            at = list(map(self._model.words.get, words, repeat(0)))
+            return self._model.word_rows[at].sum(axis=0), len(words)
+        self._rows.make_room(len(words))
+        at = list(map(self._rows.__getitem__, words))
+        return self._rows.table[at].sum(axis=0), len(words)
 
 
 def posterior(scores: np.ndarray) -> np.ndarray:

@@ -28,11 +28,13 @@ def test_held_out_accuracy(spark):
 def test_words_then_shorter_grams():
     model = languages.build_model({"a": {"hello": 3, "sun": 1}, "b": {"hallo": 3, "tag": 2}})
     scorer = languages.Scorer(model)
-    assert (scorer.scores("hello")[0] == model.words["hello"]).all()
-    # The longest n-grams that are known: "<hell" and "hellp" is not.
-    want = np.mean([model.grams[g] for g in ("<hell",)], axis=0)
-    assert np.allclose(model.of_unseen("hellp"), want)
-    assert (model.of_unseen("漢") == np.mean([model.grams["<"], model.grams[">"]], axis=0)).all()
+    assert (scorer.scores("hello")[0] == model.word_rows[model.words["hello"]]).all()
+    gram = lambda *names: model.gram_rows[[model.grams[g] for g in names]].mean(axis=0)
+    # Of the longest n-grams those that are known: "ellp" and "llp>" are not.
+    assert np.allclose(model.of_unseen("hellp"), gram("<hel", "hell"))
+    assert np.allclose(model.of_unseen("漢"), gram("<", ">"))
+    plain = languages.Scorer(languages.build_model({"a": {"x": 1}, "b": {"y": 1}}, backoff=False))
+    assert (plain.scores("unseen words")[0] == 0).all()
     assert scorer.scores("Sun, sun; zzz")[1] == 3
 
 
