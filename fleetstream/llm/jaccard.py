@@ -312,8 +312,12 @@ def _agreeing(key: np.ndarray, doc: np.ndarray, size: np.ndarray) -> pa.Table:
 
 
 def _parted(groups: DataFrame, parts: int):
-    """Rows with a key, by parts of many keys."""
-    return groups.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part")
+    """Rows with a key, by parts of many keys.
+
+    A number of partitions is asked for, as few rows can name many pairs.
+    """
+    parted = groups.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
+    return parted.repartition(parts, "part").groupBy("part")
 
 
 def _often_agreeing(groups: DataFrame) -> DataFrame:
