@@ -156,3 +156,33 @@ def test_stages_take_odd_documents(spark):
             if name != "packing":
                 assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_range"]
         assert (docs.count() > 0) == bool(some)
+
+
+def test_table_size_does_not_change_the_split():
+    some = {"cheappills": 4, "acmepills": 4, "acme": 90, "winchester": 40, "chester": 9, "com": 900}
+    for times in (1, 1_000):
+        split = urls.UrlModel({w: n * times for w, n in some.items()}).splitter.split
+        assert split("cheappills") == ("cheap", "pills")
+        assert split("acmepills") == ("acme", "pills")
+        assert split("winchester") == ("winchester",)
+        assert split("betscom") == ("bets", "com")
+
+
+def test_verdicts_stay_when_the_table_grows(spark):
+    names = [f"http://{x}/" for x in (
+        "cheappills.org", "www.cheappills.org", "m.cheappills.org", "cheappills.info",
+        "winnipeg.org", "www.winnipeg.org", "m.winnipeg.org", "winnipeg.info")]
+    few = spark.createDataFrame(list(enumerate(names)), "page_id long, url string")
+    for hosts in (100, 300_000):
+        more = spark.range(hosts).selectExpr("-1 - id AS page_id", "concat('http://www.h', id, '.com/') AS url")
+        got = urls.judged_urls(few.union(more)).where("page_id >= 0").collect()
+        assert {r.verdict for r in got if "cheappills" in r.host} == {"block"}
+        assert {r.verdict for r in got if "cheappills" not in r.host} == {"allow"}, hosts
+
+
+def test_every_piece_may_be_a_word(spark):
+    rows = [(i, f"x://{a}{k}.h/") for i, (a, k) in enumerate((a, k) for a in ("winter", "zz") for k in "123")]
+    rows += [(10, "x://winterzz.h/winterzz")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    assert {r.w: r.n for r in urls.word_counts(df).collect()} == {"winter": 3, "zz": 3, "h": 7}
+    assert {r.verdict for r in urls.judged_urls(df).collect()} == {"allow"}
