@@ -43,7 +43,7 @@ def domain_of(labels: DataFrame) -> DataFrame:
 def fit_domains(
     docs: DataFrame, domains: DataFrame, sample: int = SAMPLE_PER_DOMAIN, most: int = 64
 ) -> WordModel:
-    """The domain classifier. ``domains`` has doc_id and domain; unseen words say nothing.
+    """The domain classifier. ``domains`` has doc_id and domain.
 
     The sample is taken by a hash of doc_id, so texts that aren't in it don't move.
     """
@@ -52,7 +52,7 @@ def fit_domains(
     if len(sizes) > most:
         raise ValueError(f"more than {most} domains")
     if not sizes:
-        return fit(docs.limit(0).withColumn("_domain", F.lit("")), "_domain", backoff=False)
+        return fit(docs.limit(0).withColumn("_domain", F.lit("")), "_domain")
     share = F.create_map(
         *[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))]
     )
@@ -62,7 +62,7 @@ def fit_domains(
     taught = docs.select("doc_id", "text").join(
         F.broadcast(chosen.withColumnRenamed("domain", "_domain")), "doc_id"
     )
-    return fit(written(taught, "taught"), "_domain", docs_per_label=2 * sample, backoff=False)
+    return fit(written(taught, "taught"), "_domain", docs_per_label=2 * sample)
 
 
 def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
@@ -78,11 +78,9 @@ def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
         k = max(1, len(scorer.labels))
         for texts in batches:
             tokens, found = [], []
-            for text in texts:
+            for text, (scores, words) in zip(texts, scorer.scored(texts)):
                 tokens.append(len(text.split()) if text else 0)
-                scores, words = np.zeros(k), 0
-                if text and scorer.labels:
-                    scores, words = scorer.scores(text)
+                words = words if scorer.labels else 0
                 if words > SHARPNESS_WORDS:
                     scores = scores * (SHARPNESS_WORDS / words)
                 found.append(posterior(scores) if words else np.full(k, 1 / k))

@@ -115,3 +115,27 @@ def test_mixing_edge_cases(spark):
     assert none.count() == 0
     unlabelled = mixing.mixed_documents(docs, labels.limit(0), {"x": 1.0}).collect()
     assert [r.copies for r in unlabelled] == [1] * 4
+
+
+def test_every_word_of_the_sample_is_kept(spark):
+    # Each word once in 'big'; the one word of 'small' is a word of both.
+    texts = [(" ".join(_letters(i * 500 + k) for k in range(500)), "big") for i in range(60)]
+    texts.append((_letters(29_999), "small"))
+    model = languages.fit(spark.createDataFrame(texts, "text string, lang string"))
+    assert len(model.words) == 30_000 and model.word_rows.dtype == np.float32
+    row = model.word_rows[model.words[_letters(29_999)]]
+    want = [np.log(1.5) - np.log(n + 0.5 * 30_001) for n in (30_000, 1)]
+    assert np.allclose(row, want)
+    assert model.longest == 5 and len(model.grams) > 0
+
+
+def _letters(n):
+    return "w" + "".join("abcdefghij"[int(x)] for x in f"{n:05d}")
+
+
+def test_domains_back_off_to_grams(spark):
+    docs = spark.createDataFrame([(1, "gambling casino"), (2, "library garden")], "doc_id long, text string")
+    domains = spark.createDataFrame([(1, "x"), (2, "y")], "doc_id long, domain string")
+    model = mixing.fit_domains(docs, domains)
+    scores = languages.Scorer(model).scores("gamblings")[0]
+    assert scores[0] > scores[1]
