@@ -139,3 +139,29 @@ def test_domains_back_off_to_grams(spark):
     model = mixing.fit_domains(docs, domains)
     scores = languages.Scorer(model).scores("gamblings")[0]
     assert scores[0] > scores[1]
+
+
+def test_returned_rates_meet_small_targets(spark):
+    rng = np.random.default_rng(7)
+    p = rng.dirichlet([6, 1, 0.3, 0.1], 3_000)
+    tokens = rng.integers(1, 400, 3_000)
+    df = spark.createDataFrame(
+        [(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)], "_tokens long, _p array<double>"
+    )
+    members = written(df, "m")
+    goal = [0.4, 0.15, 0.44, 0.01]
+    rate, reached = mixing.fit_rates(members, goal)
+    rows = members.select("_tokens", "_p", rate.alias("w")).collect()
+    w, t, q = (np.array(c, dtype=float) for c in zip(*[(r.w, r["_tokens"], r["_p"]) for r in rows]))
+    got = (t * w) @ q / t.sum()
+    assert (w >= 0).all() and np.abs(got - goal).max() <= 1e-4
+    assert np.abs(got - reached).max() < 1e-9
+
+
+def test_targets_out_of_reach_are_logged(spark, caplog):
+    df = spark.createDataFrame([(10, [0.5, 0.5]), (30, [0.6, 0.4])], "_tokens long, _p array<double>")
+    rate, reached = mixing.fit_rates(written(df, "m"), [0.9, 0.1])
+    assert "out of reach" in caplog.text and min(reached) >= 0
+    # The best is all of the second text: 0.6 x and 0.4 x nearest to the targets.
+    x = (0.6 * 0.9 + 0.4 * 0.1) / (0.6**2 + 0.4**2)
+    assert np.allclose(reached, [0.6 * x, 0.4 * x], atol=1e-4)
