@@ -36,6 +36,8 @@ _BAND = 8
 _LEAST_BLOCKS = 4096
 #: Texts of a cluster that are compared in one group, on either side.
 _CELL = 256
+#: Members of a key that are paired in one group, on either side, when all links are asked.
+_MEMBERS = 512
 #: Shingles in at least this share of the texts are put last, the most frequent of them.
 FREQUENT_SHARE = 0.001
 MOST_FREQUENT = 100_000
@@ -470,15 +472,9 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
-
-    Texts are linked if 100 * |intersection| >= 75 * |union| of their sets of five-word
-    shingles. Texts without words are linked with nothing. ``component_id`` is the least
-    doc_id reachable; rows with one doc_id are one node, and rows without a doc_id are
-    linked with nothing and have no component. No rows give no rows.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Summaries of all rows and of those that can be linked, links to the least id with an
+    equal set, and the groups of sets that agree often enough."""
     rows = written(shingle_summaries(docs), "sets")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     equal = full.groupBy("set_a", "set_b", "n_shingles")
@@ -491,9 +487,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("a != b"),
         "copies",
     )
-    number = rows.count()
-    agreeing = written(block_groups(docs, frequent_shingles(docs, number)), "agreeing")
-    groups = written(_often_agreeing(agreeing), "groups")
+    agreeing = written(block_groups(docs, frequent_shingles(docs, rows.count())), "agreeing")
+    return rows, full, copies, written(_often_agreeing(agreeing), "groups")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row.
+
+    Texts are linked if 100 * |intersection| >= 75 * |union| of their sets of five-word
+    shingles. Texts without words are linked with nothing. ``component_id`` is the least
+    doc_id reachable; rows with one doc_id are one node, and rows without a doc_id are
+    linked with nothing and have no component. No rows give no rows.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows, full, copies, groups = _candidates(docs)
     counted = (
         groups.where("doc_id != hub")
         .groupBy("doc_id", "hub")
@@ -538,3 +545,69 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
         )
     )
+
+
+def linked_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every row: every link is found.
+
+    ``near_duplicates`` tests what the components need; here every candidate pair of
+    different sets is tested once. ``n_links`` is the number of other documents that a
+    document is linked with, documents with an equal set included. A doc_id is expected
+    to have one text; rows without a doc_id or words have no links. Members of a key are
+    paired in blocks, so that many of them are spread over tasks.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows, full, copies, groups = _candidates(docs)
+    least = copies.groupBy("a").agg(F.min("b").alias("least"))
+    sets = written(
+        full.select("doc_id").distinct()
+        .join(least, F.col("doc_id") == F.col("a"), "left")
+        .select("doc_id", F.coalesce("least", "doc_id").alias("least")),
+        "least",
+    )
+    weights = written(sets.groupBy("least").agg(F.count("*").alias("weight")), "weights")
+    members = written(
+        groups.select("key", "doc_id", "size")
+        .join(sets, "doc_id")
+        .select("key", F.col("least").alias("a"), "size")
+        .distinct(),
+        "members",
+    )
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / _MEMBERS).alias("blocks"))
+    own = F.pmod(F.xxhash64("a"), F.col("blocks"))
+    cells = (
+        members.join(blocks, "key")
+        .select("key", "a", "size", own.alias("own"), F.explode(F.sequence(
+            F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        # Members of two blocks are paired across them, and those of one with each other.
+        .select(
+            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
+            "a", "size",
+            F.when(F.col("own") == F.col("other"), F.col("a")).otherwise(F.col("own")).alias("c"),
+        )
+    )
+    once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
+    whole = docs.where(F.col("doc_id").isNotNull())
+    alike = written(_alike(_across(cells), once), "alike")
+    links = written(_linked(alike, whole), "linked")
+    found = components(links.union(copies)).withColumnRenamed("id", "doc_id")
+    near = (
+        links.union(links.select("b", "a"))
+        .join(weights.select(F.col("least").alias("b"), "weight"), "b")
+        .groupBy(F.col("a").alias("least"))
+        .agg(F.sum("weight").alias("near"))
+    )
+    degrees = sets.join(weights, "least").join(near, "least", "left").select(
+        "doc_id", (F.col("weight") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")
+    )
+    return (
+        rows.select("doc_id", "n_shingles")
+        .join(found, "doc_id", "left")
+        .join(degrees, "doc_id", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.coalesce("component", "doc_id").alias("component_id"),
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        )
+    )

@@ -188,3 +188,30 @@ def test_probes_and_codes_lose_nothing():
         codes, error = index.encode(y[row] - index.coarse[at])
         near = index.distances(x[row] - index.coarse[at], codes)
         assert (np.diag(near) <= reach[row] + error + 1e-9).all()
+
+
+def test_every_link_is_counted(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "_MEMBERS", 8)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + k, rows[3 * k % 7][1].upper()) for k in range(6)]
+    rows += [(200, "quite other words"), (201, "quite other words"), (202, ""), (203, None)]
+    sets = {d: brute.shingle_set(t) for d, t in rows}
+    want = {
+        d: sum(
+            d != e and len(s & t) > 0 and 100 * len(s & t) >= 75 * len(s | t)
+            for e, t in sets.items()
+        )
+        for d, s in sets.items()
+    }
+    got = jaccard.linked_documents(documents(rows).repartition(4)).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+    groups = brute.near_duplicates(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups
+    assert len(set(want.values())) > 5
