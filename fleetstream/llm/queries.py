@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetstream.llm import (
+    centroids,
     embeddings,
     fingerprints,
     jaccard,
     languages,
+    merkle,
     mixing,
     oracles,
     packing,
+    quality,
     substring_dedup,
     suffix_dedup,
     token_files,
@@ -108,6 +111,35 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    rows = merkle.verified_documents(_table(spark, sf, "documents"))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    rows = centroids.clustered(_table(spark, sf, "embeddings"))
+    return rows.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
+def op13_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    rows = quality.scored(docs, quality.fit(docs, _table(spark, sf, "labels")))
+    return rows.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        quality.predicted(F.col("score")).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -121,6 +153,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_ngram_jaccard_join,
         op10_url_filter,
+        op11_merkle_manifest,
+        op12_centroid_clustering,
+        op13_quality_classifier,
     )
 }
 
@@ -128,4 +163,6 @@ ORACLES: dict[str, str] = {
     "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_embedding_near_dedup": oracles.NEAR_VECTORS,
     "op9_ngram_jaccard_join": oracles.NEAR_DUPLICATES,
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
+    "op12_centroid_clustering": oracles.CENTROID_CLUSTERING,
 }

@@ -1,0 +1,189 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from fleetstream.llm import quality
+from fleetstream.llm.windows import Texts
+from tests.llm.conftest import SF
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def texts(*items):
+    return Texts.of(pa.array(list(items), pa.string()))
+
+
+def plain_shapes(text):
+    """(token in lower case, shape) of a text."""
+    out, before = [], None
+    for m in re.finditer(rb"[A-Za-z\x80-\xff]+|[0-9]+|([^\sA-Za-z0-9\x80-\xff])\1*", text.encode()):
+        token = m.group()
+        lower = bytes(c + 32 if 65 <= c <= 90 else c for c in token)
+        if token[:1].isdigit():
+            out.append((b"0", "number"))
+            continue
+        if m.group(1):
+            out.append((token, chr(token[0])))
+            continue
+        capitals = sum(65 <= c <= 90 for c in token)
+        small = sum(97 <= c <= 122 for c in token)
+        shape = "CAPITALS" if capitals > 1 and not small else "Title" if capitals else "small"
+        out.append((lower, "same" if lower == before else shape))
+        before = lower
+    return out
+
+
+def plain_values(text):
+    """Sorted values of a text's features, if no two share a place."""
+    units = plain_shapes(text)
+    values = []
+    for k, longest in ((0, 2), (1, 3)):
+        seq = [u[k] for u in units]
+        grams = Counter(
+            tuple(seq[i : i + n]) for n in range(1, longest + 1) for i in range(len(seq) - n + 1)
+        )
+        v = [1 + math.log(c) for c in grams.values()]
+        norm = math.sqrt(sum(x * x for x in v))
+        values += [x / norm for x in v]
+    return sorted(values)
+
+
+TEXTS = [
+    "The cat sat. The CAT sat!!", "word word Word 12 345 12", "", "a### b$$$ #$", "ÉTÉ été Été 漢字 漢字",
+    "A | b | C\n\n--- x\ty", "x", " \n ", "2nd I I'm",
+]
+
+
+def test_features_like_plain_python():
+    row, place, value = quality.features(texts(*TEXTS, None), 40)
+    for k, text in enumerate(TEXTS):
+        got = sorted(value[row == k])
+        assert got == pytest.approx(plain_values(text)), text
+    assert (np.diff(row) >= 0).all() and not (row == len(TEXTS)).any()
+
+
+def test_features_do_not_depend_on_neighbours():
+    row, place, value = quality.features(texts(*TEXTS), 18)
+    for k, text in enumerate(TEXTS):
+        _, p, v = quality.features(texts(text), 18)
+        assert (place[row == k] == p).all() and np.allclose(value[row == k], v)
+
+
+def test_steps_like_plain_python():
+    """Follow-the-regularised-leader, one coordinate at a time."""
+    rng, settings = random.Random(5), quality.Settings(bits=3)
+    rows = []
+    for _ in range(60):
+        places = sorted(rng.sample(range(8), rng.randrange(0, 6)))
+        rows.append((np.array(places, dtype=np.int64), np.array([rng.uniform(0, 1) for _ in places]),
+                     float(rng.randrange(2)), rng.choice([1.0, 2.5])))
+    z, n = [0.0] * 9, [0.0] * 9
+
+    def weight(i):
+        if abs(z[i]) <= settings.l1:
+            return 0.0
+        return -(z[i] - math.copysign(settings.l1, z[i])) / (
+            (settings.beta + math.sqrt(n[i])) / settings.alpha + settings.l2
+        )
+
+    for places, values, target, share in rows:
+        x = [*zip(places, values), (8, 1.0)]
+        w = {i: weight(i) for i, _ in x}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x)))
+        for i, v in x:
+            g = share * (p - target) * v
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / settings.alpha
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    got = quality.followed(quality.Leader.new(settings), rows, settings)
+    assert np.allclose(got.z, z) and np.allclose(got.n, n)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    sf = SF.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    return docs, spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def test_held_out_accuracy(spark, tables):
+    docs, labels = tables
+    rows = quality.scored(docs, quality.fit(docs, labels)).join(labels, "doc_id")
+    rows = rows.where(quality.held_out(F.col("doc_id"))).select(
+        "quality", "score", quality.predicted(F.col("score")).alias("predicted")
+    ).collect()
+    assert len(rows) > 900
+    good = [r.predicted for r in rows if r.quality == 1]
+    poor = [r.predicted for r in rows if r.quality == 0]
+    assert sum(good) >= 0.98 * len(good) and sum(poor) <= 0.08 * len(poor)
+    order = sorted(rows, key=lambda r: r.score)
+    ranks = sum(k for k, r in enumerate(order) if r.quality == 1) - len(good) * (len(good) - 1) / 2
+    assert ranks / (len(good) * len(poor)) >= 0.98
+
+
+def test_model_depends_on_rows_only(spark, tables):
+    docs, labels = tables
+    docs = docs.where("doc_id < 800")
+    a = quality.fit(docs.repartition(1), labels.repartition(5), docs_per_label=50)
+    b = quality.fit(docs.repartition(6), labels, docs_per_label=50)
+    assert (a.weights == b.weights).all() and (a.weights != 0).sum() > 10
+    flipped = labels.withColumn(
+        "quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    assert (quality.fit(docs, flipped, docs_per_label=50).weights == a.weights).all()
+
+
+def test_sample_is_bounded(spark):
+    labels = spark.range(40_000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 10 > 0).cast("int").alias("quality")
+    )
+    rows = quality.sampled_labels(labels, "quality", 500).collect()
+    for target, n in ((0.0, 4_000), (1.0, 36_000)):
+        mine = [r for r in rows if r.target == target]
+        assert 400 < len(mine) < 600
+        assert sum(r.weight for r in mine) == pytest.approx(0.75 * n, rel=0.15)
+    few = quality.sampled_labels(labels, "quality", 10**9)
+    assert few.count() == labels.where(~quality.held_out(F.col("doc_id"))).count()
+
+
+def test_labels_that_are_missing_or_disagree(spark):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (1, 1, 0), (1, 0, 0), (3, None, 0), (4, 7, 1), (None, 1, 0), (8, 0, 1)], LABELS
+    )
+    rows = {r.doc_id: r.target for r in quality.sampled_labels(labels, "quality", 100).collect()}
+    held = {i for i in (1, 8) if spark.range(1).select(quality.held_out(F.lit(i))).first()[0]}
+    assert rows == {k: v for k, v in {1: pytest.approx(2 / 3), 8: 0.0}.items() if k not in held}
+
+
+def test_edge_cases(spark):
+    rows = [(1, "fine words here", "x"), (2, None, "x"), (3, "", "x"), (None, "### $$$", "x"), (4, "  \n", "x"),
+            (5, "fine words here", "x"), (5, "fine words here", "x"), (6, "junk### " * 300_000, "x"), (7, "no", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    docs = docs.withColumn("target", F.lit(1)).withColumn("weight", F.lit(1)).withColumn("shard", F.lit(9))
+    labels = spark.createDataFrame([(i, int(i not in (6, 7)), 0) for i in (1, 2, 3, 4, 5, 6, 7, 99)], LABELS)
+    model = quality.fit(docs, labels)
+    out = quality.scored(docs, model)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text, r.score) for r in out.collect()]
+    assert len(got) == len(rows) and all(0 <= s <= 1 for *_, s in got)
+    empty = {s for i, t, s in got if not (t or "").strip()}
+    assert len(empty) == 1 and len({s for i, t, s in got if t == "fine words here"}) == 1
+    assert quality.scored(docs.limit(0), model).count() == 0
+    nothing = quality.fit(docs, labels.limit(0))
+    assert {r.score for r in quality.scored(docs, nothing).collect()} == {0.5}
+    assert {r.score for r in quality.scored(docs, quality.fit(docs.limit(0), labels)).collect()} == {0.5}
+
+
+def test_one_hot_document(spark):
+    """Many rows of one doc_id give one example."""
+    rows = [(1, f"text {k}") for k in range(500)] + [(1, "text 0")] * 500 + [(3, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (4, 0, 0)], LABELS)
+    got = quality._examples(docs, labels, "quality", 100)
+    assert got.count() == len({r.doc_id for r in quality.sampled_labels(labels, "quality", 100).collect()} & {1, 3})
