@@ -47,7 +47,8 @@ class FleetConfig:
     window_length: str = "6 seconds"
     window_slide: str = "2 seconds"
     # How far arrival times may run out of order across source partitions
-    # before a row counts as late. Zero would drop rows of a lagging partition.
+    # before a row counts as late and is rejected. Zero would reject those of a lagging
+    # partition.
     watermark_delay: str = "1 minute"
 
     # Training writes one small file per trigger, so it need not run every batch.
@@ -58,7 +59,10 @@ class FleetConfig:
     # truck row and truck_salts copies of a reading. Batch joins leave it to AQE.
     truck_salts: int = 8
     traffic_salts: int = 2
-    # Salt only these routes, where it is known which can be hot; None salts all.
+    # A route is hot if a sketch of the admitted rows gives it this share of an input.
+    hot_share: float = 0.1
+    # For inputs that don't come from the ingest log: salt only these routes; None
+    # salts all.
     salted_routes: tuple[int, ...] | None = None
     # Fixed for the life of a checkpoint; None keeps the session's value.
     stream_partitions: int | None = None
@@ -70,11 +74,11 @@ class FleetConfig:
     stats_topic: str = "windowed"
     prediction_topic: str = "trucking_predictions"
     starting_offsets: str = "latest"
-    # What one trigger may read; None reads all there is.
-    max_offsets_per_trigger: int | None = None
-    max_files_per_trigger: int | None = None
+    # What one trigger may admit; None admits all there is.
+    max_offsets_per_trigger: int | None = 5_000_000
+    max_files_per_trigger: int | None = 1_000
     # Rows that arrive later than now by more than this are rejected, or fail the job
-    # where lines are parsed strictly; one would move the watermark past all others.
+    # where lines are parsed strictly; one would make all others late.
     future_allowance: str | None = "1 hour"
 
     # Histories: typed "parquet" or rendered "text"; "append" keeps every trigger,
@@ -85,7 +89,11 @@ class FleetConfig:
     stats_path: str | None = None
     predictions_path: str | None = None
     weights_path: str | None = None
+    # Rejected rows; by default they stay below the log.
     quarantine_path: str | None = None
+    # Admitted rows, until all queries have read them and they are this old.
+    log_path: str | None = None
+    log_retention: str = "1 day"
     pretrained_path: str | None = None
     checkpoint_path: str | None = None
     # Tasks, and so files per day, that write one trigger's rows; None keeps all.
@@ -104,6 +112,7 @@ class FleetConfig:
         length = duration_micros(self.window_length)
         slide = duration_micros(self.window_slide)
         duration_micros(self.watermark_delay)
+        duration_micros(self.log_retention)
         if self.future_allowance is not None:
             duration_micros(self.future_allowance)
         if batch <= 0 or length <= 0 or slide <= 0:
@@ -116,6 +125,8 @@ class FleetConfig:
             raise ValueError("the slide must not exceed the window length")
         if self.truck_salts < 1 or self.traffic_salts < 1:
             raise ValueError("salts must be at least 1")
+        if not 0 < self.hot_share <= 1:
+            raise ValueError("the hot share must be above 0 and at most 1")
         if self.parse_mode not in ("strict", "permissive"):
             raise ValueError(f"unknown parse mode {self.parse_mode!r}")
         if self.history_format not in ("parquet", "text"):

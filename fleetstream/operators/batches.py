@@ -8,18 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetstream.config import FleetConfig
+from fleetstream.config import FleetConfig, duration_micros
 
 
 def with_watermark(df: DataFrame, cfg: FleetConfig) -> DataFrame:
     return df.withWatermark("arrival", cfg.watermark_delay) if df.isStreaming else df
 
 
-def in_future(cfg: FleetConfig) -> Column:
-    """Whether a line's arrival lies beyond the allowance for clocks that run ahead."""
+def in_future(cfg: FleetConfig, now: int) -> Column:
+    """Whether an arrival lies beyond the allowance for clocks that run ahead of ``now``,
+    in microseconds. The caller decides once what "now" is."""
     if cfg.future_allowance is None:
         return F.lit(False)
-    latest = F.current_timestamp() + F.expr(f"INTERVAL {cfg.future_allowance}")
+    latest = F.timestamp_micros(F.lit(now + duration_micros(cfg.future_allowance)))
     return F.coalesce(F.col("arrival") > latest, F.lit(False))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetstream.config import FleetConfig
@@ -11,26 +9,35 @@ from fleetstream.operators.batches import with_batch
 from fleetstream.schemas import ENRICHED_FIELDS, ENRICHED_TRUCK_FIELDS, names
 
 
-def _if_hot(cfg: FleetConfig, value: Column) -> Column:
-    """``value`` for the routes that are salted, zero for the others."""
+def is_hot(df: DataFrame, cfg: FleetConfig) -> Column:
+    """Whether a row's group is spread over the grid. Rows of the ingest log say so
+    themselves, both inputs alike; of others the config may name the routes."""
+    if "hot" in df.columns:
+        return F.coalesce(F.col("hot"), F.lit(False))
     if cfg.salted_routes is None:
-        return value
-    return F.when(F.col("route_id").isin(*cfg.salted_routes), value).otherwise(F.lit(0))
+        return F.lit(True)
+    return F.coalesce(F.col("route_id").isin(*cfg.salted_routes), F.lit(False))
+
 
+def _hot_or_first(hot: Column, slot: Column) -> Column:
+    return F.when(hot, slot).otherwise(F.lit(0))
 
-def own_slot(cfg: FleetConfig, slots: int, seed: int) -> Column:
-    """A row's own slot. Seeded, hence repeatable for a replayed scan; not taken
-    from the content, since equal copies of one row must spread as well."""
-    return _if_hot(cfg, F.floor(F.rand(seed) * slots).cast("int"))
 
+def own_slot(df: DataFrame, hot: Column, slots: int) -> Column:
+    """A row's own slot, from what is stored of it, so that a retried task deals every
+    row as before. Rows of the ingest log have a position; equal rows of other inputs
+    share a slot."""
+    place = ["epoch", "pos"] if {"epoch", "pos"} <= set(df.columns) else df.columns
+    return _hot_or_first(hot, F.pmod(F.xxhash64(*place), F.lit(slots)).cast("int"))
 
-def every_slot(cfg: FleetConfig, slots: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), _if_hot(cfg, F.lit(slots - 1))))
 
+def every_slot(hot: Column, slots: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), _hot_or_first(hot, F.lit(slots - 1))))
 
-def key_slot(cfg: FleetConfig, column: str, slots: int) -> Column:
+
+def key_slot(hot: Column, column: str, slots: int) -> Column:
     """The slot of a row that is unique in ``column`` within its group."""
-    return _if_hot(cfg, F.pmod(F.xxhash64(column), F.lit(slots)).cast("int"))
+    return _hot_or_first(hot, F.pmod(F.xxhash64(column), F.lit(slots)).cast("int"))
 
 
 def _splits_hot_groups(df: DataFrame) -> bool:
@@ -63,20 +70,28 @@ def enrich_join(
 
     In batch mode Catalyst picks the strategy from the sides' sizes, and AQE
     splits a hot (route, batch) group on either side. A stream has no AQE, so
-    there, or where AQE is off, the group is spread over a grid of tasks: a row
+    there, or where AQE is off, a hot group is spread over a grid of tasks: a row
     has one slot of its own side and a copy for every slot of the other, so each
-    pair meets in exactly one cell. ``salts`` overrides the grid. Salted inputs
-    must be scans or narrow transformations of scans.
+    pair meets in exactly one cell. Rows of cold groups are not copied. ``salts``
+    overrides the grid.
     """
     truck_slots, traffic_slots = salts or default_salts(cfg, truck, traffic)
     left = truck.select("arrival", *names(ENRICHED_TRUCK_FIELDS), *extra)
     right = traffic.select("arrival", "route_id", "congestion_level")
     keys = ["route_id", "bw"]
     if truck_slots * traffic_slots > 1:
-        left = left.withColumn("truck_slot", own_slot(cfg, truck_slots, 11))
-        left = left.withColumn("traffic_slot", every_slot(cfg, traffic_slots))
-        right = right.withColumn("traffic_slot", own_slot(cfg, traffic_slots, 13))
-        right = right.withColumn("truck_slot", every_slot(cfg, truck_slots))
+        hot = is_hot(truck, cfg)
+        left = truck.select(
+            *left.columns,
+            own_slot(truck, hot, truck_slots).alias("truck_slot"),
+            every_slot(hot, traffic_slots).alias("traffic_slot"),
+        )
+        hot = is_hot(traffic, cfg)
+        right = traffic.select(
+            *right.columns,
+            own_slot(traffic, hot, traffic_slots).alias("traffic_slot"),
+            every_slot(hot, truck_slots).alias("truck_slot"),
+        )
         keys += ["truck_slot", "traffic_slot"]
     return (
         with_batch(left, cfg)
@@ -85,33 +100,42 @@ def enrich_join(
     )
 
 
-def reading_counts(traffic: DataFrame, cfg: FleetConfig) -> DataFrame:
+def reading_counts(
+    traffic: DataFrame, cfg: FleetConfig, slots: int = 1
+) -> DataFrame:
     """How many readings each route had in each logical batch.
 
     Statistics, training and scores do not use the congestion level, so for them
     the join's fan-out is only a multiplicity. Counting it first turns the
-    many-to-many join into a lookup and never forms the n x m rows.
+    many-to-many join into a lookup and never forms the n x m rows. With ``slots`` the
+    count of a hot group has a copy for each ``slot``.
     """
-    return (
-        with_batch(traffic.select("arrival", "route_id"), cfg)
-        .groupBy("bw", "route_id")
-        .agg(F.count(F.lit(1)).alias("readings"))
-    )
+    rows = traffic.select("arrival", "route_id")
+    keys = ["bw", "route_id"]
+    if slots > 1:
+        rows = traffic.select("arrival", "route_id", is_hot(traffic, cfg).alias("is_hot"))
+        keys.append("is_hot")
+    counts = with_batch(rows, cfg).groupBy(*keys).agg(F.count(F.lit(1)).alias("readings"))
+    if slots > 1:
+        counts = counts.withColumn("slot", every_slot(F.col("is_hot"), slots)).drop("is_hot")
+    return counts
 
 
 def latest_traffic(
     traffic: DataFrame, tie_breaker: str = "event_time"
 ) -> DataFrame:
-    """Newest reading per route by arrival, then by the integral tie breaker.
+    """Newest reading per route by arrival, then by the tie breaker, then the higher
+    level.
 
-    Both go into one decimal: a struct ordering cannot live in a hash
-    aggregate's buffer and would sort every input row. 20 digits hold any long.
+    One struct is both the order and the result, so equal times can't be decided by the
+    order of the rows. It makes a task sort its rows by route before it combines them;
+    what is shuffled is still one row per task and route.
     """
-    micros = F.unix_micros(F.col("arrival").cast("timestamp")).cast("decimal(18,0)")
-    order = micros * F.lit(Decimal(10**20)) + F.col(tie_breaker).cast("decimal(19,0)")
-    return traffic.groupBy("route_id").agg(
-        F.max_by("congestion_level", order).alias("congestion_level"),
-        F.max("arrival").alias("arrival"),
+    newest = F.max(F.struct("arrival", tie_breaker, "congestion_level")).alias("newest")
+    return (
+        traffic.groupBy("route_id")
+        .agg(newest)
+        .select("route_id", "newest.congestion_level", "newest.arrival")
     )
 
 

@@ -96,15 +96,17 @@ class Moments:
         return cls(float(row["n"]), xx, xy)
 
 
-def sgd_step(weights: Sequence[float], m: Moments | None, cfg: FleetConfig) -> list[float]:
-    """Train on one batch. An empty batch changes nothing.
+def sgd_steps(
+    weights: Sequence[float], m: Moments | None, cfg: FleetConfig
+) -> tuple[list[float], int]:
+    """Train on one batch; also tells the steps taken. An empty batch changes nothing.
 
     Step t moves against the mean gradient by step_size / sqrt(t); from the
     second step on, a relative move below the tolerance ends the batch.
     """
     w = np.array(cfg.check_weights(weights))
     if m is None or m.n == 0:
-        return w.tolist()
+        return w.tolist(), 0
     with np.errstate(all="ignore"):
         for t in range(1, cfg.iterations + 1):
             before = w
@@ -112,7 +114,11 @@ def sgd_step(weights: Sequence[float], m: Moments | None, cfg: FleetConfig) -> l
             moved = np.linalg.norm(w - before)
             if t > 1 and moved < cfg.convergence_tol * max(np.linalg.norm(w), 1.0):
                 break
-    return w.tolist()
+    return w.tolist(), t
+
+
+def sgd_step(weights: Sequence[float], m: Moments | None, cfg: FleetConfig) -> list[float]:
+    return sgd_steps(weights, m, cfg)[0]
 
 
 def train_rows(
@@ -153,88 +159,68 @@ def fit_scaling(truck: DataFrame, cfg: FleetConfig) -> FeatureScaling:
     )
 
 
-def grouped_points(points: DataFrame) -> DataFrame:
-    """Equal labeled points as one with a weight."""
-    return points.groupBy("label", "features").agg(
-        F.count(F.lit(1)).cast("double").alias("weight")
+def _stored_points(rows: DataFrame, cfg: FleetConfig, weight) -> DataFrame:
+    """Labeled points as columns x_0, x_1, ... with ``label``, ``weight`` and a ``step`` of 0."""
+    return rows.select(
+        *[c.alias(f"x_{i}") for i, c in enumerate(feature_columns(cfg))],
+        violation_flag().cast("double").alias("label"),
+        weight.cast("double").alias("weight"),
+        F.lit(0).alias("step"),
     )
 
 
 def weighted_points(truck: DataFrame, traffic: DataFrame, cfg: FleetConfig) -> DataFrame:
     """The labeled points of the enriched rows, weighted by their number of readings,
     so that the join is never expanded."""
-    points = with_batch(
-        truck.select(
-            "arrival",
-            "route_id",
-            violation_flag().cast("double").alias("label"),
-            feature_array(cfg).alias("features"),
-        ),
-        cfg,
-    )
-    return (
-        points.join(reading_counts(traffic, cfg), ["bw", "route_id"])
-        .groupBy("label", "features")
-        .agg(F.sum("readings").cast("double").alias("weight"))
-    )
+    rows = with_batch(truck.select("arrival", "event_type", *_feature_names(cfg, "route_id")), cfg)
+    joined = rows.join(reading_counts(traffic, cfg), ["bw", "route_id"])
+    return _stored_points(joined, cfg, F.col("readings"))
+
+
+def enriched_points(enriched: DataFrame, cfg: FleetConfig) -> DataFrame:
+    """The labeled points of stored enriched rows."""
+    return _stored_points(enriched, cfg, F.lit(1))
+
+
+def _feature_names(cfg: FleetConfig, *others: str) -> list[str]:
+    return list(dict.fromkeys([*others, *cfg.features]))
 
 
 def train_logistic_sgd(
-    points: DataFrame, cfg: FleetConfig, step_size: float = 1.0, iterations: int = 100
+    points: DataFrame,
+    cfg: FleetConfig,
+    step_size: float = 1.0,
+    iterations: int = 100,
+    tolerance: float = 0.0,
 ) -> list[float]:
     """Offline logistic model by full-batch gradient steps from zero, no intercept.
 
-    ``points`` is a stored table of label, features and weight. Step t moves against the
-    mean gradient by step_size / sqrt(t); each is one aggregate of as many numbers as
-    there are features. No points leave the weights at zero.
+    ``points`` is a stored table of ``weighted_points`` or ``enriched_points``. Step t moves
+    against the mean gradient by step_size / sqrt(t), until a move is at most ``tolerance``
+    of the weights' length. Every partition adds up its own gradient; the weights
+    come to it as the columns of a broadcast row, so all steps run the same compiled plan.
+    No points leave the weights at zero.
     """
-    size = cfg.num_weights
-    weights = [0.0] * size
-    x = [F.get("features", F.lit(i)) for i in range(size)]
+    spark, size = points.sparkSession, cfg.num_weights
+    names = [f"w_{i}" for i in range(size)]
+    schema = ", ".join(["step int", *[f"{n} double" for n in names]])
+    margin = sum(
+        (F.col(f"x_{i}") * F.col(f"w_{i}") for i in range(1, size)), F.col("x_0") * F.col("w_0")
+    )
+    miss = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col("label"))
+    weights = np.zeros(size)
     for t in range(1, iterations + 1):
-        margin = sum((x[i] * F.lit(weights[i]) for i in range(1, size)), x[0] * weights[0])
-        miss = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col("label"))
-        sums = points.agg(F.sum("weight"), *[F.sum(miss * x[i]) for i in range(size)]).first()
+        # One row, joined on a column of the stored points: nothing to fold into the plan.
+        now = spark.createDataFrame([(0, *weights.tolist())], schema)
+        sums = (
+            points.join(F.broadcast(now), "step")
+            .agg(F.sum("weight"), *[F.sum(miss * F.col(f"x_{i}")) for i in range(size)])
+            .first()
+        )
         if not sums[0]:
             break
-        rate = step_size / math.sqrt(t) / sums[0]
-        weights = [w - rate * g for w, g in zip(weights, sums[1:])]
-    return weights
-
-
-def train_logistic(truck: DataFrame, traffic: DataFrame, cfg: FleetConfig, **params):
-    """Offline logistic model over the enriched history; returns the fitted model.
-
-    The fan-out enters as a row weight, so the join never has to be expanded.
-    """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector
-
-    points = with_batch(
-        truck.select(
-            "arrival",
-            "route_id",
-            violation_flag().cast("double").alias("label"),
-            feature_array(cfg).alias("x"),
-        ),
-        cfg,
-    )
-    weighted = points.join(reading_counts(traffic, cfg), ["bw", "route_id"]).select(
-        "label",
-        array_to_vector("x").alias("features"),
-        F.col("readings").cast("double").alias("weight"),
-    )
-    return LogisticRegression(
-        featuresCol="features", labelCol="label", weightCol="weight", **params
-    ).fit(weighted)
-
-
-def train_logistic_history(enriched: DataFrame, cfg: FleetConfig, **params):
-    """The same model from stored enriched rows."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector
-
-    points = labeled_points(enriched, cfg).select(
-        "label", array_to_vector("features").alias("features")
-    )
-    return LogisticRegression(**params).fit(points)
+        move = step_size / math.sqrt(t) / sums[0] * np.array(sums[1:])
+        weights = weights - move
+        if np.linalg.norm(move) <= tolerance * np.linalg.norm(weights):
+            break
+    return weights.tolist()

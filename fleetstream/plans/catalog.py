@@ -14,7 +14,7 @@ from fleetstream.plans import telemetry as tel
 from fleetstream.plans.replay import Replay
 from fleetstream.schemas import ENRICHED_FIELDS, ENRICHED_TRUCK_FIELDS, FEATURES, names
 from fleetstream.sinks.outputs import append_history
-from fleetstream.sources.history import read_history
+from fleetstream.sources.history import read_history, read_snapshot
 from fleetstream.sources.weights import (
     WeightsTable,
     publish_weights,
@@ -328,18 +328,22 @@ def weights_from_pretrained(spark, sf):
     )
 
 
+def _replayed(spark: SparkSession, sf: str) -> Replay:
+    return Replay(spark, sf).admitted()
+
+
 def stream_enriched_history(spark, sf):
-    path = Replay(spark, sf).enriched()
+    path = _replayed(spark, sf).enriched()
     return read_history(spark, path).select(_clock("bw"), *names(ENRICHED_FIELDS))
 
 
 def stream_window_stats(spark, sf):
-    path = Replay(spark, sf).stats()
+    path = _replayed(spark, sf).stats()
     return read_history(spark, path).select(_clock("window_start"), *_STATS)
 
 
 def stream_weights(spark, sf):
-    table = WeightsTable(spark, Replay(spark, sf).trained().path)
+    table = WeightsTable(spark, _replayed(spark, sf).trained().path)
     return (
         table.read()
         .select("bw", "rows", F.posexplode("weights").alias("position", "w"))
@@ -348,7 +352,7 @@ def stream_weights(spark, sf):
 
 
 def stream_scores(spark, sf):
-    scored = read_history(spark, Replay(spark, sf).scored())
+    scored = read_history(spark, _replayed(spark, sf).scored())
     return scored.select(
         _clock("bw"),
         "event_time",
@@ -361,13 +365,46 @@ def stream_scores(spark, sf):
 
 
 def stream_latest_traffic(spark, sf):
-    updates = read_history(spark, Replay(spark, sf).latest_traffic())
+    updates = read_history(spark, _replayed(spark, sf).latest_traffic())
     newest = updates.groupBy("route_id").agg(
         F.max_by("congestion_level", "arrival").alias("congestion_level"),
         F.max("arrival").alias("arrival"),
     )
-    # The end-of-input line has a route of its own.
-    return newest.where(F.col("route_id") >= 0).withColumn("arrival", _clock("arrival"))
+    return newest.withColumn("arrival", _clock("arrival"))
+
+
+# Slices that all span the whole time, so that many rows of the later ones are late.
+LATE_SLICES = 3
+LATE_DELAY = "20 days"
+
+
+def stream_late_rows(spark, sf):
+    """Every line that came in: admitted, or rejected as late."""
+    cfg = dataclasses.replace(tel.SCALED, watermark_delay=LATE_DELAY)
+    slices = [F.col("event_id") % LATE_SLICES == k for k in range(LATE_SLICES)]
+    replay = Replay(spark, sf, cfg).admitted(slices)
+    found = None
+    for name, to_lines in (("truck", render.raw_truck_lines), ("traffic", render.traffic_lines)):
+        good = to_lines(replay.log.rows(name, streaming=False), carry=("arrival",))
+        rows = (
+            good.withColumn("reason", F.lit("admitted"))
+            .unionByName(replay.log.rejected(name).drop("day"))
+            .select(F.lit(name).alias("input"), _clock("arrival"), "value", "reason")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def stream_latest_snapshot(spark, sf):
+    """What the last trigger with rows has left: the second half of the days."""
+    days = tel.truck(spark, sf).agg(
+        F.unix_micros(F.date_trunc("day", F.min("arrival"))).alias("first"),
+        F.datediff(F.max("arrival"), F.min("arrival")).alias("n"),
+    ).first()
+    middle = F.timestamp_micros(F.lit(days["first"] + days["n"] // 2 * 86_400_000_000))
+    early = F.col("arrival") < middle
+    path = Replay(spark, sf).snapshot([early, ~early])
+    return read_snapshot(spark, path).select(_clock("bw"), *names(ENRICHED_FIELDS))
 
 
 def train_logistic_history(spark, sf):
@@ -376,7 +413,7 @@ def train_logistic_history(spark, sf):
     append_history(_enriched(spark, sf), path, rebalance=True)
     history = read_history(spark, path)
     fitted = _logistic_weights(
-        spark, training.grouped_points(training.labeled_points(history, tel.SCALED))
+        spark, training.enriched_points(history, tel.SCALED)
     )
     newest = history.agg(
         F.unix_micros(F.max("bw")).alias("bw"), F.count("bw").alias("n")
@@ -428,4 +465,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_weights": stream_weights,
     "stream_scores": stream_scores,
     "stream_latest_traffic": stream_latest_traffic,
+    "stream_late_rows": stream_late_rows,
+    "stream_latest_snapshot": stream_latest_snapshot,
 }

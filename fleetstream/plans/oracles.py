@@ -5,6 +5,8 @@ from __future__ import annotations
 from fleetstream.operators.training import moment_names
 from fleetstream.plans.catalog import (
     DEMO_WEIGHTS,
+    LATE_DELAY,
+    LATE_SLICES,
     LOGISTIC_ITERATIONS,
     LOGISTIC_STEP,
 )
@@ -66,6 +68,9 @@ def _line(columns) -> str:
     return f"concat_ws('|', {', '.join(columns)})"
 
 
+_RAW_TRUCK = _line([*names(ENRICHED_TRUCK_FIELDS), "'0'"])
+
+
 def _with(ctes: str, select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{select}"
 
@@ -302,9 +307,25 @@ ORACLES: dict[str, str] = {
     ),
     "stream_latest_traffic": _with(
         _TRAFFIC,
-        "SELECT route_id, arg_max(congestion_level, (arrival, event_time)) AS "
+        "SELECT route_id, arg_max(congestion_level, (arrival, event_time, congestion_level)) AS "
         "congestion_level, max(arrival) AS arrival FROM traffic GROUP BY route_id",
     ),
+    "stream_latest_snapshot": _with(
+        _JOINED,
+        f"SELECT bw, {_ENRICHED} FROM joined WHERE bw >= ("
+        "SELECT date_trunc('day', min(arrival)) + date_diff('day', min(arrival), max(arrival)) "
+        "// 2 * INTERVAL 1 DAY FROM truck)",
+    ),
+    "stream_late_rows": _with(
+        f"{_TRUCK}, {_TRAFFIC}, came AS ("
+        f"SELECT 'truck' AS input, arrival, event_id, {_RAW_TRUCK} AS value FROM truck UNION ALL "
+        f"SELECT 'traffic', arrival, event_id, {_line(names(TRAFFIC_FIELDS))} FROM traffic), "
+        f"reached AS (SELECT input, event_id % {LATE_SLICES} AS slice, max(arrival) AS last "
+        "FROM came GROUP BY ALL)",
+        "SELECT input, arrival, value, CASE WHEN arrival < (SELECT max(last) FROM reached r "
+        f"WHERE r.input = came.input AND slice < event_id % {LATE_SLICES}) "
+        f"- INTERVAL '{LATE_DELAY}' THEN 'late' ELSE 'admitted' END AS reason FROM came",
+    ),
 }
 # A replayed stream must end where the batch query does.
 ORACLES["stream_enriched_history"] = ORACLES["enriched_history"]

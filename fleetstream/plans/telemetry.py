@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetstream.config import FeatureScaling, FleetConfig
 from fleetstream.functions.lines import render
@@ -28,11 +28,12 @@ SCALED = FleetConfig(
 )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, slice: Column | None = None) -> DataFrame:
     # Arrival is a UTC clock reading; the table stores it without a zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return events.withColumn("arrival", F.col("ts").cast("timestamp"))
+    events = events.withColumn("arrival", F.col("ts").cast("timestamp"))
+    return events if slice is None else events.where(slice)
 
 
 def truck_of(events: DataFrame) -> DataFrame:
@@ -71,21 +72,21 @@ def traffic_of(events: DataFrame) -> DataFrame:
     )
 
 
-def truck(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truck_of(_events(spark, sf_dir))
+def truck(spark: SparkSession, sf_dir: str, slice: Column | None = None) -> DataFrame:
+    return truck_of(_events(spark, sf_dir, slice))
 
 
-def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic_of(_events(spark, sf_dir))
+def traffic(spark: SparkSession, sf_dir: str, slice: Column | None = None) -> DataFrame:
+    return traffic_of(_events(spark, sf_dir, slice))
 
 
-def truck_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def truck_raw(spark: SparkSession, sf_dir: str, slice: Column | None = None) -> DataFrame:
     """The truck events as the lines trucks send."""
-    return raw_truck_lines(truck(spark, sf_dir), carry=("arrival",))
+    return raw_truck_lines(truck(spark, sf_dir, slice), carry=("arrival",))
 
 
-def traffic_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic_lines(traffic(spark, sf_dir), carry=("arrival",))
+def traffic_raw(spark: SparkSession, sf_dir: str, slice: Column | None = None) -> DataFrame:
+    return traffic_lines(traffic(spark, sf_dir, slice), carry=("arrival",))
 
 
 def broken_truck_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

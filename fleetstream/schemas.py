@@ -81,6 +81,22 @@ TRUCK = struct_of(TRUCK_FIELDS)
 ENRICHED_TRUCK = struct_of(ENRICHED_TRUCK_FIELDS)
 ENRICHED = struct_of(ENRICHED_FIELDS)
 
+# A row of the ingest log: typed fields, whether its group is hot, and its place.
+def _logged(fields) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("arrival", T.TimestampType()),
+            *struct_of(fields).fields,
+            T.StructField("hot", T.BooleanType()),
+            T.StructField("pos", T.LongType()),
+            T.StructField("epoch", T.StringType()),
+        ]
+    )
+
+
+LOGGED = {"truck": _logged(ENRICHED_TRUCK_FIELDS), "traffic": _logged(TRAFFIC_FIELDS)}
+REJECTED = T.StructType([*LINES.fields, T.StructField("reason", T.StringType()), T.StructField("day", T.DateType())])
+
 DRIVER_STATS = T.StructType(
     [
         T.StructField("driver_id", T.IntegerType()),

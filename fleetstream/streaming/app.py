@@ -5,23 +5,21 @@ from __future__ import annotations
 import argparse
 import dataclasses
 import logging
+import time
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from fleetstream.config import FeatureScaling, FleetConfig
-from fleetstream.operators import parse
-from fleetstream.operators.batches import in_future
-from fleetstream.operators.enrich import enrich_join
+from fleetstream.config import FeatureScaling, FleetConfig, duration_micros
 from fleetstream.operators.render import enriched_lines, prediction_lines, stats_lines
-from fleetstream.operators.scoring import prequential_scores
-from fleetstream.operators.stats import driver_window_stats
-from fleetstream.sinks.outputs import append_history
 from fleetstream.sources.lines import file_lines, traffic_topic, truck_topic
-from fleetstream.sources.weights import WeightsTable, train_history
+from fleetstream.sources.weights import WeightsTable
 from fleetstream.sources.workdir import shared_dir
 from fleetstream.streaming import queries as q
+from fleetstream.streaming.ingest import IngestLog, start_ingest
+from fleetstream.streaming.once import run_once
 
 log = logging.getLogger(__name__)
 
@@ -35,72 +33,57 @@ def start_all(
     preview: bool = True,
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Start statistics, training, and enrichment with scoring.
-
-    They are separate queries because a stream keeps its state per query; each
-    reads the sources on its own. ``spark`` should be a ``stream_session`` and the
-    lines must be read through it. Without ``trigger`` the queries run on, for which a
-    checkpoint path is needed; permissive parsing needs a place for what it rejects.
+    """Start ingestion, and statistics, training, and enrichment with scoring behind it.
+
+    Lines are read and judged by the ingest query alone; the others are separate because a
+    stream keeps its state per query, and read the log. ``spark`` should be a
+    ``stream_session`` and the lines must be read through it. Without ``trigger`` the
+    queries run on, for which a checkpoint path and a log path are needed; a bounded trigger
+    admits what is there before the other queries begin. Permissive parsing needs a place
+    for what it rejects.
     """
-    if trigger is None and not cfg.checkpoint_path:
-        raise ValueError("a running job needs a checkpoint_path")
+    if trigger is None and not (cfg.checkpoint_path and cfg.log_path):
+        raise ValueError("a running job needs a checkpoint_path and a log_path")
     if cfg.parse_mode == "permissive" and not cfg.quarantine_path:
         raise ValueError("permissive parsing needs a quarantine_path")
-    truck = parse.parse_truck(_timely(truck_lines, cfg), cfg.parse_mode)
-    traffic = parse.parse_traffic(_timely(traffic_lines, cfg), cfg.parse_mode)
-    spark.streams.addListener(LateRows())
-    table = WeightsTable(spark, cfg.weights_path or shared_dir(spark, "weights"))
+    ingest = IngestLog(spark, cfg, cfg.log_path or shared_dir(spark, "log"))
+    started = [start_ingest(ingest, truck_lines, traffic_lines, cfg, trigger)]
+    if trigger is not None:
+        started[0].awaitTermination()
+    return started + start_readers(spark, cfg, ingest, kafka, preview, trigger)
 
+
+def start_readers(
+    spark: SparkSession,
+    cfg: FleetConfig,
+    ingest: IngestLog,
+    kafka: bool = True,
+    preview: bool = True,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """Start all queries that read the ingest log."""
+    truck, traffic = ingest.inputs()
+    table = WeightsTable(spark, cfg.weights_path or shared_dir(spark, "weights"))
     enriched_sinks, score_sinks, stats_sinks = _sinks(cfg, kafka, preview)
     if score_sinks:
         enriched_sinks.append(q.score_sink(table, cfg, score_sinks))
-
     started = [q.start_training(truck, traffic, cfg, table, trigger)]
     if enriched_sinks:
         started.append(q.start_enriched(truck, traffic, cfg, enriched_sinks, trigger))
     if stats_sinks:
         started.append(q.start_stats(truck, traffic, cfg, stats_sinks, trigger))
-    if cfg.parse_mode == "permissive":
-        for name, rejects in _rejects(cfg, truck_lines, traffic_lines).items():
-            path = f"{cfg.quarantine_path}/{name}"
-            started.append(q.start_quarantine(rejects, cfg, name, path, trigger))
+    spark.streams.addListener(Watch(ingest, cfg, [query.name for query in started]))
     return started
 
 
-def run_once(
-    spark: SparkSession,
-    cfg: FleetConfig,
-    truck_lines: DataFrame,
-    traffic_lines: DataFrame,
-    kafka: bool = True,
-    preview: bool = True,
-) -> None:
-    """Process a bounded input to its last window, through the batch operators.
-
-    A stream would hold back what its watermark has not closed. Histories are written as
-    trigger ``once``, which a second run over the same days replaces.
-    """
-    if cfg.parse_mode == "permissive" and not cfg.quarantine_path:
-        raise ValueError("permissive parsing needs a quarantine_path")
-    truck = parse.parse_truck(_timely(truck_lines, cfg), cfg.parse_mode)
-    traffic = parse.parse_traffic(_timely(traffic_lines, cfg), cfg.parse_mode)
-    table = WeightsTable(spark, cfg.weights_path or shared_dir(spark, "weights"))
-    train_history(truck, traffic, cfg, table, shared_dir(spark, "moments"))
-    enriched_sinks, score_sinks, stats_sinks = _sinks(cfg, kafka, preview)
-    for df, sinks in (
-        (enrich_join(truck, traffic, cfg), enriched_sinks),
-        (prequential_scores(truck, traffic, table.read(), cfg), score_sinks),
-        (driver_window_stats(truck, traffic, cfg), stats_sinks),
-    ):
-        for sink in sinks:
-            sink(df, "once")
-    if cfg.parse_mode == "permissive":
-        for name, rejects in _rejects(cfg, truck_lines, traffic_lines).items():
-            append_history(rejects, f"{cfg.quarantine_path}/{name}", "once", "arrival")
-
+class Watch(StreamingQueryListener):
+    """Trims the log behind its readers, and reports rows that a reader left out."""
 
-class LateRows(StreamingQueryListener):
-    """Logs how many rows a trigger has left out because they came too late."""
+    def __init__(self, ingest: IngestLog, cfg: FleetConfig, readers: list[str]):
+        self._ingest = ingest
+        self._keep = duration_micros(cfg.log_retention) / 1e6
+        self._began: dict[str, float | None] = dict.fromkeys(readers)
+        self._trimmed = 0.0
 
     def onQueryStarted(self, event):
         pass
@@ -109,10 +92,24 @@ class LateRows(StreamingQueryListener):
         progress = event.progress
         late = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
         if late:
-            log.warning(
-                "%s, trigger %s: %s rows were behind the watermark and left out",
+            # The ledger admits no such row; this would be an error of the log.
+            log.error(
+                "%s, trigger %s: %s admitted rows were left out",
                 progress.name, progress.batchId, late,
             )
+        if progress.name in self._began:
+            began = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+            self._began[progress.name] = began.timestamp()
+            self._trim()
+
+    def _trim(self) -> None:
+        times = list(self._began.values())
+        now = time.time()
+        # Listing the log is cheap beside a trigger, but not needed for each.
+        if None in times or now - self._trimmed < self._keep / 10:
+            return
+        self._trimmed = now
+        self._ingest.trim(min(times), self._keep)
 
     def onQueryIdle(self, event):
         pass
@@ -121,32 +118,6 @@ class LateRows(StreamingQueryListener):
         pass
 
 
-def _timely(lines: DataFrame, cfg: FleetConfig) -> DataFrame:
-    """Lines without those from the future; parsed strictly, such a line is an error."""
-    if cfg.future_allowance is None:
-        return lines
-    ahead = in_future(cfg)
-    if cfg.parse_mode == "permissive":
-        return lines.where(~ahead)
-    message = F.concat(F.lit("line from the future: "), F.col("value"))
-    value = F.when(ahead, F.raise_error(message)).otherwise(F.col("value"))
-    return lines.withColumn("value", value)
-
-
-def _rejects(cfg: FleetConfig, truck: DataFrame, traffic: DataFrame) -> dict[str, DataFrame]:
-    """What permissive parsing leaves out of each input, with the reason."""
-    found = {}
-    for name, lines, rejects in (
-        ("truck", truck, parse.quarantine_truck),
-        ("traffic", traffic, parse.quarantine_traffic),
-    ):
-        found[name] = rejects(lines.where(~in_future(cfg)))
-        if cfg.future_allowance is not None:
-            late = lines.where(in_future(cfg)).withColumn("reason", F.lit("from the future"))
-            found[name] = found[name].unionByName(late.select(*found[name].columns))
-    return found
-
-
 def _sinks(cfg: FleetConfig, kafka: bool, preview: bool) -> tuple[list, list, list]:
     """Sinks of enriched rows, scores and statistics."""
     enriched_sinks, score_sinks, stats_sinks = [], [], []
@@ -214,7 +185,7 @@ def main(argv=None) -> None:
     traffic = lines(args.traffic_files, traffic_topic)
     outputs = {"kafka": not args.no_kafka_out, "preview": not args.quiet}
     if args.once:
-        run_once(session, cfg, truck, traffic, **outputs)
+        run_once(session, cfg, truck, traffic, *_sinks(cfg, **outputs))
     else:
         start_all(session, cfg, truck, traffic, **outputs)
         session.streams.awaitAnyTermination()

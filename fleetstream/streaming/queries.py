@@ -8,7 +8,7 @@ from concurrent.futures import Future
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetstream.config import FleetConfig, duration_micros
+from fleetstream.config import FleetConfig
 from fleetstream.operators.batches import batch_start
 from fleetstream.operators.enrich import enrich_join, latest_traffic
 from fleetstream.operators.scoring import predict_versioned
@@ -44,7 +44,7 @@ def stream_session(spark: SparkSession, cfg: FleetConfig) -> SparkSession:
     return session
 
 
-def _start(
+def start(
     df: DataFrame,
     name: str,
     cfg: FleetConfig,
@@ -57,7 +57,7 @@ def _start(
 
     def each(batch: DataFrame, number: int) -> None:
         epoch = f"{started.result().id}-{number}"
-        if len(sinks) == 1 and not (reuse or cfg.history_mode == "latest"):
+        if len(sinks) == 1 and not reuse:
             sinks[0](batch, epoch)
             return
         # Without this every action would run the stateful plan again.
@@ -88,8 +88,16 @@ def enriched_stream(truck: DataFrame, traffic: DataFrame, cfg: FleetConfig) -> D
     return joined.withColumn("bw", batch_start(joined))
 
 
+def _read_whole(batch: DataFrame, added: bool) -> None:
+    """A replayed trigger that adds nothing must still go through its state."""
+    if not added:
+        batch.write.format("noop").mode("overwrite").save()
+
+
 def history_sink(path: str, time: str = "bw", **options) -> Sink:
-    return lambda batch, epoch: append_history(batch, path, epoch, time, **options)
+    return lambda batch, epoch: _read_whole(
+        batch, append_history(batch, path, epoch, time, **options)
+    )
 
 
 def configured_history(cfg: FleetConfig, path: str, to_lines, time: str = "bw") -> Sink:
@@ -101,10 +109,12 @@ def configured_history(cfg: FleetConfig, path: str, to_lines, time: str = "bw")
             # A trigger without rows leaves the last one that had some.
             if batch.isEmpty():
                 return
-            write_latest(to_lines(batch) if text else batch, path, cfg.history_format)
+            rows = to_lines(batch) if text else batch
+            _read_whole(batch, write_latest(rows, path, cfg.history_format, epoch))
             return
         rows = to_lines(batch, carry=(time,)) if text else batch
-        append_history(rows, path, epoch, time, cfg.history_format, cfg.sink_files)
+        format, files = cfg.history_format, cfg.sink_files
+        _read_whole(batch, append_history(rows, path, epoch, time, format, files))
 
     return sink
 
@@ -117,9 +127,9 @@ def preview_sink(rows: int) -> Sink:
     return lambda batch, epoch: print_rows(batch, rows)
 
 
-# Weight versions broadcast at once. A version is some 200 bytes, so this is a few
-# megabytes; a time range of as many batch intervals cannot hold more.
-_VERSIONS = 20_000
+# Batches whose versions are broadcast; a version is some 200 bytes, so this is a few
+# megabytes. A trigger that holds more shuffles them.
+_FEW_BATCHES = 20_000
 
 
 def score_batch(
@@ -127,11 +137,10 @@ def score_batch(
 ) -> DataFrame | None:
     """Scores of one trigger's enriched rows, or None if it has no rows.
 
-    A batch that training has already passed is scored with the weights from just
-    before it, later ones with the newest weights; ``weights_bw`` tells which.
-    A trigger's rows share a few logical batches, so a shuffle by batch would end
-    in a few tasks; the versions are broadcast instead, one bounded time range
-    after the other where a catch-up trigger spans many.
+    Every batch is scored with the newest weights from before it that training has stored
+    so far; ``weights_bw`` tells which. A trigger's rows share a few logical batches, so a
+    shuffle by batch would end in a few tasks; the versions are broadcast instead, if the
+    trigger does not span too many.
     """
     ends = batch.agg(
         F.unix_micros(F.min("bw")).alias("first"),
@@ -139,21 +148,10 @@ def score_batch(
     ).first()
     if ends["first"] is None:
         return None
-    newest = initial_weights(table.spark, cfg, table)
-    step = _VERSIONS * duration_micros(cfg.batch_interval)
-    at = F.unix_micros("bw")
-    scored, begin = None, ends["first"]
-    while begin <= ends["last"]:
-        end = begin + step
-        part = predict_versioned(
-            batch.where((at >= begin) & (at < end)),
-            F.broadcast(table.between(begin, end)),
-            cfg,
-            latest=newest,
-        )
-        scored = part if scored is None else scored.unionByName(part)
-        begin = end
-    return scored
+    few = batch.select("bw").distinct().limit(_FEW_BATCHES + 1).count() <= _FEW_BATCHES
+    start, _ = initial_weights(table.spark, cfg)
+    versions = table.between(ends["first"], ends["last"] + 1)
+    return predict_versioned(batch, versions, cfg, start, few=few)
 
 
 def score_sink(table: WeightsTable, cfg: FleetConfig, sinks: Sequence[Sink]) -> Sink:
@@ -180,7 +178,9 @@ def start_stats(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     stats = driver_window_stats(truck, traffic, cfg)
-    return _start(stats, "driver_stats", cfg, sinks, trigger)
+    # A snapshot first looks whether the trigger has rows.
+    latest = cfg.history_mode == "latest"
+    return start(stats, "driver_stats", cfg, sinks, trigger, reuse=latest)
 
 
 def start_training(
@@ -194,7 +194,7 @@ def start_training(
     moments = batch_moments(truck, traffic, cfg)
     step = lambda batch, _: table.train(batch, cfg)
     trigger = trigger or {"processingTime": cfg.training_trigger}
-    return _start(moments, "training", cfg, [step], trigger, reuse=True)
+    return start(moments, "training", cfg, [step], trigger, reuse=True)
 
 
 def start_enriched(
@@ -205,7 +205,7 @@ def start_enriched(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     joined = enriched_stream(truck, traffic, cfg)
-    return _start(joined, "enriched", cfg, sinks, trigger, reuse=True)
+    return start(joined, "enriched", cfg, sinks, trigger, reuse=True)
 
 
 def start_latest_traffic(
@@ -214,17 +214,8 @@ def start_latest_traffic(
     sinks: Sequence[Sink],
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Changed routes per trigger; the state is one row per route."""
-    return _start(latest_traffic(traffic), "latest_traffic", cfg, sinks, trigger, "update")
-
-
-def start_quarantine(
-    rejects: DataFrame,
-    cfg: FleetConfig,
-    name: str,
-    path: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    return _start(
-        rejects, f"quarantine_{name}", cfg, [history_sink(path, "arrival")], trigger
-    )
+    """Changed routes per trigger; the state is one row per route. Rows of the log that
+    only close windows are no readings."""
+    if "pos" in traffic.columns:
+        traffic = traffic.where("pos >= 0")
+    return start(latest_traffic(traffic), "latest_traffic", cfg, sinks, trigger, "update")

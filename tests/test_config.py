@@ -26,6 +26,7 @@ def test_durations(text, micros):
     [dict(window_length="5 seconds"), dict(window_slide="3 seconds"),
      dict(window_slide="8 seconds"), dict(parse_mode="lenient"), dict(truck_salts=0),
      dict(batch_interval="soon"), dict(history_mode="some"),
+     dict(hot_share=0.0), dict(log_retention="a while"),
      dict(history_format="csv"), dict(scaling=FeatureScaling((0.0,), (1.0,)))],
 )
 def test_rejects(bad):

@@ -50,20 +50,47 @@ def test_join_hot_group(spark, salts):
 
 
 def test_salts_spread_equal_rows(spark):
-    """Copies of one row must not all land in the same slot."""
-    slots = spark.range(1000).select(enrich.own_slot(CFG, 8, 11).alias("s")).distinct().count()
-    assert slots == 8
+    """Copies of one row from the ingest log do not all land in the same slot."""
+    rows = spark.range(1000).select(F.lit("7").alias("epoch"), F.col("id").alias("pos"), F.lit(1).alias("x"))
+    slots = rows.select(enrich.own_slot(rows, F.lit(True), 8).alias("s"))
+    assert slots.distinct().count() == 8
+    assert slots.collect() == rows.repartition(3).orderBy("pos").select(enrich.own_slot(rows, F.lit(True), 8)).collect()
+    assert rows.select(enrich.own_slot(rows, F.lit(False), 8).alias("s")).distinct().collect() == [(0,)]
+
+
+def logged(df, hot):
+    """As the ingest log has rows: with a place and whether the group is hot."""
+    return (
+        df.withColumn("hot", F.col("route_id").isin(*hot))
+        .withColumn("epoch", F.lit("0"))
+        .withColumn("pos", F.monotonically_increasing_id())
+    )
 
 
 def test_only_hot_routes_are_salted(spark):
-    cfg = FleetConfig(salted_routes=(1,))
-    truck, traffic = truck_rows(300, 1), traffic_rows(120, 2)
-    t, f = truck_df(spark, truck), traffic_df(spark, traffic)
-    assert joined_rows(enrich.enrich_join(t, f, cfg, (4, 3))) == expected_join(truck, traffic)
-    copies = f.withColumn("slot", enrich.every_slot(cfg, 4)).groupBy("route_id").count()
+    truck, traffic = hot_inputs()
+    t, f = logged(truck_df(spark, truck), [1]), logged(traffic_df(spark, traffic), [1])
+    assert joined_rows(enrich.enrich_join(t, f, CFG, (4, 3))) == expected_join(truck, traffic)
+    copies = f.withColumn("slot", enrich.every_slot(enrich.is_hot(f, CFG), 4)).groupBy("route_id").count()
     raw = dict(f.groupBy("route_id").count().collect())
     assert {r[0]: r[1] / raw[r[0]] for r in copies.collect()} == {0: 1, 1: 4, 2: 1}
-    check_stats(stats.driver_window_stats(t, f, cfg, (4, 3)), truck, traffic)
+    check_stats(stats.driver_window_stats(t, f, CFG, (4, 3)), truck, traffic)
+    named = FleetConfig(salted_routes=(1,))
+    t, f = truck_df(spark, truck), traffic_df(spark, traffic)
+    assert joined_rows(enrich.enrich_join(t, f, named, (4, 3))) == expected_join(truck, traffic)
+
+
+def test_retried_task_deals_rows_alike(spark, tmp_path):
+    """Slots depend on what is stored of a row, not on the task that reads it."""
+    truck, _ = hot_inputs()
+    path = str(tmp_path / "log")
+    logged(truck_df(spark, truck), [0, 1, 2]).repartition(6).write.parquet(path)
+    runs = []
+    for parts in (1, 4):
+        t = spark.read.parquet(path).repartition(parts, "driver_id")
+        slot = enrich.own_slot(t, enrich.is_hot(t, CFG), 8)
+        runs.append(sorted(map(tuple, t.select("pos", slot).collect())))
+    assert runs[0] == runs[1] and len({s for _, s in runs[0]}) == 8
 
 
 def test_salts_replace_aqe(spark):
@@ -221,11 +248,13 @@ def test_latest_traffic(spark):
         (at(1), 5, 1, 3), (at(2), 1, 1, 4), (at(2), 9, 1, 6), (at(2), -8, 1, 5),
         (at(0), 2**62, 2, 7), (at(0), -(2**62), 2, 8),
     ]
-    out = enrich.latest_traffic(traffic_df(spark, rows))
-    assert {(r["route_id"], r["congestion_level"], r["arrival"]) for r in out.collect()} == {
-        (1, 6, at(2)), (2, 7, at(0)),
-    }
-    assert "SortAggregate" not in plan_of(out)
+    # Equal times: the higher level, wherever the rows lie.
+    rows += [(at(9), 4, 3, level) for level in (2, 9, -1, 5)] * 3
+    for parts in (1, 5):
+        out = enrich.latest_traffic(traffic_df(spark, rows).repartition(parts, "congestion_level"))
+        assert {(r["route_id"], r["congestion_level"], r["arrival"]) for r in out.collect()} == {
+            (1, 6, at(2)), (2, 7, at(0)), (3, 9, at(9)),
+        }
 
 
 def test_preview_is_ordered_and_bounded(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetstream import FleetConfig
 from fleetstream.config import FeatureScaling
-from fleetstream.operators import enrich, scoring, training
+from fleetstream.operators import enrich, prefix, scoring, training
 from fleetstream.operators.training import Moments, sgd_step
 from fleetstream.schemas import ENRICHED_TRUCK_FIELDS, names
 from fleetstream.sources.weights import (
@@ -20,6 +20,7 @@ from fleetstream.sources.weights import (
     publish_weights,
     train_history,
 )
+from fleetstream.streaming import queries
 from support import at, join, micros, traffic_df, traffic_rows, truck_df, truck_rows
 
 CFG = FleetConfig(scaling=FeatureScaling((0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 100, 1, 1, 4)))
@@ -176,9 +177,15 @@ def test_weights_span_months(spark, tmp_path):
     days = [micros(0), micros(86400 * 40), micros(86400 * 80)]
     table.append([(d, None, w, w, 1.0, True) for d in days])
     assert table.read().count() == 3 and table.latest()[1] == days[-1]
-    assert table.between(days[1], micros(86400 * 90)).count() == 2
-    assert table.between(days[0], days[1]).count() == 1
-    assert table.between(micros(86400 * 400), micros(86400 * 500)).count() == 0
+    got = lambda first, last: sorted(
+        r[0] for r in table.between(first, last).select(F.unix_micros("bw")).collect()
+    )
+    # The newest version before the range comes with it.
+    assert got(days[1], micros(86400 * 90)) == days
+    assert got(days[0], days[1]) == days[:1]
+    assert got(days[1] + 1, days[2]) == days[1:2]
+    assert got(micros(86400 * 400), micros(86400 * 500)) == days[-1:]
+    assert got(micros(-9), micros(-5)) == []
     assert WeightsTable(spark, table.path).latest() == table.latest()
 
 
@@ -254,19 +261,183 @@ def test_scaling_fit(spark, data):
     assert scaling.scales == pytest.approx(tuple(cols.std(0)))
 
 
-def test_logistic(spark, data):
-    """The row-weighted fit equals the maximum-likelihood fit of the fanned-out rows."""
+def brute_logistic(joined, steps, step_size=1.0, tolerance=0.0):
+    x = np.array([features(tr) for _, tr, _ in joined])
+    y = np.array([label(tr) for _, tr, _ in joined])
+    w = np.zeros(7)
+    for t in range(1, steps + 1):
+        move = step_size / math.sqrt(t) * x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(x)
+        w = w - move
+        if np.linalg.norm(move) <= tolerance * np.linalg.norm(w):
+            break
+    return w, t
+
+
+def stored(df, tmp_path, name):
+    df.write.parquet(str(tmp_path / name))
+    return df.sparkSession.read.parquet(str(tmp_path / name))
+
+
+def test_logistic(spark, data, tmp_path):
+    """Weighted points and fanned-out rows lead to the same weights."""
     truck, traffic, t, f = data
     joined = join(truck, traffic)
-    x = np.array([[*features(tr), 1.0] for _, tr, _ in joined])
-    y = np.array([label(tr) for _, tr, _ in joined])
-    w = np.zeros(8)
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-x @ w))
-        w += np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]), x.T @ (y - p))
-    weighted = training.train_logistic(t, f, CFG, maxIter=200, tol=1e-12)
-    assert list(weighted.coefficients) == pytest.approx(list(w[:7]), abs=1e-4)
-    plain = training.train_logistic_history(
-        enrich.enrich_join(t, f, CFG), CFG, maxIter=200, tol=1e-12
+    by_weight = stored(training.weighted_points(t, f, CFG), tmp_path, "weighted")
+    by_rows = stored(training.enriched_points(enrich.enrich_join(t, f, CFG), CFG), tmp_path, "rows")
+    assert by_rows.count() == len(joined) > by_weight.count()
+    want, _ = brute_logistic(joined, 25)
+    for points in (by_weight, by_rows):
+        got = training.train_logistic_sgd(points, CFG, 1.0, 25)
+        assert got == pytest.approx(list(want), abs=1e-9)
+    want, steps = brute_logistic(joined, 60, tolerance=0.02)
+    assert 5 < steps < 60
+    got = training.train_logistic_sgd(by_weight, CFG, 1.0, 60, tolerance=0.02)
+    assert got == pytest.approx(list(want), abs=1e-9)
+    assert training.train_logistic_sgd(by_weight.limit(0), CFG) == [0.0] * 7
+
+
+def test_logistic_steps_share_a_plan(spark, data, tmp_path):
+    """The weights are data, so further steps compile nothing."""
+    points = stored(training.weighted_points(*data[2:], CFG), tmp_path, "points")
+    metrics = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics
+
+    def compiled(steps):
+        before = metrics.METRIC_COMPILATION_TIME().getCount()
+        training.train_logistic_sgd(points, CFG, 1.0, steps)
+        return metrics.METRIC_COMPILATION_TIME().getCount() - before
+
+    compiled(2)
+    assert compiled(10) == compiled(40) == 0
+
+
+def moment_rows(n, seed, gap=1, size=7):
+    """Moments of consecutive batches; every few repeat one, so that steps stop early."""
+    rng = np.random.default_rng(seed)
+    out, x, y = [], None, None
+    for k in range(n):
+        if x is None or k % 9 < 4:
+            x, y = rng.random((12, size)), rng.integers(0, 2, 12).astype(float)
+        m = moments_of(x, y)
+        row = {"bw": micros(2 * gap * k), "n": m.n}
+        row |= {f"xx_{i}_{j}": float(m.xx[i, j]) for i in range(size) for j in range(i, size)}
+        out.append(row | {f"xy_{i}": float(m.xy[i]) for i in range(size)})
+    return out
+
+
+@pytest.mark.parametrize("block, gap", [(7, 1), (16, 3), (1000, 1)])
+def test_scan_equals_steps_in_order(spark, tmp_path, monkeypatch, block, gap):
+    rows = moment_rows(150, block, gap)
+    cfg = dataclasses.replace(CFG, convergence_tol=0.02)
+    start, version = [0.2] * 7, micros(-4)
+    want = list(training.train_rows(rows, start, version, cfg))
+    taken = [training.sgd_steps(w[2], Moments.from_row(r, 7), cfg)[1] for r, w in zip(rows, want)]
+    assert len(set(taken)) == 2
+    monkeypatch.setattr(prefix, "BLOCK", block)
+    df = spark.createDataFrame(random.Random(1).sample(rows, len(rows))).repartition(5)
+    got = prefix.scanned_weights(df, start, version, cfg, str(tmp_path / "scan")).orderBy("bw").collect()
+    assert [(r["bw"], r["weights_bw"], r["rows"], r["finite"]) for r in got] == [
+        (w[0], w[1], w[4], w[5]) for w in want
+    ]
+    for r, w in zip(got, want):
+        assert r["weights_before"] == pytest.approx(w[2], abs=1e-9)
+        assert r["weights"] == pytest.approx(w[3], abs=1e-9)
+
+
+def test_scan_of_diverging_training(spark, tmp_path, monkeypatch):
+    x = np.array([[5.0, 90, 50, 70, 1, 1, 3]] * 10)
+    m = moments_of(x, np.ones(10))
+    row = {"n": m.n}
+    row |= {f"xx_{i}_{j}": float(m.xx[i, j]) for i in range(7) for j in range(i, 7)}
+    row |= {f"xy_{i}": float(m.xy[i]) for i in range(7)}
+    rows = [{"bw": micros(2 * k)} | row for k in range(90)]
+    want = list(training.train_rows(rows, [0.0] * 7, None, FleetConfig()))
+    monkeypatch.setattr(prefix, "BLOCK", 8)
+    got = prefix.scanned_weights(
+        spark.createDataFrame(rows), [0.0] * 7, None, FleetConfig(), str(tmp_path / "scan")
+    ).orderBy("bw").collect()
+    assert [r["finite"] for r in got] == [w[5] for w in want]
+    assert [r["weights_bw"] for r in got] == [w[1] for w in want]
+    for r, w in zip(got, want):
+        if w[5]:
+            assert r["weights"] == pytest.approx(w[3], rel=1e-9)
+
+
+def test_scan_of_nothing(spark, tmp_path):
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    empty_truck, empty_traffic = truck_df(spark, []), traffic_df(spark, [])
+    train_history(empty_truck, empty_traffic, CFG, table, str(tmp_path / "m"))
+    assert table.read().count() == 0 and table.latest() is None
+
+
+def test_weights_files_grow_like_a_logarithm(spark, tmp_path):
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    w = [0.5] * 7
+    for k in range(70):
+        table.append([(micros(2 * k), None, w, [float(k)] * 7, 1.0, True)])
+        if k in (20, 69):
+            root = table._table.root()
+            entries = table._table.entries(root)
+            assert len(entries) <= 8 * 3
+            assert table.latest() == ([float(k)] * 7, micros(2 * k))
+    assert sorted(r[0] for r in table.read().select("weights").collect()) == [[float(k)] * 7 for k in range(70)]
+    part = table.between(micros(100), micros(110))
+    assert {micros(2 * k) for k in range(49, 55)} <= {r[0] for r in part.select(F.unix_micros("bw")).collect()}
+    assert len(part.inputFiles()) < len(entries)
+
+
+def test_weights_as_of(spark, monkeypatch):
+    """The newest version from strictly before, over buckets with and without versions."""
+    monkeypatch.setattr(scoring, "_BUCKET", 4)
+    rng = random.Random(7)
+    versions = sorted(rng.sample(range(0, 3000, 2), 60))
+    asked = sorted({*rng.sample(range(-50, 3100, 2), 200), *versions[:20], 10**9, -(10**8)})
+    schema = "at long, weights array<double>"
+    known = spark.createDataFrame([(micros(v), [float(v)] * 7) for v in versions], schema)
+    known = known.select(F.timestamp_micros("at").alias("bw"), "weights")
+    questions = spark.createDataFrame([(micros(a),) for a in asked], "at long").select(
+        F.timestamp_micros("at").alias("bw")
     )
-    assert list(plain.coefficients) == pytest.approx(list(w[:7]), abs=1e-4)
+    got = {
+        r["at"]: (r["weights"] and r["weights"][0], r["version"])
+        for r in scoring.versions_as_of(questions, known, CFG)
+        .select(F.unix_micros("bw").alias("at"), "weights", F.unix_micros("weights_bw").alias("version"))
+        .collect()
+    }
+    want = {}
+    for a in asked:
+        before = [v for v in versions if v < a]
+        want[micros(a)] = (float(before[-1]), micros(before[-1])) if before else (None, None)
+    assert got == want
+    assert {v for v in scoring.versions_as_of(questions, known.limit(0), CFG).select("weights").toPandas()["weights"]} == {None}
+
+
+def test_older_rows_never_get_later_weights(spark, data, tmp_path):
+    _, _, t, f = data
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    w = [0.5] * 7
+    table.append([(micros(10), None, [0.0] * 7, w, 1.0, True)])
+    rows = enrich.enrich_join(t, f, CFG)
+    scored = scoring.predict_versioned(rows, table.read(), CFG, initial=[0.25] * 7)
+    assert scored.count() == rows.count()
+    late = F.unix_micros("bw") > micros(10)
+    assert {r[0] for r in scored.where(late).select(F.unix_micros("weights_bw")).distinct().collect()} == {micros(10)}
+    assert {r[0] for r in scored.where(~late).select("weights_bw").distinct().collect()} == {None}
+    plain = scoring.predict(rows, [0.25] * 7, CFG).where(~late).agg(F.sum("prediction")).first()[0]
+    assert scored.where(~late).agg(F.sum("prediction")).first()[0] == pytest.approx(plain)
+
+
+def test_score_plan_does_not_grow_with_time(spark, data, tmp_path):
+    _, _, t, f = data
+    rows = enrich.enrich_join(t, f, CFG).cache()
+    moved = lambda years: rows.withColumn(
+        "bw", F.timestamp_micros(F.unix_micros("bw") - F.lit(years * 365 * 86_400_000_000))
+    )
+    table = WeightsTable(spark, str(tmp_path / "w"))
+    train_history(t, f, CFG, table, str(tmp_path / "m"))
+
+    def plan(batch):
+        scored = queries.score_batch(batch, table, CFG)
+        assert scored.count() == batch.count()
+        return scored._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    assert plan(rows.unionByName(moved(54))) == plan(rows.unionByName(moved(0)))

@@ -18,7 +18,7 @@ from fleetstream.operators.render import (
 )
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
 from fleetstream.sinks.outputs import append_history, write_latest
-from fleetstream.sources.history import read_enriched_text, read_history
+from fleetstream.sources.history import read_enriched_text, read_history, read_snapshot
 from fleetstream.sources.lines import file_lines, traffic_topic, truck_topic
 from fleetstream.sources.weights import WeightsTable, train_history
 from fleetstream.streaming import app, queries as q
@@ -207,14 +207,14 @@ def test_training_restarts(feed, tmp_path):
     assert table.latest()[0] == pytest.approx(batch.latest()[0], abs=1e-9)
 
 
-def test_scores_over_many_version_ranges(feed, tmp_path, monkeypatch):
-    """A trigger longer than one broadcast of versions gives the same scores."""
+def test_scores_of_many_batches(feed, tmp_path, monkeypatch):
+    """A trigger of more batches than are broadcast gives the same scores."""
     table = WeightsTable(feed.spark, str(tmp_path / "w"))
     train_history(feed.truck, feed.traffic, feed.cfg, table, str(tmp_path / "m"))
     batch = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg)
     columns = ["bw", "event_time", "congestion_level", "weights_bw", "prediction"]
     whole = rows(q.score_batch(batch, table, feed.cfg), columns)
-    monkeypatch.setattr(q, "_VERSIONS", 3)
+    monkeypatch.setattr(q, "_FEW_BATCHES", 3)
     split = q.score_batch(batch, table, feed.cfg)
     assert rows(split, columns) == whole and len(whole) == batch.count()
 
@@ -304,7 +304,7 @@ def test_latest_mode_keeps_one_trigger(feed, tmp_path, kind):
     early, late = (joined.where(c) for c in ("hour(bw) = 0 and second(bw) < 20", "second(bw) >= 20"))
     for epoch, batch in enumerate((early, late)):
         sink(batch, str(epoch))
-    got = feed.spark.read.parquet(path) if kind == "parquet" else read_enriched_text(feed.spark, path)
+    got = read_snapshot(feed.spark, path) if kind == "parquet" else read_enriched_text(feed.spark, path)
     columns = names(ENRICHED_FIELDS)
     assert rows(got, columns) == rows(late, columns) != []
 
@@ -328,7 +328,7 @@ def test_latest_snapshot_keeps_last(feed, tmp_path):
     out = str(tmp_path / "latest")
     for value in (1, 2):
         write_latest(feed.spark.range(value), out)
-    assert feed.spark.read.parquet(out).count() == 2
+    assert read_snapshot(feed.spark, out).count() == 2
 
 
 def test_text_files_arrive_when_written(spark, tmp_path):
@@ -389,25 +389,14 @@ def test_rows_from_the_future(feed, tmp_path):
         run_all(feed, strict)
 
 
-def test_nothing_is_left_out_silently(feed, caplog):
+def test_settings_a_job_needs(feed):
     lines = feed.spark.createDataFrame([], LINES)
     with pytest.raises(ValueError, match="quarantine_path"):
-        app.start_all(feed.session, dataclasses.replace(feed.cfg, parse_mode="permissive"), lines, lines)
-    with pytest.raises(ValueError, match="checkpoint_path"):
-        app.start_all(feed.session, dataclasses.replace(feed.cfg, checkpoint_path=None), lines, lines)
-
-    class State:
-        numRowsDroppedByWatermark = 3
-
-    class Progress:
-        name, batchId, stateOperators = "enriched", 7, [State, State]
-
-    class Event:
-        progress = Progress
-
-    with caplog.at_level("WARNING"):
-        app.LateRows().onQueryProgress(Event)
-    assert "enriched, trigger 7: 6 rows" in caplog.text
+        app.start_all(feed.session, dataclasses.replace(feed.cfg, parse_mode="permissive"), lines, lines, trigger=ONCE)
+    for missing in ("checkpoint_path", "log_path"):
+        cfg = dataclasses.replace(feed.cfg, **{"checkpoint_path": "/c", "log_path": "/l", missing: None})
+        with pytest.raises(ValueError, match=missing):
+            app.start_all(feed.session, cfg, lines, lines)
 
 
 def test_latest_snapshot_outlives_empty_triggers(feed, tmp_path):
@@ -415,7 +404,7 @@ def test_latest_snapshot_outlives_empty_triggers(feed, tmp_path):
     path = str(tmp_path / "e")
     cfg = dataclasses.replace(feed.cfg, history_mode="latest", enriched_path=path)
     run_all(feed, cfg)
-    got = rows(feed.spark.read.parquet(path), ["bw", *names(ENRICHED_FIELDS)])
+    got = rows(read_snapshot(feed.spark, path), ["bw", *names(ENRICHED_FIELDS)])
     assert got and set(got) <= set(want_enriched(feed))
 
 
