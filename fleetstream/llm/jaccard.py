@@ -12,8 +12,11 @@ texts share brings nobody together who is not alike otherwise.
 Sets that agree on a block are grouped; a set that agrees with others on fewer than e
 blocks has no link and leaves its groups. A link is tested with the sketch of bits, whose
 Hamming distance is a lower bound for the difference, and then with the whole texts. First
-every set is tested with the least ids of its groups; then, in groups that this has not joined to one component, every pair of
-different components is tested.
+every set is tested with the least ids of its groups. In groups that this has not joined to
+one component, a few rounds follow in which members of other components are tested with a
+member that a hash picks, a new one in each round and group: that joins what is linked with
+many. What is still apart then is tested exhaustively, every member outside a group's
+largest component with every member of another component.
 """
 
 from __future__ import annotations
@@ -25,7 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetstream.llm.components import components
-from fleetstream.llm.storage import broadcast_if_small, shuffle_partitions, written
+from fleetstream.llm.storage import (
+    broadcast_if_small,
+    ship_package,
+    shuffle_partitions,
+    written,
+)
 from fleetstream.llm.windows import Sums, Texts, lower_ascii, mixed, words
 
 SHINGLE_WORDS = 5
@@ -36,8 +44,10 @@ _BAND = 8
 _LEAST_BLOCKS = 4096
 #: Texts of a cluster that are compared in one group, on either side.
 _CELL = 256
-#: Members of a key that are paired in one group, on either side, when all links are asked.
+#: Members of a key that are paired in one group, on either side.
 _MEMBERS = 512
+#: Rounds with picked members before what is left is tested exhaustively.
+_ROUNDS = 1
 #: Shingles in at least this share of the texts are put last, the most frequent of them.
 FREQUENT_SHARE = 0.001
 MOST_FREQUENT = 100_000
@@ -336,24 +346,78 @@ def _often_agreeing(groups: DataFrame) -> DataFrame:
     return _parted(left, 2 * shuffle_partitions(left)).applyInArrow(regroup, _GROUPS)
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs a, b of different components that agree as often as linked sets have to.
+def _celled(members: DataFrame, outside: DataFrame | None = None) -> DataFrame:
+    """Members (key, a, size, c) dealt into cells of at most _MEMBERS on either side.
 
-    Groups of one part name the same pairs again and again, so they are counted there;
-    what is held is bounded by the different pairs.
+    A key with few members is a cell, in which all pairs meet (``side`` is -1). Of others
+    every block of members meets every block of those that ``outside`` (key, a) names, or
+    of all, on the two sides of a cell; a pair of two that are outside may meet twice.
+    """
+    if outside is None:
+        outside = members.select("key", "a")
+    held = members.join(
+        outside.withColumn("out", F.lit(True)), ["key", "a"], "left"
+    ).withColumn("out", F.coalesce("out", F.lit(False)))
+    blocks = held.groupBy("key").agg(
+        F.ceil(F.count("*") / _MEMBERS).alias("blocks"),
+        F.greatest(F.ceil(F.count_if("out") / _MEMBERS), F.lit(1)).alias("others"),
+    )
+    held = held.join(blocks, "key")
+    own = F.pmod(F.xxhash64("a"), F.col("blocks"))
+    single = F.col("blocks") == 1
+
+    def cell(i, j):
+        return F.when(single, F.col("key")).otherwise(F.xxhash64("key", i, j))
+
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    side = lambda k: F.when(single, F.lit(-1)).otherwise(F.lit(k)).alias("side")
+    inside = held.select("*", F.explode(upto(F.col("others"))).alias("other")).select(
+        cell(own, F.col("other")).alias("key"), "a", "size", "c", side(0)
+    )
+    mine = F.pmod(F.xxhash64("a", F.lit(1)), F.col("others"))
+    crossing = (
+        held.where(~single & F.col("out"))
+        .select("*", F.explode(upto(F.col("blocks"))).alias("block"))
+        .select(cell(F.col("block"), mine).alias("key"), "a", "size", "c", side(1))
+    )
+    return inside.union(crossing)
+
+
+def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Pairs a, b of different components that agree as often as linked sets have to, and
+    whose bit sketches allow a link.
+
+    ``cells`` comes from ``_celled``. Cells of one part name the same pairs again and again,
+    so they are counted there; a pair that its sketches rule out never leaves the part.
     """
 
     def pairs(table: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_numpy()
         order = np.lexsort((column("size"), column("key")))
-        key, a, c, size = (column(x)[order] for x in ("key", "a", "c", "size"))
+        key, a, c, size, side = (column(x)[order] for x in ("key", "a", "c", "size", "side"))
         ids, place = np.unique(a, return_inverse=True)
+        sketch = np.zeros((len(ids), SKETCH_BITS // 64), dtype=np.uint64)
+        rows = np.zeros(len(ids), dtype=np.int64)
+        rows[place] = order
+        held_sketches = table.column("sketch").take(pa.array(rows)).to_pylist()
+        if len(ids):
+            sketch = np.frombuffer(b"".join(held_sketches), np.uint64).reshape(len(ids), -1)
+        sizes = np.zeros(len(ids), dtype=np.int64)
+        sizes[place] = size
         first = np.append(True, key[1:] != key[:-1])[: len(key)]
         at = np.arange(len(key))
         position = at - np.maximum.accumulate(np.where(first, at, 0))
         found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         held, pending, apart = [], 0, 1
 
+        def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            keep = np.ones(len(x), dtype=bool)
+            for k in range(0, len(x), 100_000):
+                i, j = x[k : k + 100_000], y[k : k + 100_000]
+                distance = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+                keep[k : k + 100_000] = distance * 7 <= sizes[i] + sizes[j]
+            return keep
+
         def counted() -> tuple[np.ndarray, np.ndarray]:
             every = np.concatenate([found, *held])
             weight = np.ones(len(every), dtype=np.int64)
@@ -366,8 +430,10 @@ def _across(members: DataFrame) -> DataFrame:
         while len(at := at[position[at] >= apart]):
             at = at[size[at - apart] * 4 >= size[at] * 3]
             other = at - apart
-            differ = c[at] != c[other]
-            x, y = place[at[differ]], place[other[differ]]
+            meet = (c[at] != c[other]) & ((side[at] < 0) | (side[at] != side[other]))
+            x, y = place[at[meet]], place[other[meet]]
+            keep = near(x, y)
+            x, y = x[keep], y[keep]
             held.append(np.maximum(x, y) * len(ids) + np.minimum(x, y))
             pending += len(held[-1])
             if pending > max(500_000, len(found)):
@@ -375,8 +441,6 @@ def _across(members: DataFrame) -> DataFrame:
                 held, pending = [], 0
             apart += 1
         found, counts = counted()
-        sizes = np.zeros(len(ids), dtype=np.int64)
-        sizes[place] = size
         high, low = found // max(len(ids), 1), found % max(len(ids), 1)
         return pa.table(
             {
@@ -388,7 +452,8 @@ def _across(members: DataFrame) -> DataFrame:
         )
 
     kind = "a bigint, b bigint, n bigint, least bigint"
-    named = _parted(members, shuffle_partitions(members)).applyInArrow(pairs, kind)
+    sketches = summaries.select(F.col("doc_id").alias("a"), "sketch")
+    named = _parted(cells.join(sketches, "a"), shuffle_partitions(cells)).applyInArrow(pairs, kind)
     enough = F.sum("n") >= F.expr("min(least) div 12 + 1")
     return named.groupBy("a", "b").agg(enough.alias("enough")).where("enough").select("a", "b")
 
@@ -472,10 +537,11 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Summaries of all rows and of those that can be linked, links to the least id with an
-    equal set, and the groups of sets that agree often enough."""
-    rows = written(shingle_summaries(docs), "sets")
+def _candidates(
+    docs: DataFrame, rows: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Summaries of the rows that can be linked, links to the least id with an equal set, and
+    the groups of sets that agree often enough."""
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     equal = full.groupBy("set_a", "set_b", "n_shingles")
     least = equal.agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
@@ -488,7 +554,41 @@ def _candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataF
         "copies",
     )
     agreeing = written(block_groups(docs, frequent_shingles(docs, rows.count())), "agreeing")
-    return rows, full, copies, written(_often_agreeing(agreeing), "groups")
+    return full, copies, written(_often_agreeing(agreeing), "groups")
+
+
+def _one_text_each(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Documents with an id per set, and the ids of those that had one doc_id in common.
+
+    A doc_id with several sets is taken apart: each text gets a hash as its id, told from
+    other ids as 64-bit hashes are. Where there is none, nothing changes.
+    """
+    several = (
+        rows.where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(
+            F.min("set_a").alias("a"), F.max("set_a").alias("b"),
+            F.min("n_shingles").alias("c"), F.max("n_shingles").alias("d"),
+        )
+        .where("a != b OR c != d")
+        .select(F.col("doc_id").alias("shared_id"))
+    )
+    several = written(several, "several")
+    if several.isEmpty():
+        return docs, None
+    apart = docs.join(
+        broadcast_if_small(several), F.col("doc_id") == F.col("shared_id"), "left"
+    ).select(
+        F.when(F.col("shared_id").isNotNull(), F.xxhash64("doc_id", "text"))
+        .otherwise(F.col("doc_id"))
+        .alias("doc_id"),
+        "text",
+        "shared_id",
+    )
+    names = written(
+        apart.where("shared_id IS NOT NULL").select("doc_id", "shared_id").distinct(), "names"
+    )
+    return apart.select("doc_id", "text"), names
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -496,55 +596,93 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Texts are linked if 100 * |intersection| >= 75 * |union| of their sets of five-word
     shingles. Texts without words are linked with nothing. ``component_id`` is the least
-    doc_id reachable; rows with one doc_id are one node, and rows without a doc_id are
-    linked with nothing and have no component. No rows give no rows.
+    doc_id reachable; rows with one doc_id are one node, also where their texts differ, and
+    rows without a doc_id are linked with nothing and have no component. No rows give no
+    rows.
     """
+    ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows, full, copies, groups = _candidates(docs)
+    rows = written(shingle_summaries(docs), "sets")
+    apart, names = _one_text_each(docs, rows)
+    if names is None:
+        found = _components_of(docs, rows)
+        ids = rows.select("doc_id", "n_shingles")
+    else:
+        # Texts of one doc_id belong together; the least doc_id names the component.
+        found = _components_of(apart, written(shingle_summaries(apart), "sets"), names)
+        named = found.join(names, F.col("id") == names["doc_id"], "left").select(
+            F.coalesce("shared_id", "id").alias("id"), "component"
+        )
+        least = named.groupBy("component").agg(F.min("id").alias("least"))
+        found = (
+            named.distinct().join(least, "component").select("id", F.col("least").alias("component"))
+        )
+        ids = rows.select("doc_id", "n_shingles")
+    return ids.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    )
+
+
+def _with_components(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (key, a, size, c) of the groups that more than one component has."""
+    members = (
+        groups.select("key", F.col("doc_id").alias("a"), "size")
+        .join(found.select(F.col("id").alias("a"), "component"), "a", "left")
+        .select("key", "a", "size", F.coalesce("component", "a").alias("c"))
+    )
+    members = written(members, "members")
+    still = members.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    return members.join(still.where("low != high").select("key"), "key", "left_semi")
+
+
+def _picked(members: DataFrame, number: int) -> DataFrame:
+    """Pairs of a member and the one a hash picks for its group, of another component."""
+    place = F.xxhash64("a", "key", F.lit(number))
+    hub = members.groupBy("key").agg(F.min_by(F.struct("a", "c"), place).alias("hub"))
+    met = members.join(hub, "key").where(F.col("c") != F.col("hub.c"))
+    pair = F.greatest("a", "hub.a").alias("a"), F.least("a", "hub.a").alias("b")
+    return met.select(*pair).distinct()
+
+
+def _components_of(
+    docs: DataFrame, rows: DataFrame, names: DataFrame | None = None
+) -> DataFrame:
+    """id, component of the documents that are linked with others."""
+    full, copies, groups = _candidates(docs, rows)
     counted = (
         groups.where("doc_id != hub")
-        .groupBy("doc_id", "hub")
-        .count()
-        .select(F.col("doc_id").alias("a"), F.col("hub").alias("b"), F.col("count").alias("n"))
+        .select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
+        .distinct()
     )
-    met = written(counted, "met")
     once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
+    once = written(once, "once")
     whole = docs.where(F.col("doc_id").isNotNull())
-    hubs = met.select("a", "b")
-    links = written(_linked(written(_alike(hubs, once), "alike"), whole), "linked")
-    found = written(components(links.union(copies)), "components")
-
-    def component(k: str) -> DataFrame:
-        return found.select(F.col("id").alias(k), F.col("component").alias(f"c_{k}"))
-
-    of = lambda k: F.coalesce(F.col(f"c_{k}"), F.col(k))
-    open_hubs = written(
-        met.join(component("a"), "a", "left").join(component("b"), "b", "left")
-        .where(of("a") != of("b"))
-        .select(F.col("a").alias("doc_id"), F.col("b").alias("hub")),
-        "open",
-    )
-    if not open_hubs.isEmpty():
-        open_keys = written(
-            groups.join(open_hubs, ["doc_id", "hub"], "left_semi").select("key").distinct(),
-            "keys",
-        )
-        members = (
-            groups.join(open_keys, "key", "left_semi")
-            .select("key", F.col("doc_id").alias("a"), "size")
-            .join(component("a"), "a", "left")
-            .select("key", "a", "size", of("a").alias("c"))
-        )
-        rest = _across(members)
-        more = _linked(written(_alike(rest, once), "alike"), whole)
-        found = written(components(written(more, "linked").union(links).union(copies)), "components")
-    return (
-        rows.select("doc_id", "n_shingles")
-        .join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .select(
-            "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
-        )
-    )
+
+    def joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components after testing more pairs."""
+        links = _linked(written(_alike(pairs, once), "alike"), whole)
+        stars = found.where("id != component").toDF("a", "b")
+        return written(components(stars.union(links)), "components")
+
+    start = copies.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    if names is not None:
+        same = names.groupBy("shared_id").agg(F.min("doc_id").alias("least"))
+        tied = names.join(same, "shared_id").where("doc_id != least")
+        start = start.union(tied.select("doc_id", "least"))
+    found = joined(start, written(counted, "met"))
+    for number in range(_ROUNDS):
+        members = written(_with_components(groups, found), "open")
+        if members.isEmpty():
+            return found
+        groups = groups.join(members.select("key").distinct(), "key", "left_semi")
+        found = joined(found, written(_picked(members, number), "picked"))
+    members = written(_with_components(groups, found), "open")
+    if members.isEmpty():
+        return found
+    counts = members.groupBy("key", "c").count()
+    largest = counts.groupBy("key").agg(F.max_by("c", F.struct("count", "c")).alias("largest"))
+    outside = members.join(largest, "key").where("c != largest").select("key", "a")
+    return joined(found, _across(_celled(members, outside), once))
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
@@ -557,7 +695,8 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     paired in blocks, so that many of them are spread over tasks.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows, full, copies, groups = _candidates(docs)
+    rows = written(shingle_summaries(docs), "sets")
+    full, copies, groups = _candidates(docs, rows)
     least = copies.groupBy("a").agg(F.min("b").alias("least"))
     sets = written(
         full.select("doc_id").distinct()
@@ -573,22 +712,10 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         .distinct(),
         "members",
     )
-    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / _MEMBERS).alias("blocks"))
-    own = F.pmod(F.xxhash64("a"), F.col("blocks"))
-    cells = (
-        members.join(blocks, "key")
-        .select("key", "a", "size", own.alias("own"), F.explode(F.sequence(
-            F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-        # Members of two blocks are paired across them, and those of one with each other.
-        .select(
-            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-            "a", "size",
-            F.when(F.col("own") == F.col("other"), F.col("a")).otherwise(F.col("own")).alias("c"),
-        )
-    )
+    cells = _celled(members.withColumn("c", F.col("a")))
     once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
     whole = docs.where(F.col("doc_id").isNotNull())
-    alike = written(_alike(_across(cells), once), "alike")
+    alike = written(_alike(_across(cells, once), once), "alike")
     links = written(_linked(alike, whole), "linked")
     found = components(links.union(copies)).withColumnRenamed("id", "doc_id")
     near = (
