@@ -347,7 +347,7 @@ def _often_agreeing(groups: DataFrame) -> DataFrame:
 
 
 def _celled(members: DataFrame, outside: DataFrame | None = None) -> DataFrame:
-    """Members (key, a, size, c) dealt into cells of at most _MEMBERS on either side.
+    """Members (key, a, size, c) dealt by hashes into cells of about _MEMBERS on either side.
 
     A key with few members is a cell, in which all pairs meet (``side`` is -1). Of others
     every block of members meets every block of those that ``outside`` (key, a) names, or
