@@ -9,14 +9,11 @@ common to all sets, two such sets agree on at least e of their first D + e block
 only those are joined. The order has blocks of frequent shingles last: a passage that many
 texts share brings nobody together who is not alike otherwise.
 
-Sets that agree on a block are grouped; a set that agrees with others on fewer than e
-blocks has no link and leaves its groups. A link is tested with the sketch of bits, whose
+Sets that agree on a block are grouped. A link is tested with the sketch of bits, whose
 Hamming distance is a lower bound for the difference, and then with the whole texts. First
 every set is tested with the least ids of its groups. In groups that this has not joined to
-one component, a few rounds follow in which members of other components are tested with a
-member that a hash picks, a new one in each round and group: that joins what is linked with
-many. What is still apart then is tested exhaustively, every member outside a group's
-largest component with every member of another component.
+one component, every member outside the largest one is tested with every member of another
+component.
 """
 
 from __future__ import annotations
@@ -45,9 +42,7 @@ _LEAST_BLOCKS = 4096
 #: Texts of a cluster that are compared in one group, on either side.
 _CELL = 256
 #: Members of a key that are paired in one group, on either side.
-_MEMBERS = 512
-#: Rounds with picked members before what is left is tested exhaustively.
-_ROUNDS = 1
+_MEMBERS = 2048
 #: Shingles in at least this share of the texts are put last, the most frequent of them.
 FREQUENT_SHARE = 0.001
 MOST_FREQUENT = 100_000
@@ -323,62 +318,75 @@ def _agreeing(key: np.ndarray, doc: np.ndarray, size: np.ndarray) -> pa.Table:
     )
 
 
-def _parted(groups: DataFrame, parts: int):
-    """Rows with a key, by parts of many keys.
-
-    A number of partitions is asked for, as few rows can name many pairs.
-    """
-    parted = groups.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
-    return parted.repartition(parts, "part").groupBy("part")
-
-
-def _often_agreeing(groups: DataFrame) -> DataFrame:
-    """The groups of the sets that agree as often as a linked set has to."""
+def _open(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (key, hub, a, size, c, out) of the groups that more than one component has;
+    ``out`` are those outside the group's largest one. ``found`` is stored."""
+    of = found.select(F.col("id").alias("a"), "component")
+    members = groups.select("key", "hub", F.col("doc_id").alias("a"), "size").join(
+        broadcast_if_small(of), "a", "left"
+    )
+    members = members.select("key", "hub", "a", "size", F.coalesce("component", "a").alias("c"))
+
+    def still(table: pa.Table) -> pa.Table:
+        key, c = (table.column(x).to_numpy() for x in ("key", "c"))
+        order = np.lexsort((c, key))
+        key, c = key[order], c[order]
+        new = np.append(True, key[1:] != key[:-1])[: len(key)]
+        run = np.flatnonzero(new | np.append(True, c[1:] != c[:-1])[: len(key)])
+        length = np.diff(np.append(run, len(key)))
+        group = np.cumsum(new)[run] - 1
+        groups = int(new.sum())
+        largest = np.zeros(groups, dtype=np.int64)
+        by = np.argsort(length, kind="stable")
+        largest[group[by]] = c[run[by]]
+        several = np.bincount(group, minlength=groups) > 1
+        at = np.cumsum(new) - 1
+        table = table.take(pa.array(order[several[at]]))
+        return table.append_column("out", pa.array((c != largest[at])[several[at]]))
+
+    parted = members.withColumn(
+        "part", F.pmod(F.xxhash64("key"), F.lit(2 * shuffle_partitions(groups)))
+    )
+    return parted.groupBy("part").applyInArrow(still, f"part bigint, {_MEMBER}").drop("part")
 
-    def regroup(table: pa.Table) -> pa.Table:
-        return _agreeing(*(table.column(c).to_numpy() for c in ("key", "doc_id", "size")))
 
-    # Sets linked with a set have 3/4 of its size at least.
-    need = F.expr("(min(size) * 3 div 4) div 12 + 1")
-    often = groups.groupBy("doc_id").agg(F.count("*").alias("agreements"), need.alias("need"))
-    enough = written(often.where("agreements >= need").select("doc_id"), "enough")
-    left = groups.drop("hub").join(enough, "doc_id", "left_semi")
-    return _parted(left, 2 * shuffle_partitions(left)).applyInArrow(regroup, _GROUPS)
+_MEMBER = "key bigint, hub bigint, a bigint, size int, c bigint, out boolean"
 
 
-def _celled(members: DataFrame, outside: DataFrame | None = None) -> DataFrame:
-    """Members (key, a, size, c) dealt by hashes into cells of about _MEMBERS on either side.
+def _celled(members: DataFrame) -> DataFrame:
+    """Members (key, hub, a, size, c, out) dealt by hashes into cells of about _MEMBERS on
+    either side.
 
     A key with few members is a cell, in which all pairs meet (``side`` is -1). Of others
-    every block of members meets every block of those that ``outside`` (key, a) names, or
-    of all, on the two sides of a cell; a pair of two that are outside may meet twice.
+    every block of members meets every block of those outside, on the two sides of a cell; a
+    pair of two that are outside may meet twice. Only keys with many members are counted
+    beforehand, so the table that says how they are cut is small.
     """
-    if outside is None:
-        outside = members.select("key", "a")
-    held = members.join(
-        outside.withColumn("out", F.lit(True)), ["key", "a"], "left"
-    ).withColumn("out", F.coalesce("out", F.lit(False)))
-    blocks = held.groupBy("key").agg(
-        F.ceil(F.count("*") / _MEMBERS).alias("blocks"),
-        F.greatest(F.ceil(F.count_if("out") / _MEMBERS), F.lit(1)).alias("others"),
+    sizes = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.greatest(F.count_if("out"), F.lit(1)).alias("m")
+    )
+    # At most one row for _MEMBERS members.
+    large = written(sizes.where(F.col("n") > _MEMBERS), "large")
+    cut = lambda n: F.coalesce(F.ceil(F.col(n) / _MEMBERS), F.lit(1)).cast("long")
+    held = members.join(broadcast_if_small(large), "key", "left").select(
+        "key", "hub", "a", "size", "c", "out", cut("n").alias("blocks"), cut("m").alias("others")
     )
-    held = held.join(blocks, "key")
-    own = F.pmod(F.xxhash64("a"), F.col("blocks"))
     single = F.col("blocks") == 1
+    own = F.pmod(F.xxhash64("a"), F.col("blocks"))
+    mine = F.pmod(F.xxhash64("a", F.lit(1)), F.col("others"))
 
     def cell(i, j):
         return F.when(single, F.col("key")).otherwise(F.xxhash64("key", i, j))
 
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     side = lambda k: F.when(single, F.lit(-1)).otherwise(F.lit(k)).alias("side")
-    inside = held.select("*", F.explode(upto(F.col("others"))).alias("other")).select(
-        cell(own, F.col("other")).alias("key"), "a", "size", "c", side(0)
+    inside = held.select("*", F.explode(upto("others")).alias("other")).select(
+        cell(own, F.col("other")).alias("key"), "hub", "a", "size", "c", side(0)
     )
-    mine = F.pmod(F.xxhash64("a", F.lit(1)), F.col("others"))
     crossing = (
         held.where(~single & F.col("out"))
-        .select("*", F.explode(upto(F.col("blocks"))).alias("block"))
-        .select(cell(F.col("block"), mine).alias("key"), "a", "size", "c", side(1))
+        .select("*", F.explode(upto("blocks")).alias("block"))
+        .select(cell(F.col("block"), mine).alias("key"), "hub", "a", "size", "c", side(1))
     )
     return inside.union(crossing)
 
@@ -387,21 +395,19 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
     """Pairs a, b of different components that agree as often as linked sets have to, and
     whose bit sketches allow a link.
 
-    ``cells`` comes from ``_celled``. Cells of one part name the same pairs again and again,
-    so they are counted there; a pair that its sketches rule out never leaves the part.
+    ``cells`` comes from ``_celled``. Cells whose least members are the same lie in one part,
+    as they name the same pairs again and again: a pair is counted there, its sketches come
+    there once for each document, and a pair that they rule out never leaves the part.
     """
 
-    def pairs(table: pa.Table) -> pa.Table:
+    def pairs(table: pa.Table, sketches: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_numpy()
         order = np.lexsort((column("size"), column("key")))
         key, a, c, size, side = (column(x)[order] for x in ("key", "a", "c", "size", "side"))
         ids, place = np.unique(a, return_inverse=True)
-        sketch = np.zeros((len(ids), SKETCH_BITS // 64), dtype=np.uint64)
-        rows = np.zeros(len(ids), dtype=np.int64)
-        rows[place] = order
-        held_sketches = table.column("sketch").take(pa.array(rows)).to_pylist()
-        if len(ids):
-            sketch = np.frombuffer(b"".join(held_sketches), np.uint64).reshape(len(ids), -1)
+        known = np.argsort(sketches.column("id").to_numpy())
+        words = b"".join(sketches.column("sketch").take(pa.array(known)).to_pylist())
+        sketch = np.frombuffer(words, np.uint64).reshape(len(ids), -1)
         sizes = np.zeros(len(ids), dtype=np.int64)
         sizes[place] = size
         first = np.append(True, key[1:] != key[:-1])[: len(key)]
@@ -452,12 +458,33 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
         )
 
     kind = "a bigint, b bigint, n bigint, least bigint"
-    sketches = summaries.select(F.col("doc_id").alias("a"), "sketch")
-    named = _parted(cells.join(sketches, "a"), shuffle_partitions(cells)).applyInArrow(pairs, kind)
+    cells = written(_by_hub(cells), "cells")
+    asked = cells.select(F.col("part").alias("place"), F.col("a").alias("id")).distinct()
+    held = asked.join(summaries.select(F.col("doc_id").alias("id"), "sketch"), "id")
+    named = cells.groupBy("part").cogroup(held.groupBy("place")).applyInArrow(pairs, kind)
     enough = F.sum("n") >= F.expr("min(least) div 12 + 1")
     return named.groupBy("a", "b").agg(enough.alias("enough")).where("enough").select("a", "b")
 
 
+#: Rows of one least member that go to one part.
+_TOGETHER = 50_000
+
+
+def _by_hub(cells: DataFrame) -> DataFrame:
+    """Cells with the part they go to, by the hub of their key; one with very many rows is
+    spread over several."""
+    counts = cells.groupBy("hub").count().where(F.col("count") > _TOGETHER)
+    # At most one row for _TOGETHER cells' rows.
+    many = counts.select("hub", F.ceil(F.col("count") / _TOGETHER).alias("slices"))
+    spread = F.pmod(F.xxhash64("key"), F.coalesce("slices", F.lit(1)))
+    part = F.pmod(F.xxhash64("hub", spread), F.lit(4 * shuffle_partitions(cells)))
+    return (
+        cells.join(broadcast_if_small(written(many, "many")), "hub", "left")
+        .withColumn("part", part)
+        .drop("hub", "slices")
+    )
+
+
 def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow a similarity of 3/4."""
     side = lambda k: summaries.select(
@@ -541,7 +568,7 @@ def _candidates(
     docs: DataFrame, rows: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Summaries of the rows that can be linked, links to the least id with an equal set, and
-    the groups of sets that agree often enough."""
+    the groups of sets that agree on a block."""
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     equal = full.groupBy("set_a", "set_b", "n_shingles")
     least = equal.agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
@@ -553,8 +580,8 @@ def _candidates(
         .where("a != b"),
         "copies",
     )
-    agreeing = written(block_groups(docs, frequent_shingles(docs, rows.count())), "agreeing")
-    return full, copies, written(_often_agreeing(agreeing), "groups")
+    groups = block_groups(docs, frequent_shingles(docs, rows.count()))
+    return full, copies, written(groups, "groups")
 
 
 def _one_text_each(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -623,27 +650,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_components(groups: DataFrame, found: DataFrame) -> DataFrame:
-    """Members (key, a, size, c) of the groups that more than one component has."""
-    members = (
-        groups.select("key", F.col("doc_id").alias("a"), "size")
-        .join(found.select(F.col("id").alias("a"), "component"), "a", "left")
-        .select("key", "a", "size", F.coalesce("component", "a").alias("c"))
-    )
-    members = written(members, "members")
-    still = members.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    return members.join(still.where("low != high").select("key"), "key", "left_semi")
-
-
-def _picked(members: DataFrame, number: int) -> DataFrame:
-    """Pairs of a member and the one a hash picks for its group, of another component."""
-    place = F.xxhash64("a", "key", F.lit(number))
-    hub = members.groupBy("key").agg(F.min_by(F.struct("a", "c"), place).alias("hub"))
-    met = members.join(hub, "key").where(F.col("c") != F.col("hub.c"))
-    pair = F.greatest("a", "hub.a").alias("a"), F.least("a", "hub.a").alias("b")
-    return met.select(*pair).distinct()
-
-
 def _components_of(
     docs: DataFrame, rows: DataFrame, names: DataFrame | None = None
 ) -> DataFrame:
@@ -670,19 +676,10 @@ def _components_of(
         tied = names.join(same, "shared_id").where("doc_id != least")
         start = start.union(tied.select("doc_id", "least"))
     found = joined(start, written(counted, "met"))
-    for number in range(_ROUNDS):
-        members = written(_with_components(groups, found), "open")
-        if members.isEmpty():
-            return found
-        groups = groups.join(members.select("key").distinct(), "key", "left_semi")
-        found = joined(found, written(_picked(members, number), "picked"))
-    members = written(_with_components(groups, found), "open")
+    members = written(_open(groups, found), "open")
     if members.isEmpty():
         return found
-    counts = members.groupBy("key", "c").count()
-    largest = counts.groupBy("key").agg(F.max_by("c", F.struct("count", "c")).alias("largest"))
-    outside = members.join(largest, "key").where("c != largest").select("key", "a")
-    return joined(found, _across(_celled(members, outside), once))
+    return joined(found, _across(_celled(members), once))
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
@@ -706,13 +703,14 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     )
     weights = written(sets.groupBy("least").agg(F.count("*").alias("weight")), "weights")
     members = written(
-        groups.select("key", "doc_id", "size")
-        .join(sets, "doc_id")
-        .select("key", F.col("least").alias("a"), "size")
-        .distinct(),
+        groups.join(sets, "doc_id")
+        .select("key", "hub", F.col("least").alias("a"), "size")
+        .distinct()
+        .withColumn("c", F.col("a"))
+        .withColumn("out", F.lit(True)),
         "members",
     )
-    cells = _celled(members.withColumn("c", F.col("a")))
+    cells = _celled(members)
     once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
     whole = docs.where(F.col("doc_id").isNotNull())
     alike = written(_alike(_across(cells, once), once), "alike")

@@ -41,13 +41,12 @@ def edited(rng, base, most):
 
 
 @pytest.mark.parametrize("members", [16, 512])
-@pytest.mark.parametrize("rounds", [0, 1])
-def test_a_family_whose_middle_is_not_the_least_id(documents, monkeypatch, members, rounds):
+def test_a_family_whose_middle_is_not_the_least_id(documents, monkeypatch, members):
     """Copies edited so much that few are linked with the least one; groups in one cell
-    and in many, with and without a round of picked members."""
+    and in many, one hub's in one part and in many."""
     monkeypatch.setattr(jaccard, "_MEMBERS", members)
-    monkeypatch.setattr(jaccard, "_ROUNDS", rounds)
-    rng = random.Random(members + rounds)
+    monkeypatch.setattr(jaccard, "_TOGETHER", 5 * members)
+    rng = random.Random(members)
     rows = []
     for family, size in ((0, 120), (1, 40), (2, 9)):
         base = [f"f{family}w{k}" for k in range(90)]
@@ -64,9 +63,9 @@ def test_cells_hold_every_pair_once_or_twice(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(k, a, 10, 0 if rng.random() < 0.6 else 100 + a % 7) for k in range(3) for a in range(3 + 9 * k)]
     members = spark.createDataFrame(rows, "key long, a long, size int, c long")
-    outside = members.where("c != 0").select("key", "a")
+    members = members.selectExpr("key", "0L AS hub", "a", "size", "c", "c != 0 AS out")
     cells = {}
-    for r in jaccard._celled(members, outside).collect():
+    for r in jaccard._celled(members).collect():
         cells.setdefault(r.key, []).append((r.a, r.c, r.side))
     assert max(len(c) for c in cells.values()) < 21 == max(k for k in (3, 12, 21))
     met = set()
