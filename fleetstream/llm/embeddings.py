@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fleetstream.llm.components import components, roots
-from fleetstream.llm.storage import written
+from fleetstream.llm.storage import chance, written
 
 #: Vectors that the index is fitted on at most, and its sizes.
 SAMPLE = 8_192
@@ -141,8 +141,7 @@ def _fitted(distinct: DataFrame) -> dict[int, ProductIndex]:
     for d, n in counts.items():
         some = distinct.where(F.size("vector") == d)
         if n > SAMPLE // 2:
-            position = F.pmod(F.xxhash64("vector"), F.lit(1_000_000))
-            some = some.where(position < int(500_000 * SAMPLE / n))
+            some = some.where(chance("vector") < SAMPLE / 2 / n)
         rows = some.select("vector").limit(SAMPLE).toArrow().column("vector")
         found[d] = ProductIndex.fit(_unit(np.unique(_matrix(rows), axis=0)))
     return found

@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fleetstream.llm.storage import chance, fresh
 from fleetstream.llm.windows import mixed
 
 UNDETERMINED = "und"
@@ -206,12 +207,13 @@ def fit(
 ) -> WordModel:
     """Train on about ``docs_per_label`` whole texts of each label.
 
-    The sample is taken by a hash of the text among the rows with text and label, so it
-    doesn't depend on order or partitions. All of its words are kept; more than
+    The sample is taken by a hash of text and doc_id, where there is one, among the rows with
+    text and label, so it doesn't depend on order or partitions. All of its words are kept; more than
     ``labels`` labels are an error.
     """
+    told_by = [c for c in ("doc_id", "text") if c in docs.columns]
     usable = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull()).select(
-        F.col(label).cast("string").alias("_label"), "text"
+        F.col(label).cast("string").alias("_label"), "text", chance(*told_by).alias("_chance")
     )
     sizes = {r["_label"]: r["count"] for r in usable.groupBy("_label").count().limit(
         labels + 1).collect()}
@@ -222,8 +224,7 @@ def fit(
     share = F.create_map(
         *[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, docs_per_label / n))]
     )
-    position = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
-    sample = usable.where(position < share[F.col("_label")])
+    sample = usable.where(F.col("_chance") < share[F.col("_label")]).select("_label", "text")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -318,7 +319,8 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
     """docs with lang_pred and lang_score (0 to 1), from ``text`` alone.
 
     ``und`` with score 0 for a null text, a text without letters, or an untrained model.
-    Equal scores go to the first label in order. All columns and repeated rows stay.
+    Equal scores go to the first label in order. All columns and repeated rows stay; a
+    column named like a result is replaced.
     """
     context = docs.sparkSession.sparkContext
     # Bounded by the sample that the model was trained on.
@@ -338,10 +340,11 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
             yield pd.DataFrame(found, columns=["lang", "score"])
 
     udf = F.pandas_udf(score, "lang string, score double")
-    return docs.withColumn("_found", udf("text")).select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("_found.lang").alias("lang_pred"),
-        F.col("_found.score").alias("lang_score"),
+    found = fresh("found", docs.columns)
+    return docs.withColumn(found, udf("text")).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "lang_score")],
+        F.col(found)["lang"].alias("lang_pred"),
+        F.col(found)["score"].alias("lang_score"),
     )
 
 

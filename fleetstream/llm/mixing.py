@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetstream.llm.languages import Scorer, WordModel, fit, posterior
-from fleetstream.llm.storage import written
+from fleetstream.llm.storage import chance, fresh, written
 
 #: Labelled documents per domain that the classifier is trained on, about.
 SAMPLE_PER_DOMAIN = 1_000
@@ -54,7 +54,8 @@ def fit_domains(
 ) -> WordModel:
     """The domain classifier. ``domains`` has doc_id and domain.
 
-    The sample is taken by a hash of doc_id, so texts that aren't in it don't move.
+    The sample is taken by a hash of doc_id, so texts that aren't in it don't move. Rows
+    without a doc_id teach nothing; empty tables give a model without domains.
     """
     sizes = {r["domain"]: r["count"] for r in domains.groupBy("domain").count().limit(
         most + 1).collect()}
@@ -65,8 +66,7 @@ def fit_domains(
     share = F.create_map(
         *[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))]
     )
-    position = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = domains.where(position < share[F.col("domain")])
+    chosen = domains.where(chance("doc_id") < share[F.col("domain")])
     # About ``sample`` ids per domain and at most ``most`` domains.
     taught = docs.select("doc_id", "text").join(
         F.broadcast(chosen.withColumnRenamed("domain", "_domain")), "doc_id"
@@ -96,10 +96,11 @@ def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
             yield pd.DataFrame({"tokens": tokens, "p": found})
 
     udf = F.pandas_udf(score, "tokens bigint, p array<double>")
-    return docs.withColumn("_found", udf("text")).select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("_found.tokens").alias("_tokens"),
-        F.col("_found.p").alias("_p"),
+    found = fresh("found", docs.columns)
+    return docs.withColumn(found, udf("text")).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in ("_tokens", "_p")],
+        F.col(found)["tokens"].alias("_tokens"),
+        F.col(found)["p"].alias("_p"),
     )
 
 
@@ -185,7 +186,7 @@ def fit_rates(
 def mixed_documents(
     docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]
 ) -> DataFrame:
-    """docs with n_tokens, posteriors, rate and copies.
+    """docs with n_tokens, posteriors, rate and copies; columns of these names are replaced.
 
     ``targets`` weighs domains; those without a target or without labelled documents
     count for nothing, and the weights are scaled to 1. ``copies`` is the rate rounded up
@@ -196,16 +197,22 @@ def mixed_documents(
     if not sum(weights):
         raise ValueError(f"none of the domains {model.labels} has a target")
     shares = [w / sum(weights) for w in weights]
-    members = written(memberships(docs, model), "members")
+    kept = [c for c in docs.columns if c not in _RESULT]
+    rows = docs.select(
+        "doc_id", "text",
+        F.struct(*[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(kept)]).alias("row"),
+    )
+    members = written(memberships(rows, model), "members")
     rate, reached = fit_rates(members, shares)
     _log.info("shares of %s: targets %s, reached %s", model.labels, shares, reached)
-    chance = F.pmod(F.xxhash64("doc_id", "text", F.lit("copies")), F.lit(1_000_000)) / 1_000_000
-    return members.withColumn("_rate", rate).select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+    up = F.col("rate") % 1 > chance("doc_id", "text", F.lit("copies"))
+    return members.select("*", F.round(rate, 9).alias("rate")).select(
+        *[F.col("row")[f"c{n}"].alias(c) for n, c in enumerate(kept)],
         F.col("_tokens").alias("n_tokens"),
         F.col("_p").alias("posteriors"),
-        F.round("_rate", 9).alias("rate"),
-        (F.floor("_rate") + F.when(F.col("_rate") % 1 > chance, 1).otherwise(0))
-        .cast("int")
-        .alias("copies"),
+        "rate",
+        (F.floor("rate") + F.when(up, 1).otherwise(0)).cast("int").alias("copies"),
     )
+
+
+_RESULT = ("n_tokens", "posteriors", "rate", "copies")

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import zipfile
-from pathlib import Path
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from fleetstream.sources.package import ship_package  # noqa: F401
 from fleetstream.sources.workdir import shared_dir
 
 
@@ -34,18 +30,14 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it."""
-    context = spark.sparkContext
-    if getattr(context, "_ships_this_package", None):
-        return
-    root = Path(__file__).resolve().parents[1]
-    # Only the driver reads this file; executors fetch it from the driver.
-    folder = tempfile.mkdtemp(prefix=f"{root.name}-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    target = os.path.join(folder, f"{root.name}.zip")
-    with zipfile.ZipFile(target, "w") as out:
-        for path in sorted(root.rglob("*.py")):
-            out.write(path, path.relative_to(root.parent))
-    context.addPyFile(target)
-    context._ships_this_package = True
+def chance(*columns) -> Column:
+    """A number from 0 up to 1 that a hash of the columns gives, in steps of 2**-53."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(2.0**53)
+
+
+def fresh(name: str, columns: Iterable[str]) -> str:
+    """The name, with as many underscores as tell it from the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

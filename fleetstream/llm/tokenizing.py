@@ -32,7 +32,7 @@ _ENDS = frozenset(".,!?;:")
 
 
 class TextTokenizer:
-    """packed(texts) as ``tokenizers`` gives the ids, without special tokens.
+    """packed(texts) as ``tokenizers`` gives the ids, adding no special tokens.
 
     ``remembered`` bounds the table of known pieces: two generations of that many. The
     pieces met again first, ``close_by`` of them, are also kept in a table small enough
@@ -44,8 +44,10 @@ class TextTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # Their strings in a text are ordinary text.
-        self._tokenizer.encode_special_tokens = True
+        # The library finds these strings in a text before it splits the rest.
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content.lower() for t in added]
+        self._marks = {t[0] for t in self._added}
         self._normalizes = self._tokenizer.normalizer is not None
         self._remembered = remembered
         self._new: dict[str, bytes] = {}
@@ -129,6 +131,13 @@ class TextTokenizer:
         places = [k for k, x in enumerate(ids) if x is None]
         return ids, list(zip(places, map(self._new.get, [keys[k] for k in places])))
 
+    def _has_added(self, text: str) -> bool:
+        """Whether a token stands in the text as such, in any case."""
+        if not any(mark in text for mark in self._marks):
+            return False
+        lower = text.lower()
+        return any(token in lower for token in self._added)
+
     def packed(self, texts: list[str | None]) -> list[bytes]:
         """Per text the ids as little-endian unsigned 32-bit integers; null is empty."""
         if len(self._new) > self._remembered:
@@ -140,6 +149,9 @@ class TextTokenizer:
         for i, text in enumerate(texts):
             if not text:
                 continue
+            if self._has_added(text):
+                out[i] = self._encoded([text])[0]
+                continue
             if _BARE in text or self._normalizes and (
                 _SPLITTING_CAPITAL in text
                 or not (text.isascii() or unicodedata.is_normalized("NFC", text))

@@ -165,3 +165,36 @@ def test_targets_out_of_reach_are_logged(spark, caplog):
     # The best is all of the second text: 0.6 x and 0.4 x nearest to the targets.
     x = (0.6 * 0.9 + 0.4 * 0.1) / (0.6**2 + 0.4**2)
     assert np.allclose(reached, [0.6 * x, 0.4 * x], atol=1e-4)
+
+
+CLASHING = ("_found", "found", "_tokens", "_p", "lang_pred", "lang_score", "row", "rate", "copies")
+
+
+def test_clashing_columns_keep_their_values(spark):
+    rows = [(1, "the cat sat", "en"), (2, "der hund lief", "de"), (3, "", "en"), (4, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    extra = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in CLASHING])
+    told = languages.predict(extra, languages.fit(docs))
+    kept = [c for c in CLASHING if not c.startswith("lang_")]
+    for r in told.collect():
+        assert [r[c] for c in kept] == [f"{c}{r.doc_id}" for c in kept]
+        assert r.lang_pred in ("en", "de", "und") and 0 <= r.lang_score <= 1
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    mixed = mixing.mixed_documents(extra, labels, {"quality1_toxic0": 0.5, "quality0_toxic0": 0.5})
+    kept = [c for c in CLASHING if c not in ("rate", "copies")]
+    plain = {r.doc_id: r for r in mixing.mixed_documents(docs, labels, {"quality1_toxic0": 0.5, "quality0_toxic0": 0.5}).collect()}
+    for r in mixed.collect():
+        assert [r[c] for c in kept] == [f"{c}{r.doc_id}" for c in kept]
+        assert (r.rate, r.copies, r.posteriors) == (plain[r.doc_id].rate, plain[r.doc_id].copies, plain[r.doc_id].posteriors)
+
+
+def test_samples_of_huge_tables(spark):
+    """The share of a sample does not fall to zero or step in millionths."""
+    from fleetstream.llm.storage import chance
+
+    many = spark.range(2_000_000).select(chance("id").alias("c"))
+    for share in (1e-3, 1e-5):
+        n = many.where(F.col("c") < share).count()
+        assert abs(n - share * 2_000_000) < 6 * (share * 2_000_000) ** 0.5
+    assert many.where("c < 0 OR c >= 1").count() == 0
+    assert many.agg(F.min("c")).first()[0] < 1e-5 < 2**-10

@@ -16,14 +16,13 @@ def _library(name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(vocabulary(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 def _odd_texts(number):
     rng = random.Random(1)
     pieces = list(" \n\t  ,aAbB1½'!.,;é́İ\x00\x1c\x1fß\xa0　漢😀sS") + [
-        "'s", "'S", "<|endoftext|>", "don't", "  ", "word", "Word.", " a. b? ", "\r\n",
+        "'s", "'S", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<|endof", "don't", "  ", "word", "Word.", " a. b? ", "\r\n",
     ]
     return ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 40))) for _ in range(number)]
 
