@@ -12,73 +12,94 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetstream.llm import jaccard, languages, mixing, packing, substring_dedup
 from fleetstream.llm.queries import END_ID, SEQUENCE_TOKENS, TARGETS, vocabulary
-from fleetstream.llm.storage import broadcast_if_small, ship_package, written
+from fleetstream.llm.storage import broadcast_if_small, fresh, ship_package, written
 
 #: Documents whose language is less probable than this are rejected.
 LEAST_LANGUAGE_SCORE = 0.5
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row, so that no column can be taken for another."""
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    return docs.select("doc_id", "text", row.alias("_row"))
+
+
+def _unpacked(rows: DataFrame, columns: list[str], changed: dict | None = None) -> DataFrame:
+    own = {c: F.col("_row")[f"c{k}"] for k, c in enumerate(columns)}
+    return rows.select(*[(own | (changed or {}))[c].alias(c) for c in columns])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; the others are rejected."""
+    """Documents in a language that can be told; the others are rejected.
+
+    Rows with a null text or no letters go; every other column stays as it is, whatever its
+    name, and so do repeated rows. An empty table stays empty.
+    """
     ship_package(spark)
-    told = languages.identified(docs)
+    rows = _packed(docs).withColumn("lang", F.col("_row")[f"c{docs.columns.index('lang')}"])
+    told = languages.identified(rows)
     sure = (F.col("lang_pred") != languages.UNDETERMINED) & (
         F.col("lang_score") >= LEAST_LANGUAGE_SCORE
     )
-    return told.where(sure).select(*_columns(docs))
+    return _unpacked(told.where(sure), docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the least doc_id.
 
-    Rows without a doc_id belong to no group and stay.
+    Rows without a doc_id belong to no group and stay, as do all rows of the least one.
+    Columns of any names stay; an empty table stays empty.
     """
     ship_package(spark)
-    found = jaccard.near_duplicates(docs)
-    gone = (
-        found.where(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("_gone"))
-        .distinct()
+    found = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    name = fresh("gone", docs.columns)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(
+        F.col("doc_id").alias(name)
     )
-    gone = broadcast_if_small(written(gone, "gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = broadcast_if_small(written(gone.distinct(), "gone"))
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has; texts left empty go.
 
-    A text from which nothing is removed stays as it is; ``n_chars`` follows the text.
+    A text from which nothing is removed stays as it is, null and empty ones too; ``n_chars``
+    follows the text. Other columns stay, whatever their names; an empty table stays empty.
     """
     ship_package(spark)
-    found = substring_dedup.without_repeats(docs)
+    found = substring_dedup.without_repeats(_packed(docs))
     cut = F.col("n_removed") > 0
-    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    own = {c: F.col("_row")[f"c{k}"] for k, c in enumerate(docs.columns)}
+    text = F.when(cut, F.col("kept_text")).otherwise(own["text"])
     rows = found.where(~cut | (F.col("n_removed") < F.col("n_words")))
-    changed = {"text": text.alias("text")}
+    changed = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = (
-            F.when(cut, F.char_length(text).cast(kind)).otherwise(F.col("n_chars"))
-        ).alias("n_chars")
-    return rows.select(*[changed.get(c, F.col(f"`{c}`")) for c in docs.columns])
+        changed["n_chars"] = F.when(cut, F.char_length(text).cast(kind)).otherwise(own["n_chars"])
+    return _unpacked(rows, docs.columns, changed)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say."""
+    """Documents as often as their rates say.
+
+    A null or empty text has equal posteriors and no tokens; repeated rows are documents of
+    their own. Columns of any names stay; an empty table stays empty.
+    """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    plain = docs.select("doc_id", "text", F.struct(*_columns(docs)).alias("_row"))
-    mixed = mixing.mixed_documents(plain, labels, TARGETS)
+    mixed = mixing.mixed_documents(_packed(docs), labels, TARGETS)
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return mixed.where("copies > 0").select("_row", copies.alias("_copy")).select("_row.*")
+    rows = mixed.where("copies > 0").select("_row", copies.alias("_copy"))
+    return _unpacked(rows, docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their sequence and place in it."""
+    """Pieces of documents with their sequence and place in it.
+
+    A null or empty text is a piece of its end token alone. Documents of the same doc_id,
+    copies too, are packed each by itself; columns other than doc_id and text don't matter.
+    An empty table gives no pieces.
+    """
     ship_package(spark)
     return packing.pack_documents(
         docs, vocabulary("byte_bpe_50k.json"), SEQUENCE_TOKENS, END_ID
