@@ -1,0 +1,23 @@
+"""The stages leave columns alone, whatever their names."""
+
+import corpus_pipeline
+from tests.llm.conftest import SF
+
+NAMES = ("_found", "lang_pred", "lang_score", "_gone", "gone", "n_removed", "kept_text", "n_words", "_tokens",
+         "_p", "_row", "row", "copies", "component_id")
+
+
+def test_clashing_columns_in_every_stage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in NAMES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, extra, SF)
+        assert got.columns == extra.columns, name
+        rows = got.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in NAMES), name
+        plain = stage(spark, docs, SF)
+        key = lambda r: (r.doc_id, r.text, r.n_chars)
+        assert sorted(map(key, rows)) == sorted(map(key, plain.collect())), name
+        assert stage(spark, extra.limit(0), SF).count() == 0, name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, extra, SF).count() == last(spark, docs, SF).count() > 0
