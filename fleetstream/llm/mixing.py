@@ -198,16 +198,19 @@ def mixed_documents(
         raise ValueError(f"none of the domains {model.labels} has a target")
     shares = [w / sum(weights) for w in weights]
     kept = [c for c in docs.columns if c not in _RESULT]
-    rows = docs.select(
-        "doc_id", "text",
-        F.struct(*[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(kept)]).alias("row"),
+    own = {c: F.col(c) for c in ("doc_id", "text")}
+    others = [c for c in kept if c not in own]
+    row = F.struct(
+        F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(others)]
     )
+    rows = docs.select(*own, row.alias("row"))
+    own |= {c: F.col("row")[f"c{n}"] for n, c in enumerate(others)}
     members = written(memberships(rows, model), "members")
     rate, reached = fit_rates(members, shares)
     _log.info("shares of %s: targets %s, reached %s", model.labels, shares, reached)
     up = F.col("rate") % 1 > chance("doc_id", "text", F.lit("copies"))
     return members.select("*", F.round(rate, 9).alias("rate")).select(
-        *[F.col("row")[f"c{n}"].alias(c) for n, c in enumerate(kept)],
+        *[own[c].alias(c) for c in kept],
         F.col("_tokens").alias("n_tokens"),
         F.col("_p").alias("posteriors"),
         "rate",
