@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetstream.llm import jaccard, languages, mixing, packing, substring_dedup
 from fleetstream.llm.queries import END_ID, SEQUENCE_TOKENS, TARGETS, vocabulary
@@ -19,14 +19,22 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the whole row, so that no column can be taken for another."""
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
-    return docs.select("doc_id", "text", row.alias("_row"))
+    """doc_id, text and all other columns in one, so that none is taken for another."""
+    others = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c not in _OWN]
+    return docs.select(*_OWN, F.struct(F.lit(0).alias("c"), *others).alias("_row"))
 
 
-def _unpacked(rows: DataFrame, columns: list[str], changed: dict | None = None) -> DataFrame:
-    own = {c: F.col("_row")[f"c{k}"] for k, c in enumerate(columns)}
-    return rows.select(*[(own | (changed or {}))[c].alias(c) for c in columns])
+_OWN = ("doc_id", "text")
+
+
+def _columns(names: list[str]) -> dict[str, Column]:
+    """The columns of packed rows by their names."""
+    return {c: F.col(c) if c in _OWN else F.col("_row")[f"c{k}"] for k, c in enumerate(names)}
+
+
+def _unpacked(rows: DataFrame, names: list[str], changed: dict | None = None) -> DataFrame:
+    found = _columns(names) | (changed or {})
+    return rows.select(*[found[c].alias(c) for c in names])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +44,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     name, and so do repeated rows. An empty table stays empty.
     """
     ship_package(spark)
-    rows = _packed(docs).withColumn("lang", F.col("_row")[f"c{docs.columns.index('lang')}"])
+    rows = _packed(docs).withColumn("lang", _columns(docs.columns)["lang"])
     told = languages.identified(rows)
     sure = (F.col("lang_pred") != languages.UNDETERMINED) & (
         F.col("lang_score") >= LEAST_LANGUAGE_SCORE
@@ -69,7 +77,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship_package(spark)
     found = substring_dedup.without_repeats(_packed(docs))
     cut = F.col("n_removed") > 0
-    own = {c: F.col("_row")[f"c{k}"] for k, c in enumerate(docs.columns)}
+    own = _columns(docs.columns)
     text = F.when(cut, F.col("kept_text")).otherwise(own["text"])
     rows = found.where(~cut | (F.col("n_removed") < F.col("n_words")))
     changed = {"text": text}
@@ -89,7 +97,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     mixed = mixing.mixed_documents(_packed(docs), labels, TARGETS)
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    rows = mixed.where("copies > 0").select("_row", copies.alias("_copy"))
+    rows = mixed.where("copies > 0").select(*_OWN, "_row", copies.alias("_copy"))
     return _unpacked(rows, docs.columns)
 
 
