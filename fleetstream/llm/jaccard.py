@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from fleetstream.llm.components import components
 from fleetstream.llm.storage import (
     broadcast_if_small,
+    release_memory,
     ship_package,
     shuffle_partitions,
     written,
@@ -121,6 +122,7 @@ def shingle_summaries(docs: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "n_shingles", "set_a", "set_b", "sketch"],
                 )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(
         summaries, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch binary"
@@ -154,6 +156,7 @@ def frequent_shingles(docs: DataFrame, number: int) -> np.ndarray:
                     held, texts, size = [], 0, 0
         if held:
             yield frequent()
+        release_memory()
 
     counted = docs.select("doc_id", "text").mapInArrow(count, "shingle bigint, n bigint")
     often = max(_LEAST_FREQUENT, FREQUENT_SHARE * number)
@@ -282,8 +285,10 @@ def block_groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     ],
                     names=["part", "keys", "docs", "sizes"],
                 )
+        release_memory()
 
     def groups(table: pa.Table) -> pa.Table:
+        release_memory()
         flat = lambda name: np.concatenate(
             [c.flatten().to_numpy() for c in table.column(name).chunks]
         )
@@ -328,6 +333,7 @@ def _open(groups: DataFrame, found: DataFrame) -> DataFrame:
     members = members.select("key", "hub", "a", "size", F.coalesce("component", "a").alias("c"))
 
     def still(table: pa.Table) -> pa.Table:
+        release_memory()
         key, c = (table.column(x).to_numpy() for x in ("key", "c"))
         order = np.lexsort((c, key))
         key, c = key[order], c[order]
@@ -401,6 +407,7 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
     """
 
     def pairs(table: pa.Table, sketches: pa.Table) -> pa.Table:
+        release_memory()
         column = lambda name: table.column(name).to_numpy()
         order = np.lexsort((column("size"), column("key")))
         key, a, c, size, side = (column(x)[order] for x in ("key", "a", "c", "size", "side"))

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetstream.llm.storage import chance, fresh
+from fleetstream.llm.storage import chance, fresh, release_memory
 from fleetstream.llm.windows import mixed
 
 UNDETERMINED = "und"
@@ -233,6 +233,7 @@ def fit(
                 counts[name].update(_WORDS.findall(text.lower()))
             rows = [(x, w, n) for x, c in counts.items() for w, n in c.items()]
             yield pd.DataFrame(rows, columns=["_label", "_word", "_n"])
+        release_memory()
 
     counted = (
         sample.mapInPandas(words, "_label string, _word string, _n bigint")
@@ -338,6 +339,7 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
                 best = int(p.argmax())
                 found.append((scorer.labels[best], float(p[best])))
             yield pd.DataFrame(found, columns=["lang", "score"])
+        release_memory()
 
     udf = F.pandas_udf(score, "lang string, score double")
     found = fresh("found", docs.columns)

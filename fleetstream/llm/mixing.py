@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetstream.llm.languages import Scorer, WordModel, fit, posterior
-from fleetstream.llm.storage import chance, fresh, written
+from fleetstream.llm.storage import chance, fresh, release_memory, written
 
 #: Labelled documents per domain that the classifier is trained on, about.
 SAMPLE_PER_DOMAIN = 1_000
@@ -94,6 +94,7 @@ def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
                     scores = scores * (SHARPNESS_WORDS / words)
                 found.append(posterior(scores) if words else np.full(k, 1 / k))
             yield pd.DataFrame({"tokens": tokens, "p": found})
+        release_memory()
 
     udf = F.pandas_udf(score, "tokens bigint, p array<double>")
     found = fresh("found", docs.columns)

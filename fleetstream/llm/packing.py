@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from fleetstream.llm.storage import shuffle_partitions, written
+from fleetstream.llm.storage import release_memory, shuffle_partitions, written
 from fleetstream.llm.tokenizing import tokenizer
 
 #: Texts that are tokenized together.
@@ -144,6 +144,7 @@ def token_pieces(
                     [pa.array(c, t) for c, t in zip(zip(*rows), _PIECE_ARROW)],
                     names=_PIECE_SCHEMA.names,
                 )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(cut, _PIECE_SCHEMA)
 

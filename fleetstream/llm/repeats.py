@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fleetstream.llm.storage import shuffle_partitions
+from fleetstream.llm.storage import release_memory, shuffle_partitions
 from fleetstream.llm.windows import (
     PIECE_UNITS,
     Sums,
@@ -315,13 +315,16 @@ def repeated_units(
     )
 
     def send_runs(table: pa.Table) -> pa.Table:
+        release_memory()
         b = _Bucket(table, what)
         return b.entries.sent(b.bucket, -1, parts)
 
     def answer(table: pa.Table) -> pa.Table:
+        release_memory()
         return _answers(table, what.earlier)
 
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
+        release_memory()
         b = _Bucket(table, what)
         flags = b.entries.answered(*_flags(answers, False, 1), parts)
         return pa.concat_tables(
@@ -329,6 +332,7 @@ def repeated_units(
         )
 
     def result(table: pa.Table, answers: pa.Table) -> pa.Table:
+        release_memory()
         b = _Bucket(table, what)
         flags = b.entries.answered(*_flags(answers, False, 1), parts)
         windows = _flags(answers, True, len(b.slices))

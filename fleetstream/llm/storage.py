@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetstream.sources.package import ship_package  # noqa: F401
@@ -30,6 +33,17 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
 
 
+def release_memory() -> None:
+    """Give back what a Python worker no longer uses: it lives on for tasks of other kinds,
+    and what one has freed would otherwise count beside what the next one takes."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Where the C library is another one, freed memory stays with it.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chance(*columns) -> Column:
     """A number from 0 up to 1 that a hash of the columns gives, in steps of 2**-53."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(2.0**53)

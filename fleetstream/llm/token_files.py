@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fleetstream.llm.storage import shuffle_partitions, written
+from fleetstream.llm.storage import release_memory, shuffle_partitions, written
 from fleetstream.llm.tokenizing import tokenizer
 from fleetstream.sources.workdir import shared_dir
 
@@ -96,6 +96,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
                     [part.column("doc_id").cast(pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "ids"],
                 )
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids binary")
 
@@ -115,6 +116,7 @@ def frequencies(ids: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen), pa.array(total[seen])], names=["id", "n"]
         )
+        release_memory()
 
     counted = ids.select("ids").mapInArrow(count, "id bigint, n bigint")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
@@ -160,6 +162,7 @@ def write_token_files(ids: DataFrame, path: str) -> None:
                     block, doc_ids, held, size = block + 1, [], [], 0
         if held:
             yield closed()
+        release_memory()
 
     (
         ids.repartitionByRange(shuffle_partitions(ids), "doc_id")
@@ -193,6 +196,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     ],
                     names=["doc_id", "start", "n_tokens", "ids"],
                 ) if k else None
+        release_memory()
 
     sizes = stored.select(
         "part", "block", F.expr("aggregate(lengths, 0L, (s, x) -> s + x)").alias("_n")
