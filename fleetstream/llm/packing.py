@@ -144,6 +144,7 @@ def token_pieces(
                     [pa.array(c, t) for c, t in zip(zip(*rows), _PIECE_ARROW)],
                     names=_PIECE_SCHEMA.names,
                 )
+        tokenizer(path).rest()
         release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(cut, _PIECE_SCHEMA)

@@ -96,6 +96,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
                     [part.column("doc_id").cast(pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "ids"],
                 )
+        tokenizer(path).rest()
         release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids binary")

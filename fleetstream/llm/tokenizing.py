@@ -39,7 +39,7 @@ class TextTokenizer:
     for the processor's cache.
     """
 
-    def __init__(self, path: str, remembered: int = 500_000, close_by: int = 30_000):
+    def __init__(self, path: str, remembered: int = 300_000, close_by: int = 30_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -131,6 +131,10 @@ class TextTokenizer:
         places = [k for k, x in enumerate(ids) if x is None]
         return ids, list(zip(places, map(self._new.get, [keys[k] for k in places])))
 
+    def rest(self) -> None:
+        """Forget the older pieces, at the end of a task."""
+        self._old = {}
+
     def _has_added(self, text: str) -> bool:
         """Whether a token stands in the text as such, in any case."""
         if not any(mark in text for mark in self._marks):
