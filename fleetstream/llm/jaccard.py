@@ -43,7 +43,7 @@ _LEAST_BLOCKS = 4096
 #: Texts of a cluster that are compared in one group, on either side.
 _CELL = 256
 #: Members of a key that are paired in one group, on either side.
-_MEMBERS = 2048
+_MEMBERS = 8192
 #: Shingles in at least this share of the texts are put last, the most frequent of them.
 FREQUENT_SHARE = 0.001
 MOST_FREQUENT = 100_000
