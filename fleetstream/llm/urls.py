@@ -31,13 +31,18 @@ sweepstakes torrent torrents track tracker trackers tracking viagra virus warez
 winner wins xxx
 """.split()
 ALLOW_WORDS = """
-about academy archive art article articles author bank blog blogs book books business city club
-code community company college contact course culture data de dev docs edu education en es events
-faq family food forum fr garden guide guides health help history home house html htm index info it
-journal lab library life local m mail map maps media mobile museum music net news office online
-open org page pages paper papers people press project projects research school science search
-service services shop sport sports state static store student students support team tech the
-times today town travel university web weather wiki work world www
+academy art article articles author bank book books business city club code community company
+college contact course culture data edu education events faq family food garden guide guides
+health history house journal lab library life local museum music news office open paper papers
+people press project projects research school science sport sports state student students team
+tech times today town travel university weather wiki work world
+""".split()
+# Words that are in hosts and paths of any kind. They are found in a piece
+# like the others, but a label for them would let the frame of a url outvote its name.
+FRAME_WORDS = """
+about archive blog blogs de dev docs en es forum fr help home htm html index info it m mail map
+maps media mobile net online org page pages search service services shop static store support the
+web www
 """.split()
 #: What the vocabulary has of the probability of all words; the rest is the hosts' pieces'.
 VOCABULARY_SHARE = 0.5
@@ -100,7 +105,8 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return counted.where(F.col("n") >= LEAST_HOSTS)
 
 
-_VOCABULARY = frozenset(BLOCK_WORDS) | frozenset(ALLOW_WORDS)
+_LABELLED = frozenset(BLOCK_WORDS) | frozenset(ALLOW_WORDS)
+_VOCABULARY = _LABELLED | frozenset(FRAME_WORDS)
 
 
 def parts_of(piece: str) -> set[str]:
@@ -170,10 +176,10 @@ class WordSplitter:
 def _odds_of_words() -> dict[str, float]:
     """Log odds for a block with add-one smoothing."""
     log = lambda words, w: math.log(
-        (words.count(w) + 1) / (len(words) + len(_VOCABULARY))
+        (words.count(w) + 1) / (len(words) + len(_LABELLED))
     )
     # Words outside the labelled vocabulary speak for neither side.
-    return {w: log(BLOCK_WORDS, w) - log(ALLOW_WORDS, w) for w in _VOCABULARY}
+    return {w: log(BLOCK_WORDS, w) - log(ALLOW_WORDS, w) for w in _LABELLED}
 
 
 _ODDS = _odds_of_words()

@@ -1,3 +1,4 @@
+import math
 import re
 
 import pytest
@@ -73,8 +74,9 @@ def test_segmentation_is_the_most_probable():
         assert sum(map(model.splitter._score, split(piece))) == pytest.approx(best(piece))
 
 
-def test_real_pages(spark):
-    df = spark.read.parquet(f"{SF}/pages.parquet")
+@pytest.mark.parametrize("size", ["0.001", "0.01", "0.1"])
+def test_real_pages(spark, size):
+    df = spark.read.parquet(f"{SF.removesuffix('0.001')}{size}/pages.parquet")
     got = urls.judged_urls(df, ALLOW_RULES, BLOCK_RULES).collect()
     assert len(got) == df.count()
     for r in got:
@@ -83,6 +85,35 @@ def test_real_pages(spark):
             assert r.verdict == ("block" if bad else "allow"), r.host
 
 
+def test_odds_like_naive_bayes_counted_by_hand():
+    counts = {"acme": 4, "zq": 3}
+    model = urls.UrlModel(counts)
+    block, allow = urls.BLOCK_WORDS, urls.ALLOW_WORDS
+    assert not set(block) & set(allow) and not set(urls.FRAME_WORDS) & {*block, *allow}
+    labelled = {*block, *allow}
+
+    def odds(words):
+        total = 0.0
+        for w in words:
+            if w in labelled:
+                p = [(side.count(w) + 1) / (len(side) + len(labelled)) for side in (block, allow)]
+                total += math.log(p[0] / p[1])
+        return total
+
+    for host, path, words in (
+        ("blog.adult-x.example.net", "/en/1.html", "blog adult x example net en html"),
+        ("freecasino.acme.org", "/school", "free casino acme org school"),
+        ("www.musicnews.net", "/win/win", "www music news net win win"),
+        ("", "", ""),
+    ):
+        assert [w for w in model.words(host + path) if w in labelled] == [
+            w for w in words.split() if w in labelled
+        ]
+        assert model.block_odds(host, path) == pytest.approx(odds(words.split()))
+    assert model.block_odds("blog.adult-x.example.net", "/en/1.html") > 0
+    assert model.block_odds("www.musicnews.net", "/en/") < 0
+
+
 def test_repeated_rows_other_columns_none(spark):
     df = spark.createDataFrame([(1, "x://a.com/", "h"), (1, "x://a.com/", "h")], "page_id long, url string, host string")
     got = urls.judged_urls(df, ["com/"]).collect()
