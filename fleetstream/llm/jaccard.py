@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from fleetstream.llm.components import components
@@ -35,7 +36,7 @@ from fleetstream.llm.storage import (
 from fleetstream.llm.windows import Sums, Texts, lower_ascii, mixed, words
 
 SHINGLE_WORDS = 5
-#: Bits of the sketch that is compared before texts are.
+#: Bits of the sketch that is compared before texts are; those of large sets have more.
 SKETCH_BITS = 1024
 #: Bands end at these powers; a band's sketches have at least so many blocks.
 _BAND = 8
@@ -95,15 +96,32 @@ def _per_text(values: np.ndarray, text: np.ndarray, texts: int, how: np.ufunc) -
     return out
 
 
-def _bit_sketches(text: np.ndarray, shingle: np.ndarray, texts: int) -> np.ndarray:
-    """One row of SKETCH_BITS parities per text."""
-    bit = (mixed(shingle ^ np.uint64(0x5BD1)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = np.bincount(text * SKETCH_BITS + bit, minlength=texts * SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(texts, SKETCH_BITS), axis=1)
+def _bit_sketches(text: np.ndarray, shingle: np.ndarray, texts: int) -> list[np.ndarray]:
+    """Per text the parities of its shingles, in words of 64 bits.
+
+    The widths are powers of two: SKETCH_BITS, and for large sets at least 3/4 of their size,
+    since a sketch with much fewer bits than shingles is as far from any other.
+    """
+    size = np.bincount(text, minlength=texts)
+    wide = np.ceil(np.log2(np.maximum(size * 0.75, 1))).astype(np.int64)
+    bits = np.maximum(np.int64(1) << wide, SKETCH_BITS)
+    begin = np.append(0, np.cumsum(bits))
+    bit = mixed(shingle ^ np.uint64(0x5BD1)) & (bits[text] - 1).astype(np.uint64)
+    odd = np.bincount(begin[text] + bit.astype(np.int64), minlength=begin[-1]) & 1
+    return np.split(np.packbits(odd.astype(np.uint8)).view(np.uint64), begin[1:-1] // 64)
+
+
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches, one per row, at a smaller width: bits with the same remainder fall together."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
 
 
 def shingle_summaries(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b, sketch: per row the set's size and hashes."""
+    """doc_id, n_shingles, set_a, set_b, sketch, fine: per row the set's size and hashes.
+
+    ``sketch`` has SKETCH_BITS; ``fine`` is the sketch of a large set, else null.
+    """
+    coarse = SKETCH_BITS // 64
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,14 +136,19 @@ def shingle_summaries(docs: DataFrame) -> DataFrame:
                         ids,
                         pa.array(np.bincount(text, minlength=n)),
                         *[pa.array(s.view(np.int64)) for s in sums],
-                        pa.array([x.tobytes() for x in sketches], pa.binary()),
+                        pa.array([_folded(x[None], coarse).tobytes() for x in sketches], pa.binary()),
+                        pa.array(
+                            [x.tobytes() if len(x) > coarse else None for x in sketches],
+                            pa.binary(),
+                        ),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "sketch"],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "sketch", "fine"],
                 )
         release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(
-        summaries, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch binary"
+        summaries,
+        "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch binary, fine binary",
     )
 
 
@@ -493,27 +516,55 @@ def _by_hub(cells: DataFrame) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes and sketches allow a similarity of 3/4."""
-    side = lambda k: summaries.select(
-        F.col("doc_id").alias(k), F.col("n_shingles").alias(f"n_{k}"),
-        F.col("sketch").alias(f"sketch_{k}"),
-    )
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    sizes = F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3
+    """Pairs (a, b) whose sizes and sketches allow a similarity of 3/4.
+
+    ``summaries`` is a stored table. Pairs of large sets that the short sketches leave meet
+    their long ones, so that few of those move.
+    """
+
+    def beside(pairs: DataFrame, column: str) -> DataFrame:
+        side = lambda k: summaries.select(
+            F.col("doc_id").alias(k),
+            F.col("n_shingles").alias(f"n_{k}"),
+            F.col(column).alias(f"sketch_{k}"),
+            F.col("fine").isNotNull().alias(f"large_{k}"),
+        )
+        return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(f"sketch_{k}").to_pylist()), np.uint8)
-                .reshape(batch.num_rows, -1)
-                for k in "ab"
-            )
-            distance = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
             both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            keep = pa.array(distance * 7 <= both)
-            yield batch.select(["a", "b"]).filter(keep)
+            large = pa.compute.and_(batch.column("large_a"), batch.column("large_b"))
+            distance = _distances(*(batch.column(f"sketch_{k}") for k in "ab"))
+            out = batch.select(["a", "b"]).append_column("large", large)
+            yield out.filter(pa.array(distance * 7 <= both))
 
-    return joined.where(sizes).mapInArrow(near, "a bigint, b bigint")
+    sizes = F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3
+    kind = "a bigint, b bigint, large boolean"
+    left = written(beside(pairs, "sketch").where(sizes).mapInArrow(near, kind), "near")
+    fine = beside(left.where("large"), "fine").mapInArrow(near, kind)
+    return left.where("NOT large").union(fine).select("a", "b")
+
+
+def _distances(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Hamming distances of sketches row by row, at the smaller of their two widths."""
+    width = np.array([[len(i), len(j)] for i, j in zip(x.to_pylist(), y.to_pylist())]) // 8
+    out = np.zeros(len(x), dtype=np.int64)
+    if not len(out):
+        return out
+    for w, v in np.unique(width, axis=0).tolist():
+        rows = np.flatnonzero((width == (w, v)).all(axis=1))
+        sides = [
+            _folded(
+                np.frombuffer(b"".join(c.take(pa.array(rows)).to_pylist()), np.uint64).reshape(
+                    len(rows), -1
+                ),
+                min(w, v),
+            )
+            for c in (x, y)
+        ]
+        out[rows] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -549,8 +600,7 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         .distinct(),
         "cells",
     )
-    ids = broadcast_if_small(place.select(F.col("id").alias("doc_id")))
-    held = docs.join(ids, "doc_id", "left_semi").join(cells, "doc_id")
+    held = docs.join(broadcast_if_small(cells), "doc_id")
 
     def check(texts: pa.Table, asked: pa.Table) -> pa.Table:
         sets, ids = {}, texts.column("doc_id").to_pylist()
@@ -667,7 +717,7 @@ def _components_of(
         .select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
         .distinct()
     )
-    once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
+    once = full.select("doc_id", "n_shingles", "sketch", "fine").dropDuplicates(["doc_id"])
     once = written(once, "once")
     whole = docs.where(F.col("doc_id").isNotNull())
 
@@ -718,7 +768,9 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         "members",
     )
     cells = _celled(members)
-    once = full.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
+    once = written(
+        full.select("doc_id", "n_shingles", "sketch", "fine").dropDuplicates(["doc_id"]), "once"
+    )
     whole = docs.where(F.col("doc_id").isNotNull())
     alike = written(_alike(_across(cells, once), once), "alike")
     links = written(_linked(alike, whole), "linked")

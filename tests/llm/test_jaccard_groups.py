@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetstream.llm import jaccard
@@ -76,3 +78,26 @@ def test_cells_hold_every_pair_once_or_twice(spark, monkeypatch):
                     met.add((a, b))
     want = {(a, b) for k, a, _, c in rows for l, b, _, d in rows if k == l and a < b and c != d}
     assert met == want
+
+
+def test_sketches_of_large_sets_bound_the_difference_and_tell_others_apart():
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**63, 6_000).astype(np.uint64))
+    near = np.unique(np.append(base[300:], rng.integers(0, 2**63, 900).astype(np.uint64)))
+    sets = [base, near, *(rng.integers(0, 2**63, n).astype(np.uint64) for n in (6_000, 4_700, 9))]
+    sets = [np.unique(x) for x in sets]
+    text = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    found = jaccard._bit_sketches(text, np.concatenate(sets), len(sets))
+    assert [len(x) * 64 for x in found] == [8192, 8192, 8192, 4096, jaccard.SKETCH_BITS]
+    blobs = [x.tobytes() for x in found]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(len(sets))]
+    got = jaccard._distances(*(pa.array([blobs[p[k]] for p in pairs], pa.binary()) for k in (0, 1)))
+    for (i, j), distance in zip(pairs, got):
+        apart = len(np.setxor1d(sets[i], sets[j]))
+        assert distance <= apart and (distance - apart) % 2 == 0
+        if 4 in (i, j) or i == j:
+            continue
+        alike = distance * 7 <= len(sets[i]) + len(sets[j])
+        assert alike == ({i, j} == {0, 1})
+    none = pa.array([], pa.binary())
+    assert len(jaccard._distances(none, none)) == 0
