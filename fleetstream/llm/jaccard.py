@@ -379,6 +379,19 @@ def _open(groups: DataFrame, found: DataFrame) -> DataFrame:
     return parted.groupBy("part").applyInArrow(still, f"part bigint, {_MEMBER}").drop("part")
 
 
+def _often_met(members: DataFrame) -> DataFrame:
+    """Members that are in as many open groups as a link to another component takes.
+
+    A partner has at least 3/4 of the set's size, and both lie in every group they agree
+    on; so a set in fewer groups than the least partner would need has no such link. Texts
+    that share a passage and little else go here. ``members`` is stored.
+    """
+    least = F.expr("(3 * size + 3) div 4 div 12 + 1")  # needed_agreements of the least partner
+    often = members.groupBy("a").agg(F.count("*").alias("n"), F.min("size").alias("size"))
+    often = written(often.where(F.col("n") >= least).select("a"), "often")
+    return members.join(broadcast_if_small(often), "a", "left_semi")
+
+
 _MEMBER = "key bigint, hub bigint, a bigint, size int, c bigint, out boolean"
 
 
@@ -736,7 +749,7 @@ def _components_of(
     members = written(_open(groups, found), "open")
     if members.isEmpty():
         return found
-    return joined(found, _across(_celled(members), once))
+    return joined(found, _across(_celled(written(_often_met(members), "left")), once))
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
