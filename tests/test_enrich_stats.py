@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from fleetstream import FleetConfig
 from fleetstream.functions.violations import is_known_violation, violation_flag
 from fleetstream.operators import enrich, stats
-from fleetstream.operators.render import stats_lines
-from fleetstream.schemas import DRIVER_STATS
+from fleetstream.operators.parse import parse_enriched
+from fleetstream.operators.render import enriched_lines, stats_lines
+from fleetstream.schemas import DRIVER_STATS, ENRICHED_FIELDS, names
 from support import at, join, stats_dict, traffic_df, traffic_rows, truck_df, truck_rows, windows
 
 CFG = FleetConfig()
@@ -49,6 +50,36 @@ def test_join_hot_group(spark, salts):
     assert joined_rows(out) == expected_join(truck, traffic)
 
 
+@pytest.mark.parametrize("salts", [None, (8, 4)])
+def test_groups_meet_equal_readings_once(spark, salts, monkeypatch):
+    monkeypatch.setattr(enrich, "_MOST_COPIES", 7)
+    truck, traffic = hot_inputs()
+    traffic += [(*traffic[0][:3], None)] * 9
+    groups = enrich.enriched_groups(truck_df(spark, truck), traffic_df(spark, traffic), CFG, salts)
+    want = [(b, t[1], t[3], t[9], c) for b, t, c in join(truck, traffic)]
+    assert groups.count() < len(want) / 3
+    got = enrich.repeat_rows(groups).select("bw", "event_time", "driver_id", "speed", "congestion_level")
+    assert got.groupBy(*got.columns).count().count() == len(set(want))
+    assert got.count() == len(want)
+    got = got.fillna({"congestion_level": -1})
+    assert joined_rows(got) == sorted((*r[:4], -1 if r[4] is None else r[4]) for r in want)
+
+
+def test_groups_are_scored_before_they_are_repeated(spark):
+    """What depends on a row alone is below the generator in the plan."""
+    truck, traffic = hot_inputs()
+    groups = enrich.enriched_groups(truck_df(spark, truck), traffic_df(spark, traffic), CFG)
+    lines = parse_enriched(enriched_lines(groups, carry=(enrich.COPIES,)))
+    out = enrich.repeat_rows(lines)
+    assert sorted(out.columns) == sorted(names(ENRICHED_FIELDS))
+    plain = enrich.enrich_join(truck_df(spark, truck), traffic_df(spark, traffic), CFG)
+    assert sorted(map(tuple, out.collect())) == sorted(
+        map(tuple, plain.select(out.columns).collect())
+    )
+    plan = plan_of(out)
+    assert plan.index("Generate explode(array_repeat") < plan.index("concat_ws")
+
+
 def test_salts_spread_equal_rows(spark):
     """Copies of one row from the ingest log do not all land in the same slot."""
     rows = spark.range(1000).select(F.lit("7").alias("epoch"), F.col("id").alias("pos"), F.lit(1).alias("x"))

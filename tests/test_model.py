@@ -296,6 +296,17 @@ def test_logistic(spark, data, tmp_path):
     assert training.train_logistic_sgd(by_weight.limit(0), CFG) == [0.0] * 7
 
 
+def test_merged_points(spark, data, tmp_path):
+    """Copies of a point are one point with their weight, and lead to the same weights."""
+    truck, traffic, t, f = data
+    rows = training.enriched_points(enrich.enrich_join(t, f, CFG), CFG)
+    merged = stored(training.merged_points(rows), tmp_path, "merged")
+    assert merged.count() <= len(truck) < rows.count()
+    assert merged.agg(F.sum("weight")).first()[0] == rows.count()
+    want, _ = brute_logistic(join(truck, traffic), 25)
+    assert training.train_logistic_sgd(merged, CFG, 1.0, 25) == pytest.approx(list(want), abs=1e-9)
+
+
 def test_logistic_steps_share_a_plan(spark, data, tmp_path):
     """The weights are data, so further steps compile nothing."""
     points = stored(training.weighted_points(*data[2:], CFG), tmp_path, "points")
