@@ -16,6 +16,7 @@ from fleetstream.operators.render import (
     stats_lines,
     traffic_lines,
 )
+from fleetstream.plans import replay
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
 from fleetstream.sinks.outputs import append_history, write_latest
 from fleetstream.sources.history import read_enriched_text, read_history, read_snapshot
@@ -309,6 +310,55 @@ def test_latest_mode_keeps_one_trigger(feed, tmp_path, kind):
     assert rows(got, columns) == rows(late, columns) != []
 
 
+def test_latest_mode_makes_rows_once(feed, tmp_path):
+    """Whether a trigger has rows is seen by what was written; without any, the last stay."""
+    path = str(tmp_path / "e")
+    cfg = dataclasses.replace(feed.cfg, history_mode="latest")
+    sink = q.configured_history(cfg, path, enriched_lines)
+    made = feed.spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(speed):
+        made.add(1)
+        return speed
+
+    joined = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg).cache()
+    sink(joined.withColumn("speed", seen("speed")), "0")
+    assert made.value == joined.count()
+    sink(joined.limit(0), "1")
+    columns = names(ENRICHED_FIELDS)
+    assert rows(read_snapshot(feed.spark, path), columns) == rows(joined, columns) != []
+
+
+def test_joined_rows_are_not_kept_for_one_sink(feed, tmp_path):
+    """They can be many times the input; scoring keeps only which batches there are."""
+    feed.add_all()
+    table = WeightsTable(feed.session, str(tmp_path / "weights"))
+    run(q.start_training(*feed.inputs(), feed.cfg, table, ONCE))
+    kept = []
+
+    def out(batch, epoch):
+        kept.append(batch.is_cached)
+        batch.collect()
+
+    score = q.score_sink(table, feed.cfg, [out])
+
+    def sink(batch, epoch):
+        kept.append(batch.is_cached)
+        score(batch, epoch)
+
+    run(q.start_enriched(*feed.inputs(), feed.cfg, [sink], ONCE))
+    assert len(kept) > 1 and not any(kept)
+
+
+def test_replay_has_more_tasks_for_more_rows(spark, tmp_path, monkeypatch):
+    events = spark.range(1050).select(F.timestamp_seconds("id").alias("ts"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    few = replay.Replay(spark, str(tmp_path)).cfg.stream_partitions
+    monkeypatch.setattr(replay, "_ROWS_PER_TASK", 100)
+    assert few < replay.Replay(spark, str(tmp_path)).cfg.stream_partitions == 11
+
+
 def test_strict_stream_fails_on_a_bad_line(feed):
     feed.add(0)
     feed._write("traffic", feed.spark.createDataFrame([("1|x|2", at(3))], LINES))
