@@ -16,6 +16,7 @@ from fleetstream.operators.render import (
     stats_lines,
     traffic_lines,
 )
+from fleetstream.operators.batches import with_batch
 from fleetstream.plans import replay
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
 from fleetstream.sinks.outputs import append_history, write_latest
@@ -341,7 +342,11 @@ def test_joined_rows_are_not_kept_for_one_sink(feed, tmp_path):
         kept.append(batch.is_cached)
         batch.collect()
 
+    batches = with_batch(feed.truck.select("arrival"), feed.cfg).distinct()
     score = q.score_sink(table, feed.cfg, [out])
+    known = q.score_sink(table, feed.cfg, [out, lambda b, e: got.append(rows(b, b.columns))], batches)
+    plain = q.score_sink(table, feed.cfg, [out, lambda b, e: got.append(rows(b, b.columns))])
+    got = []
 
     def sink(batch, epoch):
         kept.append(batch.is_cached)
@@ -349,6 +354,10 @@ def test_joined_rows_are_not_kept_for_one_sink(feed, tmp_path):
 
     run(q.start_enriched(*feed.inputs(), feed.cfg, [sink], ONCE))
     assert len(kept) > 1 and not any(kept)
+    joined = enrich.enrich_join(feed.truck, feed.traffic, feed.cfg)
+    known(joined, "0")
+    plain(joined, "0")
+    assert got[0] == got[1] and len(got[0]) == joined.count() > 0
 
 
 def test_replay_has_more_tasks_for_more_rows(spark, tmp_path, monkeypatch):
