@@ -13,6 +13,8 @@ from fleetstream.config import FeatureScaling
 from fleetstream.operators import enrich, prefix, scoring, training
 from fleetstream.operators.training import Moments, sgd_step
 from fleetstream.schemas import ENRICHED_TRUCK_FIELDS, names
+from fleetstream.sinks.outputs import append_history
+from fleetstream.sources.history import read_groups
 from fleetstream.sources.weights import (
     WeightsTable,
     initial_weights,
@@ -307,6 +309,20 @@ def test_merged_points(spark, data, tmp_path):
     assert training.train_logistic_sgd(merged, CFG, 1.0, 25) == pytest.approx(list(want), abs=1e-9)
 
 
+def test_fit_on_stored_groups(spark, data, tmp_path):
+    """A history of groups has fewer rows than the join and leads to the same weights."""
+    truck, traffic, t, f = data
+    joined = join(truck, traffic)
+    path = str(tmp_path / "groups")
+    append_history(enrich.enriched_groups(t, f.union(f), CFG), path)
+    history = read_groups(spark, path)
+    assert history.count() <= len(joined)
+    points = stored(training.merged_points(training.enriched_points(history, CFG)), tmp_path, "of")
+    assert points.agg(F.sum("weight")).first()[0] == 2 * len(joined)
+    want, _ = brute_logistic(joined, 25)
+    assert training.train_logistic_sgd(points, CFG, 1.0, 25) == pytest.approx(list(want), abs=1e-9)
+
+
 def test_logistic_steps_share_a_plan(spark, data, tmp_path):
     """The weights are data, so further steps compile nothing."""
     points = stored(training.weighted_points(*data[2:], CFG), tmp_path, "points")
