@@ -145,7 +145,7 @@ def token_pieces(
                     names=_PIECE_SCHEMA.names,
                 )
         tokenizer(path).rest()
-        release_memory()
+        release_memory(keep=True)
 
     return docs.select("doc_id", "text").mapInArrow(cut, _PIECE_SCHEMA)
 

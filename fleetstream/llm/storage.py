@@ -33,9 +33,16 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
 
 
-def release_memory() -> None:
+#: What a Python worker keeps for further tasks of the same kind.
+KEPT: dict[str, object] = {}
+
+
+def release_memory(keep: bool = False) -> None:
     """Give back what a Python worker no longer uses: it lives on for tasks of other kinds,
-    and what one has freed would otherwise count beside what the next one takes."""
+    and what one has freed would otherwise count beside what the next one takes. ``KEPT``
+    goes, too, unless the task that ends has use for it."""
+    if not keep:
+        KEPT.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     # Where the C library is another one, freed memory stays with it.

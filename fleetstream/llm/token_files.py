@@ -97,7 +97,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
                     names=["doc_id", "ids"],
                 )
         tokenizer(path).rest()
-        release_memory()
+        release_memory(keep=True)
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids binary")
 

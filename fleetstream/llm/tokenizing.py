@@ -14,6 +14,10 @@ import re
 import unicodedata
 from array import array
 
+import numpy as np
+
+from fleetstream.llm.storage import KEPT
+
 # The characters that the tokenizers' patterns take as white space.
 WHITE = (
     "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -34,32 +38,58 @@ _ENDS = frozenset(".,!?;:")
 class TextTokenizer:
     """packed(texts) as ``tokenizers`` gives the ids, adding no special tokens.
 
-    ``remembered`` bounds the table of known pieces: two generations of that many. The
-    pieces met again first, ``close_by`` of them, are also kept in a table small enough
-    for the processor's cache.
+    ``remembered`` bounds the table of known pieces: two generations of that many. Each begins
+    with the pieces that an earlier one has met again first, ``close_by`` of them.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000, close_by: int = 30_000):
+    def __init__(self, path: str, remembered: int = 300_000, close_by: int = 50_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         # The library finds these strings in a text before it splits the rest.
-        added = self._tokenizer.get_added_tokens_decoder().values()
-        self._added = [t.content.lower() for t in added]
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._between = self._separator(added)
+        self._added = [t.content.lower() for t in added.values()]
         self._marks = {t[0] for t in self._added}
         self._normalizes = self._tokenizer.normalizer is not None
         self._remembered = remembered
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._near: dict[str, bytes] = {}
-        self._close_by = close_by
+        self._again: dict[str, bytes] = {}
+        self._close_by = min(close_by, remembered // 4)
         self._ends = {end: self._encoded([end])[0] for end in _ENDS}
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    @staticmethod
+    def _separator(added: dict) -> tuple[str, int] | None:
+        """An added token and its id, which the library finds wherever it is put between two
+        pieces, and which with neither makes up another added token."""
+        for found, token in added.items():
+            text, others = token.content, [t.content for t in added.values()]
+            if not (
+                token.normalized or token.lstrip or token.rstrip or token.single_word
+                or any(text[0] in x[1:] or x[0] in text[1:] for x in others)
+            ):
+                return text, found
+        return None
+
+    def _encoded_apart(self, pieces: list[str]) -> list[bytes]:
+        """As ``_encoded``, of pieces without added tokens: in one call, since the library takes
+        longer for a call's frame than for a piece."""
+        if not self._between or not pieces:
+            return self._encoded(pieces)
+        between, mark = self._between
+        ids = np.frombuffer(self._encoded([between.join(pieces)])[0], dtype=np.uint32)
+        at = np.flatnonzero(ids == mark)
+        if len(at) != len(pieces) - 1:
+            return self._encoded(pieces)
+        raw, cuts = ids.tobytes(), (4 * at).tolist()
+        return [raw[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(raw)])]
+
     def _keys(self, text: str) -> list[str]:
         """Of single blanks and line ends between pieces.
 
@@ -113,7 +143,7 @@ class TextTokenizer:
 
     def _learn(self, keys: list[str]) -> None:
         """Make every key known, or its part before a closing mark."""
-        new, old, unseen = self._new, self._old, {}
+        new, old, again, unseen = self._new, self._old, self._again, {}
         for key in keys:
             stem = key[:-1] if key[-1] in _ENDS and key[1:-1].isalpha() else key
             if stem not in new and stem not in unseen:
@@ -122,14 +152,10 @@ class TextTokenizer:
                     unseen[stem] = None
                 else:
                     new[stem] = known
+                    if len(again) < self._close_by:
+                        again[stem] = known
         texts = [k.lstrip(_BARE) if k[0] == _BARE else " " + k for k in unseen]
-        new.update(zip(unseen, self._encoded(texts)))
-
-    def _looked_up(self, keys: list[str]) -> tuple[list, list]:
-        """The ids of the pieces close by, and (place, ids) of the others if known."""
-        ids = list(map(self._near.get, keys))
-        places = [k for k, x in enumerate(ids) if x is None]
-        return ids, list(zip(places, map(self._new.get, [keys[k] for k in places])))
+        new.update(zip(unseen, self._encoded_apart(texts)))
 
     def rest(self) -> None:
         """Forget the older pieces, at the end of a task."""
@@ -145,8 +171,8 @@ class TextTokenizer:
     def packed(self, texts: list[str | None]) -> list[bytes]:
         """Per text the ids as little-endian unsigned 32-bit integers; null is empty."""
         if len(self._new) > self._remembered:
-            self._old, self._new = self._new, {}
-        known, near, ends = self._new, self._near, self._ends
+            self._old, self._new = self._new, dict(self._again)
+        known, ends = self._new, self._ends
         out: list[bytes] = [b""] * len(texts)
         found: dict[int, list] = {}
         missing: list[tuple[list, int, str]] = []
@@ -163,15 +189,9 @@ class TextTokenizer:
                 out[i] = self._encoded([text])[0]
                 continue
             keys = self._keys(text) if self._plain(text) else self._odd_keys(text)
-            ids, rest = self._looked_up(keys)
-            for k, x in rest:
-                if x is None:
-                    missing.append((ids, k, keys[k]))
-                else:
-                    ids[k] = x
-                    if len(near) < self._close_by:
-                        near[keys[k]] = x
-            found[i] = ids
+            ids = found[i] = list(map(known.get, keys))
+            if None in ids:
+                missing += [(ids, k, keys[k]) for k, x in enumerate(ids) if x is None]
         self._learn([key for _, _, key in missing])
         for ids, k, key in missing:
             x = known.get(key)
@@ -183,11 +203,9 @@ class TextTokenizer:
         return out
 
 
-_LOADED: dict[str, TextTokenizer] = {}
-
-
 def tokenizer(path: str) -> TextTokenizer:
-    """One tokenizer and one table per Python worker and file."""
-    if path not in _LOADED:
-        _LOADED[path] = TextTokenizer(path)
-    return _LOADED[path]
+    """One tokenizer and one table per Python worker and file, until the worker has a task
+    of another kind."""
+    if path not in KEPT:
+        KEPT[path] = TextTokenizer(path)
+    return KEPT[path]

@@ -39,6 +39,20 @@ def test_same_ids_as_the_library(name, remembered, real):
             assert list(np.frombuffer(packed, "<u4")) == ids(text), text
 
 
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_unseen_pieces_go_through_the_library_together(name):
+    ids = _library(name)
+    own, taken = TextTokenizer(vocabulary(name)), []
+    encoded = own._encoded
+    own._encoded = lambda pieces: taken.append(pieces) or encoded(pieces)
+    texts = ["alpha bravo< |endoftext|> <|endoftext charlie|>", "delta< echo"]
+    for text, packed in zip(texts, own.packed(texts)):
+        assert list(np.frombuffer(packed, "<u4")) == ids(text)
+    assert [len(pieces) for pieces in taken] == [1]
+    own.packed(texts)
+    assert len(taken) == 2 and taken[1] == []
+
+
 def test_ranks_come_back():
     rng = np.random.default_rng(2)
     for n in (0, 1, 2, 3, 4, 5, 1001):
