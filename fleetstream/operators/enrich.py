@@ -99,6 +99,17 @@ def _join_sides(
     return left, right, keys
 
 
+def _dealt_out(rows: DataFrame) -> DataFrame:
+    """Rows in equal numbers on more tasks than there are cores.
+
+    Where the readings are broadcast, what a row is joined with and repeated to is made in the
+    task that holds it, so how the input was cut into files must not decide on the tasks.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(parts, 2 * spark.sparkContext.defaultParallelism))
+
+
 def enriched_groups(
     truck: DataFrame,
     traffic: DataFrame,
@@ -112,11 +123,12 @@ def enriched_groups(
     The join grows with the square of the rows per batch, what it costs to render, parse
     or score a row need not: whatever depends on the row alone is done here, and
     ``repeat_rows`` makes the rows at last. Readings that all differ are met one by one.
+    Truck rows are dealt out before the join: their number grows with the input alone.
     """
     left, right, keys = _join_sides(truck, traffic, cfg, salts, extra)
     readings = with_batch(right, cfg).groupBy(*keys, "congestion_level")
     return (
-        with_batch(left, cfg)
+        _dealt_out(with_batch(left, cfg))
         .join(readings.agg(F.count(F.lit(1)).alias(COPIES)), keys, "inner")
         .select("bw", *names(ENRICHED_FIELDS), *extra, COPIES)
     )

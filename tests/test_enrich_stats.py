@@ -65,6 +65,19 @@ def test_groups_meet_equal_readings_once(spark, salts, monkeypatch):
     assert joined_rows(got) == sorted((*r[:4], -1 if r[4] is None else r[4]) for r in want)
 
 
+def test_rows_are_made_in_even_tasks(spark, tmp_path):
+    """Of a file that one task reads the rows are made by many."""
+    truck, traffic = truck_df(spark, truck_rows(800, 3)), traffic_df(spark, traffic_rows(400, 4))
+    stored = []
+    for name, df in (("truck", truck), ("traffic", traffic)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)))
+    out = enrich.enrich_join(*stored, CFG)
+    made = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(made) >= spark.sparkContext.defaultParallelism
+    assert max(made) < sum(made) / 4
+
+
 def test_groups_are_scored_before_they_are_repeated(spark):
     """What depends on a row alone is below the generator in the plan."""
     truck, traffic = hot_inputs()
