@@ -433,13 +433,56 @@ def _celled(members: DataFrame) -> DataFrame:
     return inside.union(crossing)
 
 
+class _Sketches:
+    """Bit sketches of several widths, held at every width that one of them has."""
+
+    def __init__(self, sketches: list[bytes]):
+        self._width = np.array([len(x) // 8 for x in sketches], dtype=np.int64)
+        own = {
+            w: np.frombuffer(
+                b"".join(sketches[i] for i in np.flatnonzero(self._width == w)), np.uint64
+            ).reshape(-1, w)
+            for w in np.unique(self._width).tolist()
+        }
+        self._at = {}
+        for w in own:
+            rows = np.flatnonzero(self._width >= w)
+            table = np.empty((len(rows), w), dtype=np.uint64)
+            for v in own:
+                if v >= w:
+                    table[self._width[rows] == v] = _folded(own[v], w)
+            place = np.full(len(sketches), -1)
+            place[rows] = np.arange(len(rows))
+            self._at[w] = table, place
+
+    def near(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the pairs' sketches allow a link: at the least width first, and what that
+        leaves at the smaller of the two widths. A narrow sketch of a large set is as far
+        from any other, and would let all large sets pass."""
+        keep = np.ones(len(x), dtype=bool)
+        common = np.minimum(self._width[x], self._width[y])
+        for w, (table, place) in sorted(self._at.items()):
+            narrowest = w == min(self._at)
+            rows = np.flatnonzero(keep if narrowest else keep & (common == w))
+            step = max(1, 1_600_000 // w)
+            for k in range(0, len(rows), step):
+                at = rows[k : k + step]
+                i, j = x[at], y[at]
+                distance = np.bitwise_count(table[place[i]] ^ table[place[j]]).sum(
+                    axis=1, dtype=np.int64
+                )
+                keep[at] = distance * 7 <= sizes[i] + sizes[j]
+        return keep
+
+
 def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
     """Pairs a, b of different components that agree as often as linked sets have to, and
     whose bit sketches allow a link.
 
     ``cells`` comes from ``_celled``. Cells whose least members are the same lie in one part,
     as they name the same pairs again and again: a pair is counted there, its sketches come
-    there once for each document, and a pair that they rule out never leaves the part.
+    there once for each document, those of large sets at their full width, and a pair that
+    they rule out never leaves the part.
     """
 
     def pairs(table: pa.Table, sketches: pa.Table) -> pa.Table:
@@ -449,8 +492,7 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
         key, a, c, size, side = (column(x)[order] for x in ("key", "a", "c", "size", "side"))
         ids, place = np.unique(a, return_inverse=True)
         known = np.argsort(sketches.column("id").to_numpy())
-        words = b"".join(sketches.column("sketch").take(pa.array(known)).to_pylist())
-        sketch = np.frombuffer(words, np.uint64).reshape(len(ids), -1)
+        sketch = _Sketches(sketches.column("sketch").take(pa.array(known)).to_pylist())
         sizes = np.zeros(len(ids), dtype=np.int64)
         sizes[place] = size
         first = np.append(True, key[1:] != key[:-1])[: len(key)]
@@ -459,14 +501,6 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
         found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         held, pending, apart = [], 0, 1
 
-        def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-            keep = np.ones(len(x), dtype=bool)
-            for k in range(0, len(x), 100_000):
-                i, j = x[k : k + 100_000], y[k : k + 100_000]
-                distance = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
-                keep[k : k + 100_000] = distance * 7 <= sizes[i] + sizes[j]
-            return keep
-
         def counted() -> tuple[np.ndarray, np.ndarray]:
             every = np.concatenate([found, *held])
             weight = np.ones(len(every), dtype=np.int64)
@@ -481,7 +515,7 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
             other = at - apart
             meet = (c[at] != c[other]) & ((side[at] < 0) | (side[at] != side[other]))
             x, y = place[at[meet]], place[other[meet]]
-            keep = near(x, y)
+            keep = sketch.near(x, y, sizes)
             x, y = x[keep], y[keep]
             held.append(np.maximum(x, y) * len(ids) + np.minimum(x, y))
             pending += len(held[-1])
@@ -503,7 +537,8 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
     kind = "a bigint, b bigint, n bigint, least bigint"
     cells = written(_by_hub(cells), "cells")
     asked = cells.select(F.col("part").alias("place"), F.col("a").alias("id")).distinct()
-    held = asked.join(summaries.select(F.col("doc_id").alias("id"), "sketch"), "id")
+    widest = F.coalesce("fine", "sketch").alias("sketch")
+    held = asked.join(summaries.select(F.col("doc_id").alias("id"), widest), "id")
     named = cells.groupBy("part").cogroup(held.groupBy("place")).applyInArrow(pairs, kind)
     enough = F.sum("n") >= F.expr("min(least) div 12 + 1")
     return named.groupBy("a", "b").agg(enough.alias("enough")).where("enough").select("a", "b")

@@ -101,3 +101,26 @@ def test_sketches_of_large_sets_bound_the_difference_and_tell_others_apart():
         assert alike == ({i, j} == {0, 1})
     none = pa.array([], pa.binary())
     assert len(jaccard._distances(none, none)) == 0
+
+
+def test_large_unlike_sets_are_ruled_out_where_they_meet(spark):
+    """Sets of more shingles than a narrow sketch has bits, which agree on many blocks."""
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2**63, 2_400).astype(np.uint64))
+    sets = [base, base[100:], *(rng.integers(0, 2**63, n).astype(np.uint64) for n in (2_400, 2_300, 7_000, 20))]
+    sets = [np.unique(x) for x in sets]
+    text = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    words = jaccard.SKETCH_BITS // 64
+    summaries = spark.createDataFrame(
+        [
+            (i, bytearray(jaccard._folded(x[None], words).tobytes()),
+             bytearray(x.tobytes()) if len(x) > words else None)
+            for i, x in enumerate(jaccard._bit_sketches(text, np.concatenate(sets), len(sets)))
+        ],
+        "doc_id long, sketch binary, fine binary",
+    )
+    members = spark.createDataFrame(
+        [(k, 0, i, len(x), i, -1) for k in range(300) for i, x in enumerate(sets)],
+        "key long, hub long, a long, size int, c long, side int",
+    )
+    assert [tuple(r) for r in jaccard._across(members, summaries).collect()] == [(1, 0)]
