@@ -3,7 +3,7 @@
 Links are first thinned to a forest where they lie, then turned into stars by alternating
 large-star and small-star rounds, of which about log(nodes) are needed. A round joins two
 written tables, so that a hub with many links is split like any skewed join; the driver
-sees only counts.
+sees only counts. Rounds end as soon as all links are stars, before the first one too.
 """
 
 from __future__ import annotations
@@ -14,9 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetstream.llm.storage import written
+from fleetstream.llm.storage import in_tasks_of, written
 
 _MOST_ROUNDS = 60
+#: Links that one task of a round handles.
+_TASK_LINKS = 100_000
 
 
 def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,10 +48,14 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(
-        links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+def _settled(stars: DataFrame, links: int) -> bool:
+    """Whether every node has one link down, to a node that has none."""
+    ends = stars.select(F.col("a").alias("id"), F.lit(1).alias("up")).union(
+        stars.select("b", F.lit(0))
     )
+    nodes = ends.groupBy("id").agg(F.sum("up").alias("n"), F.min("up").alias("least"))
+    left = nodes.where("n > 1 OR n = 1 AND least = 0").select("id")
+    return in_tasks_of(left, links, _TASK_LINKS).agg(F.count("*")).first()[0] == 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -65,30 +71,32 @@ def components(links: DataFrame) -> DataFrame:
     )
     thin = pairs.mapInArrow(_thinned, "a bigint, b bigint")
     stars = written(thin.distinct(), "links")
-    before = _state(stars)
+    number = stars.count()
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        return written(in_tasks_of(rows, number, _TASK_LINKS), name)
+
     for _ in range(_MOST_ROUNDS):
+        if _settled(stars, number):
+            break
         # Large star: everything above a node goes to the least node around it.
         both = stars.union(stars.select("b", "a"))
-        least = written(
+        least = kept(
             both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least"
         )
         large = both.where(F.col("b") > F.col("a")).join(least, "a")
-        stars = written(
+        stars = kept(
             large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large"
         )
         # Small star: a node and everything below it go to the least of them.
-        least = written(stars.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = kept(stars.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = stars.join(least, "a").where(F.col("b") != F.col("m"))
-        stars = written(
+        stars = kept(
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("a", F.col("m").alias("b")))
             .distinct(),
             "small",
         )
-        now = _state(stars)
-        if now == before:
-            break
-        before = now
     else:
         raise RuntimeError("components did not settle")
     return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).union(

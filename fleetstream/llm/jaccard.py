@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from fleetstream.llm.components import components
 from fleetstream.llm.storage import (
     broadcast_if_small,
+    in_tasks_of,
     release_memory,
     ship_package,
     shuffle_partitions,
@@ -45,6 +46,12 @@ _LEAST_BLOCKS = 4096
 _CELL = 256
 #: Members of a key that are paired in one group, on either side.
 _MEMBERS = 8192
+#: Texts, members of open groups, pairs of whole texts and rows of a few numbers that one
+#: task handles, where there are few.
+_TASK_TEXTS = 2_500
+_TASK_MEMBERS = 50_000
+_TASK_ROWS = 100_000
+_TASK_PAIRS = 2_000
 #: Shingles in at least this share of the texts are put last, the most frequent of them.
 FREQUENT_SHARE = 0.001
 MOST_FREQUENT = 100_000
@@ -348,7 +355,7 @@ def _agreeing(key: np.ndarray, doc: np.ndarray, size: np.ndarray) -> pa.Table:
 
 def _open(groups: DataFrame, found: DataFrame) -> DataFrame:
     """Members (key, hub, a, size, c, out) of the groups that more than one component has;
-    ``out`` are those outside the group's largest one. ``found`` is stored."""
+    ``out`` are those outside the group's largest one. Both tables are stored."""
     of = found.select(F.col("id").alias("a"), "component")
     members = groups.select("key", "hub", F.col("doc_id").alias("a"), "size").join(
         broadcast_if_small(of), "a", "left"
@@ -376,7 +383,8 @@ def _open(groups: DataFrame, found: DataFrame) -> DataFrame:
     parted = members.withColumn(
         "part", F.pmod(F.xxhash64("key"), F.lit(2 * shuffle_partitions(groups)))
     )
-    return parted.groupBy("part").applyInArrow(still, f"part bigint, {_MEMBER}").drop("part")
+    several = parted.groupBy("part").applyInArrow(still, f"part bigint, {_MEMBER}").drop("part")
+    return in_tasks_of(several, groups.count(), _TASK_MEMBERS)
 
 
 def _often_met(members: DataFrame) -> DataFrame:
@@ -388,7 +396,8 @@ def _often_met(members: DataFrame) -> DataFrame:
     """
     least = F.expr("(3 * size + 3) div 4 div 12 + 1")  # needed_agreements of the least partner
     often = members.groupBy("a").agg(F.count("*").alias("n"), F.min("size").alias("size"))
-    often = written(often.where(F.col("n") >= least).select("a"), "often")
+    often = often.where(F.col("n") >= least).select("a")
+    often = written(in_tasks_of(often, members.count(), _TASK_ROWS), "often")
     return members.join(broadcast_if_small(often), "a", "left_semi")
 
 
@@ -540,6 +549,7 @@ def _across(cells: DataFrame, summaries: DataFrame) -> DataFrame:
     widest = F.coalesce("fine", "sketch").alias("sketch")
     held = asked.join(summaries.select(F.col("doc_id").alias("id"), widest), "id")
     named = cells.groupBy("part").cogroup(held.groupBy("place")).applyInArrow(pairs, kind)
+    named = in_tasks_of(named, cells.count(), _TASK_MEMBERS // 5)
     enough = F.sum("n") >= F.expr("min(least) div 12 + 1")
     return named.groupBy("a", "b").agg(enough.alias("enough")).where("enough").select("a", "b")
 
@@ -566,7 +576,7 @@ def _by_hub(cells: DataFrame) -> DataFrame:
 def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow a similarity of 3/4.
 
-    ``summaries`` is a stored table. Pairs of large sets that the short sketches leave meet
+    Both are stored tables. Pairs of large sets that the short sketches leave meet
     their long ones, so that few of those move.
     """
 
@@ -589,8 +599,10 @@ def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
 
     sizes = F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3
     kind = "a bigint, b bigint, large boolean"
-    left = written(beside(pairs, "sketch").where(sizes).mapInArrow(near, kind), "near")
-    fine = beside(left.where("large"), "fine").mapInArrow(near, kind)
+    met = in_tasks_of(beside(pairs, "sketch").where(sizes), pairs.count(), _TASK_ROWS // 4)
+    left = written(met.mapInArrow(near, kind), "near")
+    large = left.where("large")
+    fine = in_tasks_of(beside(large, "fine"), large.count(), _TASK_PAIRS).mapInArrow(near, kind)
     return left.where("NOT large").union(fine).select("a", "b")
 
 
@@ -622,14 +634,18 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     moves once and not with every pair; large clusters are cut into blocks, and a text
     moves to the pairs of blocks that ask for it.
     """
-    cluster = components(pairs)
-    sizes = written(
+    cluster, number = components(pairs), pairs.count()
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        return written(in_tasks_of(rows, 2 * number, _TASK_ROWS), name)
+
+    sizes = kept(
         cluster.groupBy("component").agg(
             F.ceil(F.count("*") / _CELL).cast("int").alias("blocks")
         ),
         "clusters",
     )
-    place = written(
+    place = kept(
         cluster.join(sizes, "component").select(
             "id", "component", "blocks",
             F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
@@ -641,8 +657,8 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         .join(place.select(F.col("id").alias("b"), F.col("block").alias("j")), "b")
         .select("component", "i", "j", "a", "b")
     )
-    asked = written(asked, "asked")
-    cells = written(
+    asked = kept(asked, "asked")
+    cells = kept(
         asked.select("component", "i", "j", F.col("a").alias("doc_id"))
         .union(asked.select("component", "i", "j", "b"))
         .distinct(),
@@ -664,9 +680,10 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         return asked.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     key = ["component", "i", "j"]
-    return held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
+    links = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
         check, "a bigint, b bigint"
     )
+    return in_tasks_of(links, number, _TASK_PAIRS)
 
 
 def _candidates(
@@ -677,16 +694,18 @@ def _candidates(
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     equal = full.groupBy("set_a", "set_b", "n_shingles")
     least = equal.agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    least = written(least.where("n > 1").drop("n"), "equal")
-    copies = written(
+    number = rows.count()
+    least = least.where("n > 1").drop("n")
+    least = written(in_tasks_of(least, number, _TASK_ROWS), "equal")
+    copies = (
         full.select("doc_id", "set_a", "set_b", "n_shingles")
         .join(least, ["set_a", "set_b", "n_shingles"])
         .select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-        .where("a != b"),
-        "copies",
+        .where("a != b")
     )
-    groups = block_groups(docs, frequent_shingles(docs, rows.count()))
-    return full, copies, written(groups, "groups")
+    copies = written(in_tasks_of(copies, number, _TASK_ROWS), "copies")
+    groups = block_groups(docs, frequent_shingles(docs, number))
+    return full, copies, written(in_tasks_of(groups, number, _TASK_TEXTS), "groups")
 
 
 def _one_text_each(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -705,7 +724,7 @@ def _one_text_each(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
         .where("a != b OR c != d")
         .select(F.col("doc_id").alias("shared_id"))
     )
-    several = written(several, "several")
+    several = written(in_tasks_of(several, rows.count(), _TASK_ROWS), "several")
     if several.isEmpty():
         return docs, None
     apart = docs.join(
@@ -766,7 +785,8 @@ def _components_of(
         .distinct()
     )
     once = full.select("doc_id", "n_shingles", "sketch", "fine").dropDuplicates(["doc_id"])
-    once = written(once, "once")
+    number = rows.count()
+    once = written(in_tasks_of(once, number, _TASK_TEXTS), "once")
     whole = docs.where(F.col("doc_id").isNotNull())
 
     def joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -780,11 +800,12 @@ def _components_of(
         same = names.groupBy("shared_id").agg(F.min("doc_id").alias("least"))
         tied = names.join(same, "shared_id").where("doc_id != least")
         start = start.union(tied.select("doc_id", "least"))
-    found = joined(start, written(counted, "met"))
+    found = joined(start, written(in_tasks_of(counted, number, _TASK_TEXTS), "met"))
     members = written(_open(groups, found), "open")
     if members.isEmpty():
         return found
-    return joined(found, _across(_celled(written(_often_met(members), "left")), once))
+    across = _across(_celled(written(_often_met(members), "left")), once)
+    return joined(found, written(across, "across"))
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
@@ -820,7 +841,8 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         full.select("doc_id", "n_shingles", "sketch", "fine").dropDuplicates(["doc_id"]), "once"
     )
     whole = docs.where(F.col("doc_id").isNotNull())
-    alike = written(_alike(_across(cells, once), once), "alike")
+    across = written(_across(cells, once), "across")
+    alike = written(_alike(across, once), "alike")
     links = written(_linked(alike, whole), "linked")
     found = components(links.union(copies)).withColumnRenamed("id", "doc_id")
     near = (

@@ -24,6 +24,16 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_tasks_of(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """The rows of ``df`` in about one task per ``each`` of ``rows``, one per core at least.
+
+    What is little, however many shuffle partitions there are, takes no longer to start and
+    write than to work on. The number of tasks grows with the rows, up to those of ``df``.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // each)))
+
+
 #: Rows of a few numbers that may be broadcast, some ten megabytes.
 _BROADCAST_ROWS = 1_000_000
 

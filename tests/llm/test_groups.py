@@ -215,3 +215,25 @@ def test_every_link_is_counted(documents, monkeypatch):
     groups = brute.near_duplicates(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups
     assert len(set(want.values())) > 5
+
+
+def test_stars_need_no_round_and_little_rows_few_tasks(spark, monkeypatch):
+    from fleetstream.llm import components as module
+
+    names, store, cores = [], module.written, spark.sparkContext.defaultParallelism
+    tasks = lambda df: df.rdd.getNumPartitions()
+    monkeypatch.setattr(module, "written", lambda df, name: names.append((name, tasks(df))) or store(df, name))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", 5 * cores)
+    try:
+        stars = [(k, 0) for k in range(1, 30)] + [(200, 100)]
+        found = components(spark.createDataFrame(stars, "a long, b long")).collect()
+        assert [name for name, _ in names] == ["links"]
+        assert {r.id: r.component for r in found} == {a: b for a, b in stars} | {0: 0, 100: 100}
+        path = [(k, k + 1) for k in range(40)]
+        found = components(spark.createDataFrame(path, "a long, b long").repartition(11)).collect()
+        assert {(r.id, r.component) for r in found} == {(k, 0) for k in range(41)}
+        assert max(n for name, n in names if name != "links") <= cores
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
