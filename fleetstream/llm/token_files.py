@@ -43,15 +43,20 @@ _BLOCKS = (
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     ranks = ranks.astype("<u4", copy=False)
-    sizes = 1 + (ranks > 0xFF) + (ranks > 0xFFFF).astype(np.int64) + (ranks > 0xFFFFFF)
     codes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    codes[: len(ranks)] = sizes - 1
+    more = codes[: len(ranks)]
+    most = int(ranks.max(initial=0))
+    for top in (0xFF, 0xFFFF, 0xFFFFFF):
+        if most > top:
+            more += ranks > top
     four = codes.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    taken = np.arange(4) < sizes[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[
-        taken
-    ].tobytes()
+    # No rank takes more bytes than the greatest.
+    if most <= 0xFFFF:
+        ranks = ranks.astype("<u2")
+    width = ranks.itemsize
+    taken = np.arange(width, dtype=np.uint8) <= more[:, None]
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, width)[taken].tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -108,8 +113,9 @@ def frequencies(ids: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for packed in batch.column("ids"):
-                n = np.bincount(unpacked(packed.as_py()))
+            packed = batch.column("ids").to_pylist()
+            for at in range(0, len(packed), _GROUP):
+                n = np.bincount(np.concatenate([unpacked(x) for x in packed[at : at + _GROUP]]))
                 if len(n) > len(total):
                     total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
                 total[: len(n)] += n

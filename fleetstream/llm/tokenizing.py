@@ -28,6 +28,8 @@ _UNUSUAL = re.compile(f"[{WHITE.replace(' ', '').replace(chr(10), '')}]")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 #: Before the key of a piece that has no blank in front, twice if it is white space.
 _BARE = "\0"
+#: As byte-level tokens have a blank.
+_BLANK = "\u0120"
 _LINE_END = _BARE + _BARE + "\n"
 #: A capital whose lower case is a letter and a mark, which can join the next piece.
 _SPLITTING_CAPITAL = "İ"
@@ -42,7 +44,7 @@ class TextTokenizer:
     with the pieces that an earlier one has met again first, ``close_by`` of them.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000, close_by: int = 50_000):
+    def __init__(self, path: str, remembered: int = 600_000, close_by: int = 50_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,6 +55,9 @@ class TextTokenizer:
         self._added = [t.content.lower() for t in added.values()]
         self._marks = {t[0] for t in self._added}
         self._normalizes = self._tokenizer.normalizer is not None
+        self._border, self._at_end = self._borders()
+        # A blank between two pieces could make such a token.
+        self._blank_added = any(c in WHITE for t in added.values() for c in t.content)
         self._remembered = remembered
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -77,6 +82,32 @@ class TextTokenizer:
                 return text, found
         return None
 
+    def _borders(self) -> tuple[np.ndarray, bool]:
+        """Per id whether its token begins with a blank, or ends a word if the file marks these
+        (then the second value is true)."""
+        end = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self._tokenizer.get_vocab()
+        border = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        border[
+            [i for t, i in vocabulary.items() if (t.endswith(end) if end else t[:1] == _BLANK)]
+        ] = True
+        return border, bool(end)
+
+    def _encoded_beside(self, words: list[str], others: list[str]) -> list[bytes]:
+        """As ``_encoded``, of both in one call. ``words`` are pieces with a blank before them,
+        which are put next to each other and split where a piece must begin or end. If that
+        doesn't give each of them its ids, they are encoded apart."""
+        if not words or self._blank_added:
+            return self._encoded_apart(words + others)
+        first, *rest = self._encoded_apart(["".join(words), *others])
+        ids = np.frombuffer(first, dtype=np.uint32)
+        at = np.flatnonzero(self._border[ids])
+        at = np.append(0, at + 1) if self._at_end else np.append(at, len(ids))
+        if len(at) != len(words) + 1 or at[0] != 0 or at[-1] != len(ids):
+            return self._encoded_apart(words) + rest
+        cuts = (4 * at).tolist()
+        return [first[i:j] for i, j in zip(cuts, cuts[1:])] + rest
+
     def _encoded_apart(self, pieces: list[str]) -> list[bytes]:
         """As ``_encoded``, of pieces without added tokens: in one call, since the library takes
         longer for a call's frame than for a piece."""
@@ -143,19 +174,24 @@ class TextTokenizer:
 
     def _learn(self, keys: list[str]) -> None:
         """Make every key known, or its part before a closing mark."""
-        new, old, again, unseen = self._new, self._old, self._again, {}
-        for key in keys:
-            stem = key[:-1] if key[-1] in _ENDS and key[1:-1].isalpha() else key
-            if stem not in new and stem not in unseen:
-                known = old.get(stem)
-                if known is None:
-                    unseen[stem] = None
-                else:
-                    new[stem] = known
-                    if len(again) < self._close_by:
-                        again[stem] = known
-        texts = [k.lstrip(_BARE) if k[0] == _BARE else " " + k for k in unseen]
-        new.update(zip(unseen, self._encoded_apart(texts)))
+        new, old, again, unseen, odd = self._new, self._old, self._again, [], []
+        for key in dict.fromkeys(
+            [k[:-1] if k[-1] in _ENDS and k[1:-1].isalpha() else k for k in keys]
+        ):
+            if key in new:
+                continue
+            known = old.get(key)
+            if known is not None:
+                new[key] = known
+                if len(again) < self._close_by:
+                    again[key] = known
+            elif key.isalpha() if self._at_end else key[0] != _BARE:
+                unseen.append(key)
+            else:
+                odd.append(key)
+        words = [" " + k for k in unseen]
+        others = [k.lstrip(_BARE) if k[0] == _BARE else " " + k for k in odd]
+        new.update(zip(unseen + odd, self._encoded_beside(words, others)))
 
     def rest(self) -> None:
         """Forget the older pieces, at the end of a task."""

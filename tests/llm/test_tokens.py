@@ -53,6 +53,34 @@ def test_unseen_pieces_go_through_the_library_together(name):
     assert len(taken) == 2 and taken[1] == []
 
 
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_unseen_words_go_through_the_library_without_tokens_between(name, real):
+    ids = _library(name)
+    own, taken = TextTokenizer(vocabulary(name)), []
+    encoded = own._encoded
+    own._encoded = lambda pieces: taken.append(pieces) or encoded(pieces)
+    texts = ["alpha bravo's charlie, don't 12ab echo9 x\u0300y ἀλφα 漢字 delta", *[t for _, t in real[:30]]]
+    for text, packed in zip(texts, own.packed(texts)):
+        assert list(np.frombuffer(packed, "<u4")) == ids(text)
+    assert all(len(pieces) < 2 for pieces in taken)
+    assert sum(piece.count("<|") for pieces in taken for piece in pieces) < len(own._new) / 10
+    own = TextTokenizer(vocabulary(name))
+    # As if the borders of words could not be told: then pieces are encoded apart.
+    own._border[:] = False
+    for text, packed in zip(texts, own.packed(texts)):
+        assert list(np.frombuffer(packed, "<u4")) == ids(text)
+
+
+def test_token_counts_and_wide_ranks(spark):
+    def row(*ids):
+        wide = max(ids) > 0xFFFF
+        return (1, bytes([4 if wide else 2]) + np.array(ids, "<u4" if wide else "<u2").tobytes())
+
+    rows = [row(2, 5, 5), row(70_000, 2), row(2)] * 70
+    got = token_files.frequencies(spark.createDataFrame(rows, "doc_id long, ids binary").coalesce(1))
+    assert {r["id"]: r["n"] for r in got.collect()} == {2: 210, 5: 140, 70_000: 70}
+
+
 def test_ranks_come_back():
     rng = np.random.default_rng(2)
     for n in (0, 1, 2, 3, 4, 5, 1001):
