@@ -30,6 +30,7 @@ from fleetstream.llm.storage import (
     broadcast_if_small,
     in_tasks_of,
     release_memory,
+    releasing,
     ship_package,
     shuffle_partitions,
     written,
@@ -317,13 +318,15 @@ def block_groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 )
         release_memory()
 
-    def groups(table: pa.Table) -> pa.Table:
-        release_memory()
+    def agreeing(table: pa.Table) -> pa.Table:
         flat = lambda name: np.concatenate(
             [c.flatten().to_numpy() for c in table.column(name).chunks]
         )
         return _agreeing(flat("keys"), flat("docs"), flat("sizes"))
 
+    def groups(table: pa.Table) -> pa.Table:
+        return releasing(agreeing, table)
+
     sent = docs.select("doc_id", "text").mapInArrow(
         blocks, "part int, keys array<bigint>, docs array<bigint>, sizes array<int>"
     )
@@ -596,6 +599,7 @@ def _alike(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
             distance = _distances(*(batch.column(f"sketch_{k}") for k in "ab"))
             out = batch.select(["a", "b"]).append_column("large", large)
             yield out.filter(pa.array(distance * 7 <= both))
+        release_memory()
 
     sizes = F.least("n_a", "n_b") * 4 >= F.greatest("n_a", "n_b") * 3
     kind = "a bigint, b bigint, large boolean"
@@ -791,7 +795,8 @@ def _components_of(
 
     def joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
         """Components after testing more pairs."""
-        links = _linked(written(_alike(pairs, once), "alike"), whole)
+        # Stored, as tasks that go on with them would each hold two Python workers.
+        links = written(_linked(written(_alike(pairs, once), "alike"), whole), "linked")
         stars = found.where("id != component").toDF("a", "b")
         return written(components(stars.union(links)), "components")
 

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fleetstream.llm.storage import release_memory, shuffle_partitions
+from fleetstream.llm.storage import releasing, shuffle_partitions
 from fleetstream.llm.windows import (
     PIECE_UNITS,
     Sums,
@@ -314,25 +314,21 @@ def repeated_units(
         texts.schema.fields[1:] + T.StructType.fromDDL(schema).fields
     )
 
-    def send_runs(table: pa.Table) -> pa.Table:
-        release_memory()
+    def runs(table: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
         return b.entries.sent(b.bucket, -1, parts)
 
     def answer(table: pa.Table) -> pa.Table:
-        release_memory()
-        return _answers(table, what.earlier)
+        return releasing(_answers, table, what.earlier)
 
-    def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        release_memory()
+    def windows_of(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
         flags = b.entries.answered(*_flags(answers, False, 1), parts)
         return pa.concat_tables(
             a.entries.sent(b.bucket, k, parts) for k, a in enumerate(b.asked(flags))
         )
 
-    def result(table: pa.Table, answers: pa.Table) -> pa.Table:
-        release_memory()
+    def made_of(table: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(table, what)
         flags = b.entries.answered(*_flags(answers, False, 1), parts)
         windows = _flags(answers, True, len(b.slices))
@@ -343,6 +339,15 @@ def repeated_units(
             out = out.append_column(field, pa.chunked_array(chunks, field.type))
         return out
 
+    def send_runs(table: pa.Table) -> pa.Table:
+        return releasing(runs, table)
+
+    def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
+        return releasing(windows_of, table, answers)
+
+    def result(table: pa.Table, answers: pa.Table) -> pa.Table:
+        return releasing(made_of, table, answers)
+
     by_bucket = texts.groupBy("bucket")
     first = by_bucket.applyInArrow(send_runs, _SENT).groupBy("part").applyInArrow(
         answer, _ANSWER

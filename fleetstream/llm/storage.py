@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -61,6 +61,15 @@ def release_memory(keep: bool = False) -> None:
         trim(0)
 
 
+def releasing(work: Callable[..., pa.Table], *args) -> pa.Table:
+    """work(*args), with memory given back before and after: workers take turns, and one that
+    waits for its next group keeps what the last one has freed."""
+    release_memory()
+    found = work(*args)
+    release_memory()
+    return found
+
+
 def chance(*columns) -> Column:
     """A number from 0 up to 1 that a hash of the columns gives, in steps of 2**-53."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(2.0**53)

@@ -237,3 +237,23 @@ def test_stars_need_no_round_and_little_rows_few_tasks(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_components_of_near_duplicates_read_stored_links(documents, monkeypatch):
+    plans, found = [], jaccard.components
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(jaccard, "components", lambda df: plans.append(plan(df)) or found(df))
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (2, text + " more"), (3, "other words than these"), (4, text)]
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(documents(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 1}
+    assert plans and not any("InArrow" in p for p in plans)
+
+
+def test_memory_is_given_back_after_a_group_too(monkeypatch):
+    from fleetstream.llm import storage
+
+    order = []
+    monkeypatch.setattr(storage, "release_memory", lambda: order.append("released"))
+    assert storage.releasing(lambda x, y: order.append("worked") or x + y, 1, 2) == 3
+    assert order == ["released", "worked", "released"]
