@@ -132,6 +132,7 @@ def shingle_summaries(docs: DataFrame) -> DataFrame:
     coarse = SKETCH_BITS // 64
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for ids, text, shingle, n in _slices(batch):
                 sketches = _bit_sketches(text, shingle, n)
@@ -168,6 +169,7 @@ def frequent_shingles(docs: DataFrame, number: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         held, texts, size = [], 0, 0
 
         def frequent() -> pa.RecordBatch:
@@ -288,6 +290,7 @@ def block_groups(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     shared = spark.sparkContext.broadcast(frequent)  # MOST_FREQUENT numbers at most
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for ids, text, shingle, n in _slices(batch):
                 doc = ids.to_numpy(zero_copy_only=False)

@@ -227,6 +227,7 @@ def fit(
     sample = usable.where(F.col("_chance") < share[F.col("_label")]).select("_label", "text")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_memory()
         for batch in batches:
             counts: dict[str, Counter] = defaultdict(Counter)
             for name, text in zip(batch["_label"], batch["text"]):
@@ -328,6 +329,7 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
     shared = context.broadcast(model)
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_memory()
         scorer = Scorer(shared.value)
         for texts in batches:
             found = []
@@ -339,6 +341,7 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
                 best = int(p.argmax())
                 found.append((scorer.labels[best], float(p[best])))
             yield pd.DataFrame(found, columns=["lang", "score"])
+        del scorer
         release_memory()
 
     udf = F.pandas_udf(score, "lang string, score double")

@@ -83,6 +83,7 @@ def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_memory()
         scorer = Scorer(shared.value)
         k = max(1, len(scorer.labels))
         for texts in batches:
@@ -94,6 +95,7 @@ def memberships(docs: DataFrame, model: WordModel) -> DataFrame:
                     scores = scores * (SHARPNESS_WORDS / words)
                 found.append(posterior(scores) if words else np.full(k, 1 / k))
             yield pd.DataFrame({"tokens": tokens, "p": found})
+        del scorer
         release_memory()
 
     udf = F.pandas_udf(score, "tokens bigint, p array<double>")

@@ -257,3 +257,29 @@ def test_memory_is_given_back_after_a_group_too(monkeypatch):
     monkeypatch.setattr(storage, "release_memory", lambda: order.append("released"))
     assert storage.releasing(lambda x, y: order.append("worked") or x + y, 1, 2) == 3
     assert order == ["released", "worked", "released"]
+
+
+def test_scoring_frees_its_words_before_memory_is_given_back(spark, monkeypatch):
+    import weakref
+
+    import pandas as pd
+
+    from fleetstream.llm import languages
+
+    made, scorers, alive, udf = [], [], [], languages.F.pandas_udf
+    monkeypatch.setattr(languages.F, "pandas_udf", lambda f, kind: made.append(f) or udf(f, kind))
+
+    class Watched(languages.Scorer):
+        def __init__(self, model):
+            super().__init__(model)
+            scorers.append(weakref.ref(self))
+
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    model = languages.fit(docs)
+    monkeypatch.setattr(languages, "Scorer", Watched)
+    languages.predict(docs, model)
+    monkeypatch.setattr(
+        languages, "release_memory", lambda: alive.append([s() is not None for s in scorers])
+    )
+    assert len(list(made[0](iter([pd.Series(["a b", None])])))) == 1
+    assert alive == [[], [False]]
