@@ -69,7 +69,7 @@ def start_readers(
         enriched_sinks.append(q.score_sink(table, cfg, score_sinks))
     started = [q.start_training(truck, traffic, cfg, table, trigger)]
     if enriched_sinks:
-        started.append(q.start_enriched(truck, traffic, cfg, enriched_sinks, trigger))
+        started.append(q.start_enriched(*ingest.join_inputs(), cfg, enriched_sinks, trigger))
     if stats_sinks:
         started.append(q.start_stats(truck, traffic, cfg, stats_sinks, trigger))
     spark.streams.addListener(Watch(ingest, cfg, [query.name for query in started]))

@@ -17,8 +17,9 @@ from fleetstream.operators.render import (
     traffic_lines,
 )
 from fleetstream.operators.batches import with_batch
-from fleetstream.plans import replay
+from fleetstream.plans import replay, telemetry as tel
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
+from fleetstream.sinks.manifest import ManifestTable
 from fleetstream.sinks.outputs import append_history, write_latest
 from fleetstream.sources.history import read_enriched_text, read_history, read_snapshot
 from fleetstream.sources.lines import file_lines, traffic_topic, truck_topic
@@ -368,6 +369,51 @@ def test_replay_has_more_tasks_for_more_rows(spark, tmp_path, monkeypatch):
     assert few < replay.Replay(spark, str(tmp_path)).cfg.stream_partitions == 11
 
 
+def dense_events(spark, path, n=3000):
+    """Two days of two hours each, in which every route has many readings."""
+    draw = lambda k, m: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(m))
+    kinds = F.array(*map(F.lit, ("view", "click", "error", "signup")))
+    hour = F.col("id") % 2 * 86_400 + F.col("id") % 4 * 3600
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + hour + draw(1, 3600)).alias("ts"),
+        draw(2, 20).alias("user_id"),
+        F.get(kinds, draw(3, 4).cast("int")).alias("event_type"),
+        draw(4, 1000).cast("double").alias("value"),
+    )
+    events.write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def stored_rows(spark, path, key="day"):
+    table = ManifestTable(spark, path, key)
+    return table.load(table.entries(table.root()), table.root()).count()
+
+
+@pytest.mark.parametrize("kind", ["enriched", "scored", "snapshot"])
+def test_replay_keeps_no_row_per_pair(spark, tmp_path, kind):
+    """What a stream stores grows with the truck rows, what is read are all joined rows."""
+    sf = dense_events(spark, tmp_path)
+    run, truck = replay.Replay(spark, sf), tel.truck(spark, sf)
+    columns = ["bw", *names(ENRICHED_FIELDS)]
+    if kind == "snapshot":
+        early = F.col("arrival") < F.lit("2024-01-02").cast("timestamp")
+        path, key, truck = run.snapshot([early, ~early]), None, truck.where(~early)
+        got = read_snapshot(spark, path)
+    else:
+        path, key = getattr(run.admitted(), kind)(), "day"
+        got = read_history(spark, path)
+    joined = enrich.enrich_join(truck, tel.traffic(spark, sf), tel.SCALED)
+    if kind == "scored":
+        table = WeightsTable(spark, str(tmp_path / "w"))
+        train_history(truck, tel.traffic(spark, sf), tel.SCALED, table, str(tmp_path / "m"))
+        joined = scoring.predict_versioned(joined, table.read(), tel.SCALED)
+        got, joined = (d.withColumn("p", F.round("prediction", 6) + 0) for d in (got, joined))
+        columns += ["weights_bw", "p"]
+    assert rows(got, columns) == rows(joined, columns)
+    assert 0 < stored_rows(spark, path, key) <= truck.count() < joined.count() / 5
+
+
 def test_strict_stream_fails_on_a_bad_line(feed):
     feed.add(0)
     feed._write("traffic", feed.spark.createDataFrame([("1|x|2", at(3))], LINES))
