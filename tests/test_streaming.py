@@ -17,7 +17,7 @@ from fleetstream.operators.render import (
     traffic_lines,
 )
 from fleetstream.operators.batches import with_batch
-from fleetstream.plans import replay, telemetry as tel
+from fleetstream.plans import catalog, replay, telemetry as tel
 from fleetstream.schemas import ENRICHED_FIELDS, LINES, names
 from fleetstream.sinks.manifest import ManifestTable
 from fleetstream.sinks.outputs import append_history, write_latest
@@ -414,6 +414,19 @@ def test_replay_keeps_no_row_per_pair(spark, tmp_path, kind):
     assert 0 < stored_rows(spark, path, key) <= truck.count() < joined.count() / 5
 
 
+def test_history_is_written_by_truck_row_and_read_once_per_group(spark, tmp_path, monkeypatch):
+    sf, paths = dense_events(spark, tmp_path), []
+    shared = lambda spark, name: paths.append(str(tmp_path / name)) or paths[-1]
+    monkeypatch.setattr(catalog, "shared_dir", shared)
+    out = catalog.enriched_history(spark, sf)
+    truck = tel.truck(spark, sf)
+    assert out.count() == enrich.enrich_join(truck, tel.traffic(spark, sf), tel.HOURLY).count()
+    assert stored_rows(spark, paths[0]) <= truck.count() < out.count() / 5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode(array_repeat")
+    assert "timestamp_ntz" in below and "timestamp_ntz" not in above
+
+
 def test_strict_stream_fails_on_a_bad_line(feed):
     feed.add(0)
     feed._write("traffic", feed.spark.createDataFrame([("1|x|2", at(3))], LINES))
